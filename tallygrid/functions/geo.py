@@ -33,33 +33,33 @@ def valid_coord(c: Column) -> Column:
     return F.coalesce(c.rlike(COORDINATE), F.lit(False))
 
 
-def degrees(c: Column, is_text: bool) -> Column:
-    """A coordinate as DOUBLE, NULL when it is not a number."""
-    if is_text:
-        return F.when(valid_coord(c), c.try_cast("double"))
-    number = c.cast("double")
-    return F.when(~F.isnan(number), number)
-
-
 def cell_index(c: Column, precision: int = BATCH_PRECISION) -> Column:
     return F.floor(c * F.lit(float(10 ** precision)) + F.lit(0.5)).cast("bigint")
 
 
 def with_cell(df: DataFrame, lat: str = "lat", lng: str = "lng",
               precision: int = BATCH_PRECISION) -> DataFrame:
-    """Add ``cell_lat``/``cell_lng``; both NULL unless both coordinates are good."""
-    text = dict(df.dtypes)
-    a = degrees(F.col(lat), text[lat] == "string")
-    b = degrees(F.col(lng), text[lng] == "string")
-    both = a.isNotNull() & b.isNotNull()
+    """Add ``cell_lat``/``cell_lng``; both NULL unless both coordinates are good.
+
+    The test reads the raw columns only, so a filter on the cell costs little
+    where Catalyst moves it below this projection.
+    """
+    types = dict(df.dtypes)
+
+    def good(name: str) -> Column:
+        c = F.col(name)
+        return valid_coord(c) if types[name] == "string" else c.isNotNull() & ~F.isnan(c)
+
+    both = good(lat) & good(lng)
     return df.withColumns({
-        "cell_lat": F.when(both, cell_index(a, precision)),
-        "cell_lng": F.when(both, cell_index(b, precision)),
+        name: F.when(both, cell_index(F.col(c).try_cast("double"), precision))
+        for name, c in (("cell_lat", lat), ("cell_lng", lng))
     })
 
 
 def located(df: DataFrame) -> DataFrame:
-    return df.where(F.col("cell_lat").isNotNull() & F.col("cell_lng").isNotNull())
+    """Rows with a cell (its two parts are NULL together)."""
+    return df.where(F.col("cell_lat").isNotNull())
 
 
 def coarsen(df: DataFrame, from_precision: int = STREAM_PRECISION,

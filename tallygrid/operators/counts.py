@@ -112,14 +112,13 @@ def part_of(counts: DataFrame, by: Sequence[str], item: str, size: int) -> DataF
                  .where(F.col("_n") > size))
     parts = F.ceil(F.col("_n") / F.lit(size))
     part = F.when(F.col("_n").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(item), parts)).cast("bigint")
-    keys = [counts[c].eqNullSafe(big[c]) for c in by]
-    cond = keys[0]
-    for k in keys[1:]:
-        cond = cond & k
-    return (counts.join(big, cond, "left")
-                  .select(*[counts[c] for c in counts.columns], part.alias("part"))
-                  .repartition(*by, "part"))
+        F.pmod(F.xxhash64(f"a.{item}"), parts)).cast("bigint")
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    return (counts.alias("a").join(big.alias("b"), same, "left")
+            .select(*[f"a.{c}" for c in counts.columns], part.alias("part"))
+            .repartition(*by, "part"))
 
 
 def counts_to_maps(counts: DataFrame, messages: DataFrame,

@@ -31,23 +31,20 @@ USER = (
 FLAT_MESSAGE = FLAT + ENTITIES + PLACE + USER
 
 
-def geo_lines(lines: DataFrame, line: str = "value") -> DataFrame:
-    """``lat,lng,text`` lines to ``(lat, lng, text)``; a line of fewer than three
-    fields gives NULLs."""
-    fields = F.split(F.col(line), ",")
-    whole = F.size(fields) >= 3
-    return lines.select(*[
-        F.when(whole, fields.getItem(i)).alias(name)
-        for i, name in enumerate(("lat", "lng", "text"))])
+def locate(rows: DataFrame, precision: int = BATCH_PRECISION) -> DataFrame:
+    """Add the cell to ``(lat, lng, text)`` read as text; no text, no cell."""
+    whole = F.col("text").isNotNull()
+    return with_cell(rows.withColumn("lat", F.when(whole, F.col("lat"))),
+                     precision=precision)
 
 
 def locate_lines(lines: DataFrame, line: str = "value",
                  precision: int = BATCH_PRECISION) -> DataFrame:
-    """``(cell_lat, cell_lng, text)`` of lines; the text of an unlocated line is
-    not counted, so it is NULL."""
-    out = with_cell(geo_lines(lines, line), precision=precision)
-    return out.select("cell_lat", "cell_lng",
-                      F.when(F.col("cell_lat").isNotNull(), F.col("text")).alias("text"))
+    """The same for whole ``lat,lng,text`` lines, such as queue values."""
+    fields = F.split(F.col(line), ",")
+    return locate(lines.select(*[F.get(fields, F.lit(i)).alias(name)
+                                 for i, name in enumerate(("lat", "lng", "text"))]),
+                  precision)
 
 
 def parse_messages(df: DataFrame, json_col: str = "value") -> DataFrame:

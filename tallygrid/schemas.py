@@ -19,6 +19,9 @@ MESSAGE_JSON = (
     "created_at: STRING>"
 )
 
+# One line of a geo CSV file; coordinates stay text until they are checked.
+GEO_CSV = "lat STRING, lng STRING, text STRING"
+
 # One page of event-search results.
 EVENT_JSON = (
     "id: STRING, url: STRING, logo_url: STRING, name: STRUCT<text: STRING>, "

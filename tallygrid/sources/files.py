@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.text import clean_text
 from ..functions.times import path_day
-from ..operators.messages import locate_lines
+from ..operators.messages import locate
 
 # ---------------------------------------------------------------- fixed values
 FIELD_END = "\x07"
@@ -31,19 +31,20 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_day_lines(spark: SparkSession, base: str, day: str | None = None) -> DataFrame:
-    """``(value, day)`` of lines in ``day=MMddyy`` folders; a day reads its folder
-    only."""
-    lines = spark.read.schema("value STRING, day STRING").text(base)
-    return lines if day is None else lines.where(F.col("day") == day)
-
-
-def read_geo_csv(spark: SparkSession, path: str, day: str | None = None,
+def read_geo_csv(spark: SparkSession, path: str | list[str], day: str | None = None,
                  precision: int = 2) -> DataFrame:
-    """``(cell_lat, cell_lng, text)`` of geo CSV files under a path or glob, or of
-    one day's folder."""
-    lines = read_lines(spark, path) if day is None else read_day_lines(spark, path, day)
-    return locate_lines(lines, precision=precision)
+    """``(lat, lng, text, cell_lat, cell_lng)`` of geo CSV files under a path or
+    glob; with ``day`` of the ``day=MMddyy`` folder only.
+
+    The CSV scan cuts the lines itself (no quoting; fields after the text are
+    ignored). A line without three fields has no cell.
+    """
+    schema = schemas.GEO_CSV if day is None else schemas.GEO_CSV + ", day STRING"
+    rows = (spark.read.schema(schema).option("quote", "").option("escape", "")
+            .option("mode", "PERMISSIVE").csv(path))
+    if day is not None:
+        rows = rows.where(F.col("day") == day).drop("day")
+    return locate(rows, precision)
 
 
 def geo_csv_line(lat: Column, lng: Column, text: Column) -> Column:

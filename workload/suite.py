@@ -116,10 +116,10 @@ def cell_message_counts(spark, sf):
 words AS ({words_of('shown', stop=STOP)})
 SELECT cell_lat, cell_lng, word, count(*) AS cnt FROM words GROUP BY ALL""", "messages")
 def geo_line_word_counts(spark, sf):
-    """Through the CSV line and back."""
-    lines = inp.messages(spark, sf).select(
-        files.geo_csv_line(F.col("lat"), F.col("lng"), F.col("text")).alias("value"))
-    return ct.cell_counts(geo.located(ms.locate_lines(lines)), CELL, stop=STOP)
+    """Through geo CSV files, one folder per day, and back."""
+    path = session.new_dir(spark, "csv")
+    files.export_geo_csv(inp.messages(spark, sf), path, ts="ts")
+    return ct.cell_counts(geo.located(files.read_geo_csv(spark, path)), CELL, stop=STOP)
 
 
 CORPUS_SQL = f"""WITH pieces AS (SELECT unnest(string_split(text, ' ')) AS piece FROM {{source}}),
@@ -295,8 +295,8 @@ def page_json(spark, sf) -> DataFrame:
         F.struct(F.col("category").alias("name_localized")).alias("category"))
     page = F.struct(F.struct(F.lit(1).alias("object_count"), F.lit(1).alias("page_count"))
                     .alias("pagination"), F.array(event).alias("events"))
-    return c.select(F.explode(F.array(F.lit("art"), F.lit("music"))).alias("keyword"),
-                    F.to_json(page).alias("value"))
+    keywords = F.explode(F.array(F.lit("art"), F.lit("music"))).alias("keyword")
+    return c.select(F.to_json(page).alias("value")).select(keywords, "value")
 
 
 TEXT = "coalesce(CAST({} AS VARCHAR), '\\N') AS {}"
@@ -615,24 +615,24 @@ def hour_buckets(spark, sf):
 
 # ---------------------------------------------------------------- tables
 
-@query("""WITH newest AS (SELECT l_orderkey AS id, l_extendedprice AS price, l_shipdate AS at
+@query("""WITH newest AS (SELECT l_orderkey AS id, l_extendedprice AS price, l_shipdate AS stamp
   FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC,
     l_linenumber, l_partkey, l_suppkey, l_extendedprice) = 1),
-stored AS (SELECT o_orderkey AS id, o_totalprice AS price, o_orderdate AS at FROM orders
+stored AS (SELECT o_orderkey AS id, o_totalprice AS price, o_orderdate AS stamp FROM orders
   WHERE o_orderstatus <> 'P')
-SELECT id, price, strftime(at, '%Y-%m-%d %H:%M:%S') AS at FROM (
+SELECT id, price, strftime(stamp, '%Y-%m-%d %H:%M:%S') AS stamp FROM (
   SELECT * FROM stored WHERE id NOT IN (SELECT id FROM newest) UNION ALL SELECT * FROM newest)""")
 def upsert_result(spark, sf):
     """Lines put into the stored orders; repeated keys count once, the newest."""
     stored = inp.table(spark, sf, "orders").where("o_orderstatus <> 'P'").select(
         F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"),
-        F.col("o_orderdate").cast("timestamp").alias("at"))
+        F.col("o_orderdate").cast("timestamp").alias("stamp"))
     lines = inp.table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("id"), F.col("l_extendedprice").alias("price"),
-        F.col("l_shipdate").cast("timestamp").alias("at"), "l_linenumber", "l_partkey", "l_suppkey")
-    order = [F.desc("at"), F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey"),
+        F.col("l_shipdate").cast("timestamp").alias("stamp"), "l_linenumber", "l_partkey", "l_suppkey")
+    order = [F.desc("stamp"), F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey"),
              F.asc("price")]
-    return shown(wh.upsert(stored, lines, ["id"], order), "at")
+    return shown(wh.upsert(stored, lines, ["id"], order), "stamp")
 
 
 @query("""SELECT yymmddhh, count(*) AS n FROM speed WHERE yymmddhh > '24010812' GROUP BY ALL""",
@@ -811,7 +811,7 @@ DOCUMENT_SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_cha
 
 def message_stream(spark, sf) -> DataFrame:
     """Documents as a stream of located messages."""
-    docs = sc.read_stream(spark, f"{sf}/documents.parquet", DOCUMENT_SCHEMA)
+    docs = sc.read_stream(spark, f"{sf}/documents.parquet*", DOCUMENT_SCHEMA)
     return geo.located(geo.with_cell(inp.as_messages(docs)))
 
 
@@ -848,9 +848,9 @@ LINE_SCHEMA = ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenum
 @query(BOX_SQL, "conferences spread lines")
 def stream_routed_messages(spark, sf):
     """Messages near a running event, sent on as JSON and read back."""
-    lines = inp.as_placed(sc.read_stream(spark, f"{sf}/lineitem.parquet", LINE_SCHEMA))
+    lines = inp.as_placed(sc.read_stream(spark, f"{sf}/lineitem.parquet*", LINE_SCHEMA))
     path, state = session.new_dir(spark, "routed"), session.new_dir(spark, "state")
     routing.route_live(lines, lambda: inp.spread_conferences(spark, sf), routing.to_files(path),
                        state).awaitTermination()
     keys = "l_orderkey BIGINT, l_linenumber INT, l_partkey BIGINT, l_suppkey BIGINT"
-    return spark.read.schema(keys).json(path)
+    return spark.read.schema(keys).json(path).drop("batch_id")
