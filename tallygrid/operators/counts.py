@@ -61,16 +61,11 @@ def word_count(df: DataFrame, text: str = "text",
     piece = F.explode(F.split(F.col(text), " ")).alias("piece")
     words = (df.select(piece)
                .where(~F.lower("piece").isin(list(filler)))
-               .select(strip_blank(F.col("piece")).alias("word"))
+               .select(F.btrim("piece", F.lit(tx.BLANKS)).alias("word"))
                .where(~tx.has_mark(F.col("word"))))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def strip_blank(c: Column) -> Column:
-    """Trim every blank, line ends included."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
-
-
 def line_word_count(lines: DataFrame, line: str = "value",
                     filler: Sequence[str] = tx.FILLER_WORDS) -> DataFrame:
     """The same over ``lat,lng,text,…`` lines; lines of three fields or fewer

@@ -42,7 +42,7 @@ def box_requests(boxes: DataFrame, per_request: int = 100) -> DataFrame:
 
 def messages_in_boxes(messages: DataFrame, events: DataFrame, half: float = HALF_BOX,
                       slack: str = LIVE_SLACK, lat: str = "lat", lng: str = "lng",
-                      ts: str = "ts", slot_seconds: int = 21_600) -> DataFrame:
+                      ts: str = "ts", slot_seconds: int = 86_400) -> DataFrame:
     """Messages inside the box of an event running at the message's time (give or
     take ``slack``), each once.
 
@@ -63,7 +63,7 @@ def messages_in_boxes(messages: DataFrame, events: DataFrame, half: float = HALF
         "south", "north", "west", "east",
         (F.col("start_time_utc") - interval(slack)).alias("_from"),
         (F.col("end_time_utc") + interval(slack)).alias("_to"),
-    ).distinct()
+    )
     first, last = F.unix_micros("_from"), F.unix_micros("_to")
     slot_us = F.lit(slot_seconds * 1_000_000)
     listed = (

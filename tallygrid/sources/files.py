@@ -24,6 +24,18 @@ ROW_END = "\n"
 # -----------------------------------------------------------------------------
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores, for work
+    that is heavy per row (cutting texts, parsing JSON).
+
+    A split holds at most ``maxPartitionBytes``, so what is shuffled is bounded by
+    cores times that; a larger input has more splits and is left alone. Plain
+    scans only: planning one runs no job.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # ---- geo CSV lines
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallygrid.functions.geo import with_cell
 from tallygrid.functions.times import hour_bucket
 from tallygrid.operators.counts import tokens
+from tallygrid.sources import files
 
 AS_OF = "2000-01-01 12:00:00"
 
@@ -49,6 +50,12 @@ def located_messages(spark: SparkSession, sf: str) -> DataFrame:
     return cell_messages(spark, sf).where("cell_lat IS NOT NULL")
 
 
+def located_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for readers of the text."""
+    documents = files.widen(table(spark, sf, "documents"))
+    return with_cell(as_messages(documents)).where("cell_lat IS NOT NULL")
+
+
 def _events(spark: SparkSession, sf: str, lat: Column, lng: Column) -> DataFrame:
     online = F.col("o_orderstatus") == "P"
     started = F.expr("CAST(o_orderdate AS TIMESTAMP)"

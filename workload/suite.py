@@ -86,11 +86,11 @@ def as_text(df: DataFrame) -> DataFrame:
 
 
 def counts_of(spark, sf) -> DataFrame:
-    return ct.cell_counts(inp.located_messages(spark, sf), CELL, stop=STOP)
+    return ct.cell_counts(inp.located_texts(spark, sf), CELL, stop=STOP)
 
 
 def hour_counts_of(spark, sf) -> DataFrame:
-    hours = inp.located_messages(spark, sf).withColumn("yymmddhh", tm.hour_bucket(F.col("ts")))
+    hours = inp.located_texts(spark, sf).withColumn("yymmddhh", tm.hour_bucket(F.col("ts")))
     return ct.cell_counts(hours, HOUR_CELL, stop=STOP)
 
 
@@ -118,7 +118,7 @@ SELECT cell_lat, cell_lng, word, count(*) AS cnt FROM words GROUP BY ALL""", "me
 def geo_line_word_counts(spark, sf):
     """Through geo CSV files, one folder per day, and back."""
     path = session.new_dir(spark, "csv")
-    files.export_geo_csv(inp.messages(spark, sf), path, ts="ts")
+    files.export_geo_csv(files.widen(inp.messages(spark, sf)), path, ts="ts")
     return ct.cell_counts(geo.located(files.read_geo_csv(spark, path)), CELL, stop=STOP)
 
 
@@ -131,14 +131,14 @@ counts AS (SELECT word, count(*) AS cnt FROM (
 
 @query(CORPUS_SQL.format(source="documents") + " SELECT * FROM counts")
 def corpus_word_count(spark, sf):
-    return ct.word_count(inp.table(spark, sf, "documents"))
+    return ct.word_count(files.widen(inp.table(spark, sf, "documents")))
 
 
 @query(CORPUS_SQL.format(source="""(
   SELECT trim(regexp_replace(regexp_replace(text, '[^@a-zA-Z0-9\\s]', '', 'g'), '\\s+', ' ', 'g'))
     AS text FROM messages)""") + " SELECT * FROM counts WHERE word <> ''", "messages")
 def line_word_count(spark, sf):
-    lines = inp.messages(spark, sf).select(F.concat_ws(
+    lines = files.widen(inp.messages(spark, sf)).select(F.concat_ws(
         ",", files.geo_csv_line(F.col("lat"), F.col("lng"), F.col("text")),
         F.col("lang")).alias("value"))
     marked = ct.line_word_count(lines)
@@ -148,13 +148,13 @@ def line_word_count(spark, sf):
 @query(CORPUS_SQL.format(source="documents")
        + " SELECT cnt, word FROM counts ORDER BY cnt DESC, word DESC LIMIT 1")
 def most_frequent_word(spark, sf):
-    return ct.most_frequent(ct.word_count(inp.table(spark, sf, "documents")))
+    return ct.most_frequent(ct.word_count(files.widen(inp.table(spark, sf, "documents"))))
 
 
 @query(f"""WITH {LOCATED_WORDS} SELECT word, count(*) AS cnt FROM words GROUP BY word
 ORDER BY cnt DESC, word LIMIT 10""", "messages")
 def global_top10_words(spark, sf):
-    totals = ct.cell_counts(inp.located_messages(spark, sf), [], stop=STOP)
+    totals = ct.cell_counts(inp.located_texts(spark, sf), [], stop=STOP)
     return rk.top_k(totals, rk.by_count(), 10)
 
 
@@ -174,7 +174,7 @@ DAY_WORDS = f"""WITH {LOCATED_WORDS}, days AS (
 
 
 def day_counts(spark, sf):
-    days = inp.located_messages(spark, sf).withColumn("yymmdd", tm.day_bucket(F.col("ts")))
+    days = inp.located_texts(spark, sf).withColumn("yymmdd", tm.day_bucket(F.col("ts")))
     return ct.cell_counts(days, ["yymmdd"], stop=STOP)
 
 
@@ -270,7 +270,7 @@ def page_json(spark, sf) -> DataFrame:
     def iso(c):
         return F.date_format(c, tm.ISO_UTC)
 
-    c = inp.conferences(spark, sf)
+    c = files.widen(inp.conferences(spark, sf))
     number = F.substring_index("venue_name", " ", -1)
     event = F.struct(
         F.col("eb_id").alias("id"),
@@ -736,7 +736,7 @@ def offsets_audit(spark, sf):
 
 def message_json(spark, sf) -> DataFrame:
     """Documents as queue messages, and a deletion notice per toxic label."""
-    m = inp.messages(spark, sf)
+    m = files.widen(inp.messages(spark, sf))
     short = F.substring_index("text", " ", 2)
     body = F.struct(
         F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("id_str"), "text",
