@@ -102,8 +102,12 @@ def hour_totals(df: DataFrame, map_col: str = "data") -> DataFrame:
 
 def part_of(counts: DataFrame, by: Sequence[str], item: str, size: int) -> DataFrame:
     """Add ``part``: groups above ``size`` rows are cut by the item's hash into
-    about ``rows / size`` parts, all others stay whole (part 0)."""
-    big = (counts.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    about ``rows / size`` parts, all others stay whole (part 0).
+
+    Group sizes count the rows with a positive count, which is every row; reading
+    ``cnt`` lets this branch share the shuffle of the counts themselves.
+    """
+    big = (counts.groupBy(*by).agg(F.count_if(F.col("cnt") > 0).alias("_n"))
                  .where(F.col("_n") > size))
     parts = F.ceil(F.col("_n") / F.lit(size))
     part = F.when(F.col("_n").isNull(), F.lit(0)).otherwise(

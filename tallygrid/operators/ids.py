@@ -11,7 +11,8 @@ from ..session import durable
 
 
 def dense_ids(df: DataFrame, id_col: str, key: Sequence[str],
-              start: Column | int = 0, shard_digits: int = 3) -> DataFrame:
+              start: Column | int = 0, shard_digits: int = 3,
+              recompute: bool = False) -> DataFrame:
     """Number rows ``start+1, start+2, …`` without gaps.
 
     ``key`` must be unique. Rows are ordered by ``(shard, key)``, a shard being
@@ -19,12 +20,18 @@ def dense_ids(df: DataFrame, id_col: str, key: Sequence[str],
     like, and the offsets table has at most ``16^shard_digits`` rows, which is
     what makes broadcasting it safe. No sampling is involved, so a recomputed
     partition gets the same ids.
+
+    The rows are read twice, to count the shards and to number them; they are made
+    durable first, so that what made them runs once. ``recompute`` leaves that out
+    where the rows are a plain scan.
     """
     if not 1 <= shard_digits <= 5:
         raise ValueError("shard_digits must be 1 to 5")
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]
     shard = F.substring(F.md5(F.concat_ws("\x1f", *parts)), 1, shard_digits)
     sharded = df.withColumn("_shard", shard)
+    if not recompute:
+        sharded = durable(sharded)
     sizes = sharded.groupBy("_shard").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

@@ -14,6 +14,7 @@ TOP_WORDS = 10
 LIST_PAGE = 12
 DETAIL_PAGE = 21
 PAGE_WINDOW = 5
+ROW_CAP = 10_000
 LABELS = (
     "rgb(0, 66, 140)", "rgb(0, 100, 181)", "rgb(58, 150, 193)", "rgb(242, 167, 52)",
     "rgb(125, 200, 204)", "rgb(225, 167, 181)", "rgb(234, 184, 146)", "rgb(0, 16, 99)",
@@ -22,6 +23,11 @@ LABELS = (
 # -----------------------------------------------------------------------------
 
 
+# Up to this many rows a task keeps its best in memory; beyond it rows are sorted
+# over the cluster and numbered.
+HEAP_ROWS = 100_000
+
+
 def by_count(cnt: str = "cnt", *ties: str) -> list[Column]:
     """Largest count first; ties by the named columns."""
     return [F.desc(cnt), *[F.asc(t) for t in (ties or ("word",))]]
@@ -40,10 +46,17 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int,
     reaches the shuffle as ``k`` rows per task. Needs a total ``order``.
     """
     if not by:
-        return df.orderBy(*order).limit(k)
+        return first_rows(df, order, k)
     return ranked(df, order, k, by, "_rk").drop("_rk")
 
 
+def first_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
+    """The first ``n`` rows in a total order."""
+    if n <= HEAP_ROWS:
+        return df.orderBy(*order).limit(n)
+    return ordered_ids(df, "_rn", order).where(F.col("_rn") <= n).drop("_rn")
+
+
 def ranked(df: DataFrame, order: Sequence[Column], k: int, by: Sequence[str],
            rank_col: str = "rk") -> DataFrame:
     w = Window.partitionBy(*by).orderBy(*order)
@@ -99,6 +112,8 @@ def rank_words(counts: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def page(df: DataFrame, order: Sequence[Column], size: int, n: int) -> DataFrame:
     """Page ``n`` (from 0)."""
+    if (n + 1) * size > HEAP_ROWS:
+        return pages(df, order, size).where(F.col("page") == n).drop("page")
     return df.orderBy(*order).offset(n * size).limit(size)
 
 

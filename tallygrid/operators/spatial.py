@@ -32,7 +32,7 @@ def live_boxes(events: DataFrame, as_of: Column, half: float = HALF_BOX) -> Data
 def box_requests(boxes: DataFrame, per_request: int = 100) -> DataFrame:
     """``(request, boxes)``: boxes joined by commas, at most ``per_request`` in
     one string, so no row grows with the number of events."""
-    numbered = dense_ids(boxes, "_id", ["eb_id"])
+    numbered = dense_ids(boxes, "_id", ["eb_id"], recompute=True)
     request = F.floor((F.col("_id") - 1) / F.lit(per_request)).cast("bigint")
     return (numbered.withColumn("request", request).groupBy("request")
             .agg(F.array_join(
@@ -54,10 +54,14 @@ def messages_in_boxes(messages: DataFrame, events: DataFrame, half: float = HALF
     messages can be split over tasks.
     """
     bin_width = F.lit(2 * half)
-    slot = F.lit(slot_seconds)
+    slot_us = F.lit(slot_seconds * 1_000_000)
+
+    def bin_of(degrees: Column) -> Column:
+        return F.floor(degrees / bin_width).cast("bigint")
 
-    def floor_of(c: Column, width: Column) -> Column:
-        return F.floor(c / width).cast("bigint")
+    def slot_of(micros: Column) -> Column:
+        # Whole numbers throughout: a rounded quotient could cross a slot's border.
+        return F.call_function("div", micros - F.pmod(micros, slot_us), slot_us)
 
     spans = event_boxes(events, half).select(
         "south", "north", "west", "east",
@@ -65,25 +69,21 @@ def messages_in_boxes(messages: DataFrame, events: DataFrame, half: float = HALF
         (F.col("end_time_utc") + interval(slack)).alias("_to"),
     )
     first, last = F.unix_micros("_from"), F.unix_micros("_to")
-    slot_us = F.lit(slot_seconds * 1_000_000)
     listed = (
         spans
-        .withColumn("_slot", F.explode(F.sequence(floor_of(first, slot_us),
-                                                  floor_of(last, slot_us))))
+        .withColumn("_slot", F.explode(F.sequence(slot_of(first), slot_of(last))))
         .withColumns({
             "_from": F.greatest(first, F.col("_slot") * slot_us),
             "_to": F.least(last, (F.col("_slot") + 1) * slot_us - 1),
         })
         .distinct()
-        .withColumn("_row", F.explode(F.sequence(floor_of(F.col("south"), bin_width),
-                                                 floor_of(F.col("north"), bin_width))))
-        .withColumn("_col", F.explode(F.sequence(floor_of(F.col("west"), bin_width),
-                                                 floor_of(F.col("east"), bin_width)))))
+        .withColumn("_row", F.explode(F.sequence(bin_of(F.col("south")), bin_of(F.col("north")))))
+        .withColumn("_col", F.explode(F.sequence(bin_of(F.col("west")), bin_of(F.col("east"))))))
     placed = messages.withColumns({
         "_at": F.unix_micros(ts),
-        "_mrow": floor_of(F.col(lat), bin_width),
-        "_mcol": floor_of(F.col(lng), bin_width),
-        "_mslot": floor_of(F.unix_micros(ts), slot_us),
+        "_mrow": bin_of(F.col(lat)),
+        "_mcol": bin_of(F.col(lng)),
+        "_mslot": slot_of(F.unix_micros(ts)),
     })
     inside = ((F.col("_mrow") == F.col("_row")) & (F.col("_mcol") == F.col("_col"))
               & (F.col("_mslot") == F.col("_slot"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ids import dense_ids
-from .ranking import latest_by
+from .ranking import first_rows, latest_by
 
 
 def upsert(target: DataFrame, source: DataFrame, key: Sequence[str],
@@ -34,7 +34,7 @@ def high_water(df: DataFrame, value: str, ts: str | None = None) -> DataFrame:
 def capped(df: DataFrame, order: Sequence[str], n: int) -> tuple[DataFrame, DataFrame]:
     """The first ``n`` rows in ``order``, and one row ``(row_count, last columns…)``
     that tells where the next export starts."""
-    rows = df.orderBy(*order).limit(n)
+    rows = first_rows(df, order, n)
     last = rows.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.max(F.struct(*[F.col(c) for c in order],
@@ -47,11 +47,11 @@ def expire(df: DataFrame, cutoff: Column, bucket_col: str = "yymmddhh") -> DataF
     return df.where(F.col(bucket_col) > cutoff)
 
 
-def with_next_ids(rows: DataFrame, target: DataFrame, id_col: str,
-                  key: Sequence[str]) -> DataFrame:
+def with_next_ids(rows: DataFrame, target: DataFrame, id_col: str, key: Sequence[str],
+                  recompute: bool = False) -> DataFrame:
     """Rows numbered on from the largest id stored in ``target``."""
     stored = target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m"))
-    return dense_ids(rows, id_col, key, start=stored.scalar())
+    return dense_ids(rows, id_col, key, start=stored.scalar(), recompute=recompute)
 
 
 def append_with_ids(rows: DataFrame, target: DataFrame, id_col: str,

@@ -23,8 +23,8 @@ STREAM_SETTINGS = {
 }
 
 
-def apply_settings(spark: SparkSession) -> SparkSession:
-    for key, value in SETTINGS.items():
+def apply_settings(spark: SparkSession, streaming: bool = False) -> SparkSession:
+    for key, value in {**SETTINGS, **(STREAM_SETTINGS if streaming else {})}.items():
         spark.conf.set(key, value)
     return spark
 
@@ -54,10 +54,14 @@ def new_dir(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in reliable storage, so that a lost executor cannot
-    change which rows sit in which partition."""
+    """Write ``df`` to the shared folder and read it from there.
+
+    Cuts the lineage: a lost executor re-reads files instead of running again what
+    made them, and cannot change which row got which position. Unlike a
+    checkpointed RDD the files are columnar, so a reader of one column reads that
+    one only, and their size is known to the join planner.
+    """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = new_dir(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ranking import latest_by
 from ..operators.warehouse import expire, upsert, with_next_ids
+from ..session import durable
 
 STAGED = "_tmp"
 
@@ -54,7 +56,10 @@ def replace_table(spark: SparkSession, name: str, rows: DataFrame) -> None:
 
 def upsert_table(spark: SparkSession, name: str, source: DataFrame, key: Sequence[str],
                  newest_first: Sequence[Column] = ()) -> None:
-    replace_table(spark, name, upsert(spark.table(name), source, key, newest_first))
+    """Put ``source`` into the table by key. The incoming rows are read twice, for
+    their keys and for themselves, so they are made durable first."""
+    incoming = latest_by(source, key, newest_first) if newest_first else source
+    replace_table(spark, name, upsert(spark.table(name), durable(incoming), key))
 
 
 def append_table(spark: SparkSession, name: str, rows: DataFrame, id_col: str,

@@ -115,6 +115,15 @@ def test_pages_and_labels(spark):
     assert rk.page_window(3, 1) == [0, 1, 2]
 
 
+def test_many_first_rows_are_not_kept_in_memory(spark, rows, monkeypatch):
+    df = spark.range(100).select(F.col("id").alias("k"))
+    near = rows(rk.first_rows(df, [F.desc("k")], 30))
+    deep = rows(rk.page(df, [F.desc("k")], 10, 4))
+    monkeypatch.setattr(rk, "HEAP_ROWS", 5)
+    assert rows(rk.first_rows(df, [F.desc("k")], 30)) == near
+    assert rows(rk.page(df, [F.desc("k")], 10, 4)) == deep
+
+
 def test_sample_is_repeatable(spark, rows):
     df = spark.range(500).select(F.col("id").cast("string").alias("k"))
     a = rows(rk.sample_rows(df, F.col("k"), 20))

@@ -13,7 +13,7 @@ from tallygrid.functions import geo, maps, predicates as pr, text as tx, times a
 from tallygrid.operators import (conferences as cf, counts as ct, ids, layers, messages as ms,
                                  photos as ph, ranking as rk, spatial as sp, summary as su,
                                  warehouse as wh)
-from tallygrid.sources import files
+from tallygrid.sources import files, tables as tb
 from tallygrid.streaming import counts as sc, routing
 
 from . import inputs as inp
@@ -122,6 +122,24 @@ def geo_line_word_counts(spark, sf):
     return ct.cell_counts(geo.located(files.read_geo_csv(spark, path)), CELL, stop=STOP)
 
 
+@query(f"""WITH shown AS (SELECT text, cell_lat, cell_lng, strftime(ts, '%m%d%y') AS day FROM located),
+words AS ({words_of('shown', stop=STOP)})
+SELECT cell_lat, cell_lng, word, count(*) AS cnt FROM words WHERE day = '010124' GROUP BY ALL""",
+       "messages")
+def day_folder_word_counts(spark, sf):
+    """One day's folder of the geo CSV files."""
+    path = session.new_dir(spark, "csv")
+    files.export_geo_csv(files.widen(inp.messages(spark, sf)), path, ts="ts")
+    return ct.cell_counts(geo.located(files.read_geo_csv(spark, path, "010124")), CELL, stop=STOP)
+
+
+@query(f"""WITH {CELL_COUNTS_SQL} SELECT cell_lat, cell_lng, word, cnt FROM counts
+ORDER BY cell_lat, cell_lng, word LIMIT 10000""", "messages")
+def capped_view(spark, sf):
+    """The map view's cap on rows, in a total order."""
+    return rk.first_rows(counts_of(spark, sf), ["cell_lat", "cell_lng", "word"], rk.ROW_CAP)
+
+
 CORPUS_SQL = f"""WITH pieces AS (SELECT unnest(string_split(text, ' ')) AS piece FROM {{source}}),
 counts AS (SELECT word, count(*) AS cnt FROM (
     SELECT regexp_replace(piece, '^\\s+|\\s+$', '', 'g') AS word FROM pieces
@@ -426,6 +444,20 @@ def live_events(spark, sf):
     return inp.conferences(spark, sf).where(pr.live(inp.as_of())).select("eb_id")
 
 
+@query("""SELECT eb_id, keyword FROM (SELECT *, unnest(['art', 'music']) AS keyword FROM conferences)
+WHERE start_time_utc >= TIMESTAMP '2000-01-02' AND start_time_utc < TIMESTAMP '2000-01-03'""",
+       "conferences")
+def landing_window(spark, sf):
+    """Landed events that start tomorrow."""
+    found = cf.starting_between(cf.page_events(page_json(spark, sf)), F.to_date(inp.as_of()))
+    return found.select(F.col("e.id").alias("eb_id"), F.col("search_keyword").alias("keyword"))
+
+
+@query("SELECT count(*) AS n FROM conferences WHERE online_event", "conferences")
+def row_count(spark, sf):
+    return tb.row_count(inp.conferences(spark, sf), F.col("online_event"))
+
+
 # ---------------------------------------------------------------- photos
 
 PHOTO_WORDS = f"""{CELL_COUNTS_SQL}, recent AS (
@@ -710,7 +742,7 @@ SELECT c_custkey, (SELECT top FROM stored) + row_number() OVER (
 def append_with_ids(spark, sf):
     stored = inp.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
     rows = inp.table(spark, sf, "customer").select("c_custkey")
-    return wh.with_next_ids(rows, stored, "id", ["c_custkey"])
+    return wh.with_next_ids(rows, stored, "id", ["c_custkey"], recompute=True)
 
 
 @query(f"""WITH {CELL_COUNTS_SQL} SELECT row_number() OVER (ORDER BY
