@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import maps, text as tx
 from ..functions.geo import cell_text
+from .skew import lookup_join
 
 CELL = ("cell_lat", "cell_lng")
 
@@ -102,7 +103,8 @@ def hour_totals(df: DataFrame, map_col: str = "data") -> DataFrame:
 
 def part_of(counts: DataFrame, by: Sequence[str], item: str, size: int) -> DataFrame:
     """Add ``part``: groups above ``size`` rows are cut by the item's hash into
-    about ``rows / size`` parts, all others stay whole (part 0).
+    about ``rows / size`` parts, all others stay whole (part 0). Groups are not
+    NULL.
 
     Group sizes count the rows with a positive count, which is every row; reading
     ``cnt`` lets this branch share the shuffle of the counts themselves.
@@ -111,13 +113,9 @@ def part_of(counts: DataFrame, by: Sequence[str], item: str, size: int) -> DataF
                  .where(F.col("_n") > size))
     parts = F.ceil(F.col("_n") / F.lit(size))
     part = F.when(F.col("_n").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(f"a.{item}"), parts)).cast("bigint")
-    same = F.lit(True)
-    for c in by:
-        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    return (counts.alias("a").join(big.alias("b"), same, "left")
-            .select(*[f"a.{c}" for c in counts.columns], part.alias("part"))
-            .repartition(*by, "part"))
+        F.pmod(F.xxhash64(item), parts)).cast("bigint")
+    return (lookup_join(counts, big, by, "left")
+            .select(*counts.columns, part.alias("part")).repartition(*by, "part"))
 
 
 def counts_to_maps(counts: DataFrame, messages: DataFrame,

@@ -12,6 +12,7 @@ from ..functions.times import hour_bucket
 from .counts import CELL
 from .ids import dense_ids
 from .ranking import cycle_label, sample_rows
+from .skew import lookup_join
 
 # ---------------------------------------------------------------- fixed values
 PHOTOS_SHOWN = 200
@@ -36,25 +37,27 @@ def event_words(events: DataFrame, counts: DataFrame, as_of: Column) -> DataFram
     first: the words of a cell are read once however many events it hosts."""
     cells = with_cell(events.where(recent(as_of) & has_position()),
                       "latitude", "longitude").select(*CELL).distinct()
-    return counts.join(cells, list(CELL), "left_semi").select("word").distinct()
+    return lookup_join(counts, cells, CELL, "left_semi").select("word").distinct()
+
+
+def found_photos(words: DataFrame, index: DataFrame) -> DataFrame:
+    """``(word, url)``: every photo of every distinct word, each word looked up
+    once."""
+    wanted = words.select("word").where(F.col("word") != "").distinct()
+    return lookup_join(index.select("word", "url").distinct(), wanted, ["word"], "left_semi")
 
 
 def keyword_photos(words: DataFrame, index: DataFrame, as_of: Column,
                    start_id: Column | int = 0) -> DataFrame:
-    """``(pid, yymmddhh, word, url)``: every photo of every distinct word, each
-    word looked up once."""
-    found = (index.select("word", "url").distinct()
-             .join(words.select("word").where(F.col("word") != "").distinct(), "word",
-                   "left_semi"))
-    return (dense_ids(found, "pid", ["word", "url"], start_id)
+    """``(pid, yymmddhh, word, url)`` of the photos found."""
+    return (dense_ids(found_photos(words, index), "pid", ["word", "url"], start_id)
             .select("pid", hour_bucket(as_of).alias("yymmddhh"), "word", "url"))
 
 
 def photos_for(words: DataFrame, photos: DataFrame, n: int = PHOTOS_SHOWN,
                seed: str = "0") -> DataFrame:
     """A repeatable sample of ``n`` photos of any of the words."""
-    hits = photos.join(words.select("word").distinct(), "word", "left_semi")
-    return sample_rows(hits.select("word", "url"), F.concat_ws(" ", "word", "url"), n, seed)
+    return sample_rows(found_photos(words, photos), F.concat_ws(" ", "word", "url"), n, seed)
 
 
 def shown_photos(photos: DataFrame) -> DataFrame:

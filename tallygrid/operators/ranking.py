@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ids import ordered_ids
+from .skew import lookup_join
 
 # ---------------------------------------------------------------- fixed values
 TOP_WORDS = 10
@@ -23,8 +24,9 @@ LABELS = (
 # -----------------------------------------------------------------------------
 
 
-# Up to this many rows a task keeps its best in memory; beyond it rows are sorted
-# over the cluster and numbered.
+# A global limit merges the best rows of all tasks in one task: fine for a short
+# list (SHORT), in two steps up to HEAP_ROWS, and not at all beyond.
+SHORT = 1_000
 HEAP_ROWS = 100_000
 
 
@@ -51,10 +53,25 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int,
 
 
 def first_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
-    """The first ``n`` rows in a total order."""
-    if n <= HEAP_ROWS:
-        return df.orderBy(*order).limit(n)
-    return ordered_ids(df, "_rn", order).where(F.col("_rn") <= n).drop("_rn")
+    """The first ``n`` rows in a total order.
+
+    A longer list is first cut to ``n`` rows within each task, then within each of
+    the shuffle's partitions, so that the last task sees ``n`` rows per partition
+    and not per input split. The longest are read off the numbered rows.
+    """
+    if n > HEAP_ROWS:
+        return ordered_ids(df, "_rn", order).where(F.col("_rn") <= n).drop("_rn")
+    if n > SHORT:
+        spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = _first_within(_first_within(df, order, n).repartition(spread), order, n)
+    return df.orderBy(*order).limit(n)
+
+
+def _first_within(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
+    """The first ``n`` rows of every partition."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return (df.sortWithinPartitions(*order).withColumn("_place", place)
+            .where(F.col("_place") < n).drop("_place"))
 
 
 def ranked(df: DataFrame, order: Sequence[Column], k: int, by: Sequence[str],
@@ -107,13 +124,15 @@ def rank_words(counts: DataFrame, by: Sequence[str]) -> DataFrame:
              .rowsBetween(Window.unboundedPreceding, -1))
     ranks = levels.select(
         *by, "cnt", (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).alias("rank"))
-    return counts.join(ranks, [*by, "cnt"])
+    return lookup_join(counts, ranks, [*by, "cnt"])
 
 
 def page(df: DataFrame, order: Sequence[Column], size: int, n: int) -> DataFrame:
     """Page ``n`` (from 0)."""
     if (n + 1) * size > HEAP_ROWS:
         return pages(df, order, size).where(F.col("page") == n).drop("page")
+    if (n + 1) * size > SHORT:
+        df = first_rows(df, order, (n + 1) * size)
     return df.orderBy(*order).offset(n * size).limit(size)
 
 
@@ -142,4 +161,4 @@ def cycle_label(df: DataFrame, order: Sequence[Column], labels: Sequence[str] =
 
 def sample_rows(df: DataFrame, key: Column, n: int, seed: str = "0") -> DataFrame:
     """A repeatable random sample of ``n`` rows: the smallest salted md5s."""
-    return df.orderBy(F.md5(F.concat(key, F.lit(seed))), key).limit(n)
+    return first_rows(df, [F.md5(F.concat(key, F.lit(seed))), key], n)

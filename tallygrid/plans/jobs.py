@@ -16,7 +16,6 @@ from ..operators import photos as ph
 from ..operators.counts import (CELL, batch_rows, cell_counts, cell_messages,
                                 counts_to_maps)
 from ..operators.layers import batch_view, bucket, latest_bucket
-from ..operators.warehouse import with_next_ids
 from ..sources import files
 from ..sources import tables as tb
 
@@ -62,14 +61,14 @@ def word_job(spark: SparkSession, counts: DataFrame, words_table: str,
 def photo_job(spark: SparkSession, counts: DataFrame, events: DataFrame,
               index: DataFrame, photos_table: str, as_of: Column,
               keep_days: int = 7) -> None:
-    """Photos of the words at recent events, appended; old hours expire."""
-    stored = tb.ensure_table(spark, photos_table, schemas.PHOTOS)
+    """Photos of the words at recent events, appended to their hour; old hours are
+    dropped whole."""
+    tb.ensure_table(spark, photos_table, schemas.PHOTOS, partition_by=["yymmddhh"])
     words = ph.event_words(events, counts, as_of)
-    fresh = ph.keyword_photos(words, index, as_of).drop("pid")
-    rows = with_next_ids(fresh, stored, "pid", ["word", "url"]).select(*stored.columns)
+    found = ph.found_photos(words, index).withColumn("yymmddhh", hour_bucket(as_of))
+    tb.append_table(spark, photos_table, found, "pid", ["word", "url"])
     cutoff = hour_bucket(as_of - F.expr(f"INTERVAL {keep_days} DAYS"))
-    kept = stored.where(F.col("yymmddhh") > cutoff)
-    tb.replace_table(spark, photos_table, kept.unionByName(rows))
+    tb.expire_table(spark, photos_table, spark.range(1).select(cutoff).first()[0])
 
 
 def event_job(spark: SparkSession, pages: DataFrame, events_table: str, archive: str,

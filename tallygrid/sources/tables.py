@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import latest_by
-from ..operators.warehouse import expire, upsert, with_next_ids
+from ..operators.warehouse import upsert, with_next_ids
 from ..session import durable
 
 STAGED = "_tmp"
@@ -66,13 +66,19 @@ def append_table(spark: SparkSession, name: str, rows: DataFrame, id_col: str,
                  key: Sequence[str]) -> None:
     """Add rows under ids that follow the largest stored one."""
     target = spark.table(name)
-    with_next_ids(rows, target, id_col, key).select(*target.columns) \
-        .write.insertInto(name)
-
-
-def expire_table(spark: SparkSession, name: str, cutoff: Column,
-                 bucket: str = "yymmddhh") -> None:
-    replace_table(spark, name, expire(spark.table(name), cutoff, bucket))
+    numbered = with_next_ids(rows, target, id_col, key)
+    numbered.select(*target.columns).write.insertInto(name)
+
+
+def expire_table(spark: SparkSession, name: str, cutoff: str,
+                 bucket: str = "yymmddhh") -> list[str]:
+    """Drop the hours up to and with the cutoff from a table partitioned by hour.
+    Looks at partition names only; no row is read or written."""
+    named = [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    gone = sorted(p.split("=", 1)[1] for p in named if p.split("=", 1)[1] <= cutoff)
+    for hour in gone:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({bucket} = '{hour}')")
+    return gone
 
 
 def row_count(df: DataFrame, condition: Column) -> DataFrame:

@@ -119,6 +119,9 @@ def test_many_first_rows_are_not_kept_in_memory(spark, rows, monkeypatch):
     df = spark.range(100).select(F.col("id").alias("k"))
     near = rows(rk.first_rows(df, [F.desc("k")], 30))
     deep = rows(rk.page(df, [F.desc("k")], 10, 4))
+    monkeypatch.setattr(rk, "SHORT", 5)
+    assert rows(rk.first_rows(df.repartition(6), [F.desc("k")], 30)) == near
+    assert rows(rk.page(df.repartition(6), [F.desc("k")], 10, 4)) == deep
     monkeypatch.setattr(rk, "HEAP_ROWS", 5)
     assert rows(rk.first_rows(df, [F.desc("k")], 30)) == near
     assert rows(rk.page(df, [F.desc("k")], 10, 4)) == deep
