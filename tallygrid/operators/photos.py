@@ -34,10 +34,11 @@ def photos_from_xml(df: DataFrame, keep: list[str], xml_col: str = "xml") -> Dat
 
 def event_words(events: DataFrame, counts: DataFrame, as_of: Column) -> DataFrame:
     """Distinct words said in the cell of a recent event. Cells are made distinct
-    first: the words of a cell are read once however many events it hosts."""
+    first: the words of a cell are read once however many events it hosts. Counts
+    hold a word once per cell, so even a busy cell is only its vocabulary."""
     cells = with_cell(events.where(recent(as_of) & has_position()),
                       "latitude", "longitude").select(*CELL).distinct()
-    return lookup_join(counts, cells, CELL, "left_semi").select("word").distinct()
+    return counts.join(cells, list(CELL), "left_semi").select("word").distinct()
 
 
 def found_photos(words: DataFrame, index: DataFrame) -> DataFrame:

@@ -30,10 +30,11 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     floor = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("t")).scalar() / F.lit(SHARE)
     hot = (sizes.where((F.col("_n") > floor) & (F.col("_n") > hot_rows))
            .select(*keys, F.lit(True).alias("_hot")))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
+    is_hot = F.col("_hot").isNotNull()
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(0)
+    last = F.when(is_hot, F.lit(salts - 1)).otherwise(0)
     salted = (left.join(F.broadcast(hot), keys, "left")
-              .withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int")).drop("_hot"))
-    copies = (right.join(F.broadcast(hot), keys).drop("_hot")
-              .withColumn("_salt", F.explode(F.sequence(F.lit(1), F.lit(salts - 1)))))
-    targets = right.withColumn("_salt", F.lit(0)).unionByName(copies)
+              .withColumn("_salt", salt.cast("int")).drop("_hot"))
+    targets = (right.join(F.broadcast(hot), keys, "left")
+               .withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_hot"))
     return salted.join(targets, [*keys, "_salt"], how).drop("_salt")
