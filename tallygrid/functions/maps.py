@@ -14,7 +14,7 @@ MESSAGES_KEY = "OVERALL_CNT"
 
 def map_to_text(m: Column) -> Column:
     """Entries in word order, so equal maps give equal text."""
-    entries = F.array_sort(F.map_entries(m))
+    entries = F.sort_array(F.map_entries(m))
     return F.array_join(
         F.transform(entries, lambda e: F.concat(e["key"], F.lit(PAIR), e["value"])), ENTRY)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, SparkSession
+from pyspark.ml.feature import StopWordsRemover
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------- fixed values
@@ -57,10 +58,9 @@ def stop_words(words: Iterable[str]) -> list[str]:
     return sorted({re.sub(r"[^a-z0-9]", "", w.lower()) for w in words} - {""})
 
 
-def default_stop_words(spark: SparkSession) -> list[str]:
+def default_stop_words() -> list[str]:
     """Spark's own English list, in token form."""
-    names = spark._jvm.org.apache.spark.ml.feature.StopWordsRemover
-    return stop_words(names.loadDefaultStopWords("english"))
+    return stop_words(StopWordsRemover.loadDefaultStopWords("english"))
 
 
 def match_text(c: Column, pattern: str | None) -> Column:

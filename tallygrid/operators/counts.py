@@ -109,12 +109,12 @@ def part_of(counts: DataFrame, by: Sequence[str], item: str, size: int) -> DataF
     Group sizes count the rows with a positive count, which is every row; reading
     ``cnt`` lets this branch share the shuffle of the counts themselves.
     """
-    big = (counts.groupBy(*by).agg(F.count_if(F.col("cnt") > 0).alias("_n"))
-                 .where(F.col("_n") > size))
+    sizes = counts.groupBy(*by).agg(F.count_if(F.col("cnt") > 0).alias("_n"))
+    big = sizes.where(F.col("_n") > size)
     parts = F.ceil(F.col("_n") / F.lit(size))
     part = F.when(F.col("_n").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(item), parts)).cast("bigint")
-    return (lookup_join(counts, big, by, "left")
+    return (lookup_join(counts, big, by, "left", sizes=sizes)
             .select(*counts.columns, part.alias("part")).repartition(*by, "part"))
 
 
@@ -128,7 +128,7 @@ def counts_to_maps(counts: DataFrame, messages: DataFrame,
     marked = counts.unionByName(
         messages.select(*by, F.lit(maps.MESSAGES_KEY).alias("word"),
                         F.col("tweets").alias("cnt")))
-    pairs = F.array_sort(F.collect_list(F.struct("word", "cnt")))
+    pairs = F.sort_array(F.collect_list(F.struct("word", "cnt")))
     return (part_of(marked, by, "word", size)
             .groupBy(*by, "part").agg(F.map_from_entries(pairs).alias("data")))
 

@@ -106,7 +106,7 @@ def nest_pairs(counts: DataFrame, by: Sequence[str], k: int = TOP_WORDS) -> Data
     """``(*by, words)``: the ``k`` most representative words as an array of
     ``struct(word, cnt)``, in that order."""
     top = ranked(counts, representative(), k, by)
-    pairs = F.array_sort(F.collect_list(F.struct("rk", "word", "cnt")))
+    pairs = F.sort_array(F.collect_list(F.struct("rk", "word", "cnt")))
     return top.groupBy(*by).agg(
         F.transform(pairs, lambda p: F.struct(p["word"].alias("word"),
                                               p["cnt"].alias("cnt"))).alias("words"))
@@ -124,7 +124,7 @@ def rank_words(counts: DataFrame, by: Sequence[str]) -> DataFrame:
              .rowsBetween(Window.unboundedPreceding, -1))
     ranks = levels.select(
         *by, "cnt", (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).alias("rank"))
-    return lookup_join(counts, ranks, [*by, "cnt"])
+    return lookup_join(counts, ranks, [*by, "cnt"], sizes=levels)
 
 
 def page(df: DataFrame, order: Sequence[Column], size: int, n: int) -> DataFrame:

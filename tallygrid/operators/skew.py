@@ -16,17 +16,20 @@ SALTS = 64
 
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-                hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+                hot_rows: int = HOT_ROWS, salts: int = SALTS,
+                sizes: DataFrame | None = None) -> DataFrame:
     """Join ``left`` (distinct rows, keys not NULL) to ``right``, which has one row
     per key; ``how`` is inner, left or left_semi.
 
     Rows of a hot key are spread over ``salts`` partitions by the hash of the row,
     and the key's one row on the right is repeated for each. AQE's own skew join
     does not help here: it needs a plain shuffle on both sides, and these right
-    sides are aggregates that already sit on the key.
+    sides are aggregates that already sit on the key. ``sizes`` gives the left rows
+    per key (``_n``) where the caller has them.
     """
     keys = list(keys)
-    sizes = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if sizes is None:
+        sizes = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     floor = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("t")).scalar() / F.lit(SHARE)
     hot = (sizes.where((F.col("_n") > floor) & (F.col("_n") > hot_rows))
            .select(*keys, F.lit(True).alias("_hot")))

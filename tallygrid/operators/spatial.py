@@ -36,7 +36,7 @@ def box_requests(boxes: DataFrame, per_request: int = 100) -> DataFrame:
     request = F.floor((F.col("_id") - 1) / F.lit(per_request)).cast("bigint")
     return (numbered.withColumn("request", request).groupBy("request")
             .agg(F.array_join(
-                F.transform(F.array_sort(F.collect_list(F.struct("_id", "box"))),
+                F.transform(F.sort_array(F.collect_list(F.struct("_id", "box"))),
                             lambda s: s["box"]), ",").alias("boxes")))
 
 

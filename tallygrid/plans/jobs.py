@@ -34,7 +34,7 @@ def hourly_job(spark: SparkSession, csv_path: str, out: str, as_of: Column,
     """Geo CSV files to the hour's map rows; running it again replaces the hour."""
     lines = files.read_geo_csv(spark, csv_path, day)
     words, tweets = hourly_tallies(
-        lines, as_of, default_stop_words(spark) if stop is None else stop)
+        lines, as_of, default_stop_words() if stop is None else stop)
     maps = counts_to_maps(words, tweets, KEYED)
     rows = batch_rows(maps, "yymmddhh", as_of)
     files.write_buckets(rows, out)

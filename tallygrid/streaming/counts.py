@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.times import hour_bucket
 from ..operators.counts import (CELL, cell_counts, cell_messages, counts_to_maps,
                                 speed_rows, tokens, without_words)
+from ..sources.files import widen
 
 # ---------------------------------------------------------------- fixed values
 BATCH_SECONDS = "3 seconds"
@@ -54,7 +55,7 @@ def micro_batches(stream: DataFrame, path: str, checkpoint: str, stop: Sequence[
     batch's time, by default the clock."""
     def write(batch: DataFrame, batch_id: int) -> None:
         now = F.current_timestamp() if stamp is None else stamp
-        counts = cell_counts(batch, CELL, stop=stop)
+        counts = cell_counts(widen(batch), CELL, stop=stop)
         maps = counts_to_maps(counts, cell_messages(batch, CELL))
         rows = speed_rows(maps.withColumn("yymmddhh", hour_bucket(now)), "yymmddhh", now,
                           precision)
@@ -68,7 +69,7 @@ def micro_batch_counts(stream: DataFrame, path: str, checkpoint: str,
                        every: str | None = None) -> StreamingQuery:
     """The same in long form: ``(*by, word, cnt)`` per batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(cell_counts(batch, by, stop=stop), path, batch_id)
+        _write_batch(cell_counts(widen(batch), by, stop=stop), path, batch_id)
 
     return each_batch(stream, write, checkpoint, every)
 

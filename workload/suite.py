@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallygrid import session
 from tallygrid.functions import geo, maps, predicates as pr, text as tx, times as tm
-from tallygrid.operators import (conferences as cf, counts as ct, ids, layers, messages as ms,
+from tallygrid.operators import (conferences as cf, counts as ct, layers, messages as ms,
                                  photos as ph, ranking as rk, spatial as sp, summary as su,
                                  warehouse as wh)
 from tallygrid.sources import files, tables as tb
@@ -317,9 +317,6 @@ def page_json(spark, sf) -> DataFrame:
     return c.select(F.to_json(page).alias("value")).select(keywords, "value")
 
 
-TEXT = "coalesce(CAST({} AS VARCHAR), '\\N') AS {}"
-
-
 def _texts(pairs: dict[str, str]) -> str:
     return ", ".join(f"coalesce(CAST({sql} AS VARCHAR), '\\N') AS \"{name}\""
                      for name, sql in pairs.items())
