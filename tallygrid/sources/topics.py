@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 # ---------------------------------------------------------------- fixed values
-TOPIC = "twitterstreaming"
 BATCH_MESSAGES = 50_000
 # -----------------------------------------------------------------------------
 
 
-def kafka_options(servers: str, topic: str = TOPIC, group: str | None = None,
+def kafka_options(servers: str, topic: str, group: str | None = None,
                   per_batch: int | None = BATCH_MESSAGES,
                   starting: str = "earliest") -> dict[str, str]:
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic,
@@ -23,9 +22,10 @@ def kafka_options(servers: str, topic: str = TOPIC, group: str | None = None,
     return options
 
 
-def read_topic(spark: SparkSession, servers: str, **options: object) -> DataFrame:
+def read_topic(spark: SparkSession, servers: str, topic: str,
+               **options: object) -> DataFrame:
     """``value`` text of a topic as a stream."""
-    stream = spark.readStream.format("kafka").options(**kafka_options(servers, **options))
+    stream = spark.readStream.format("kafka").options(**kafka_options(servers, topic, **options))
     return stream.load().selectExpr("CAST(value AS STRING) AS value", "timestamp")
 
 

@@ -114,7 +114,7 @@ def test_jdbc_and_topic_options():
     assert (split["partitionColumn"], split["numPartitions"]) == ("id", "8")
     with pytest.raises(ValueError):
         tb.jdbc_options("jdbc:x", "t", "id")
-    assert topics.kafka_options("h:1")["maxOffsetsPerTrigger"] == "50000"
+    assert topics.kafka_options("h:1", "t")["maxOffsetsPerTrigger"] == "50000"
 
 
 def test_shared_dir_is_the_named_one(spark):
