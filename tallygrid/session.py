@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+_staged: list[tuple[SparkSession, str]] = []
+
 # Hour tallies kept in streaming state can outgrow the heap; RocksDB spills.
 STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -32,25 +34,38 @@ def apply_settings(spark: SparkSession, streaming: bool = False) -> SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: the one ``spark.checkpoint.dir`` names.
 
-    Only a local-mode session without that setting gets a folder of its own; a
-    cluster without it is an error, since a driver-local folder is lost to the
-    executors.
+    Where it is unset, a folder beside the tables of the warehouse, which the
+    executors share too; never a folder of the driver's own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
-        return named
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallygrid-"))
-    return spark.sparkContext.getCheckpointDir()
+        return named.rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder (not created yet)."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder (not created yet). What is written there
+    is removed by ``release``, or when the driver's Python ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _staged.append((spark, path))
+    return path
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ``new_dir`` that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _staged[:] = [x for x in _staged if x[1] != path]
+
+
+def _release_all() -> None:
+    for spark, path in list(_staged):
+        if spark.sparkContext._jsc is None:  # the session has been stopped
+            return
+        release(spark, path)
+
+
+atexit.register(_release_all)
 
 
 def durable(df: DataFrame) -> DataFrame:
