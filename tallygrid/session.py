@@ -46,6 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
 def new_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder (not created yet). What is written there
     is removed by ``release``, or when the driver's Python ends."""
+    if not _staged:  # registered late, so that it runs before Spark's own exit hook
+        atexit.unregister(_release_all)
+        atexit.register(_release_all)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     _staged.append((spark, path))
     return path
@@ -65,8 +68,6 @@ def _release_all() -> None:
         release(spark, path)
 
 
-atexit.register(_release_all)
-
 
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it from there.
