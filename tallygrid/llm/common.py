@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import contextlib
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyarrow import fs
@@ -17,6 +20,21 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of a session that was started
+    without it (``--py-files``)."""
+    context = spark.sparkContext
+    if getattr(context, "_tallygrid_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="tallygrid-")) / "tallygrid.zip"  # served by the driver
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in package.rglob("*.py"):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tallygrid_shipped = True
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``durable``, with the shuffle files of the writing job removed as it ends."""
     spark = df.sparkSession

@@ -56,17 +56,17 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     text, lower-case hex). ``kept`` marks the rows whose id is the class's largest; a row
     repeated with its id is marked each time (``survivors`` keeps one of them)."""
     classes, ambiguous = _classes(df, id_col, text_col, salts, digest, second)
-    d, v, t, x = unused(df, "_digest", "_variant", "_text", "_sha")
+    d, v, t, x, k, n = unused(df, "_digest", "_variant", "_text", "_sha", "_keep", "_size")
     lowered = ascii_lower(text_of(text_col))
     rows = df.withColumns({d: digest(lowered), v: second(lowered), x: F.sha2(lowered, 256)})
     if ambiguous:
         rows = rows.withColumn(t, lowered)
     found = rows.join(classes.select(*_named(d, v, t)[:2 + ambiguous],
-                                     F.col("keep_id").alias("_k"), F.col("group_size").alias("_n")),
+                                     F.col("keep_id").alias(k), F.col("group_size").alias(n)),
                       [d, v, t][:2 + ambiguous])
     return found.select(*replace_columns(df, {
-        "keep_id": F.col("_k"), "group_size": F.col("_n"),
-        "kept": F.col(id_col).eqNullSafe(F.col("_k")), "text_sha256": F.col(x)}))
+        "keep_id": F.col(k), "group_size": F.col(n),
+        "kept": F.col(id_col).eqNullSafe(F.col(k)), "text_sha256": F.col(x)}))
 
 
 def survivors(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
