@@ -108,7 +108,7 @@ def new_file(folder: str, suffix: str):
     system, root = fs.FileSystem.from_uri(folder)
     system.create_dir(root, recursive=True)
     name = f"{uuid.uuid4().hex}{suffix}"
-    with system.open_output_stream(f"{root}/{name}") as out:
+    with system.open_output_stream(f"{root}/{name}", compression=None) as out:
         yield f"{folder}/{name}", out
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, idfiles, packing
+from . import chat, exact, idfiles, packing, warc
 from .common import ship, staged
 
 QUERIES, ORACLE = {}, {}
@@ -56,3 +56,44 @@ def op8_id_files(spark: SparkSession, sf: str) -> DataFrame:
     back = idfiles.read_ids(spark, idfiles.write_ids(rows))
     return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
+    records = warc.with_revisits(table(spark, sf, "pages"))
+    back = warc.read_archives(spark, warc.write_archives(records))
+    return back.select(warc.page_id("record_id").alias("page_id"), "payload_bytes", "payload_digest",
+                       "record_type", warc.page_id("refers_to").alias("refers_to"))
+
+
+ORACLE["op3_warc"] = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY t) AS first FROM payloads)
+SELECT page_id, strlen(t) AS payload_bytes, sha256(t) AS payload_digest,
+  CASE WHEN strlen(t) >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN strlen(t) >= 100 AND first <> page_id THEN first END AS refers_to
+FROM firsts"""
+
+
+@query
+def op5_chat_windows(spark: SparkSession, sf: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").union(added)
+    windows = chat.chat_windows(turns, public_tokenizers.path("word_bpe_49k.json"))
+    return chat.digests(chat.read_windows(windows))
+
+
+# All but formatted_chars, which follows from the windows chosen; the tests compare these.
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256
+FROM turns GROUP BY conv_id"""
