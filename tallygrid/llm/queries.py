@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, idfiles, packing, warc
+from . import chat, exact, idfiles, packing, vectors, warc
 from .common import ship, staged
 
 QUERIES, ORACLE = {}, {}
@@ -97,3 +97,25 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256
 FROM turns GROUP BY conv_id"""
+
+
+@query
+def op2_near_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf, "embeddings"))
+
+
+ORACLE["op2_near_vectors"] = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+units AS (SELECT vec_id, v FROM sound WHERE len([x for x in v if x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM units a JOIN units b ON a.vec_id <> b.vec_id
+    AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (
+  SELECT vec_id AS a, vec_id AS c FROM embeddings
+  UNION SELECT l.a, r.c FROM reach r JOIN links l ON l.b = r.a)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
+  (SELECT min(c) FROM reach r WHERE r.a = e.vec_id) AS component_id,
+  (SELECT min(c) FROM reach r WHERE r.a = e.vec_id) = e.vec_id AS kept
+FROM embeddings e"""
