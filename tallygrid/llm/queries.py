@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, idfiles, packing, vectors, warc
+from . import chat, exact, idfiles, minhash, packing, vectors, warc
 from .common import ship, staged
 
 QUERIES, ORACLE = {}, {}
@@ -119,3 +119,8 @@ SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
   (SELECT min(c) FROM reach r WHERE r.a = e.vec_id) AS component_id,
   (SELECT min(c) FROM reach r WHERE r.a = e.vec_id) = e.vec_id AS kept
 FROM embeddings e"""
+
+
+@query
+def op4_prob_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf, "documents")).drop("text_key")
