@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, idfiles, minhash, packing, vectors, warc
-from .common import ship, staged
+from . import chat, exact, idfiles, minhash, packing, toxicity, vectors, warc
+from .common import remainder, ship, staged
 
 QUERIES, ORACLE = {}, {}
 
@@ -124,3 +124,12 @@ FROM embeddings e"""
 @query
 def op4_prob_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf, "documents")).drop("text_key")
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    documents, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    scores = toxicity.scored(documents.select("doc_id", "text"), labels.select("doc_id", "toxic"),
+                             remainder("doc_id", 5) != 0)
+    return scores.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
