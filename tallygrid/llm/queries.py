@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, idfiles, minhash, packing, toxicity, vectors, warc
-from .common import remainder, ship, staged
+from . import chat, exact, idfiles, minhash, packing, sentencepieces, toxicity, vectors, warc
+from .common import remainder, ship, staged, text_of
 
 QUERIES, ORACLE = {}, {}
 
@@ -133,3 +133,13 @@ def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
                              remainder("doc_id", 5) != 0)
     return scores.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op1_sentencepieces(spark: SparkSession, sf: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = sentencepieces.encoded(table(spark, sf, "documents").select("doc_id", "text"), model)
+    back = sentencepieces.decoded(rows, model)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
+                       F.xxhash64("ids").alias("ids_hash"), F.sha2("decoded", 256).alias("decoded_sha256"),
+                       (F.col("decoded") == text_of("text")).alias("same"))
