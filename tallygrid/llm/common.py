@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallygrid.session import durable, new_dir, release
 
@@ -88,6 +89,10 @@ def replace_columns(df: DataFrame, added: dict[str, Column]) -> list[Column]:
     return kept + [value.alias(name) for name, value in added.items()]
 
 
+def with_field(schema: T.StructType, name: str, kind: str) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(name, T._parse_datatype_string(kind))])
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of at most ``rows`` rows, to bound what one step holds."""
     for batch in batches:

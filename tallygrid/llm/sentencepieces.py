@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_of, unused
+from .common import slices, text_of, unused, with_field
 from .wordhash import buffer_of, hashes
 
 BLANK = "▁"
@@ -83,6 +83,9 @@ class Pieces:
         self.ids, self.scores, self.kind = pieces, scores, kind
         self.byte_ids, self.unknown = byte_ids, unknown
         self.longest = max(map(len, pieces), default=1)
+        # every ending of a piece, with the piece's score if it is one itself
+        self.endings: dict[str, float | None] = {n[i:]: None for n in pieces for i in range(1, len(n))}
+        self.endings.update(scores)
         self.floor = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
         self.follows: dict[tuple[str, str], bool] = {}
 
@@ -141,25 +144,47 @@ class Search:
         return self._commit(0)
 
     def _extend(self) -> None:
-        model, text, end = self.model, self.text, len(self.text)
-        top = None
-        for start in range(max(0, end - model.longest), end):
+        model, text, end, best = self.model, self.text, len(self.text), self.best
+        endings, merging, top = model.endings, model.kind == BPE, None
+        for start in range(end - 1, max(-1, end - model.longest - 1), -1):
             piece = text[start:end]
-            score = model.scores.get(piece)
-            if score is None:
-                if end - start > 1:
+            score = endings.get(piece, self)
+            if score is self or score is None:
+                if end - start == 1 and piece not in model.scores:
+                    known = score is None  # a character without a piece of its own
+                    score = model.floor
+                elif score is self:
+                    break
+                else:
                     continue
-                score = model.floor
-            before = self.best[start]
+            else:
+                known = True
+            before = best[start]
             if before is None:
-                continue
-            if model.kind == BPE:
+                pass
+            elif merging:
                 if model.may_follow(before[2], piece):
                     top = (0.0, start, piece)
                     break
-            elif top is None or before[0] + score > top[0]:
+            elif top is None or before[0] + score >= top[0]:
                 top = (before[0] + score, start, piece)
-        self.best.append(top)
+            if not known:
+                break
+        best.append(top)
+
+    def rewind(self, size: int) -> None:
+        """Forget the characters after the first ``size``; only before anything is final."""
+        self.text = self.text[:size]
+        del self.best[size + 1:]
+
+    def path(self) -> list[str]:
+        """The pieces of all characters that are held."""
+        out, at = [], len(self.text)
+        while at:
+            _, start, piece = self.best[at]
+            out.append(piece)
+            at = start
+        return out[::-1]
 
     def _commit(self, window: int) -> list[str]:
         """The pieces up to the last boundary that all ways into the window share."""
@@ -172,17 +197,14 @@ class Search:
         boundary = ways.pop()
         if not boundary:
             return []
-        out, at = [], boundary
-        while at:
-            _, start, piece = self.best[at]
-            out.append(piece)
-            at = start
+        rest, self.text = self.text, self.text[:boundary]
+        out, self.text = self.path(), rest
         score = self.best[boundary][0]
         last = (0.0, 0, self.best[boundary][2])
         self.text = self.text[boundary:]
         self.best = [last] + [b if b is None else (b[0] - score, b[1] - boundary, b[2])
                               for b in self.best[boundary + 1:]]
-        return out[::-1]
+        return out
 
 
 class Coder:
@@ -225,13 +247,29 @@ class Coder:
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def unit_ids(self, unit: str) -> list[int]:
-        search = Search(self.model)
-        return [i for piece in search.push(unit) + search.finish() for i in self.model.ids_of(piece)]
+    def unit_pieces(self, units: list[str]) -> list[list[str]]:
+        """The pieces of each unit. Short units are searched in sorted order, each going on
+        from what it shares with the one before; only long ones need their ids early."""
+        out, shared = [[] for _ in units], Search(self.model)
+        for i in sorted(range(len(units)), key=units.__getitem__):
+            unit = units[i]
+            if len(unit) >= 2 * self.model.longest:
+                search = Search(self.model)
+                out[i] = search.push(unit) + search.finish()
+                continue
+            same, most = 0, min(len(unit), len(shared.text))
+            while same < most and unit[same] == shared.text[same]:
+                same += 1
+            shared.rewind(same)
+            shared.push(unit[same:])
+            out[i] = shared.path()
+        return out
 
     def _learn(self, keys: list[int], units: list[bytes]) -> None:
         gc.disable()
-        found = [self.unit_ids(u.decode()) for u in units]
+        ids_of = self.model.ids_of
+        found = [[i for piece in pieces for i in ids_of(piece)]
+                 for pieces in self.unit_pieces([u.decode() for u in units])]
         gc.enable()
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         for key in keys:
@@ -298,7 +336,7 @@ def encoded(df: DataFrame, model: str, text_col: str = "text", ids_col: str = "i
                 [*names, ids_col])
 
     rows = df.select(*[f"`{c}`" for c in names], text_of(text_col).alias(text))
-    schema = df.select(*[f"`{c}`" for c in names]).schema.add(ids_col, "array<int>")
+    schema = with_field(df.select(*[f"`{c}`" for c in names]).schema, ids_col, "array<int>")
     return rows.mapInArrow(encode, schema)
 
 
@@ -314,4 +352,4 @@ def decoded(df: DataFrame, model: str, ids_col: str = "ids", text_col: str = "de
                                              [*names, text_col])
 
     rows = df.select(*[f"`{c}`" for c in names])
-    return rows.mapInArrow(decode, rows.schema.add(text_col, "string"))
+    return rows.mapInArrow(decode, with_field(rows.schema, text_col, "string"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, staged, text_of
+from .common import slices, staged, text_of, with_field
 from .wordhash import buffer_of, hashes, lowered, runs
 
 SAMPLE = 20_000
@@ -385,8 +385,8 @@ def restored(df: DataFrame, model: CharModel, text_col: str = "text") -> DataFra
 def scored(df: DataFrame, labels: DataFrame, teach: Column | None = None, *, id_col: str = "doc_id",
            text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE,
            features: int = FEATURES) -> DataFrame:
-    """Every row of ``df`` (id and text) with its score. ``teach`` says, of a row of
-    ``labels``, whether it may teach."""
+    """Every row of ``df`` with its ``score``. ``teach`` says, of a row of ``labels``,
+    whether it may teach."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     known = labels if teach is None else labels.where(teach)
@@ -398,14 +398,16 @@ def scored(df: DataFrame, labels: DataFrame, teach: Column | None = None, *, id_
     weights, coefficients = fitted(train, model, features)
     shared = spark.sparkContext.broadcast((model, weights, coefficients))
 
+    names = [c for c in df.columns if c.lower() != "score"]
+    place = names.index(text_col)
+
     def score(batches):
         model, weights, w = shared.value
         decoder = Decoder(model)
         for batch in slices(batches, 1000):
-            x = weights.inputs(decoder.restore(batch.column("text")))
+            x = weights.inputs(decoder.restore(batch.column(place)))
             p = 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(p)],
-                                             ["id", "text", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], [*names, "score"])
 
-    out = rows.mapInArrow(score, f"id {df.schema[id_col].dataType.simpleString()}, text string, score double")
-    return out.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "score")
+    whole = df.select(*[f"`{c}`" for c in names])
+    return whole.mapInArrow(score, with_field(whole.schema, "score", "double"))
