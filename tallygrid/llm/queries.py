@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, idfiles, minhash, packing, sentencepieces, toxicity, vectors, warc
+from . import chat, exact, idfiles, katz, minhash, packing, sentencepieces, toxicity, vectors, warc
 from .common import remainder, ship, staged, text_of
 
 QUERIES, ORACLE = {}, {}
@@ -143,3 +143,12 @@ def op1_sentencepieces(spark: SparkSession, sf: str) -> DataFrame:
     return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
                        F.xxhash64("ids").alias("ids_hash"), F.sha2("decoded", 256).alias("decoded_sha256"),
                        (F.col("decoded") == text_of("text")).alias("same"))
+
+
+@query
+def op9_katz(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    model = katz.fit(documents.where(remainder("doc_id", 10) != 0))
+    return katz.evaluate(documents, model).select(
+        "doc_id", (remainder("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
