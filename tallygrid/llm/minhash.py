@@ -11,16 +11,18 @@ documents of a batch advance together, arrival by arrival, in array operations.
 
 Candidates: documents with the same weighted set are one node. Nodes meet in a bucket when
 all registers of a band agree; with 25 bands of 5 a pair at 0.8 meets with a chance of
-0.99995, one further up more surely. In each bucket one node is the pivot, a different one in
-each bucket, and is compared with the others; never are all pairs made. What is not yet
-joined to a bucket's pivot becomes a pivot in turn, 4, 32, 256 ... of a bucket at a time, until
-none is left: then every pair of a bucket has been compared, or is known to be of one class.
-Pairs whose one-bit sketches differ too much (similarity 0.8 shows as few agreeing bits with a
-chance of 1e-8) are left out; all others are verified on whole texts. Classes are the
-connected components of verified pairs.
-
-What is shuffled per document: its sketch (25 bucket numbers and 128 bits) and, for those
-that share a bucket with another node, the text. Buckets are counted before they are
+0.99995, one further up more surely. In each bucket the most central node, that whose buckets
+are the largest, is the pivot and is compared with the others; never are all pairs made.
+What is not yet joined to a bucket's pivot becomes a pivot in turn, ``PIVOTS`` of a bucket at
+a time and ever more, until none is left: then every pair of a bucket has been compared, or
+is known to be of one class. Two sketches keep what cannot be similar from being verified:
+128 bits of the registers (at similarity 0.8 fewer than 96 agree with a chance of 1e-8), and
+a parity sketch of the set, of whose bits no more can differ than shingles do, which bounds
+the similarity of unweighted sets from above without error. All other pairs are verified
+on whole texts. Classes are the connected components of verified pairs.
+
+What is shuffled per document: its node and 25 bucket numbers, and, for those that share a
+bucket with another node, the sketches and the text. Buckets are counted before they are
 shuffled, and the joins on buckets are plain shuffles, so that a hot bucket can be split.
 
 Defined cases: a NULL text, or one without a word, is in a class of its own; of a text of
@@ -45,7 +47,8 @@ from .wordhash import mixed, plain_words
 WORDS, SIMILARITY = 5, 0.8
 REGISTERS, BANDS, ROWS = 128, 25, 5
 FEWEST_BITS = 96  # of 128: at similarity 0.8 the mean is 115.2 and the deviation 3.4
-PIVOTS, MORE = 4, 8
+PIVOTS, MORE = 32, 32
+PARITY = 512  # bits of the parity sketch, a multiple of 64
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -109,8 +112,9 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def sketches(df: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> DataFrame:
-    """(id, text_key, node, buckets, bits0, bits1) per row; node is a digest of the whole
-    weighted set, NULL for a text without words."""
+    """(id, text_key, node, buckets, bits0, bits1, parity, size) per row; node is a digest of
+    the whole weighted set, NULL for a text without words; size is -1 where a shingle
+    repeats."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1000):
@@ -124,16 +128,23 @@ def sketches(df: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> D
             for r in range(ROWS):
                 total = mixed(total * STEP + held[:, r:BANDS * ROWS:ROWS])
             total = mixed(total + np.arange(1, BANDS + 1, dtype=np.uint64) * STEP).view(np.int64)
+            place = text * PARITY + (mixed(key ^ STEP) % np.uint64(PARITY)).astype(np.int64)
+            odd = np.bincount(place, minlength=n * PARITY) & 1
+            parity = np.packbits(odd.astype(bool).reshape(n, PARITY), axis=1).view("<i8")
+            size = np.bincount(text, minlength=n)
+            size[np.bincount(text, weight, minlength=n) > size] = -1
             bits = np.packbits((mixed(held) >> np.uint64(63)).astype(bool), axis=1).view("<i8")
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("text_key"), pa.array(nodes, pa.binary()),
                  pa.ListArray.from_arrays(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32), total.ravel()),
-                 pa.array(bits[:, 0]), pa.array(bits[:, 1])],
-                ["id", "text_key", "node", "buckets", "bits0", "bits1"])
+                 pa.array(bits[:, 0]), pa.array(bits[:, 1]),
+                 pa.ListArray.from_arrays(np.arange(0, parity.size + 1, PARITY // 64, dtype=np.int32),
+                                          parity.ravel()), pa.array(size.astype(np.int32))],
+                ["id", "text_key", "node", "buckets", "bits0", "bits1", "parity", "size"])
 
     rows = _keyed(df, id_col, text_col)
     return rows.mapInArrow(sketch, "id long, text_key binary, node binary, buckets array<long>, "
-                                   "bits0 long, bits1 long")
+                                   "bits0 long, bits1 long, parity array<long>, size int")
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -142,6 +153,16 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.unhex(F.md5(text)).alias("text_key"))
 
 
+def _may_be_similar(a: str, b: str, least: float):
+    """Whether the sketches allow a similarity of ``least``."""
+    differ = sum(F.bit_count(F.col(f"{a}.parity")[i].bitwiseXOR(F.col(f"{b}.parity")[i]))
+                 for i in range(PARITY // 64))
+    both = F.col(f"{a}.size") + F.col(f"{b}.size")
+    weighted = (F.col(f"{a}.size") < 0) | (F.col(f"{b}.size") < 0)
+    return (_agreeing(a, b) >= FEWEST_BITS) & (
+        weighted | (both - differ >= F.lit(least) * (both + differ) - 1e-9))
+
+
 def _agreeing(a: str, b: str):
     return 128 - F.bit_count(F.col(f"{a}.bits0").bitwiseXOR(F.col(f"{b}.bits0"))) \
         - F.bit_count(F.col(f"{a}.bits1").bitwiseXOR(F.col(f"{b}.bits1")))
@@ -166,10 +187,10 @@ def _verified(pairs: DataFrame, pool: DataFrame, least: float, words: int) -> Da
     return both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary")
 
 
-def _pairs(pivots: DataFrame, members: DataFrame, differ) -> DataFrame:
+def _pairs(pivots: DataFrame, members: DataFrame, least: float, differ=None) -> DataFrame:
     """Each pivot with the members of its bucket that may be similar, smaller node first."""
     on = (F.col("p.bucket") == F.col("m.bucket")) & (F.col("p.node") != F.col("m.node")) \
-        & (_agreeing("p", "m") >= FEWEST_BITS)
+        & _may_be_similar("p", "m", least)
     if differ is not None:
         on = on & differ
     return (pivots.alias("p").join(members.alias("m"), on)
@@ -180,28 +201,30 @@ def _pairs(pivots: DataFrame, members: DataFrame, differ) -> DataFrame:
 def _links(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, least: float,
            words: int) -> DataFrame:
     """Verified links between nodes, enough of them for the components of all."""
-    rows = nodes.select("node", "bits0", "bits1", F.explode("buckets").alias("bucket"))
-    tie = F.xxhash64("node", "bucket")
-    shared = staged(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(tie).alias("first"))
-                    .where("n > 1").select("bucket", "first"))
-    members = staged(rows.withColumn("tie", tie).join(shared, "bucket"))
+    rows = nodes.select("node", F.explode("buckets").alias("bucket"))
+    shared = staged(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    central = F.sum("n").over(Window.partitionBy("node"))  # of a node's buckets, 25 at most
+    placed = staged(rows.join(shared, "bucket").withColumn("central", central).drop("n"))
+    members = staged(placed.join(nodes.select("node", "bits0", "bits1", "parity", "size"), "node"))
+    drop_staged(placed, shared)
     wanted = members.select("node").distinct().join(nodes.select("node", "id", "text_key"), "node")
     texts = _keyed(df, id_col, text_col)
     pool = staged(texts.join(wanted.withColumnRenamed("id", "own"),
                              [texts.text_key == wanted.text_key, texts.id.eqNullSafe(F.col("own"))])
                   .select("node", "text").dropDuplicates(["node"]))
-    pivots = members.where("tie = first")
-    tested = staged(_pairs(pivots, members, None))
+    order = Window.partitionBy("bucket").orderBy(F.desc("central"), "node")
+    pivots = staged(members.withColumn("place", F.row_number().over(order)).where("place = 1").drop("place"))
+    tested = staged(_pairs(pivots, members, least))
     links = staged(_verified(tested, pool, least, words))
     count = PIVOTS
     while True:
         labels = components(links).withColumnRenamed("component", "label")
         labelled = staged(members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
-        main = labelled.where("tie = first").select("bucket", F.col("label").alias("main"))
+        main = (pivots.select("bucket", "node").join(labels, "node", "left")
+                .select("bucket", F.coalesce("label", "node").alias("main")))
         rest = staged(labelled.join(main, "bucket").where("label <> main").drop("main"))
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy("tie", "node"))
-        pivots = rest.withColumn("place", place).where(F.col("place") <= count)
-        fresh = staged(_pairs(pivots, labelled, F.col("p.label") != F.col("m.label"))
+        further = rest.withColumn("place", F.row_number().over(order)).where(F.col("place") <= count)
+        fresh = staged(_pairs(further, labelled, least, F.col("p.label") != F.col("m.label"))
                        .join(tested, ["a", "b"], "left_anti"))
         more = staged(_verified(fresh, pool, least, words))
         left = rest.groupBy("bucket").count().where(F.col("count") > count).take(1)
@@ -219,9 +242,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sketch = staged(sketches(df, id_col, text_col, words))
     best = F.min(F.struct(F.col("id").isNull(), "id", "text_key"))
     nodes = staged(sketch.where("node IS NOT NULL").groupBy("node").agg(
-        best.alias("best"), F.count(F.lit(1)).alias("n"), F.first("buckets").alias("buckets"),
-        F.first("bits0").alias("bits0"), F.first("bits1").alias("bits1"))
-        .select("node", "best", "best.id", "best.text_key", "n", "buckets", "bits0", "bits1"))
+        best.alias("best"), F.count(F.lit(1)).alias("n"), *[
+            F.first(c).alias(c) for c in ("buckets", "bits0", "bits1", "parity", "size")])
+        .select("node", "best", "best.id", "best.text_key", "n", "buckets", "bits0", "bits1", "parity",
+                "size"))
     links = _links(nodes, df, id_col, text_col, least, words)
     named = (nodes.select("node", "best", "n").join(components(links), "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
