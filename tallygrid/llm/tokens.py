@@ -20,8 +20,8 @@ import pyarrow as pa
 
 from .wordhash import buffer_of, hashes
 
-CACHE_WORDS = 1_000_000
-PART_BYTES = 4 << 20
+CACHE_WORDS = 600_000
+PART_BYTES = 2 << 20
 SPACE, LETTER, DIGIT, OTHER, UNSURE = range(5)
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 

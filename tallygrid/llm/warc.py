@@ -176,7 +176,7 @@ def read_archive(source, chunk: int = 1 << 20) -> Iterator[dict]:
                 return
             buffer, at = buffer[at:] + more, 0
             continue
-        yield parse(tool.decompress(buffer[at:at + size]))
+        yield parse(tool.decompressobj().decompress(buffer[at:at + size]))
         at += size
 
 
