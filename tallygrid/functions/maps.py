@@ -19,6 +19,10 @@ def map_to_text(m: Column) -> Column:
         F.transform(entries, lambda e: F.concat(e["key"], F.lit(PAIR), e["value"])), ENTRY)
 
 
-def text_to_map(text: Column) -> Column:
-    pairs = F.str_to_map(text, F.lit(ENTRY), F.lit(PAIR))
-    return F.transform_values(pairs, lambda _, v: v.try_cast("bigint"))
+def text_to_pairs(text: Column) -> Column:
+    """Words and counts of a map's text, in its order. A word may come twice; what has no
+    word or no count is left out, so an empty text has no pairs."""
+    entries = F.transform(F.split(text, ENTRY), lambda e: F.struct(
+        F.substring_index(e, PAIR, 1).alias("word"),
+        F.element_at(F.split(e, PAIR), -1).try_cast("bigint").alias("n")))
+    return F.filter(entries, lambda p: (p["word"] != "") & p["n"].isNotNull())

@@ -11,12 +11,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import maps, text as tx
 from ..functions.geo import cell_text
-from .skew import lookup_join
 
 CELL = ("cell_lat", "cell_lng")
+# Rows a cell's words are spread over in map form, whatever their number.
+MAP_PARTS = 16
 
 
 def tokens(df: DataFrame, keep: Sequence[str], text: str = "text",
@@ -82,9 +84,13 @@ def most_frequent(counts: DataFrame) -> DataFrame:
 
 
 def merge_maps(df: DataFrame, by: Sequence[str], map_col: str) -> DataFrame:
-    """Sum word maps of the same group: ``(*by, word, cnt)``."""
-    return (df.select(*by, F.explode(map_col).alias("word", "n"))
-              .groupBy(*by, "word").agg(F.sum("n").alias("cnt")))
+    """Sum word maps, or lists of word and count, of the same group:
+    ``(*by, word, cnt)``."""
+    if isinstance(df.schema[map_col].dataType, T.MapType):
+        pairs = df.select(*by, F.explode(map_col).alias("word", "n"))
+    else:
+        pairs = df.select(*by, F.inline(map_col).alias("word", "n"))
+    return pairs.groupBy(*by, "word").agg(F.sum("n").alias("cnt"))
 
 
 def split_measure(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -95,41 +101,32 @@ def split_measure(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFram
             df.where(marker).select(*by, F.col("cnt").alias("tweets")))
 
 
-def hour_totals(df: DataFrame, map_col: str = "data") -> DataFrame:
-    """Words of one hour over all cells: ``(word, cnt)``."""
-    words, _ = split_measure(merge_maps(df, [], map_col), [])
-    return words
+def marked_counts(counts: DataFrame, messages: DataFrame, by: Sequence[str] = CELL) -> DataFrame:
+    """Long form of both tallies ``(*by, word, cnt)``, the message count under its
+    reserved key."""
+    return counts.select(*by, "word", "cnt").unionByName(
+        messages.select(*by, F.lit(maps.MESSAGES_KEY).alias("word"), F.col("tweets").alias("cnt")))
 
 
-def part_of(counts: DataFrame, by: Sequence[str], item: str, size: int) -> DataFrame:
-    """Add ``part``: groups above ``size`` rows are cut by the item's hash into
-    about ``rows / size`` parts, all others stay whole (part 0). Groups are not
-    NULL.
+def cell_tallies(df: DataFrame, by: Sequence[str] = CELL, text: str = "text",
+                 stop: Sequence[str] = ()) -> DataFrame:
+    """The same from the messages in one pass: a message counts as one more item beside
+    its words. No word is like the reserved key, which is in upper case."""
+    words = F.filter(tx.word_list(F.col(text)), lambda w: (w != "") & ~F.contains(w, F.lit(tx.LINK)))
+    if len(stop):
+        words = F.filter(words, lambda w: ~w.isin(list(stop)))
+    items = F.concat(F.array(F.lit(maps.MESSAGES_KEY)), F.coalesce(words, F.array().cast("array<string>")))
+    return (df.select(*by, F.explode(items).alias("word"))
+            .groupBy(*by, "word").agg(F.count(F.lit(1)).alias("cnt")))
 
-    Group sizes count the rows with a positive count, which is every row; reading
-    ``cnt`` lets this branch share the shuffle of the counts themselves.
-    """
-    sizes = counts.groupBy(*by).agg(F.count_if(F.col("cnt") > 0).alias("_n"))
-    big = sizes.where(F.col("_n") > size)
-    parts = F.ceil(F.col("_n") / F.lit(size))
-    part = F.when(F.col("_n").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(item), parts)).cast("bigint")
-    return (lookup_join(counts, big, by, "left", sizes=sizes)
-            .select(*counts.columns, part.alias("part")).repartition(*by, "part"))
 
-
-def counts_to_maps(counts: DataFrame, messages: DataFrame,
-                   by: Sequence[str] = CELL, size: int = 10_000) -> DataFrame:
-    """Map form ``(*by, part, data)``, the message count under its reserved key.
-
-    A group is one row until it has more than ``size`` words; beyond that it is
-    several rows whose maps do not overlap, and readers sum them (``merge_maps``).
-    """
-    marked = counts.unionByName(
-        messages.select(*by, F.lit(maps.MESSAGES_KEY).alias("word"),
-                        F.col("tweets").alias("cnt")))
+def counts_to_maps(marked: DataFrame, by: Sequence[str] = CELL, parts: int = MAP_PARTS) -> DataFrame:
+    """Map form ``(*by, part, data)`` of marked counts. A group is always cut by the word's
+    hash, into at most ``parts`` rows whose maps do not overlap; readers sum them
+    (``merge_maps``)."""
     pairs = F.sort_array(F.collect_list(F.struct("word", "cnt")))
-    return (part_of(marked, by, "word", size)
+    part = F.pmod(F.xxhash64("word"), F.lit(parts)).alias("part")
+    return (marked.select(*by, part, "word", "cnt")
             .groupBy(*by, "part").agg(F.map_from_entries(pairs).alias("data")))
 
 

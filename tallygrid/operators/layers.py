@@ -46,7 +46,7 @@ def updates(speed: DataFrame) -> tuple[DataFrame, DataFrame]:
     cells = speed.select(
         cell_index(F.col("lat"), 3).alias("cell_lat"),
         cell_index(F.col("lng"), 3).alias("cell_lng"),
-        maps.text_to_map(F.col("data")).alias("data"))
+        maps.text_to_pairs(F.col("data")).alias("data"))
     # The mark of rows without a place is the origin cell.
     placed = coarsen(cells).where((F.col("cell_lat") != 0) | (F.col("cell_lng") != 0))
     return split_measure(merge_maps(placed, CELL, "data"), CELL)

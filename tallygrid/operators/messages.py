@@ -48,10 +48,15 @@ def locate_lines(lines: DataFrame, line: str = "value",
 
 
 def parse_messages(df: DataFrame, json_col: str = "value") -> DataFrame:
-    """Queue values to message columns; control notices (no id) are left out."""
+    """Queue values to message columns; control notices (no id) are left out.
+
+    The message goes through a generator, which no filter or projection on its fields is
+    pushed below: so a value is parsed once, whatever is asked of it.
+    """
     m = F.from_json(F.col(json_col), schemas.MESSAGE_JSON)
     others = [c for c in df.columns if c != json_col]
-    return df.select(*others, m.alias("m")).where(F.col("m.id").isNotNull()).select(*others, "m.*")
+    parsed = df.select(*others, F.inline(F.array(m)))
+    return parsed.where(F.col("id").isNotNull())
 
 
 def message_geo(messages: DataFrame, precision: int = BATCH_PRECISION) -> DataFrame:

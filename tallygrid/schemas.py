@@ -74,7 +74,3 @@ WORDS = (
 )
 PHOTOS = "pid BIGINT, yymmddhh STRING, word STRING, url STRING"
 OFFSETS = "group_name STRING, k_partition INT, k_offset BIGINT, created_at TIMESTAMP"
-RANKINGS = "yymmdd STRING, word STRING, count BIGINT"
-GEO_WORDS = (
-    "yymmdd STRING, lat DOUBLE, lng DOUBLE, conference STRING, word STRING, count BIGINT"
-)

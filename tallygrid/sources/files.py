@@ -24,18 +24,6 @@ ROW_END = "\n"
 # -----------------------------------------------------------------------------
 
 
-def widen(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores, for work
-    that is heavy per row (cutting texts, parsing JSON).
-
-    A split holds at most ``maxPartitionBytes``, so what is shuffled is bounded by
-    cores times that; a larger input has more splits and is left alone. Plain
-    scans only: planning one runs no job.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
-
-
 # ---- geo CSV lines
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -125,16 +113,20 @@ def read_buckets(spark: SparkSession, path: str,
 
 def expire_buckets(spark: SparkSession, path: str, cutoff: str,
                    bucket: str = "yymmddhh") -> list[str]:
-    """Delete whole hours up to and with the cutoff. Looks at folder names only."""
+    """Delete whole hours up to and with the cutoff, right under the path or, as streams
+    write them, in its batch folders. Looks at folder names only."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     gone = []
-    for status in fs.listStatus(root):
+    hours = spark._jvm.org.apache.hadoop.fs.Path
+    found = [s for depth in (f"{path}/{bucket}=*", f"{path}/batch_id=*/{bucket}=*")
+             for s in fs.globStatus(hours(depth)) or []]
+    for status in found:
         name = status.getPath().getName()
         if name.startswith(bucket + "=") and name[len(bucket) + 1:] <= cutoff:
             fs.delete(status.getPath(), True)
             gone.append(name)
-    return sorted(gone)
+    return sorted(set(gone))
 
 
 # ---- landed event pages and photo answers

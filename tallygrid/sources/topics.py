@@ -11,8 +11,10 @@ BATCH_MESSAGES = 50_000
 
 
 def kafka_options(servers: str, topic: str, group: str | None = None,
-                  per_batch: int | None = BATCH_MESSAGES,
+                  per_batch: int | None = None,
                   starting: str = "earliest") -> dict[str, str]:
+    """Reader options; a drain passes ``per_batch=BATCH_MESSAGES`` to bound a batch, a
+    running stream takes what has arrived."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic,
                "startingOffsets": starting}
     if group:

@@ -14,13 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.times import hour_bucket
-from ..operators.counts import (CELL, cell_counts, cell_messages, counts_to_maps,
-                                speed_rows, tokens, without_words)
-from ..sources.files import widen
+from .. import schemas
+from ..operators.counts import (CELL, cell_counts, cell_tallies, counts_to_maps, speed_rows,
+                                tokens, without_words)
 
 # ---------------------------------------------------------------- fixed values
 BATCH_SECONDS = "3 seconds"
-POLL_SECONDS = "10 seconds"
 # -----------------------------------------------------------------------------
 
 
@@ -42,34 +41,43 @@ def each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None],
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
-def _write_batch(df: DataFrame, path: str, batch: int) -> None:
-    """One folder per batch, overwritten when the batch is retried."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch}")
+def _write_batch(df: DataFrame, path: str, batch: int, by: Sequence[str] = ()) -> None:
+    """One folder per batch, overwritten when the batch is retried; in it one folder per
+    hour where the rows have one."""
+    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch_id={batch}")
 
 
 def micro_batches(stream: DataFrame, path: str, checkpoint: str, stop: Sequence[str] = (),
-                  stamp: Column | None = None, every: str | None = None,
-                  precision: int = 3) -> StreamingQuery:
+                  stamp: Column | Callable[[int], Column] | None = None,
+                  every: str | None = None, precision: int = 3) -> StreamingQuery:
     """Located messages ``(cell_lat, cell_lng, text)`` to speed rows
     ``(yymmddhh, timestamp, lat, lng, data)``, one set per batch. ``stamp`` is the
-    batch's time, by default the clock."""
+    batch's time, or gives it by the batch's number; by default it is the clock. A batch is read once: words and messages are
+    counted together."""
     def write(batch: DataFrame, batch_id: int) -> None:
         now = F.current_timestamp() if stamp is None else stamp
-        counts = cell_counts(widen(batch), CELL, stop=stop)
-        maps = counts_to_maps(counts, cell_messages(batch, CELL))
+        now = now(batch_id) if callable(now) and not isinstance(now, Column) else now
+        maps = counts_to_maps(cell_tallies(batch, CELL, stop=stop))
         rows = speed_rows(maps.withColumn("yymmddhh", hour_bucket(now)), "yymmddhh", now,
                           precision)
-        _write_batch(rows, path, batch_id)
+        _write_batch(rows, path, batch_id, ["yymmddhh"])
 
     return each_batch(stream, write, checkpoint, every)
 
 
+def read_speed(spark: SparkSession, path: str) -> DataFrame:
+    """The speed rows of all batches. Batch and hour are folders, so a filter on the hour
+    (``changes_since``) lists and reads no older files."""
+    rows = spark.read.schema(schemas.SPEED_COUNTS + ", batch_id BIGINT").parquet(path)
+    return rows.drop("batch_id")
+
+
 def micro_batch_counts(stream: DataFrame, path: str, checkpoint: str,
                        by: Sequence[str] = CELL, stop: Sequence[str] = (),
                        every: str | None = None) -> StreamingQuery:
     """The same in long form: ``(*by, word, cnt)`` per batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(cell_counts(widen(batch), by, stop=stop), path, batch_id)
+        _write_batch(cell_counts(batch, by, stop=stop), path, batch_id)
 
     return each_batch(stream, write, checkpoint, every)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -12,18 +13,39 @@ from ..functions.geo import HALF_BOX, in_any_box
 from ..functions.predicates import LIVE_SLACK
 from ..operators.messages import to_topic
 from ..operators.spatial import messages_in_boxes
+from ..session import durable
 from .counts import each_batch
 
+# ---------------------------------------------------------------- fixed values
+REFRESH_SECONDS = 1800
+# -----------------------------------------------------------------------------
+
 
 def route_live(messages: DataFrame, events: Callable[[], DataFrame],
                send: Callable[[DataFrame, int], None], checkpoint: str,
                half: float = HALF_BOX, slack: str = LIVE_SLACK,
-               every: str | None = None) -> StreamingQuery:
-    """``events`` is called for every batch, so the catalogue is as fresh as the
-    batch; ``send`` gets a ``value`` column of JSON."""
+               every: str | None = None, refresh: float = REFRESH_SECONDS,
+               ts: str = "ts") -> StreamingQuery:
+    """``events`` is called again for the first batch after ``refresh`` seconds and its
+    rows are kept in the shared folder in between. A batch meets the events that run in its
+    own span of time only; ``send`` gets a ``value`` column of JSON."""
+    held: dict[str, object] = {}
+
+    def catalogue() -> DataFrame:
+        now = time.monotonic()
+        if not held or now - held["at"] >= refresh:
+            held.update(at=now, rows=durable(events()))
+        return held["rows"]
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        hits = messages_in_boxes(batch, events(), half, slack)
-        send(to_topic(hits), batch_id)
+        span = batch.agg(F.min(ts).alias("low"), F.max(ts).alias("high")).first()
+        if span["low"] is None:
+            return
+        reach = F.expr(f"INTERVAL {slack}")
+        running = catalogue().where(
+            (F.col("end_time_utc") + reach >= F.lit(span["low"]).cast("timestamp"))
+            & (F.col("start_time_utc") - reach <= F.lit(span["high"]).cast("timestamp")))
+        send(to_topic(messages_in_boxes(batch, running, half, slack)), batch_id)
 
     return each_batch(messages, write, checkpoint, every)
 

@@ -46,19 +46,29 @@ def test_plain_corpus_count(spark):
     assert (top.cnt, top.word) == (2, "b")
 
 
-@pytest.mark.parametrize("size", [1, 3, 100])
-def test_map_form_keeps_every_word(spark, rows, size):
+@pytest.mark.parametrize("parts", [1, 3, 100])
+def test_map_form_keeps_every_word(spark, rows, parts):
     rng = random.Random(1)
     data = [(1, 1, f"w{i}", rng.randint(1, 9)) for i in range(40)] + [(2, 2, "x", 1)]
     tweets = spark.createDataFrame([(1, 1, 7), (2, 2, 1), (3, 3, 4)],
                                    "cell_lat bigint, cell_lng bigint, tweets bigint")
-    packed = ct.counts_to_maps(counts_frame(spark, data), tweets, size=size)
-    assert (packed.where("cell_lat = 1").count() > 1) == (size < 41)
+    marked = ct.marked_counts(counts_frame(spark, data), tweets)
+    packed = ct.counts_to_maps(marked, parts=parts)
+    assert (packed.where("cell_lat = 1").count() > 1) == (parts > 1)
+    assert packed.where("cell_lat = 1").count() <= parts
     words, back = ct.split_measure(ct.merge_maps(packed, CELL, "data"), CELL)
     assert rows(words, *CELL, "word", "cnt") == sorted(data, key=repr)
     assert rows(back) == [(1, 1, 7), (2, 2, 1), (3, 3, 4)]
 
 
+def test_words_and_messages_in_one_pass(spark, rows):
+    df = spark.createDataFrame([(1, 1, "a b a http://x"), (1, 1, None), (1, 1, ""), (2, 2, "The b")],
+                               "cell_lat bigint, cell_lng bigint, text string")
+    words, tweets = ct.split_measure(ct.cell_tallies(df, CELL, stop=["the"]), CELL)
+    assert rows(words) == rows(ct.cell_counts(df, CELL, stop=["the"]))
+    assert rows(tweets) == rows(ct.cell_messages(df, CELL))
+
+
 def test_top_words_with_ties(spark):
     wide = rk.pivot_topk(counts_frame(spark, [(0, 0, "b", 2), (0, 0, "a", 2), (0, 0, "c", 1)]), CELL)
     r = wide.first()

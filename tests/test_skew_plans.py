@@ -15,7 +15,7 @@ def test_lookup_join_with_a_hot_key(spark, rows, how):
         F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 50).alias("k"), "id")
     right = spark.range(-1, 40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     want = rows(left.join(right, ["k"], how))
-    assert rows(lookup_join(left, right, ["k"], how, hot_rows=20, salts=8)) == want
+    assert rows(lookup_join(left, right, ["k"], how, task_rows=20)) == want
     assert rows(lookup_join(left, right, ["k"], how)) == want
     assert rows(lookup_join(left.limit(0), right, ["k"], how)) == []
 
@@ -26,7 +26,7 @@ def test_hot_rows_are_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = lookup_join(left, right, ["k"], hot_rows=10, salts=32)
+        joined = lookup_join(left, right, ["k"], task_rows=10)
         used = joined.select(F.spark_partition_id().alias("p")).distinct().count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -51,6 +51,13 @@ def test_groups_are_cut_before_the_shuffle(spark):
     assert "TakeOrderedAndProject" in plan_of(rk.top_k(df, rk.by_count(), 10))
 
 
+def test_a_message_is_parsed_once(spark):
+    from workload import suite
+
+    plan = suite.queue_word_counts(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
 def test_message_counts_read_no_text(spark):
     from workload import inputs
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.functions import geo
 from tallygrid.operators import counts as ct, layers, spatial as sp
+from tallygrid.sources import files
 from tallygrid.streaming import counts as sc, routing
 
 from test_space_layers import EVENT, at
@@ -49,14 +50,36 @@ def test_speed_rows_read_as_updates(spark, landed, path, rows):
     out = path()
     now = F.lit("2015-02-04 15:00:00").cast("timestamp")
     sc.micro_batches(stream(spark, landed, 3), out, path("state"), stamp=now).awaitTermination()
-    speed = spark.read.parquet(out)
+    speed = sc.read_speed(spark, out)
     assert {r.yymmddhh for r in speed.collect()} == {"15020415"}
-    words, tweets = layers.updates(layers.changes_since(speed, F.lit("2015-02-04 14:00:00").cast("timestamp")))
+    changed = layers.changes_since(speed, F.lit("2015-02-04 14:00:00").cast("timestamp"))
+    assert "PartitionFilters: []" not in changed._jdf.queryExecution().executedPlan().toString()
+    words, tweets = layers.updates(changed)
     whole = geo.coarsen(batch(spark, landed, 3))
     assert rows(words) == rows(ct.cell_counts(whole))
     assert rows(tweets) == rows(ct.cell_messages(whole))
 
 
+def test_old_hours_of_the_speed_layer_expire(spark, landed, path):
+    out = path()
+    stamps = lambda batch: F.lit(f"2015-02-04 1{batch}:00:00").cast("timestamp")
+    query = sc.micro_batches(stream(spark, landed, 3), out, path("state"), stamp=stamps)
+    query.awaitTermination()
+    assert max(rows for _, rows in routing.progress_rows(query)) <= 40  # a batch is read once
+    hours = sorted({r.yymmddhh for r in sc.read_speed(spark, out).collect()})
+    assert len(hours) >= 2
+    assert files.expire_buckets(spark, out, hours[0]) == [f"yymmddhh={hours[0]}"]
+    assert sorted({r.yymmddhh for r in sc.read_speed(spark, out).collect()}) == hours[1:]
+
+
+def test_a_running_trigger(spark, landed, path, rows):
+    out = path()
+    query = sc.micro_batch_counts(stream(spark, landed), out, path("state"), every=sc.BATCH_SECONDS)
+    query.processAllAvailable()
+    query.stop()
+    assert rows(sc.sum_batches(spark, out)) == rows(ct.cell_counts(batch(spark, landed)))
+
+
 def test_event_time_equals_batch(spark, landed, path, rows):
     out = path()
     windows = sc.hour_windows(stream(spark, landed), delay="1 day")

@@ -108,18 +108,81 @@ def test_tables(spark, rows):
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("t_live")]
 
 
+def test_replacing_keeps_partitions(spark, rows):
+    tb.drop_table(spark, "t_parts")
+    tb.ensure_table(spark, "t_parts", "k int, v string, yymmddhh string", partition_by=["yymmddhh"])
+    first = spark.createDataFrame([(1, "a", "15020403"), (2, "b", "15020404")], "k int, v string, yymmddhh string")
+    tb.upsert_table(spark, "t_parts", first, ["k"])
+    tb.upsert_table(spark, "t_parts", first.where("k = 2").withColumn("v", F.lit("c")), ["k"])
+    assert rows(spark.table("t_parts"), "k", "v") == [(1, "a"), (2, "c")]
+    assert tb.partition_columns(spark, "t_parts") == ["yymmddhh"]
+    assert tb.expire_table(spark, "t_parts", "15020403") == ["15020403"]
+    assert rows(spark.table("t_parts"), "k", "v") == [(2, "c")]
+    tb.replace_table(spark, "t_parts", spark.table("t_parts").limit(0))
+    assert spark.table("t_parts").count() == 0
+    tb.drop_table(spark, "t_parts")
+
+
+def test_an_upsert_rewrites_its_buckets_only(spark, rows):
+    tb.drop_table(spark, "t_buckets")
+    tb.ensure_table(spark, "t_buckets", "k int, v string", buckets=16)
+    tb.upsert_table(spark, "t_buckets", spark.range(200).selectExpr("int(id) AS k", "'old' AS v"), ["k"])
+    before = set(spark.table("t_buckets").inputFiles())
+    tb.upsert_table(spark, "t_buckets", spark.createDataFrame([(5, "new"), (900, "new")], "k int, v string"), ["k"])
+    after = set(spark.table("t_buckets").inputFiles())
+    assert len(before - after) <= 2 and len(before & after) >= 14
+    assert rows(spark.table("t_buckets"), "k", "v") == sorted(
+        [(i, "new" if i == 5 else "old") for i in range(200)] + [(900, "new")])
+    tb.drop_table(spark, "t_buckets")
+
+
+@pytest.mark.parametrize("buckets", [0, 4])
+@pytest.mark.parametrize("statement", [1, 2])
+def test_a_failure_on_the_way_loses_no_row(spark, rows, monkeypatch, buckets, statement):
+    """The job ends at one of the statements that make new rows current; the next run has
+    every stored row and finishes the work."""
+    tb.drop_table(spark, "t_safe")
+    tb.ensure_table(spark, "t_safe", "k int, v string", buckets=buckets)
+    tb.upsert_table(spark, "t_safe", spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string"), ["k"])
+    real, seen = type(spark).sql, []
+
+    def failing(self, text, *args, **kwargs):
+        if text.startswith("ALTER TABLE") and "t_safe" in text:
+            seen.append(text)
+            if len(seen) == statement:
+                raise RuntimeError("the job ends here")
+        return real(self, text, *args, **kwargs)
+
+    source = spark.createDataFrame([(2, "x"), (3, "y"), (4, "z")], "k int, v string")
+    monkeypatch.setattr(type(spark), "sql", failing)
+    try:
+        tb.upsert_table(spark, "t_safe", source, ["k"])
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    spark.catalog.refreshTable("t_safe")
+    held = {r.k: r.v for r in tb.ensure_table(spark, "t_safe", "k int, v string", buckets=buckets).collect()}
+    assert held[1] == "a" and held[2] in "bx" and held[3] in "cy"
+    tb.upsert_table(spark, "t_safe", source, ["k"])
+    assert rows(spark.table("t_safe"), "k", "v") == [(1, "a"), (2, "x"), (3, "y"), (4, "z")]
+    tb.drop_table(spark, "t_safe")
+
+
 def test_jdbc_and_topic_options():
     assert tb.jdbc_options("jdbc:x", "t")["fetchsize"] == "3000"
     split = tb.jdbc_options("jdbc:x", "t", "id", 0, 100, 8)
     assert (split["partitionColumn"], split["numPartitions"]) == ("id", "8")
     with pytest.raises(ValueError):
         tb.jdbc_options("jdbc:x", "t", "id")
-    assert topics.kafka_options("h:1", "t")["maxOffsetsPerTrigger"] == "50000"
+    assert "maxOffsetsPerTrigger" not in topics.kafka_options("h:1", "t")
+    drain = topics.kafka_options("h:1", "t", per_batch=topics.BATCH_MESSAGES)
+    assert drain["maxOffsetsPerTrigger"] == "50000"
 
 
 def test_shared_dir_is_the_named_one(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    assert session.shared_dir(spark) == (named or spark.sparkContext.getCheckpointDir())
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    beside = spark.conf.get("spark.sql.warehouse.dir")
+    assert session.shared_dir(spark) == named if named else session.shared_dir(spark).startswith(beside)
     assert session.new_dir(spark, "x") != session.new_dir(spark, "x")
 
 
@@ -133,8 +196,12 @@ def test_hourly_job_twice(spark, path, rows):
     words, tweets = jobs.current_view(spark, out, as_of())
     assert rows(words) == [(2456, -8180, "bread", 2), (2456, -8180, "ciabata", 1)]
     assert rows(tweets) == [(2456, -8180, 2)]
-    stored = jobs.read_map_buckets(spark, out).first()
-    assert (stored.location, stored.key) == ("24.56,-81.80", "OVERALL_CNT,2:bread,2:ciabata,1")
+    assert set(files.read_buckets(spark, out).columns) == {"cell_lat", "cell_lng", "word", "cnt", "yymmddhh"}
+    exported = path("maps")
+    jobs.export_maps(spark, out, "15020412", exported, as_of())
+    stored = jobs.read_map_buckets(spark, exported).collect()
+    assert {r.location for r in stored} == {"24.56,-81.80"}
+    assert sorted(":".join(r.key for r in stored).split(":")) == ["OVERALL_CNT,2", "bread,2", "ciabata,1"]
     assert jobs.hour_view(spark, out, "15020411")[0].count() == 0
 
 
@@ -152,6 +219,8 @@ def test_jobs_over_tables(spark, path, rows):
     assert rows(spark.table("cs"), "tid", "eb_id", "tweets", "word1") == [(2, "7", 3, "a")]
     jobs.word_job(spark, words, "wd", as_of())
     jobs.word_job(spark, words, "wd", as_of())
+    assert sorted(r.wid for r in spark.table("wd").collect()) == [1, 2, 3]
+    jobs.word_job(spark, words, "wd", F.lit(dt.datetime(2015, 2, 4, 13)).cast("timestamp"))
     assert sorted(r.wid for r in spark.table("wd").collect()) == [1, 2, 3, 4, 5, 6]
     index = spark.createDataFrame([("a", "u1"), ("b", "u2"), ("z", "u3")], "word string, url string")
     jobs.photo_job(spark, words, spark.table("ev"), index, "pho", as_of())

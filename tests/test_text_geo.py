@@ -137,7 +137,9 @@ def test_times(spark):
 def test_maps(spark):
     df = spark.sql("SELECT map('b', 2L, 'a', 1L) AS m")
     assert df.select(maps.map_to_text(F.col("m")).alias("t")).first()["t"] == "a,1:b,2"
-    assert one(spark, "a,1:b,2", maps.text_to_map) == {"a": 1, "b": 2}
+    pairs = lambda text: [tuple(p) for p in one(spark, text, maps.text_to_pairs)]
+    assert pairs("a,1:b,2:a,3") == [("a", 1), ("b", 2), ("a", 3)]
+    assert pairs("") == [] and pairs("a,x:,1") == []
 
 
 def test_falsy_to_null(spark):

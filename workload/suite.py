@@ -3,6 +3,7 @@ where an operator's own form is text."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,7 +119,7 @@ SELECT cell_lat, cell_lng, word, count(*) AS cnt FROM words GROUP BY ALL""", "me
 def geo_line_word_counts(spark, sf):
     """Through geo CSV files, one folder per day, and back."""
     path = session.new_dir(spark, "csv")
-    files.export_geo_csv(files.widen(inp.messages(spark, sf)), path, ts="ts")
+    files.export_geo_csv(inp.messages(spark, sf), path, ts="ts")
     return ct.cell_counts(geo.located(files.read_geo_csv(spark, path)), CELL, stop=STOP)
 
 
@@ -129,7 +130,7 @@ SELECT cell_lat, cell_lng, word, count(*) AS cnt FROM words WHERE day = '010124'
 def day_folder_word_counts(spark, sf):
     """One day's folder of the geo CSV files."""
     path = session.new_dir(spark, "csv")
-    files.export_geo_csv(files.widen(inp.messages(spark, sf)), path, ts="ts")
+    files.export_geo_csv(inp.messages(spark, sf), path, ts="ts")
     return ct.cell_counts(geo.located(files.read_geo_csv(spark, path, "010124")), CELL, stop=STOP)
 
 
@@ -149,14 +150,14 @@ counts AS (SELECT word, count(*) AS cnt FROM (
 
 @query(CORPUS_SQL.format(source="documents") + " SELECT * FROM counts")
 def corpus_word_count(spark, sf):
-    return ct.word_count(files.widen(inp.table(spark, sf, "documents")))
+    return ct.word_count(inp.table(spark, sf, "documents"))
 
 
 @query(CORPUS_SQL.format(source="""(
   SELECT trim(regexp_replace(regexp_replace(text, '[^@a-zA-Z0-9\\s]', '', 'g'), '\\s+', ' ', 'g'))
     AS text FROM messages)""") + " SELECT * FROM counts WHERE word <> ''", "messages")
 def line_word_count(spark, sf):
-    lines = files.widen(inp.messages(spark, sf)).select(F.concat_ws(
+    lines = inp.messages(spark, sf).select(F.concat_ws(
         ",", files.geo_csv_line(F.col("lat"), F.col("lng"), F.col("text")),
         F.col("lang")).alias("value"))
     marked = ct.line_word_count(lines)
@@ -166,7 +167,7 @@ def line_word_count(spark, sf):
 @query(CORPUS_SQL.format(source="documents")
        + " SELECT cnt, word FROM counts ORDER BY cnt DESC, word DESC LIMIT 1")
 def most_frequent_word(spark, sf):
-    return ct.most_frequent(ct.word_count(files.widen(inp.table(spark, sf, "documents"))))
+    return ct.most_frequent(ct.word_count(inp.table(spark, sf, "documents")))
 
 
 @query(f"""WITH {LOCATED_WORDS} SELECT word, count(*) AS cnt FROM words GROUP BY word
@@ -182,7 +183,7 @@ SELECT yymmddhh, word, cnt FROM totals
 QUALIFY row_number() OVER (PARTITION BY yymmddhh ORDER BY cnt DESC, word) <= 10""", "speed")
 def hourly_top10_words(spark, sf):
     """Words of each hour of the speed layer, from its text maps."""
-    rows = inp.speed(spark, sf).withColumn("data", maps.text_to_map(F.col("data")))
+    rows = inp.speed(spark, sf).withColumn("data", maps.text_to_pairs(F.col("data")))
     words, _ = ct.split_measure(ct.merge_maps(rows, ["yymmddhh"], "data"), ["yymmddhh"])
     return rk.top_k(words, rk.by_count(), 10, ["yymmddhh"])
 
@@ -213,9 +214,9 @@ def daily_top10(spark, sf):
 def map_text_roundtrip(spark, sf):
     """Counts to maps to text, and back to counts."""
     located = inp.located_messages(spark, sf)
-    packed = ct.counts_to_maps(counts_of(spark, sf), ct.cell_messages(located), size=500)
+    packed = ct.counts_to_maps(ct.marked_counts(counts_of(spark, sf), ct.cell_messages(located)))
     text = packed.select(*CELL, maps.map_to_text(F.col("data")).alias("text"))
-    back = text.select(*CELL, maps.text_to_map(F.col("text")).alias("data"))
+    back = text.select(*CELL, maps.text_to_pairs(F.col("text")).alias("data"))
     words, tweets = ct.split_measure(ct.merge_maps(back, CELL, "data"), CELL)
     return words.unionByName(tweets.select(*CELL, F.lit("(messages)").alias("word"),
                                            F.col("tweets").alias("cnt")))
@@ -288,7 +289,7 @@ def page_json(spark, sf) -> DataFrame:
     def iso(c):
         return F.date_format(c, tm.ISO_UTC)
 
-    c = files.widen(inp.conferences(spark, sf))
+    c = inp.conferences(spark, sf)
     number = F.substring_index("venue_name", " ", -1)
     event = F.struct(
         F.col("eb_id").alias("id"),
@@ -628,7 +629,7 @@ def latest_hour_words(spark, sf):
     """Just after midnight: the new hour is empty, so the last one of the day before."""
     rows = layers.latest_bucket(inp.speed(spark, sf),
                                 F.lit("2024-01-31 00:10:00").cast("timestamp"))
-    merged = ct.merge_maps(rows.withColumn("data", maps.text_to_map(F.col("data"))),
+    merged = ct.merge_maps(rows.withColumn("data", maps.text_to_pairs(F.col("data"))),
                            ["yymmddhh"], "data")
     return ct.split_measure(merged, ["yymmddhh"])[0]
 
@@ -642,6 +643,61 @@ def hour_buckets(spark, sf):
     return files.read_buckets(spark, path)
 
 
+@query(f"""WITH {LOCATED_WORDS} SELECT cell_lat, cell_lng, word, count(*) AS cnt FROM words
+WHERE strftime(ts, '%y%m%d%H') = '24010112' GROUP BY ALL""", "messages")
+def one_bucket(spark, sf):
+    """One hour of the bucketed table; the others are not read."""
+    path = session.new_dir(spark, "hours")
+    files.write_buckets(hour_counts_of(spark, sf), path)
+    return layers.bucket(files.read_buckets(spark, path), "24010112").drop("yymmddhh")
+
+
+@query("""SELECT DISTINCT printf('%.2f,%.2f', cell_lat / 100, cell_lng / 100) AS location,
+  cell_lat / 100 AS lat, cell_lng / 100 AS lng FROM located""", "messages")
+def split_locations(spark, sf):
+    """Cells shown as text and split again."""
+    shown_at = geo.cell_text(F.col("cell_lat"), F.col("cell_lng"))
+    cells = inp.located_messages(spark, sf).select(shown_at.alias("location")).distinct()
+    return cells.select("location", geo.split_cell(F.col("location")).alias("at")).select(
+        "location", "at.lat", "at.lng")
+
+
+@query(f"""WITH {LOCATED_WORDS.replace(_list(STOP), "'the'")}, stops AS ({words_of('benchmark')})
+SELECT cell_lat, cell_lng, word, count(*) AS cnt FROM words
+WHERE word NOT IN (SELECT word FROM stops) GROUP BY ALL""", "messages")
+def stop_table_counts(spark, sf):
+    """Without the words of a stop table: those of the benchmark."""
+    stop = ct.tokens(inp.table(spark, sf, "benchmark"), []).distinct()
+    words = ct.cell_counts(inp.located_texts(spark, sf), CELL, stop=stop)
+    return ct.without_words(words, ["the"])
+
+
+@query(f"""WITH linked AS (SELECT page_id % 7 AS page, url || ' ' || html AS text FROM pages),
+words AS ({words_of('linked')})
+SELECT page, word, count(*) AS cnt FROM words GROUP BY ALL""")
+def page_words_without_links(spark, sf):
+    """Words of addresses and pages; those that hold a link are left out."""
+    linked = inp.table(spark, sf, "pages").select(
+        (F.col("page_id") % 7).alias("page"), F.concat_ws(" ", "url", "html").alias("text"))
+    return ct.cell_counts(linked, ["page"])
+
+
+@query(r"""WITH raw AS (SELECT CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS lat, CAST(c_custkey % 9 AS VARCHAR)
+  || CASE WHEN c_custkey % 3 > 0 THEN '.5' ELSE '' END AS lng FROM customer),
+cells AS (SELECT CASE WHEN regexp_matches(lat, '^-?[0-9]+\.[0-9]+$') AND lng LIKE '%.%'
+  THEN CAST(floor(CAST(lat AS DOUBLE) * 100 + 0.5) AS BIGINT) END AS cell_lat,
+  CASE WHEN regexp_matches(lat, '^-?[0-9]+\.[0-9]+$') AND lng LIKE '%.%'
+  THEN CAST(floor(CAST(lng AS DOUBLE) * 100 + 0.5) AS BIGINT) END AS cell_lng FROM raw)
+SELECT cell_lat, cell_lng, count(*) AS tweets FROM cells GROUP BY ALL""")
+def cells_of_coordinate_texts(spark, sf):
+    """Coordinates as text, a third of them without a decimal point and so no place."""
+    raw = inp.table(spark, sf, "customer").select(
+        F.col("c_acctbal").cast("decimal(12,2)").cast("string").alias("lat"),
+        F.concat((F.col("c_custkey") % 9).cast("string"),
+                 F.when(F.col("c_custkey") % 3 > 0, ".5").otherwise("")).alias("lng"))
+    return ct.cell_messages(geo.with_cell(raw))
+
+
 # ---------------------------------------------------------------- tables
 
 @query("""WITH newest AS (SELECT l_orderkey AS id, l_extendedprice AS price, l_shipdate AS stamp
@@ -653,6 +709,11 @@ SELECT id, price, strftime(stamp, '%Y-%m-%d %H:%M:%S') AS stamp FROM (
   SELECT * FROM stored WHERE id NOT IN (SELECT id FROM newest) UNION ALL SELECT * FROM newest)""")
 def upsert_result(spark, sf):
     """Lines put into the stored orders; repeated keys count once, the newest."""
+    stored, lines, order = upsert_inputs(spark, sf)
+    return shown(wh.upsert(stored, lines, ["id"], order), "stamp")
+
+
+def upsert_inputs(spark, sf):
     stored = inp.table(spark, sf, "orders").where("o_orderstatus <> 'P'").select(
         F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"),
         F.col("o_orderdate").cast("timestamp").alias("stamp"))
@@ -661,7 +722,36 @@ def upsert_result(spark, sf):
         F.col("l_shipdate").cast("timestamp").alias("stamp"), "l_linenumber", "l_partkey", "l_suppkey")
     order = [F.desc("stamp"), F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey"),
              F.asc("price")]
-    return shown(wh.upsert(stored, lines, ["id"], order), "stamp")
+    return stored, lines, order
+
+
+def new_table(spark, kind: str) -> str:
+    return f"{kind}_{uuid.uuid4().hex}"
+
+
+@query(ORACLE["upsert_result"])
+def table_upsert(spark, sf):
+    """The same through a stored table of buckets."""
+    name = new_table(spark, "upserted")
+    tb.ensure_table(spark, name, "id BIGINT, price DOUBLE, stamp TIMESTAMP", buckets=8)
+    stored, lines, order = upsert_inputs(spark, sf)
+    tb.upsert_table(spark, name, stored, ["id"])
+    tb.upsert_table(spark, name, lines, ["id"], order)
+    return shown(tb.read_table(spark, name).drop(tb.BUCKET), "stamp")
+
+
+@query("SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderstatus <> 'P'")
+def table_swap(spark, sf):
+    """A table, partitioned, whose rows another table's take the place of."""
+    live, staged = new_table(spark, "live"), new_table(spark, "staged")
+    rows = inp.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"),
+                                                 F.col("o_orderstatus").alias("status"))
+    for name in (live, staged):
+        tb.ensure_table(spark, name, "id BIGINT, status STRING", partition_by=["status"])
+    tb.replace_table(spark, live, rows.where("status <> 'F'"))
+    tb.replace_table(spark, staged, rows.where("status <> 'P'"))
+    tb.swap_table(spark, live, staged)
+    return tb.read_table(spark, live)
 
 
 @query("""SELECT yymmddhh, count(*) AS n FROM speed WHERE yymmddhh > '24010812' GROUP BY ALL""",
@@ -765,7 +855,7 @@ def offsets_audit(spark, sf):
 
 def message_json(spark, sf) -> DataFrame:
     """Documents as queue messages, and a deletion notice per toxic label."""
-    m = files.widen(inp.messages(spark, sf))
+    m = inp.messages(spark, sf)
     short = F.substring_index("text", " ", 2)
     body = F.struct(
         F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("id_str"), "text",
@@ -808,9 +898,11 @@ def queue_word_counts(spark, sf):
     return ct.cell_counts(geo.located(placed), CELL, stop=STOP)
 
 
-@query("""SELECT doc_id, '{"doc_id":' || doc_id || ',"lang":"' || lang || '"}' AS value FROM documents""")
+@query("""SELECT doc_id, CAST(to_json({doc_id: doc_id, text: text, lang: lang, source: source,
+  n_chars: n_chars}) AS VARCHAR) AS value FROM documents""")
 def topic_values(spark, sf):
-    docs = inp.table(spark, sf, "documents").select("doc_id", "lang")
+    """Whole messages as a topic's values."""
+    docs = inp.table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     return ms.to_topic(docs, "doc_id").select(F.col("key").cast("bigint").alias("doc_id"), "value")
 
 
@@ -838,9 +930,24 @@ def local_times(spark, sf):
 DOCUMENT_SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
 
 
+STREAM_PARTS = 3
+
+
+def in_parts(spark, rows: DataFrame, order: str) -> str:
+    """A folder with the rows in files written one after the other, in the order of a
+    number, so that a stream of one file a batch has several batches."""
+    path = session.new_dir(spark, "landed")
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    part = F.floor((F.col(order) - low) * STREAM_PARTS / F.lit(high - low + 1))
+    for i in range(STREAM_PARTS):
+        rows.where(part == i).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def message_stream(spark, sf) -> DataFrame:
-    """Documents as a stream of located messages."""
-    docs = sc.read_stream(spark, f"{sf}/documents.parquet*", DOCUMENT_SCHEMA)
+    """Documents as a stream of located messages, in several batches."""
+    landed = in_parts(spark, inp.table(spark, sf, "documents"), "doc_id")
+    docs = sc.read_stream(spark, landed, DOCUMENT_SCHEMA, files_per_batch=1)
     return geo.located(geo.with_cell(inp.as_messages(docs)))
 
 
@@ -858,7 +965,25 @@ def stream_speed_rows(spark, sf):
     path, state = session.new_dir(spark, "speed"), session.new_dir(spark, "state")
     sc.micro_batches(message_stream(spark, sf), path, state, stop=STOP, stamp=inp.as_of(),
                      precision=2).awaitTermination()
-    return layers.updates(spark.read.parquet(path))[0]
+    return layers.updates(sc.read_speed(spark, path))[0]
+
+
+@query(f"""WITH late AS (SELECT * FROM located WHERE floor((doc_id - (SELECT min(doc_id) FROM documents)) * 3
+    / (SELECT max(doc_id) - min(doc_id) + 1 FROM documents)) >= 1),
+words AS ({words_of('late', stop=STOP)})
+SELECT cell_lat, cell_lng, word, count(*) AS cnt FROM words GROUP BY ALL""", "messages")
+def speed_retention(spark, sf):
+    """Each batch in an hour of its own; the first hour is expired, the others are read."""
+    path, state = session.new_dir(spark, "speed"), session.new_dir(spark, "state")
+
+    def hour(batch):
+        return inp.as_of() + F.expr(f"INTERVAL {batch} HOURS")
+
+    sc.micro_batches(message_stream(spark, sf), path, state, stop=STOP, stamp=hour,
+                     precision=2).awaitTermination()
+    files.expire_buckets(spark, path, "00010112")
+    kept = layers.changes_since(sc.read_speed(spark, path), inp.as_of())
+    return layers.updates(kept)[0]
 
 
 @query(f"""WITH {LOCATED_WORDS} SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour,
@@ -877,7 +1002,9 @@ LINE_SCHEMA = ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenum
 @query(BOX_SQL, "conferences spread lines")
 def stream_routed_messages(spark, sf):
     """Messages near a running event, sent on as JSON and read back."""
-    lines = inp.as_placed(sc.read_stream(spark, f"{sf}/lineitem.parquet*", LINE_SCHEMA))
+    landed = in_parts(spark, inp.table(spark, sf, "lineitem").select(
+        *[x.split()[0] for x in LINE_SCHEMA.split(", ")]), "l_orderkey")
+    lines = inp.as_placed(sc.read_stream(spark, landed, LINE_SCHEMA, files_per_batch=1))
     path, state = session.new_dir(spark, "routed"), session.new_dir(spark, "state")
     routing.route_live(lines, lambda: inp.spread_conferences(spark, sf), routing.to_files(path),
                        state).awaitTermination()
