@@ -207,7 +207,7 @@ def suspects(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     signs, thrice, parted, letters = (
         (t := np.concatenate([[0], np.cumsum(m)]))[end] - t[begin] for m in marks)
     digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
-    many = (digits[end] - digits[begin]) * 2 > end - begin  # numbers, hashes, keys
+    many = (digits[end] - digits[begin]) * 3 > 2 * (end - begin)  # numbers and keys
     size = end - begin
     suspect = ((signs > 0) & (letters > 1) & ~many | (thrice > 0)
                | (parted > 1) & (parted * 2 + 1 >= letters))

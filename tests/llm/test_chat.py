@@ -86,7 +86,7 @@ def test_the_system_turn_leads_every_window(cluster):
     made = chat.chat_windows(turns(cluster, rows), PATH, budget=200, history=40, system=20).collect()
     assert len(made) > 5
     assert all(chat.parse_turns(w.formatted)[0] == ("system", "rules") for w in made)
-    assert sum(len(w.loss) for w in made) == 29
+    assert sum(len(w.loss) for w in made) == 30
 
 
 def test_ties_and_no_turns(cluster):
