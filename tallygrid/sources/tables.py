@@ -98,8 +98,7 @@ def _replace_partitions(spark: SparkSession, name: str, rows: DataFrame, by: Seq
     The driver handles partition values only."""
     folder = _fresh_folder(spark, name)
     rows.select(*spark.table(name).columns).write.partitionBy(*by).parquet(folder)
-    written = spark.read.parquet(folder).select(*by).distinct().collect() if any(
-        f for f in spark.read.parquet(folder).inputFiles()) else []
+    written = spark.read.schema(spark.table(name).schema).parquet(folder).select(*by).distinct().collect()
     new = {"/".join(f"{c}={r[c]}" for c in by) for r in written}
     old = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
 
