@@ -47,7 +47,7 @@ from .wordhash import mixed, plain_words
 WORDS, SIMILARITY = 5, 0.8
 REGISTERS, BANDS, ROWS = 128, 25, 5
 FEWEST_BITS = 96  # of 128: at similarity 0.8 the mean is 115.2 and the deviation 3.4
-PIVOTS, MORE = 32, 32
+PIVOTS, MORE = 1000, 32
 PARITY = 512  # bits of the parity sketch, a multiple of 64
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -223,16 +223,17 @@ def _links(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, least: f
         main = (pivots.select("bucket", "node").join(labels, "node", "left")
                 .select("bucket", F.coalesce("label", "node").alias("main")))
         rest = staged(labelled.join(main, "bucket").where("label <> main").drop("main"))
+        if not rest.take(1):
+            return links
         further = rest.withColumn("place", F.row_number().over(order)).where(F.col("place") <= count)
         fresh = staged(_pairs(further, labelled, least, F.col("p.label") != F.col("m.label"))
                        .join(tested, ["a", "b"], "left_anti"))
         more = staged(_verified(fresh, pool, least, words))
         left = rest.groupBy("bucket").count().where(F.col("count") > count).take(1)
-        none = not more.take(1)
         drop_staged(labelled, rest)
-        if none and not left:
+        links, tested, count = links.union(more), tested.union(fresh), count * MORE
+        if not left:  # whatever was not joined to its bucket's pivot has met all of its bucket
             return links
-        links, tested, count = links.union(more), tested.union(fresh), count * MORE if none else count
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
