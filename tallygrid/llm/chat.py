@@ -95,10 +95,9 @@ def _counted(rows: DataFrame, tokenizer: str) -> DataFrame:
     return rows.mapInArrow(count, "conv long, none boolean, turn long, role string, text string, tokens long")
 
 
-def _prefix_sums(rows: DataFrame, span: int) -> DataFrame:
+def _prefix_sums(rows: DataFrame, span: int, parts: int) -> DataFrame:
     """Turns with ``before`` (tokens before), ``longs`` (long turns before) and ``at`` (turns
     before), a long conversation being split over the parts of a range partitioning."""
-    parts = max(1, -(-rows.count() // PART_ROWS))
     order = [F.col("turn"), F.col("role"), F.xxhash64("text")]
     dealt = staged(rows.withColumn("long", F.col("tokens") > span)
                    .repartitionByRange(parts, *KEY, *order).withColumn("part", F.spark_partition_id()))
@@ -128,7 +127,8 @@ def chat_windows(turns: DataFrame, tokenizer: str, *, conv_col: str = "conv_id",
         F.coalesce(F.col(conv_col).cast("long"), F.lit(0)).alias("conv"), F.col(conv_col).isNull().alias("none"),
         F.col(turn_col).cast("long").alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    placed = staged(_prefix_sums(_counted(rows, tokenizer), span).withColumns({
+    parts = max(1, -(-rows.count() // PART_ROWS))
+    placed = staged(_prefix_sums(_counted(rows, tokenizer), span, parts).withColumns({
         "run": 2 * F.col("longs") + F.col("long").cast("long"),
         "slot": F.floor(F.col("before") / span)}))
     first = (F.col("at") == 0) & (F.col("role") == "system")

@@ -17,8 +17,8 @@ those in the most toxic of these, are weighed. Only these tables are broadcast.
 else is counted over all texts, and every whole text is scored.
 
 Defined cases: a NULL or empty text has no features and the score of a text without any;
-a NULL label, or one whose document is missing, teaches nothing, and of repeated labels the
-largest counts; without labels of both kinds every score is the share of toxic labels (0 if
+a NULL label, or one whose document is missing, teaches nothing, of repeated labels the
+largest counts and of a repeated document the first text in order; without labels of both kinds every score is the share of toxic labels (0 if
 none); repeated rows score alike; ties go by hash; an empty table gives an empty result.
 Only id, text and label columns are read.
 """
@@ -393,7 +393,8 @@ def scored(df: DataFrame, labels: DataFrame, teach: Column | None = None, *, id_
     picked = (known.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
               .orderBy(F.xxhash64("id"), "id").limit(sample))
-    train = staged(rows.join(F.broadcast(staged(picked)), "id").select("text", "label"))
+    train = staged(rows.join(F.broadcast(staged(picked)), "id").groupBy("id", "label")
+                   .agg(F.min("text").alias("text")).select("text", "label"))
     model = char_model(df, text_col)
     weights, coefficients = fitted(train, model, features)
     shared = spark.sparkContext.broadcast((model, weights, coefficients))
