@@ -44,17 +44,25 @@ def dense_ids(df: DataFrame, id_col: str, key: Sequence[str],
             .drop("_shard", "_rn", "_before"))
 
 
-def ordered_ids(df: DataFrame, id_col: str, order: Sequence[Column | str],
-                start: int = 0) -> DataFrame:
+# Rows of a sorted part.
+PART_ROWS = 1_000_000
+
+
+def ordered_ids(df: DataFrame, id_col: str, order: Sequence[Column | str], start: int = 0,
+                recompute: bool = False, part_rows: int = PART_ROWS) -> DataFrame:
     """Number rows ``start+1, …`` in ``order`` (which must be total).
 
     Rows are range-partitioned on the whole order, so one repeated leading value
-    still spreads; the sorted rows are made durable, counted per partition, and
-    each partition gets the sum of those before it. The offsets table has one
-    row per partition.
+    still spreads, into parts of about ``part_rows`` rows; the sorted rows are made
+    durable, counted per part, and each part gets the sum of those before it. The
+    offsets table has one row per part.
+
+    The rows are counted, sampled and sorted, so they are made durable first;
+    ``recompute`` leaves that out where they are a plain scan.
     """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not recompute:
+        df = durable(df)
+    n = max(1, -(-df.count() // part_rows))
     ranged = durable(
         df.repartitionByRange(n, *order).sortWithinPartitions(*order)
           .withColumn("_pos", F.monotonically_increasing_id()))

@@ -24,10 +24,9 @@ LABELS = (
 # -----------------------------------------------------------------------------
 
 
-# A global limit merges the best rows of all tasks in one task: fine for a short
-# list (SHORT), in two steps up to HEAP_ROWS, and not at all beyond.
+# A global limit merges the best rows of all tasks in one task, which is for short
+# lists; a longer one is read off numbered rows, which no task merges.
 SHORT = 1_000
-HEAP_ROWS = 100_000
 
 
 def by_count(cnt: str = "cnt", *ties: str) -> list[Column]:
@@ -55,25 +54,14 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int,
 def first_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
     """The first ``n`` rows in a total order.
 
-    A longer list is first cut to ``n`` rows within each task, then within each of
-    the shuffle's partitions, so that the last task sees ``n`` rows per partition
-    and not per input split. The longest are read off the numbered rows.
+    The length asked for decides the plan, never the data: up to ``SHORT`` rows are
+    Spark's own limit, more are read off the numbered rows.
     """
-    if n > HEAP_ROWS:
-        return ordered_ids(df, "_rn", order).where(F.col("_rn") <= n).drop("_rn")
     if n > SHORT:
-        spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = _first_within(_first_within(df, order, n).repartition(spread), order, n)
+        return ordered_ids(df, "_rn", order).where(F.col("_rn") <= n).drop("_rn")
     return df.orderBy(*order).limit(n)
 
 
-def _first_within(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
-    """The first ``n`` rows of every partition."""
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return (df.sortWithinPartitions(*order).withColumn("_place", place)
-            .where(F.col("_place") < n).drop("_place"))
-
-
 def ranked(df: DataFrame, order: Sequence[Column], k: int, by: Sequence[str],
            rank_col: str = "rk") -> DataFrame:
     w = Window.partitionBy(*by).orderBy(*order)
@@ -129,10 +117,8 @@ def rank_words(counts: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def page(df: DataFrame, order: Sequence[Column], size: int, n: int) -> DataFrame:
     """Page ``n`` (from 0)."""
-    if (n + 1) * size > HEAP_ROWS:
-        return pages(df, order, size).where(F.col("page") == n).drop("page")
     if (n + 1) * size > SHORT:
-        df = first_rows(df, order, (n + 1) * size)
+        return pages(df, order, size).where(F.col("page") == n).drop("page")
     return df.orderBy(*order).offset(n * size).limit(size)
 
 
