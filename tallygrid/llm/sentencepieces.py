@@ -32,7 +32,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import slices, text_of, unused, with_field
 from .wordhash import buffer_of, hashes

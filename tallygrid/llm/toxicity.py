@@ -17,10 +17,11 @@ those in the most toxic of these, are weighed. Only these tables are broadcast.
 else is counted over all texts, and every whole text is scored.
 
 Defined cases: a NULL or empty text has no features and the score of a text without any;
-a NULL label, or one whose document is missing, teaches nothing, of repeated labels the
-largest counts and of a repeated document the first text in order; without labels of both kinds every score is the share of toxic labels (0 if
-none); repeated rows score alike; ties go by hash; an empty table gives an empty result.
-Only id, text and label columns are read.
+a NULL label, or one whose document is missing, teaches nothing; of repeated labels the
+largest counts, and of a repeated document the first text in order; without labels of both
+kinds every score is the share of toxic labels (0 if none); repeated rows score alike; ties
+go by hash; an empty table gives an empty result. Of ``labels`` only the id and the label
+are read; an input column called ``score`` is replaced.
 """
 
 from __future__ import annotations
