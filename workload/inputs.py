@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tallygrid.functions.geo import with_cell
 from tallygrid.functions.times import hour_bucket
 from tallygrid.operators.counts import tokens
-from tallygrid.sources import files
 
 AS_OF = "2000-01-01 12:00:00"
 
