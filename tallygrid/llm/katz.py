@@ -25,7 +25,8 @@ pair for the most frequent words (``HOT_WORDS`` at most, whose counts are broadc
 the second word otherwise, so that no task gets all bigrams of a frequent word and each knows
 its words' counts. In evaluation the most frequent entries (``HOT_KEYS`` at most) and a bit
 map of ``2 ** BITMAP`` bits, which tells most keys the table does not hold, are broadcast;
-all other look-ups go, packed, to the partition that holds the key.
+all other look-ups go, packed, to the partition that holds the key, and the sums for a
+chunk of documents come back packed: one row for each chunk and partition it asked.
 
 Words are known by 48-bit hashes, bigrams by 64-bit ones.
 
@@ -37,6 +38,7 @@ table gives an empty result. Only the named columns are read, so others cannot c
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -367,7 +369,8 @@ def _stored(keyed: DataFrame, bits: int, bitmap: int) -> DataFrame:
 # -- evaluation ---------------------------------------------------------------
 
 REQUESTS = "part int, kind int, a binary, b binary, c binary, d binary, e binary"
-SUMS = "id long, tie long, rows long, n_tokens long, n_known long, base double, score double"
+PARTIAL = "chunk long, kind int, names binary, docs binary, sums binary"
+SUMS = "id long, n_tokens long, n_known long, base_score double, score double"
 
 
 def evaluate(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -426,6 +429,7 @@ def evaluate(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def answer(batches):
         held, table = [], None
         for batch in slices(batches, 64):
+            out = []
             for r in batch.to_pylist():
                 if r["kind"] == 0:
                     held.append((np.frombuffer(r["a"], "<u8"), np.frombuffer(r["b"], "<f8"),
@@ -436,35 +440,56 @@ def evaluate(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                                for i, kind in enumerate(("<u8", "<f8", "<f8", "u1"))]
                     table = Lookup(*columns)
                     held.clear()
-                size = len(r["a"]) // 17
-                ids = np.frombuffer(r["a"], "<i8", size)
-                null = np.frombuffer(r["a"], np.uint8, size, 8 * size).astype(bool)
-                tie = np.frombuffer(r["a"], "<i8", size, 9 * size)
+                chunk = int.from_bytes(hashlib.blake2b(r["a"], digest_size=8).digest(), "little", signed=True)
+                if r["kind"] == 2:
+                    out.append((chunk, 2, r["a"], r["b"], r["c"]))
+                    continue
+                keys = np.cumsum(from_planes(r["b"], "<u8"), dtype=np.uint64)
+                own = from_planes(r["c"], "<u2").astype(np.int64)
+                known, place = table.find(keys)
+                docs, own = np.unique(own[known], return_inverse=True)
+                sums = np.stack([np.bincount(own, c[place[known]], minlength=len(docs)) for c in table.columns])
+                out.append((chunk, 1, None, docs.astype(np.uint16).tobytes(), sums.tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, kind in enumerate(
+                    (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
+                    ["chunk", "kind", "names", "docs", "sums"])
+
+    def total(batches):
+        """The parts of a chunk's sums follow each other, its documents' names first. A
+        chunk whose rows come again, alike, has the sums of both, and is given twice."""
+        now, size, times = None, 0, 0
+
+        def rows():
+            ids = np.frombuffer(names, "<i8", size)
+            null = np.frombuffer(names, np.uint8, size, 8 * size).astype(bool)
+            whole = pa.RecordBatch.from_arrays(
+                [pa.array(ids, mask=null), pa.array(n // times), pa.array(np.rint(sums[2] / times).astype(np.int64)),
+                 pa.array(sums[1] / times), pa.array(sums[0] / times)],
+                ["id", "n_tokens", "n_known", "base_score", "score"])
+            return [whole] * times
+
+        for batch in slices(batches, 64):
+            for r in batch.to_pylist():
+                if r["chunk"] != now:
+                    if times:
+                        yield from rows()
+                    now, times, names = r["chunk"], 0, r["names"]
+                    size = len(names) // 17
+                    n, sums = np.zeros(size, np.int64), np.zeros((3, size))
                 if r["kind"] == 2:
-                    n = np.frombuffer(r["b"], "<i8")
-                    sums = np.frombuffer(r["c"], "<f8").reshape(3, -1)
-                    docs = np.arange(size)
+                    times += 1
+                    n = n + np.frombuffer(r["docs"], "<i8")
+                    sums += np.frombuffer(r["sums"], "<f8").reshape(3, -1)
                 else:
-                    keys = np.cumsum(from_planes(r["b"], "<u8"), dtype=np.uint64)
-                    own = from_planes(r["c"], "<u2").astype(np.int64)
-                    known, place = table.find(keys)
-                    own, place = own[known], place[known]
-                    docs = np.unique(own)
-                    n = np.zeros(size, np.int64)
-                    sums = np.stack([np.bincount(own, c[place], minlength=size) for c in table.columns])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[docs], mask=null[docs]), pa.array(tie[docs]),
-                     pa.array(np.full(len(docs), r["kind"] == 2, np.int64)), pa.array(n[docs]),
-                     pa.array(np.rint(sums[2][docs]).astype(np.int64)), pa.array(sums[1][docs]),
-                     pa.array(sums[0][docs])],
-                    ["id", "tie", "rows", "n_tokens", "n_known", "base", "score"])
-
-    sums = (asked.repartitionById(1 << bits, F.col("part")).sortWithinPartitions("kind")
-            .mapInArrow(answer, SUMS).groupBy("id", "tie")
-            .agg(*[F.sum(c).alias(c) for c in ("rows", "n_tokens", "n_known", "base", "score")]))
-    each = sums.withColumn("rows", F.explode(F.array_repeat("rows", F.col("rows").cast("int"))))
-    whole = lambda c: (F.col(c) / F.col("rows")).cast("long").alias(c)
-    return each.select(F.col("id").alias(id_col), whole("n_tokens"), whole("n_known"),
-                       F.lit(model.n).cast("long").alias("train_tokens"),
-                       (F.col("base") / F.col("rows")).alias("base_score"),
-                       (F.col("score") / F.col("rows")).alias("score"))
+                    docs = np.frombuffer(r["docs"], "<u2")
+                    sums[:, docs] += np.frombuffer(r["sums"], "<f8").reshape(3, -1)
+        if times:
+            yield from rows()
+
+    parts = (asked.repartitionById(1 << bits, F.col("part")).sortWithinPartitions("kind")
+             .mapInArrow(answer, PARTIAL))
+    sums = (parts.repartition("chunk").sortWithinPartitions("chunk", F.desc("kind"))
+            .mapInArrow(total, SUMS))
+    return sums.select(F.col("id").alias(id_col), "n_tokens", "n_known",
+                       F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
