@@ -47,7 +47,7 @@ from .wordhash import mixed, plain_words
 WORDS, SIMILARITY = 5, 0.8
 REGISTERS, BANDS, ROWS = 128, 25, 5
 FEWEST_BITS = 96  # of 128: at similarity 0.8 the mean is 115.2 and the deviation 3.4
-PIVOTS, MORE = 1000, 32
+PIVOTS, MORE = 4, 32
 PARITY = 512  # bits of the parity sketch, a multiple of 64
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
