@@ -8,8 +8,8 @@ count in the training texts, N all tokens, h the token before (a start mark for
     P(w)     = d(c(w)) c(w) / N,   P(unknown) = what that leaves
 
 d are Good-Turing discounts for counts up to ``K`` (absolute discounts where the counts of
-counts give none). ``min_count`` says which bigrams are kept: those seen fewer times have no
-probability of their own, and their mass is part of what h leaves. g is 1, but for
+counts give none). ``min_count`` says which bigrams are kept: all of them for 1; those seen
+fewer times have no probability of their own, and their mass is part of what h leaves. g is 1, but for
 histories that would leave less than 1 / (c(h) + 1). a(h) is exact: what h leaves over one
 minus the unigram mass of the words kept after h.
 
@@ -23,7 +23,8 @@ entries of a text's tokens.
 Scale. Counts are combined within map tasks, and travel packed: bigrams by a hash of the
 pair for the most frequent words (``HOT_WORDS`` at most, whose counts are broadcast) and by
 the second word otherwise, so that no task gets all bigrams of a frequent word and each knows
-its words' counts. In evaluation the most frequent entries (``HOT_KEYS`` at most) and a bit
+its words' counts; then by the first word, and by a hash of the pair where that is one of the
+most frequent, whose sums are added up and broadcast; last, scored, by their keys. In evaluation the most frequent entries (``HOT_KEYS`` at most) and a bit
 map of ``2 ** BITMAP`` bits, which tells most keys the table does not hold, are broadcast;
 all other look-ups go, packed, to the partition that holds the key, and the sums for a
 chunk of documents come back packed: one row for each chunk and partition it asked.
@@ -44,7 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_staged, slices, staged, text_of
@@ -87,6 +88,20 @@ def from_planes(raw: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
+def narrow(values: np.ndarray) -> bytes:
+    """The planes of whole numbers from 0, without the highest bytes that none has."""
+    width = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def widened(raw: bytes, size: int, kind: str) -> np.ndarray:
+    out = np.zeros((size, 8), np.uint8)
+    if raw:
+        width = len(raw) // size
+        out[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, size).T
+    return out.view(kind).ravel()
+
+
 def _groups(part: np.ndarray) -> Iterator[tuple[int, slice]]:
     """(value, where it is) of an array in order."""
     begin = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else []
@@ -142,13 +157,39 @@ def unigrams(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(count, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
-def bigrams(train: DataFrame, counts: DataFrame, n: int, hot_words: int) -> DataFrame:
-    """(h, w, c, cw) of all bigrams seen twice at least, and rows (-1, r, number of bigrams
-    seen r times, 0) for r up to K + 1."""
-    hot_w, hot_c = _numbers(_most_frequent(counts, hot_words), "w", "c")
-    hot = Lookup(hot_w.view(np.uint64), hot_c)
+FOUND = ("kind int, h binary, ch binary, n binary, w binary, c binary, cw binary, "
+         "key long, v array<double>")
+ROW_PAIRS = 100_000
+
+
+def bigrams(train: DataFrame, hot: Lookup, heavy: np.ndarray, n: int, p, least: int = 1) -> DataFrame:
+    """All bigrams, packed by history, in rows of kind 0: histories ``h``, their counts ``ch``
+    and numbers ``n`` of bigrams seen ``least`` times or more, and of these the words ``w``,
+    counts ``c`` and counts of words ``cw``. A history is whole in one row, but for the
+    ``heavy`` ones; of these rows of kind 2 have, by part, the count, the numbers of bigrams
+    kept seen 1 to ``K`` times, the counts above, and the unigram mass. Rows of kind 1 have
+    the numbers of all bigrams seen r = ``key`` times, and for r = 0 of those kept."""
     parts = max(1, -(-n // PART_PAIRS))
 
+    def blocks(part, h, *columns):
+        """One row a part; within it the histories are in order."""
+        order = np.lexsort((h, part))
+        part, h, columns = part[order], h[order], [c[order] for c in columns]
+        out = [(q, planes(np.diff(h[at], prepend=np.uint64(0))), *(narrow(c[at]) for c in columns))
+               for q, at in _groups(part)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([o[0] for o in out], pa.int32())]
+            + [pa.array([o[i] for o in out], pa.binary()) for i in range(1, len(columns) + 2)],
+            ["part", *("h", "w", "c", "cw")[:len(columns) + 1]])
+
+    def unpacked(batches, names, kinds):
+        held = []
+        for batch in batches:
+            for r in zip(*(batch.column(x).to_pylist() for x in names)):
+                held.append((np.cumsum(from_planes(r[0], "<u8"), dtype=np.uint64),
+                             *(widened(x, len(r[0]) // 8, k) for x, k in zip(r[1:], kinds))))
+        return [np.concatenate([x[i] for x in held]) for i in range(len(names))] if held else None
+
     def pack(batches):
         held, size = [], 0
 
@@ -160,14 +201,7 @@ def bigrams(train: DataFrame, counts: DataFrame, n: int, hot_words: int) -> Data
             c = np.diff(np.append(new, len(h)))
             h, w = h[new], w[new]
             salted = np.where(hot.find(w)[0], pair_keys(h, w), mixed(w))
-            part = (salted % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            h, w, c = h[order], w[order], c[order]
-            out = [(p, planes(np.diff(h[at], prepend=np.uint64(0))), planes(w[at]),
-                    planes(c[at].astype(np.uint32))) for p, at in _groups(part[order])]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int32())]
-                + [pa.array([o[i] for o in out], pa.binary()) for i in (1, 2, 3)], ["part", "h", "w", "c"])
+            return blocks((salted % np.uint64(parts)).astype(np.int64), h, w, c)
 
         for batch in slices(batches, CHUNK_ROWS):
             h, w, _ = tokens(batch.column("text"))
@@ -180,38 +214,67 @@ def bigrams(train: DataFrame, counts: DataFrame, n: int, hot_words: int) -> Data
             yield flush()
 
     def merge(batches):
-        held = []
-        for batch in batches:
-            for h, w, c in zip(*(batch.column(x).to_pylist() for x in "hwc")):
-                held.append((np.cumsum(from_planes(h, "<u8"), dtype=np.uint64), from_planes(w, "<u8"),
-                             from_planes(c, "<u4")))
-        if not held:
+        whole = unpacked(batches, "hwc", ("<u8", "<i8"))
+        if not whole:
             return
-        h, w, c = (np.concatenate([x[i] for x in held]) for i in range(3))
-        held.clear()
-        order = np.lexsort((h, w))
-        h, w, c = h[order], w[order], c[order].astype(np.int64)
+        order = np.lexsort((whole[0], whole[1]))
+        h, w, c = (x[order] for x in whole)
+        whole.clear()
         new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (w[1:] != w[:-1])]))
         h, w, c = h[new], w[new], np.add.reduceat(c, new)
         known, at = hot.find(w)  # other words have all their bigrams here
         first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
         here = np.repeat(np.add.reduceat(c, first), np.diff(np.append(first, len(w))))
         cw = np.where(known, hot.columns[0][at], here) if len(hot.keys) else here
-        seen = np.bincount(np.minimum(c, K + 2), minlength=K + 3)
-        r = np.arange(1, K + 2)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(r), -1)), pa.array(r), pa.array(seen[r]), pa.array(np.zeros(len(r), np.int64))],
-            ["h", "w", "c", "cw"])
-        kept = np.flatnonzero(c > 1)
-        for s in range(0, len(kept), 100_000):
-            k = kept[s:s + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[k].view(np.int64)), pa.array(w[k].view(np.int64)), pa.array(c[k]), pa.array(cw[k])],
-                ["h", "w", "c", "cw"])
+        salted = np.where(np.isin(h, heavy), pair_keys(h, w), mixed(h))
+        yield blocks((salted % np.uint64(parts)).astype(np.int64), h, w, c, cw)
+
+    schema = pa.schema([("kind", pa.int32()), *[(x, pa.binary()) for x in ("h", "ch", "n", "w", "c", "cw")],
+                        ("key", pa.int64()), ("v", pa.list_(pa.float64()))])
+
+    def rows(size, **columns):
+        return pa.RecordBatch.from_arrays(
+            [columns[f.name] if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
+
+    def numbers(kind, keys, columns):
+        width, flat = len(columns), np.stack(columns, 1).astype(np.float64).ravel()
+        values = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * width, pa.int32()), pa.array(flat))
+        return rows(len(keys), kind=pa.array(np.full(len(keys), kind, np.int32)),
+                    key=pa.array(np.asarray(keys).astype(np.int64)), v=values)
+
+    def gather(batches):
+        whole = unpacked(batches, ("h", "w", "c", "cw"), ("<u8", "<i8", "<i8"))
+        if not whole:
+            return
+        order = np.lexsort((whole[1], whole[0]))
+        h, w, c, cw = (x[order] for x in whole)
+        whole.clear()
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        kept = c >= least
+        seen = np.bincount(np.minimum(c, K + 2), minlength=K + 3)[:K + 2]
+        seen[0] = kept.sum()
+        none = np.zeros(K + 2)
+        yield numbers(1, np.arange(K + 2), [seen] + [none] * (K + 2))
+        history, ch = h[first], np.add.reduceat(c, first)
+        size = np.add.reduceat(kept.astype(np.int64), first)
+        many = np.isin(history, heavy)
+        if many.any():
+            of = lambda x: np.add.reduceat(np.where(kept, x, 0), first)[many]
+            yield numbers(2, history[many], [ch[many], *(of(c == r) for r in range(1, K + 1)),
+                                             of(np.where(c > K, c, 0)), of(p(cw))])
+        w, c, cw = w[kept], c[kept], cw[kept]
+        edge = np.concatenate([[0], np.cumsum(size)])
+        for _, at in _groups(first // ROW_PAIRS):
+            own = slice(int(edge[at.start]), int(edge[at.stop]))
+            yield rows(1, kind=pa.array([0], pa.int32()),
+                       h=pa.array([planes(np.diff(history[at], prepend=np.uint64(0)))], pa.binary()),
+                       **{name: pa.array([narrow(x)], pa.binary()) for name, x in (
+                           ("ch", ch[at]), ("n", size[at]), ("w", w[own]), ("c", c[own]), ("cw", cw[own]))})
 
     packed = train.select("text").mapInArrow(pack, "part int, h binary, w binary, c binary")
-    return (packed.repartitionById(parts, F.col("part")).select("h", "w", "c")
-            .mapInArrow(merge, "h long, w long, c long, cw long"))
+    merged = (packed.repartitionById(parts, F.col("part")).select("h", "w", "c")
+              .mapInArrow(merge, "part int, h binary, w binary, c binary, cw binary"))
+    return (merged.repartitionById(parts, F.col("part")).select("h", "w", "c", "cw").mapInArrow(gather, FOUND))
 
 
 def discounts(seen: dict[int, int], k: int = K) -> list[float]:
@@ -228,11 +291,17 @@ def discounts(seen: dict[int, int], k: int = K) -> list[float]:
     return [(r - part) / r for r in range(1, k + 1)]
 
 
-def _discounted(count: Column, d: list[float]) -> Column:
-    found = count.cast("double")
-    for r, x in enumerate(d, 1):
-        found = F.when(count == r, F.lit(float(x * r))).otherwise(found)
-    return found
+def _discounted(count: np.ndarray, d: list[float]) -> np.ndarray:
+    less = np.concatenate([[0.0], np.arange(1, K + 1) * d])
+    return np.where(count <= K, less[np.minimum(count, K)], count.astype(np.float64))
+
+
+def _left(own, p, ch) -> tuple[np.ndarray, np.ndarray]:
+    """(g, a) of histories seen ``ch`` times, from the sums of discounted counts and of
+    unigram probabilities over the bigrams kept."""
+    share, most = own / ch, ch / (ch + 1)
+    g = np.minimum(1.0, np.divide(most, share, out=np.ones(len(share)), where=share > 0))
+    return g, (1 - np.minimum(share, most)) / (1 - p)
 
 
 # -- the model ----------------------------------------------------------------
@@ -261,37 +330,62 @@ def fit(df: DataFrame, text_col: str = "text", *, min_count: int = MIN_COUNT,
     d1 = discounts(seen)
     left = sum((1 - d) * r * seen.get(r, 0) for r, d in enumerate(d1, 1)) / n
     unknown, scale = (left, 1.0) if left > 0 else (1 / (n + 1), n / (n + 1))
-    p = lambda c: _discounted(c, d1) * F.lit(scale / n)
+    p = lambda c: _discounted(c, d1) * (scale / n)
 
-    found = staged(bigrams(train, counts, n, hot_words))
-    seen = {r["w"]: r["c"] for r in found.where("h = -1").groupBy("w").agg(F.sum("c").alias("c")).collect()}
-    d2 = discounts(seen)
-    kept = found.where((F.col("h") >= 0) & (F.col("c") >= max(2, min_count)))
-    kept = kept.withColumns({"own": _discounted(F.col("c"), d2), "p": p(F.col("cw"))})
+    hot_w, hot_c = _numbers(_most_frequent(counts, hot_words), "w", "c")
+    hot = Lookup(hot_w.view(np.uint64), hot_c)
     texts = counts.where(F.col("w") == END).first()["c"]
-    as_history = counts.where(F.col("w") != END).union(
-        spark.range(1).select(F.lit(START).cast("long"), F.lit(texts).cast("long"))).toDF("h", "ch")
-    sums = kept.groupBy("h").agg(F.sum("own").alias("own"), F.sum("p").alias("p"))
-    most = F.col("ch") / (F.col("ch") + 1)
-    share = F.col("own") / F.col("ch")
-    histories = staged(sums.join(as_history, "h").select(
-        "h", "ch", F.least(F.lit(1.0), most / share).alias("g"),
-        ((1 - F.least(share, most)) / (1 - F.col("p"))).alias("a")))
-    start = histories.where(F.col("h") == START).select("a").first()
-    start = math.log10(start["a"]) if start else 0.0
-
-    words = counts.join(histories.select(F.col("h").alias("w"), "a"), "w", "left").select(
-        F.lit(-1).cast("long").alias("h"), "w", "c",
-        (F.log10(p(F.col("c"))) + F.coalesce(F.log10("a"), F.lit(0.0)) - math.log10(unknown)).alias("score"),
-        F.log10((F.col("c") + 0.1) / 0.1).alias("base"))
-    pairs = kept.select("h", "w", "c", "own", "p").join(histories, "h").select(
-        "h", "w", "c", (F.log10(F.col("g") * F.col("own") / F.col("ch")) - F.log10("a") - F.log10("p"))
-        .alias("score"), F.lit(0.0).alias("base"))
-    entries = v + kept.count()
+    heavy = hot.keys[(hot.columns[0] > PART_PAIRS // 20) & (hot.keys != np.uint64(END))]
+    heavy = np.append(heavy, np.uint64(START))
+    found = staged(bigrams(train, hot, heavy, n, p, min_count))
+    sums = {1: {}, 2: {}}
+    for r in (found.where("kind > 0").groupBy("kind", "key")
+              .agg(*[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(K + 3)]).collect()):
+        sums[r["kind"]][r["key"]] = r[2:]
+    d2 = discounts({r: int(v[0]) for r, v in sums[1].items() if r})
+    v2 = np.array([sums[2][int(h)] for h in heavy])
+    heavy_own = v2[:, 1:K + 1] @ (np.arange(1, K + 1) * d2) + v2[:, K + 1]
+    heavy_g, heavy_a = _left(heavy_own, v2[:, K + 2], v2[:, 0])
+    start = math.log10(heavy_a[-1])
+    fixed = Lookup(heavy, heavy_g, heavy_a, v2[:, 0])
+
+    entries = v + int(sums[1][0][0])
     bits = min(bitmap, max(0, math.ceil(math.log2(max(1, entries / PART_KEYS)))))
-    keyed = _keyed(words.union(pairs), bits)
+    of_word = lambda c, a: np.log10(p(c)) + np.log10(a) - math.log10(unknown)
+
+    def score(batches):
+        held, size = [], 0
+        for batch in slices(batches, 4):
+            for r in zip(*(batch.column(x).to_pylist() for x in ("h", "ch", "n", "w", "c", "cw"))):
+                h = np.cumsum(from_planes(r[0], "<u8"), dtype=np.uint64)
+                ch, n = (widened(x, len(h), "<i8") for x in r[1:3])
+                w, c, cw = (widened(x, int(n.sum()), k) for x, k in zip(r[3:], ("<u8", "<i8", "<i8")))
+                own, mass = _discounted(c, d2), p(cw)
+                place = np.repeat(np.arange(len(h)), n)
+                g, a = _left(*(np.bincount(place, x, minlength=len(h)) for x in (own, mass)), ch)
+                known, at = fixed.find(h)
+                g, a, ch = (np.where(known, x[at], y) for x, y in zip(fixed.columns, (g, a, ch)))
+                of = (np.log10(g / ch) - np.log10(a))[place]
+                held.append((pair_keys(h[place], w), of + np.log10(own) - np.log10(mass), c,
+                             np.zeros(len(c), np.uint8)))
+                word = ~known
+                ch = ch[word].astype(np.int64)
+                held.append((word_keys(h[word]), of_word(ch, a[word]), ch, np.ones(len(ch), np.uint8)))
+                size += len(c) + len(h)
+                if size >= CHUNK_PAIRS // 4:
+                    yield _blocks(held, bits)
+                    held, size = [], 0
+        if size:
+            yield _blocks(held, bits)
+
+    last = np.append(heavy[:-1], np.uint64(END))  # words whose histories are in many rows, or none
+    count = np.append(v2[:-1, 0], texts).astype(np.int64)
+    words = _blocks([(word_keys(last), of_word(count, np.append(heavy_a[:-1], 1.0)), count,
+                      np.ones(len(last), np.uint8))], bits)
+    keyed = found.where("kind = 0").select("h", "ch", "n", "w", "c", "cw").mapInArrow(score, BLOCKS).union(
+        spark.createDataFrame([tuple(r.values()) for r in words.to_pylist()], BLOCKS))
     table = staged(_stored(keyed, bits, bitmap))
-    drop_staged(found, counts, histories)
+    drop_staged(found, counts)
     slices_ = table.where("bits IS NOT NULL").select("part", "bits").toArrow().to_pylist()
     joined = np.frombuffer(b"".join(r["bits"] for r in sorted(slices_, key=lambda r: r["part"])), np.uint8)
     if len(joined) != 1 << max(0, bitmap - 3):  # a part without any key
@@ -301,41 +395,58 @@ def fit(df: DataFrame, text_col: str = "text", *, min_count: int = MIN_COUNT,
     top = _most_frequent(table.where("bits IS NULL AND c IS NOT NULL").select(
         F.col("hot_key").alias("key"), "c", "score", "base", "known"), hot_keys)
     key, score, base, known = _numbers(top, "key", "score", "base", "known")
-    return Model(table.where("keys IS NOT NULL").select("part", "keys", "scores", "bases", "knowns"), bits, n, v,
+    return Model(table.where("keys IS NOT NULL").select("part", "keys", "scores", "counts", "knowns"), bits, n, v,
                  math.log10(unknown), start, joined, Lookup(key.view(np.uint64), score, base, known))
 
 
-def _keyed(entries: DataFrame, bits: int) -> DataFrame:
-    """(part, key, c, score, base, known) of entries whose h is -1 for words."""
+BLOCKS = "part int, keys binary, scores binary, counts binary, knowns binary"
+# Scores are kept as whole multiples of this, in 48 bits.
+UNIT, MIDDLE = 2.0 ** -40, 1 << 47
 
-    def key(batches):
-        for batch in batches:
-            h, w = (batch.column(x).to_numpy() for x in "hw")
-            is_word = h < 0
-            keys = np.where(is_word, word_keys(w.view(np.uint64)), pair_keys(h.view(np.uint64), w.view(np.uint64)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_part(keys, bits)), pa.array(keys.view(np.int64)), batch.column("c"),
-                 batch.column("score"), batch.column("base"), pa.array(is_word.astype(np.int32))],
-                ["part", "key", "c", "score", "base", "known"])
 
-    return entries.mapInArrow(key, "part int, key long, c long, score double, base double, known int")
+def _packed(keys, scores, counts, knowns) -> tuple[bytes, ...]:
+    """Entries in the order of their keys."""
+    whole = (np.rint(scores / UNIT).astype(np.int64) + MIDDLE).astype(np.uint64)
+    return planes(np.diff(keys, prepend=np.uint64(0))), narrow(whole), narrow(counts), knowns.tobytes()
+
+
+def _unpacked(keys: bytes, scores: bytes, counts: bytes, knowns: bytes) -> tuple[np.ndarray, ...]:
+    return (np.cumsum(from_planes(keys, "<u8"), dtype=np.uint64),
+            (widened(scores, len(knowns), "<i8") - MIDDLE) * UNIT, widened(counts, len(knowns), "<i8"),
+            np.frombuffer(knowns, np.uint8))
+
+
+def _blocks(held: list, bits: int) -> pa.RecordBatch:
+    """Entries (key, score, c, known), a row for each part."""
+    columns = [np.concatenate([x[i] for x in held]) for i in range(4)]
+    order = np.argsort(columns[0])
+    columns = [c[order] for c in columns]
+    out = [(part, *_packed(*(c[at] for c in columns))) for part, at in _groups(_part(columns[0], bits))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([o[0] for o in out], pa.int32())]
+        + [pa.array([o[i] for o in out], pa.binary()) for i in range(1, 5)],
+        ["part", "keys", "scores", "counts", "knowns"])
 
 
 def _part(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(63) >> np.uint64(1) if not bits else keys >> np.uint64(64 - bits)).astype(np.int32)
 
 
-STORED = ("part int, keys binary, scores binary, bases binary, knowns binary, bits binary, "
+STORED = ("part int, keys binary, scores binary, counts binary, knowns binary, bits binary, "
           "hot_key long, c long, score double, base double, known int")
 # Entries this frequent may be among the hot ones, and are also kept as plain rows.
 HOT_COUNT = 8
 
 
+def _base(c: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return np.where(known > 0, np.log10((c + 0.1) / 0.1), 0.0)
+
+
 def _stored(keyed: DataFrame, bits: int, bitmap: int) -> DataFrame:
     """The table's partitions: packed entries, their slice of the bit map, and the entries
     seen ``HOT_COUNT`` times as rows."""
     schema = pa.schema([
-        ("part", pa.int32()), *[(c, pa.binary()) for c in ("keys", "scores", "bases", "knowns", "bits")],
+        ("part", pa.int32()), *[(c, pa.binary()) for c in ("keys", "scores", "counts", "knowns", "bits")],
         ("hot_key", pa.int64()), ("c", pa.int64()), ("score", pa.float64()), ("base", pa.float64()),
         ("known", pa.int32())])
 
@@ -344,24 +455,32 @@ def _stored(keyed: DataFrame, bits: int, bitmap: int) -> DataFrame:
             [columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
     def store(batches):
-        here, part = np.zeros((1 << bitmap) >> bits, bool), None
-        for batch in slices(batches, 200_000):
-            if not batch.num_rows:
-                continue
-            part = batch.column("part")[0].as_py()
-            keys = batch.column("key").to_numpy().view(np.uint64)
-            here[((keys << np.uint64(bits)) >> np.uint64(64 - bitmap + bits)).astype(np.int64)] = True
-            yield rows(1, part=pa.array([part], pa.int32()), keys=pa.array([keys.tobytes()], pa.binary()),
-                       scores=pa.array([batch.column("score").to_numpy().tobytes()], pa.binary()),
-                       bases=pa.array([batch.column("base").to_numpy().tobytes()], pa.binary()),
-                       knowns=pa.array([batch.column("known").to_numpy().astype(np.uint8).tobytes()], pa.binary()))
-            hot = batch.filter(pa.array(batch.column("c").to_numpy() >= HOT_COUNT))
-            if hot.num_rows:
-                yield rows(hot.num_rows, part=hot.column("part"), hot_key=hot.column("key"), c=hot.column("c"),
-                           score=hot.column("score"), base=hot.column("base"), known=hot.column("known"))
-        if part is not None:
+        here, part, held = np.zeros((1 << bitmap) >> bits, bool), None, []
+        for batch in slices(batches, 64):
+            for r in batch.to_pylist():
+                part = r["part"]
+                held.append(_unpacked(r["keys"], r["scores"], r["counts"], r["knowns"]))
+        if part is None:
+            return
+        columns = [np.concatenate([x[i] for x in held]) for i in range(4)]
+        held.clear()
+        order = np.argsort(columns[0])
+        for i in range(4):
+            columns[i] = columns[i][order]
+        here[((columns[0] << np.uint64(bits)) >> np.uint64(64 - bitmap + bits)).astype(np.int64)] = True
+        for start in range(0, len(order), 200_000):
+            own = [c[start:start + 200_000] for c in columns]
+            packed = dict(zip(("keys", "scores", "counts", "knowns"), _packed(*own)))
             yield rows(1, part=pa.array([part], pa.int32()),
-                       bits=pa.array([np.packbits(here, bitorder="little").tobytes()], pa.binary()))
+                       **{name: pa.array([x], pa.binary()) for name, x in packed.items()})
+            hot = own[2] >= HOT_COUNT
+            if hot.any():
+                key, score, c, known = (x[hot] for x in own)
+                yield rows(len(key), part=pa.array(np.full(len(key), part, np.int32)),
+                           hot_key=pa.array(key.view(np.int64)), c=pa.array(c), score=pa.array(score),
+                           base=pa.array(_base(c, known)), known=pa.array(known.astype(np.int32)))
+        yield rows(1, part=pa.array([part], pa.int32()),
+                   bits=pa.array([np.packbits(here, bitorder="little").tobytes()], pa.binary()))
 
     return keyed.repartitionById(1 << bits, F.col("part")).mapInArrow(store, STORED)
 
@@ -424,7 +543,7 @@ def evaluate(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     if model.table is not None:
         asked = asked.union(model.table.select(
             "part", F.lit(0).alias("kind"), F.col("keys").alias("a"), F.col("scores").alias("b"),
-            F.col("bases").alias("c"), F.col("knowns").alias("d"), F.lit(None).cast("binary").alias("e")))
+            F.col("counts").alias("c"), F.col("knowns").alias("d"), F.lit(None).cast("binary").alias("e")))
 
     def answer(batches):
         held, table = [], None
@@ -432,8 +551,8 @@ def evaluate(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             out = []
             for r in batch.to_pylist():
                 if r["kind"] == 0:
-                    held.append((np.frombuffer(r["a"], "<u8"), np.frombuffer(r["b"], "<f8"),
-                                 np.frombuffer(r["c"], "<f8"), np.frombuffer(r["d"], np.uint8)))
+                    keys, scores, counts, knowns = _unpacked(r["a"], r["b"], r["c"], r["d"])
+                    held.append((keys, scores, _base(counts, knowns), knowns))
                     continue
                 if table is None:
                     columns = [np.concatenate([np.zeros(0, kind)] + [h[i] for h in held])

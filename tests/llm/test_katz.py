@@ -103,6 +103,30 @@ def test_equals_the_plain_model(documents, rows, monkeypatch, small):
         assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], abs=1e-4, rel=1e-9)
 
 
+@pytest.mark.parametrize("least,small", [(1, False), (1, True), (3, False)])
+def test_bigrams_seen_once_are_kept_if_asked_for(documents, rows, monkeypatch, least, small):
+    if small:
+        for name, value in (("PART_PAIRS", 200), ("PART_KEYS", 100), ("CHUNK_PAIRS", 500), ("CHUNK_ROWS", 7)):
+            monkeypatch.setattr(katz, name, value)
+    frame = documents(rows)
+    model = katz.fit(frame.where("doc_id % 3 > 0"), min_count=least,
+                     **({"hot_words": 3, "hot_keys": 20, "bitmap": 14} if small else {}))
+    got = sorted(((r.doc_id, r.n_tokens, r.score) for r in katz.evaluate(frame, model).collect()), key=repr)
+    plain = Plain([t for i, t in rows if i is not None and i % 3], least)
+    want = sorted(((i, plain.score(t)[0], plain.score(t)[-1]) for i, t in rows), key=repr)
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert [x[2] for x in got] == pytest.approx([x[2] for x in want], abs=1e-4, rel=1e-9)
+
+
+def test_the_query_keeps_every_bigram(cluster, monkeypatch):
+    from tallygrid.llm import queries
+
+    asked, fit = [], katz.fit
+    monkeypatch.setattr(katz, "fit", lambda *a, **k: asked.append(k.get("min_count")) or fit(*a, **k))
+    queries.QUERIES["op9_katz"](cluster, "/root/testdata/sf0.001")
+    assert asked == [1]
+
+
 def test_held_out_texts_beat_the_base(documents):
     rng = random.Random(9)
     follow = {f"w{i}": [f"w{rng.randrange(80)}" for _ in range(3)] for i in range(80)}
