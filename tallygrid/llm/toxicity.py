@@ -6,7 +6,9 @@
    letters, a repeat in a run), or itself; Viterbi finds the likeliest letters under channel
    and language model. Suspect are words with a digit or sign used as a letter, with a letter
    three times in a row, with signs between single letters, and single letters set apart
-   by blanks. All other text stays as it is.
+   by blanks. Words that only have a digit, a sign within, or a doubled letter the model finds
+   unlikely are read too, but stay as they are unless the reading is likelier and looks like
+   a word. All other text stays as it is.
 3. Features of a restored text are its words, and beginnings of 4 to 7 bytes that many
    different words of toxic texts share. Their log odds come from labelled texts; a logistic
    model of the largest weight and the number of weighty words gives the score.
@@ -48,7 +50,9 @@ CACHE_SPANS = 200_000
 # What a sign may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "li", "+": "t", "*": "aeiou"}
-SEPARATORS = ".-_/,~ "
+SEPARATORS = ".-_/,~: "
+LEAST_GAIN = 2.0  # of a reading that only takes doubled letters for one: words have them too
+LEAST_MEAN = -4.5  # per symbol; a reading less likely than this is no word
 
 
 def _symbols() -> np.ndarray:
@@ -110,14 +114,16 @@ class Decoder:
     """Restores texts; keeps up to ``CACHE_SPANS`` decoded spans."""
 
     def __init__(self, model: CharModel):
-        self.log, self.cache = model.log, {}
+        self.log, self.cache, self.weighed_cache = model.log, {}, {}
         # what a letter costs on average, so that long readings are not worse as such
         self.bonus = 2.5
 
     def _steps(self, span: str) -> list[tuple[list[str], float | None]]:
         """Per place: what may stand there, and the cost of its being nothing (None: no)."""
         letters = sum(c.isalpha() or c in LEET for c in span)
-        apart = letters and sum(c in SEPARATORS for c in span) >= letters - 1 > 0
+        stars = span.count("*")
+        apart = letters and (sum(c in SEPARATORS for c in span) >= letters - 1 > 0
+                             or stars >= letters - stars - 1 > 0)
         steps, i = [], 0
         while i < len(span):
             c, j = span[i], i
@@ -126,7 +132,7 @@ class Decoder:
             if c.isalpha():
                 options, nothing = [c], None
             elif c in LEET:
-                options, nothing = [*LEET[c], c], None
+                options, nothing = [*LEET[c], c], ((0.1 if apart else 1.5) if c == "*" else None)
             elif c in SEPARATORS:
                 options, nothing = [c], (0.1 if apart else 1.5)
             else:
@@ -141,6 +147,10 @@ class Decoder:
         """The likeliest reading of a lower-case span."""
         if len(span) > LONGEST_SPAN:
             return "".join(self.decode(span[i:i + LONGEST_SPAN]) for i in range(0, len(span), LONGEST_SPAN))
+        return self._read(span)[1]
+
+    def _read(self, span: str) -> tuple[float, str]:
+        """(score, reading)."""
         found = self.cache.get(span)
         if found is not None:
             return found
@@ -168,19 +178,49 @@ class Decoder:
                           key=lambda x: (x[0], x[1]))
         if len(self.cache) >= CACHE_SPANS:
             self.cache.clear()
-        self.cache[span] = text
-        return text
+        self.cache[span] = score, text
+        return score, text
+
+    def _as_it_stands(self, span: str) -> tuple[float, float]:
+        """(score, mean over symbols) of the words of a span, whatever is between them."""
+        x = y = n = letters = 0
+        score = 0.0
+        for byte in [*span.encode(), 0]:
+            s = int(SYMBOL[byte])
+            if s or x or y:
+                score += float(self.log[x, y, s])
+                n, letters = n + 1, letters + (s > 0)
+            x, y = (y, s) if s else (0, 0)
+        return score + self.bonus * letters, score / max(1, n)
+
+    def weighed(self, span: str) -> str:
+        """The reading of a span that may well be none, if it is likelier than the span."""
+        if len(span) > LONGEST_SPAN:
+            return "".join(self.weighed(span[i:i + LONGEST_SPAN]) for i in range(0, len(span), LONGEST_SPAN))
+        found = self.weighed_cache.get(span)
+        if found is None:
+            score, text = self._read(span)
+            found = text
+            least = self._as_it_stands(span)[0] + (LEAST_GAIN if span.isalpha() else 0)
+            if text != span and (score <= least or self._as_it_stands(text)[1] < LEAST_MEAN):
+                found = span
+            if len(self.weighed_cache) >= CACHE_SPANS:
+                self.weighed_cache.clear()
+            self.weighed_cache[span] = found
+        return found
 
     def restore(self, texts: pa.Array) -> pa.Array:
         """The texts, suspect spans replaced by their readings."""
         data, at = buffer_of(texts)
-        begin, end = suspects(data, at)
+        begin, end, sure = suspects(data, at, self.log, self.bonus)
         if not len(begin):
             return texts.cast(pa.large_string()).fill_null("")
         raw, pieces, done, moved = data.tobytes(), [], 0, np.zeros(len(begin), np.int64)
-        for i, (b, e) in enumerate(zip(begin.tolist(), end.tolist())):
+        for i, (b, e, known) in enumerate(zip(begin.tolist(), end.tolist(), sure.tolist())):
             span = raw[b:e].decode(errors="replace")
-            word = self.decode(span.lower()).encode()
+            low = span.lower()
+            word = self.decode(low) if known else self.weighed(low)
+            word = (word if known or word != low else span).encode()
             pieces += [raw[done:b], word]
             moved[i] = len(word) - (e - b)
             done = e
@@ -191,27 +231,53 @@ class Decoder:
             len(at) - 1, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(b"".join(pieces)))
 
 
-def suspects(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(begin, end) of the spans of a batch's bytes that look obfuscated, in order."""
+def unlikely_twice(symbols: np.ndarray, at: np.ndarray, log: np.ndarray, bonus: float) -> np.ndarray:
+    """Where a letter that comes twice in a row reads better once. No other place of a word
+    has a say in this: all other trigrams are the same."""
+    place = np.flatnonzero((symbols[1:] == symbols[:-1]) & (symbols[1:] > 0))
+    out = np.zeros(len(symbols), bool)
+    border = np.zeros(len(symbols) + 1, bool)
+    border[at] = True
+    place = place[~border[place + 1]]
+    around = np.concatenate([[0], symbols, [0]])  # of a place i, i + 1 here
+    x = symbols[place]
+    before = np.where(border[place], 0, around[place])
+    after = np.where(border[np.minimum(place + 2, len(symbols))], 0, around[np.minimum(place + 3, len(symbols) + 1)])
+    out[place] = log[before, x, x] + bonus + log[x, x, after] < log[before, x, after] - 0.7
+    return out
+
+
+def suspects(data: np.ndarray, at: np.ndarray, log: np.ndarray, bonus: float
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, end, whether they look obfuscated for sure) of the spans of a batch's bytes to
+    read, in order."""
     low = lowered(data)
     letter = SYMBOL[data] > 0
     shown = (data != 32) & ((data < 9) | (data > 13))
     begin, end, per_text = runs(shown, at)
     if not len(begin):
-        return begin, end
+        return begin, end, np.zeros(0, bool)
     follows = np.concatenate([letter[1:], [False]])
     before = np.concatenate([[False], letter[:-1]])
     sign = IS_LEET[data]
+    again = np.concatenate([[False, False], (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]), [False, False]])
+    thrice_here = (again[:-2] | again[1:-1] | again[2:])[:len(data)]  # $$$ is no letter
+    worded = letter | ALWAYS_LEET[data] & ~thrice_here | (data >= 48) & (data <= 57)
     marks = [sign & (follows | ALWAYS_LEET[data]),  # a sign before a letter
              letter & np.concatenate([[False, False], (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2])])[:len(low)],
-             IS_SEPARATOR[data] & before & follows, letter]
-    signs, thrice, parted, letters = (
+             IS_SEPARATOR[data] & before & follows, letter,
+             sign & (follows | worded),  # of a run of @ or $ two at most
+             IS_SEPARATOR[data] & np.concatenate([[False], worded[:-1]]) & np.concatenate([worded[1:], [False]]),
+             unlikely_twice(SYMBOL[data], at, log, bonus)]
+    signs, thrice, parted, letters, leet, inner, twice = (
         (t := np.concatenate([[0], np.cumsum(m)]))[end] - t[begin] for m in marks)
     digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
     many = (digits[end] - digits[begin]) * 3 > 2 * (end - begin)  # numbers and keys
     size = end - begin
     suspect = ((signs > 0) & (letters > 1) & ~many | (thrice > 0)
                | (parted > 1) & (parted * 2 + 1 >= letters))
+    sure = suspect.copy()
+    suspect |= (letters > 0) & (size > 1) & (leet + inner + twice > 0)
     single = (size == 1) & (letter | sign)[begin]
     text = np.repeat(np.arange(len(per_text)), per_text)
     joined = single[1:] & single[:-1] & (begin[1:] == end[:-1] + 1) & (text[1:] == text[:-1])
@@ -224,10 +290,16 @@ def suspects(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     np.add.at(inside, start, 1)
     np.add.at(inside, stop + 1, -1)
     suspect &= np.cumsum(inside[:-1]) == 0
-    b = np.concatenate([begin[suspect], begin[start]])
-    e = np.concatenate([end[suspect], end[stop]])
+    core = np.flatnonzero(worded)  # what is before and after a word is not read with it
+    faint = suspect & ~sure
+    first, last = begin.copy(), end.copy()
+    first[faint] = core[np.searchsorted(core, begin[faint])]
+    last[faint] = core[np.searchsorted(core, end[faint]) - 1] + 1
+    b = np.concatenate([first[suspect], begin[start]])
+    e = np.concatenate([last[suspect], end[stop]])
+    known = np.concatenate([sure[suspect], np.ones(len(start), bool)])
     order = np.argsort(b)
-    return b[order], e[order]
+    return b[order], e[order], known[order]
 
 
 # -- features and weights -----------------------------------------------------

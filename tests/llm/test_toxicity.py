@@ -36,6 +36,25 @@ def test_spans_are_restored(tool, hidden, shown):
     assert tool.restore(pa.array([text])).to_pylist() == [f"The garden {shown} was quiet."]
 
 
+@pytest.fixture(scope="module")
+def wide():
+    return decoder([" ".join(GOOD + BAD + "shit kill ass well known vacuum letter".split())] * 50)
+
+
+@pytest.mark.parametrize("hidden,shown", [
+    ("idi07", "idiot"), ("sh17", "shit"), ("ki11", "kill"), ("a55", "ass"), ("a$$", "ass"), ("5h17", "shit"),
+    ("1d107", "idiot"), ("id-iot", "idiot"), ("st-upid", "stupid"), ("1.d.1.0.t", "idiot"), ("stuupid", "stupid"),
+    ("iddiioott", "idiot"), ("i:d:i:o:t", "idiot"), ("i*d*i*o*t", "idiot"), ("m*r*n", "moron")])
+def test_fainter_marks_are_read_too(wide, hidden, shown):
+    text = f"The garden {hidden} was quiet."
+    assert wide.restore(pa.array([text])).to_pylist() == [f"The garden {shown} was quiet."]
+
+
+def test_words_the_model_knows_stay(wide):
+    texts = ["A Letter, children!! and vacuum", "well-known Garden 12345", "Kill", "quiet! 3 people: walked.", "a$$$ quiet*** walked!!!"]
+    assert wide.restore(pa.array(texts)).to_pylist() == texts
+
+
 def test_other_text_is_left_alone(tool):
     texts = ["The garden, was quiet!! 12 people (and 3) a@b", "", "a b", "12345 1,000.50 2024-01-01", "Ärger über ß",
              "line\nline", "x" * 2 + "y"]
