@@ -16,7 +16,7 @@ are the largest, is the pivot and is compared with the others; never are all pai
 What is not yet joined to a bucket's pivot becomes a pivot in turn, ``PIVOTS`` of a bucket at
 a time and ever more, until none is left: then every pair of a bucket has been compared, or
 is known to be of one class. Two sketches keep what cannot be similar from being verified:
-128 bits of the registers (at similarity 0.8 fewer than 96 agree with a chance of 1e-8), and
+128 bits of the registers (at similarity 0.8 fewer than 96 agree with a chance of 3e-7), and
 a parity sketch of the set, of whose bits no more can differ than shingles do, which bounds
 the similarity of unweighted sets from above without error. All other pairs are verified
 on whole texts. Classes are the connected components of verified pairs.
@@ -133,7 +133,8 @@ def sketches(df: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> D
             parity = np.packbits(odd.astype(bool).reshape(n, PARITY), axis=1).view("<i8")
             size = np.bincount(text, minlength=n)
             size[np.bincount(text, weight, minlength=n) > size] = -1
-            bits = np.packbits((mixed(held) >> np.uint64(63)).astype(bool), axis=1).view("<i8")
+            register = np.arange(REGISTERS, dtype=np.uint64) * STEP  # a shingle has a bit of its own in each
+            bits = np.packbits((mixed(held + register) >> np.uint64(63)).astype(bool), axis=1).view("<i8")
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("text_key"), pa.array(nodes, pa.binary()),
                  pa.ListArray.from_arrays(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32), total.ravel()),

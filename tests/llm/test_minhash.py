@@ -116,3 +116,15 @@ def test_no_documents(documents):
     assert minhash.near_duplicates(documents([])).count() == 0
     assert minhash.survivors(documents([])).count() == 0
     assert minhash.near_duplicates(documents([(1, None), (2, "")])).count() == 2
+
+
+def test_few_shingles_do_not_hide_similar_texts(documents):
+    """Of texts of 8 words against the same and one more, 0.8 similar, none may be ruled out."""
+    rows = []
+    for i in range(2000):
+        words = [f"w{i}x{j}" for j in range(9)]
+        rows += [(2 * i, " ".join(words[:8])), (2 * i + 1, " ".join(words))]
+    bits = {r.id: (r.bits0, r.bits1) for r in minhash.sketches(documents(rows), "doc_id", "text").collect()}
+    lost = [i for i in range(0, len(rows), 2) if 128 - sum(
+        bin((a ^ b) % 2 ** 64).count("1") for a, b in zip(bits[i], bits[i + 1])) < minhash.FEWEST_BITS]
+    assert not lost
