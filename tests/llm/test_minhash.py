@@ -56,8 +56,10 @@ def brute(rows):
     for i, a in enumerate(sets):
         for j, b in enumerate(sets[:i]):
             if a and b and len(a.keys() & b.keys()) * 2 > len(a):
-                every = a | b
-                s = sum(1 / sum(max(a[e] / a[d], b[e] / b[d]) for e in every) for d in a.keys() & b.keys())
+                if max(a.values()) == max(b.values()) == 1:  # plain Jaccard
+                    s = len(a.keys() & b.keys()) / len(a.keys() | b.keys())
+                else:
+                    s = sum(1 / sum(max(a[e] / a[d], b[e] / b[d]) for e in a | b) for d in a.keys() & b.keys())
                 if s >= .8:
                     root[find(i)] = find(j)
     names = {}
