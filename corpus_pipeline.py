@@ -16,11 +16,15 @@ REJECT = 0.5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that score under ``REJECT``."""
+    """The documents that score under ``REJECT``, all their columns untouched, however they are
+    called. A NULL or empty text scores as the model has it, repeated rows alike; an empty
+    table stays empty."""
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    scored = toxicity.scored(docs, labels)
-    return scored.where(scored["score"] < REJECT).select(*docs.columns)
+    own = ("doc_id", "text")
+    plain = [c if c in own else f"c{i}" for i, c in enumerate(docs.columns)]
+    scored = toxicity.scored(docs.toDF(*plain), labels)
+    return scored.where(scored["score"] < REJECT).select(*plain).toDF(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
