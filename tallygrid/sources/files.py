@@ -59,14 +59,16 @@ def geo_csv_line(lat: Column, lng: Column, text: Column) -> Column:
 
 
 def export_geo_csv(df: DataFrame, path: str, lat: str = "lat", lng: str = "lng",
-                   text: str = "text", ts: str | None = None) -> None:
-    """Write geo CSV lines, with ``ts`` in one folder per day."""
+                   text: str = "text", ts: str | None = None, replace: bool = False) -> None:
+    """Write geo CSV lines, with ``ts`` in one folder per day. Days that the rows do not have
+    stay as they are, or with ``replace`` go."""
     value = geo_csv_line(F.col(lat), F.col(lng), F.col(text)).alias("value")
     if ts is None:
         df.select(value).write.mode("overwrite").text(path)
         return
+    mode = "static" if replace else "dynamic"
     (df.select(value, path_day(F.col(ts)).alias("day")).hint("rebalance", "day")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .write.mode("overwrite").option("partitionOverwriteMode", mode)
      .partitionBy("day").text(path))
 
 
@@ -84,7 +86,7 @@ def export_delimited(df: DataFrame, cols: Sequence[str], path: str) -> None:
     delimited(df, cols).write.mode("overwrite").text(path)
 
 
-def load_delimited(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def load_delimited(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Read such files back; one row that does not fit the schema fails the read."""
     return (spark.read.schema(schema)
             .option("sep", FIELD_END).option("nullValue", NULL_TEXT)

@@ -14,7 +14,7 @@ from tallygrid.functions import geo, maps, predicates as pr, text as tx, times a
 from tallygrid.operators import (conferences as cf, counts as ct, layers, messages as ms,
                                  photos as ph, ranking as rk, spatial as sp, summary as su,
                                  warehouse as wh)
-from tallygrid.sources import files, tables as tb
+from tallygrid.sources import files, queue as qu, tables as tb
 from tallygrid.streaming import counts as sc, routing
 
 from . import inputs as inp
@@ -888,6 +888,40 @@ def flatten_messages(spark, sf):
     return as_text(ms.flatten_messages(ms.parse_messages(message_json(spark, sf))))
 
 
+def drained(spark, sf) -> str:
+    """The messages put in a queue of two partitions and drained in batches of a fifth of
+    them; the job stops after the second batch and is run again. The second partition
+    grows before the last batches."""
+    queue, out = session.new_dir(spark, "queue"), session.new_dir(spark, "drained")
+    values = message_json(spark, sf).select("value", F.crc32("value").alias("c"))
+    for part in (0, 1):
+        qu.append_messages(spark, values.where(F.col("c") % 3 == part), queue, ["c", "value"], part)
+    batch = max(1, sum(qu.end_offsets(spark, queue).values()) // 5)
+    qu.drain(spark, queue, out, "files", inp.as_of(), batch, most_batches=2)
+    qu.append_messages(spark, values.where(F.col("c") % 3 == 2), queue, ["c", "value"], 1)
+    qu.drain(spark, queue, out, "files", inp.as_of(), batch)
+    return out
+
+
+@query("SELECT " + ", ".join(f"coalesce({c}, '\\N') AS {a}" for c, a in (
+    ("CAST(nullif(doc_id, 0) AS VARCHAR)", "id"), ("replace(nullif(text, ''), chr(10), '')", "text"),
+    ("CAST(nullif(doc_id % 3, 0) AS VARCHAR)", "retweet_count"), ("lang", "lang"),
+    ("strftime(ts, '%Y-%m-%d %H:%M:%S')", "created_at"), ("CAST(lat AS VARCHAR)", "lat"),
+    ("CASE WHEN doc_id % 2 = 1 THEN 'true' END", "verified"))) + " FROM messages", "messages")
+def drained_messages(spark, sf):
+    flat = qu.read_flat(spark, drained(spark, sf))
+    return flat.select("id", "text", "retweet_count", "lang", "created_at", "lat", "verified").fillna("\\N")
+
+
+@query("""SELECT strftime(ts, '%m%d%y') AS day, coalesce(CAST(lat AS VARCHAR), chr(7)) || ','
+  || coalesce(CAST(lng AS VARCHAR), chr(7)) AS at, count(*) AS n FROM messages GROUP BY ALL""", "messages")
+def drained_days(spark, sf):
+    """Geo CSV lines of the drained batches by day and place."""
+    lines = qu.read_geo(spark, drained(spark, sf))
+    at = F.substring_index("value", ",", 2)
+    return lines.groupBy("day", at.alias("at")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(f"""WITH fine AS (SELECT CAST(floor(lat * 1000 + 0.5) AS BIGINT) AS cell_lat,
     CAST(floor(lng * 1000 + 0.5) AS BIGINT) AS cell_lng, text FROM messages WHERE lat IS NOT NULL),
 words AS ({words_of('fine', stop=STOP)})
