@@ -13,14 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.times import hour_bucket
 from .. import schemas
+from ..functions.times import hour_bucket
 from ..operators.counts import (CELL, cell_counts, cell_tallies, counts_to_maps, speed_rows,
                                 tokens, without_words)
+from . import compaction
 
 # ---------------------------------------------------------------- fixed values
 BATCH_SECONDS = "3 seconds"
 # -----------------------------------------------------------------------------
+CELL_TYPES = "cell_lat BIGINT, cell_lng BIGINT"
 
 
 def read_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet",
@@ -66,10 +68,25 @@ def micro_batches(stream: DataFrame, path: str, checkpoint: str, stop: Sequence[
 
 
 def read_speed(spark: SparkSession, path: str) -> DataFrame:
-    """The speed rows of all batches. Batch and hour are folders, so a filter on the hour
-    (``changes_since``) lists and reads no older files."""
-    rows = spark.read.schema(schemas.SPEED_COUNTS + ", batch_id BIGINT").parquet(path)
-    return rows.drop("batch_id")
+    """The speed rows of all finished batches, merged or not. The hour is a folder, so a
+    filter on it (``changes_since``) reads no older files."""
+    folders = compaction.visible(spark, path)
+    return compaction.read_folders(spark, path, folders, schemas.SPEED_COUNTS).drop("batch_id")
+
+
+def compact_speed(spark: SparkSession, path: str, fanout: int = compaction.FANOUT) -> int:
+    """Merge the folders of speed rows that have gathered; rows and their times stay."""
+    return compaction.compact(spark, path, schemas.SPEED_COUNTS, ["lat", "lng", "timestamp"], "yymmddhh",
+                              fanout=fanout)
+
+
+def compact_counts(spark: SparkSession, path: str, by: str = CELL_TYPES,
+                   fanout: int = compaction.FANOUT) -> int:
+    """Merge the long-form batches that have gathered, adding counts up. ``by`` names the
+    columns of a key and their types."""
+    keys = [c.split()[0] for c in by.split(", ")]
+    return compaction.compact(spark, path, f"{by}, word STRING, cnt BIGINT", [*keys, "word"],
+                              sum_by=[*keys, "word"], fanout=fanout)
 
 
 def micro_batch_counts(stream: DataFrame, path: str, checkpoint: str,
@@ -82,10 +99,12 @@ def micro_batch_counts(stream: DataFrame, path: str, checkpoint: str,
     return each_batch(stream, write, checkpoint, every)
 
 
-def sum_batches(spark: SparkSession, path: str, by: Sequence[str] = CELL) -> DataFrame:
-    """Long-form batches added up."""
-    return (spark.read.parquet(path).groupBy(*by, "word")
-            .agg(F.sum("cnt").alias("cnt")))
+def sum_batches(spark: SparkSession, path: str, by: str = CELL_TYPES) -> DataFrame:
+    """Long-form batches added up, merged or not."""
+    keys = [c.split()[0] for c in by.split(", ")]
+    rows = compaction.read_folders(spark, path, compaction.visible(spark, path),
+                                   f"{by}, word STRING, cnt BIGINT")
+    return rows.groupBy(*keys, "word").agg(F.sum("cnt").alias("cnt"))
 
 
 def hour_windows(stream: DataFrame, ts: str = "ts", delay: str = "1 hour",

@@ -6,8 +6,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tallygrid import session
 from tallygrid.functions import geo, maps, predicates as pr, text as tx, times as tm
@@ -15,7 +16,7 @@ from tallygrid.operators import (conferences as cf, counts as ct, layers, messag
                                  photos as ph, ranking as rk, spatial as sp, summary as su,
                                  warehouse as wh)
 from tallygrid.sources import files, queue as qu, tables as tb
-from tallygrid.streaming import counts as sc, routing
+from tallygrid.streaming import compaction, counts as sc, routing
 
 from . import inputs as inp
 
@@ -961,35 +962,51 @@ def local_times(spark, sf):
 
 # ---------------------------------------------------------------- streams
 
-DOCUMENT_SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
-
-
 STREAM_PARTS = 3
 
 
-def in_parts(spark, rows: DataFrame, order: str) -> str:
-    """A folder with the rows in files written one after the other, in the order of a
-    number, so that a stream of one file a batch has several batches."""
+def in_batches(spark, rows: DataFrame, order: str, run: Callable[[DataFrame], StreamingQuery],
+               parts: int = STREAM_PARTS) -> None:
+    """Rows land in parts, in the order of a number (those without one in the first), and the
+    stream that ``run`` starts on the folder is run to its end after each: a batch a part."""
     path = session.new_dir(spark, "landed")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     low, high = rows.agg(F.min(order), F.max(order)).first()
-    part = F.floor((F.col(order) - low) * STREAM_PARTS / F.lit(high - low + 1))
-    for i in range(STREAM_PARTS):
-        rows.where(part == i).coalesce(1).write.mode("append").parquet(path)
-    return path
+    part = F.lit(0)
+    if low is not None:
+        part = F.coalesce(F.floor((F.col(order) - low) * parts / F.lit(high - low + 1)), F.lit(0))
+    for i in range(parts):
+        rows.where(part == i).write.mode("append").parquet(path)
+        run(sc.read_stream(spark, path, schema)).awaitTermination()
+
 
+def message_batches(spark, sf, run: Callable[[DataFrame], StreamingQuery], parts: int = STREAM_PARTS) -> None:
+    """Documents as a stream of located messages."""
+    def placed(docs: DataFrame) -> StreamingQuery:
+        return run(geo.located(geo.with_cell(inp.as_messages(docs))))
 
-def message_stream(spark, sf) -> DataFrame:
-    """Documents as a stream of located messages, in several batches."""
-    landed = in_parts(spark, inp.table(spark, sf, "documents"), "doc_id")
-    docs = sc.read_stream(spark, landed, DOCUMENT_SCHEMA, files_per_batch=1)
-    return geo.located(geo.with_cell(inp.as_messages(docs)))
+    in_batches(spark, inp.table(spark, sf, "documents"), "doc_id", placed, parts)
 
 
 @query(f"WITH {CELL_COUNTS_SQL} SELECT * FROM counts", "messages")
 def stream_cell_counts(spark, sf):
     """Counts of each micro-batch, summed by the reader."""
     path, state = session.new_dir(spark, "counts"), session.new_dir(spark, "state")
-    sc.micro_batch_counts(message_stream(spark, sf), path, state, stop=STOP).awaitTermination()
+    message_batches(spark, sf, lambda m: sc.micro_batch_counts(m, path, state, stop=STOP))
+    return sc.sum_batches(spark, path)
+
+
+@query(f"WITH {CELL_COUNTS_SQL} SELECT * FROM counts", "messages")
+def compacted_counts(spark, sf):
+    """The same, the batches merged two by two as they come, and what is merged removed."""
+    path, state = session.new_dir(spark, "counts"), session.new_dir(spark, "state")
+
+    def run(messages):
+        sc.compact_counts(spark, path, fanout=2)
+        compaction.clean(spark, path, keep=1)
+        return sc.micro_batch_counts(messages, path, state, stop=STOP)
+
+    message_batches(spark, sf, run, parts=6)
     return sc.sum_batches(spark, path)
 
 
@@ -997,8 +1014,8 @@ def stream_cell_counts(spark, sf):
 def stream_speed_rows(spark, sf):
     """Speed rows of each micro-batch, read back the way updates are."""
     path, state = session.new_dir(spark, "speed"), session.new_dir(spark, "state")
-    sc.micro_batches(message_stream(spark, sf), path, state, stop=STOP, stamp=inp.as_of(),
-                     precision=2).awaitTermination()
+    message_batches(spark, sf, lambda m: sc.micro_batches(m, path, state, stop=STOP, stamp=inp.as_of(),
+                                                          precision=2))
     return layers.updates(sc.read_speed(spark, path))[0]
 
 
@@ -1010,37 +1027,51 @@ def speed_retention(spark, sf):
     """Each batch in an hour of its own; the first hour is expired, the others are read."""
     path, state = session.new_dir(spark, "speed"), session.new_dir(spark, "state")
 
-    def hour(batch):
-        return inp.as_of() + F.expr(f"INTERVAL {batch} HOURS")
-
-    sc.micro_batches(message_stream(spark, sf), path, state, stop=STOP, stamp=hour,
-                     precision=2).awaitTermination()
+    message_batches(spark, sf, lambda m: sc.micro_batches(m, path, state, stop=STOP, stamp=hour_of_batch,
+                                                          precision=2))
     files.expire_buckets(spark, path, "00010112")
     kept = layers.changes_since(sc.read_speed(spark, path), inp.as_of())
     return layers.updates(kept)[0]
 
 
+def hour_of_batch(batch: int) -> Column:
+    return inp.as_of() + F.expr(f"INTERVAL {batch} HOURS")
+
+
+@query(f"""WITH late AS (SELECT * FROM located WHERE floor((doc_id - (SELECT min(doc_id) FROM documents)) * 5
+    / (SELECT max(doc_id) - min(doc_id) + 1 FROM documents)) >= 2),
+words AS ({words_of('late', stop=STOP)})
+SELECT cell_lat, cell_lng, word, count(*) AS cnt FROM words GROUP BY ALL""", "messages")
+def compacted_speed(spark, sf):
+    """Five batches of speed rows in an hour each, four of them merged; then two hours, which
+    lie in the merged run, expire."""
+    path, state = session.new_dir(spark, "speed"), session.new_dir(spark, "state")
+
+    def run(messages):
+        sc.compact_speed(spark, path, fanout=2)
+        return sc.micro_batches(messages, path, state, stop=STOP, stamp=hour_of_batch, precision=2)
+
+    message_batches(spark, sf, run, parts=5)
+    compaction.clean(spark, path, keep=1)
+    files.expire_buckets(spark, path, "00010113")
+    return layers.updates(sc.read_speed(spark, path))[0]
+
+
 @query(f"""WITH {LOCATED_WORDS} SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour,
   cell_lat, cell_lng, word, count(*) AS cnt FROM words GROUP BY ALL""", "messages")
 def stream_hourly_windows(spark, sf):
     path, state = session.new_dir(spark, "hours"), session.new_dir(spark, "state")
-    windows = sc.hour_windows(message_stream(spark, sf), stop=STOP)
-    sc.event_hours(windows, path, state).awaitTermination()
+    message_batches(spark, sf, lambda m: sc.event_hours(sc.hour_windows(m, stop=STOP), path, state))
     return shown(sc.latest_windows(spark, path), "hour")
 
 
-LINE_SCHEMA = ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
-               "l_shipdate TIMESTAMP_NTZ")
-
-
 @query(BOX_SQL, "conferences spread lines")
 def stream_routed_messages(spark, sf):
     """Messages near a running event, sent on as JSON and read back."""
-    landed = in_parts(spark, inp.table(spark, sf, "lineitem").select(
-        *[x.split()[0] for x in LINE_SCHEMA.split(", ")]), "l_orderkey")
-    lines = inp.as_placed(sc.read_stream(spark, landed, LINE_SCHEMA, files_per_batch=1))
     path, state = session.new_dir(spark, "routed"), session.new_dir(spark, "state")
-    routing.route_live(lines, lambda: inp.spread_conferences(spark, sf), routing.to_files(path),
-                       state).awaitTermination()
+    lines = inp.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
+    in_batches(spark, lines, "l_orderkey", lambda rows: routing.route_live(
+        inp.as_placed(rows), lambda: inp.spread_conferences(spark, sf), routing.to_files(path), state))
     keys = "l_orderkey BIGINT, l_linenumber INT, l_partkey BIGINT, l_suppkey BIGINT"
     return spark.read.schema(keys).json(path).drop("batch_id")
