@@ -15,7 +15,7 @@ from tallygrid.functions import geo, maps, predicates as pr, text as tx, times a
 from tallygrid.operators import (conferences as cf, counts as ct, layers, messages as ms,
                                  photos as ph, ranking as rk, spatial as sp, summary as su,
                                  warehouse as wh)
-from tallygrid.sources import files, queue as qu, tables as tb
+from tallygrid.sources import files, keyed as ky, queue as qu, tables as tb
 from tallygrid.streaming import compaction, counts as sc, routing
 
 from . import inputs as inp
@@ -741,6 +741,19 @@ def table_upsert(spark, sf):
     return shown(tb.read_table(spark, name).drop(tb.BUCKET), "stamp")
 
 
+@query(ORACLE["upsert_result"])
+def keyed_upsert(spark, sf):
+    """The same through files sorted by key, of which those with such keys are rewritten: first
+    for the lines of a few spread orders, then for all."""
+    root = session.new_dir(spark, "keyed")
+    stored, lines, order = upsert_inputs(spark, sf)
+    ky.create_keyed(spark, root, stored, ["id"], file_rows=max(1, stored.count() // 20))
+    ky.upsert_keyed(spark, root, lines.where("id % 1000 = 7"), order)
+    ky.upsert_keyed(spark, root, lines, order)
+    ky.clean_keyed(spark, root, keep=1)
+    return shown(ky.read_keyed(spark, root), "stamp")
+
+
 @query("SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderstatus <> 'P'")
 def table_swap(spark, sf):
     """A table, partitioned, whose rows another table's take the place of."""
