@@ -13,6 +13,8 @@ from tallygrid.functions.times import hour_bucket
 from tallygrid.operators.counts import tokens
 
 AS_OF = "2000-01-01 12:00:00"
+# Of the two weeks, when a message is said; the same in both dialects.
+MINUTE = "(doc_id * 47) % 20160"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -25,7 +27,8 @@ def as_of():
 
 def as_messages(documents: DataFrame) -> DataFrame:
     """Documents as messages: place by source and language, texts under 100
-    characters carry none; a message every 47 minutes, so they span many days."""
+    characters carry none; 47 minutes apart, over and over the same two weeks, so an hour
+    and a day fill as the table grows."""
     placed = F.col("n_chars") >= 100
     source = F.substring("source", 4, 9).cast("int")
     tongue = (F.when(F.col("lang") == "en", 0).when(F.col("lang") == "fr", 1)
@@ -34,7 +37,7 @@ def as_messages(documents: DataFrame) -> DataFrame:
         "doc_id", "text", "lang",
         F.when(placed, (source + 3000) / F.lit(100.0)).alias("lat"),
         F.when(placed, (tongue - 12000) / F.lit(100.0)).alias("lng"),
-        F.expr("timestamp_seconds(1704067200 + doc_id * 2820)").alias("ts"))
+        F.expr(f"timestamp_seconds(1704067200 + 60 * ({MINUTE}))").alias("ts"))
 
 
 def messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -121,13 +124,13 @@ def photo_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL = {
-    "messages": """messages AS (
+    "messages": f"""messages AS (
   SELECT doc_id, text, lang,
     CASE WHEN n_chars >= 100 THEN (CAST(substr(source, 4) AS INT) + 3000) / 100 END AS lat,
     CASE WHEN n_chars >= 100 THEN
       ((CASE lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 ELSE 3 END) - 12000) / 100
     END AS lng,
-    TIMESTAMP '2024-01-01' + to_minutes(doc_id * 47) AS ts
+    TIMESTAMP '2024-01-01' + to_minutes({MINUTE}) AS ts
   FROM documents),
 cells AS (
   SELECT *, CAST(floor(lat * 100 + 0.5) AS BIGINT) AS cell_lat,

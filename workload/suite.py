@@ -978,7 +978,7 @@ def local_times(spark, sf):
 STREAM_PARTS = 3
 
 
-def in_batches(spark, rows: DataFrame, order: str, run: Callable[[DataFrame], StreamingQuery],
+def in_batches(spark, rows: DataFrame, order: Column, run: Callable[[DataFrame], StreamingQuery],
                parts: int = STREAM_PARTS) -> None:
     """Rows land in parts, in the order of a number (those without one in the first), and the
     stream that ``run`` starts on the folder is run to its end after each: a batch a part."""
@@ -987,18 +987,25 @@ def in_batches(spark, rows: DataFrame, order: str, run: Callable[[DataFrame], St
     low, high = rows.agg(F.min(order), F.max(order)).first()
     part = F.lit(0)
     if low is not None:
-        part = F.coalesce(F.floor((F.col(order) - low) * parts / F.lit(high - low + 1)), F.lit(0))
+        part = F.coalesce(F.floor((order - low) * parts / F.lit(high - low + 1)), F.lit(0))
     for i in range(parts):
         rows.where(part == i).write.mode("append").parquet(path)
         run(sc.read_stream(spark, path, schema)).awaitTermination()
 
 
+def _later(parts: int, least: int) -> str:
+    """SQL of the messages that land in the parts from ``least`` on."""
+    return f"""late AS (SELECT * FROM located JOIN (
+    SELECT doc_id, {inp.MINUTE} AS m, min(m) OVER () AS low, max(m) OVER () AS high FROM documents) USING (doc_id)
+  WHERE floor((m - low) * {parts} / (high - low + 1)) >= {least})"""
+
+
 def message_batches(spark, sf, run: Callable[[DataFrame], StreamingQuery], parts: int = STREAM_PARTS) -> None:
     """Documents as a stream of located messages."""
     def placed(docs: DataFrame) -> StreamingQuery:
         return run(geo.located(geo.with_cell(inp.as_messages(docs))))
 
-    in_batches(spark, inp.table(spark, sf, "documents"), "doc_id", placed, parts)
+    in_batches(spark, inp.table(spark, sf, "documents"), F.expr(inp.MINUTE), placed, parts)
 
 
 @query(f"WITH {CELL_COUNTS_SQL} SELECT * FROM counts", "messages")
@@ -1032,8 +1039,7 @@ def stream_speed_rows(spark, sf):
     return layers.updates(sc.read_speed(spark, path))[0]
 
 
-@query(f"""WITH late AS (SELECT * FROM located WHERE floor((doc_id - (SELECT min(doc_id) FROM documents)) * 3
-    / (SELECT max(doc_id) - min(doc_id) + 1 FROM documents)) >= 1),
+@query(f"""WITH {_later(3, 1)},
 words AS ({words_of('late', stop=STOP)})
 SELECT cell_lat, cell_lng, word, count(*) AS cnt FROM words GROUP BY ALL""", "messages")
 def speed_retention(spark, sf):
@@ -1051,8 +1057,7 @@ def hour_of_batch(batch: int) -> Column:
     return inp.as_of() + F.expr(f"INTERVAL {batch} HOURS")
 
 
-@query(f"""WITH late AS (SELECT * FROM located WHERE floor((doc_id - (SELECT min(doc_id) FROM documents)) * 5
-    / (SELECT max(doc_id) - min(doc_id) + 1 FROM documents)) >= 2),
+@query(f"""WITH {_later(5, 2)},
 words AS ({words_of('late', stop=STOP)})
 SELECT cell_lat, cell_lng, word, count(*) AS cnt FROM words GROUP BY ALL""", "messages")
 def compacted_speed(spark, sf):
@@ -1084,7 +1089,7 @@ def stream_routed_messages(spark, sf):
     path, state = session.new_dir(spark, "routed"), session.new_dir(spark, "state")
     lines = inp.table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
-    in_batches(spark, lines, "l_orderkey", lambda rows: routing.route_live(
+    in_batches(spark, lines, F.col("l_orderkey"), lambda rows: routing.route_live(
         inp.as_placed(rows), lambda: inp.spread_conferences(spark, sf), routing.to_files(path), state))
     keys = "l_orderkey BIGINT, l_linenumber INT, l_partkey BIGINT, l_suppkey BIGINT"
     return spark.read.schema(keys).json(path).drop("batch_id")
