@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ids import ordered_ids
+from .selection import bounded, sort_order
 from .skew import lookup_join
 
 # ---------------------------------------------------------------- fixed values
@@ -52,14 +53,18 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int,
 
 
 def first_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
-    """The first ``n`` rows in a total order.
+    """The first ``n`` rows in a total order; a name such as ``-cnt`` is falling.
 
     The length asked for decides the plan, never the data: up to ``SHORT`` rows are
-    Spark's own limit, more are read off the numbered rows.
+    Spark's own limit, more are read off numbered rows. Where the order is by names,
+    only rows that histograms of these columns leave are numbered.
     """
-    if n > SHORT:
-        return ordered_ids(df, "_rn", order).where(F.col("_rn") <= n).drop("_rn")
-    return df.orderBy(*order).limit(n)
+    if n <= SHORT:
+        return df.orderBy(*sort_order(order)).limit(n)
+    if all(isinstance(item, str) for item in order):
+        wanted = bounded(df, order, n)
+        df = df if wanted is None else df.where(wanted)
+    return ordered_ids(df, "_rn", sort_order(order)).where(F.col("_rn") <= n).drop("_rn")
 
 
 def ranked(df: DataFrame, order: Sequence[Column], k: int, by: Sequence[str],

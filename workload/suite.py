@@ -798,6 +798,16 @@ def capped_export(spark, sf):
     return shown(wh.capped(orders, ["o_orderdate", "o_orderkey"], 10_000)[1], "o_orderdate")
 
 
+@query("""SELECT strftime(l_shipdate, '%Y-%m-%d') AS day, l_orderkey, l_linenumber, l_extendedprice AS price FROM lineitem
+ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey LIMIT 5000""")
+def dearest_lines(spark, sf):
+    """A long list, falling by a price that repeats: histograms of the price leave it and little more."""
+    lines = inp.table(spark, sf, "lineitem")
+    found = rk.first_rows(lines, ["-l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey"], 5000)
+    return found.select(F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), "l_orderkey", "l_linenumber",
+                        F.col("l_extendedprice").alias("price"))
+
+
 EXPORT = ["eb_id", "event_name", "event_type", "logo_url", "start_time_utc", "capacity",
           "online_event", "venue_name", "latitude", "longitude"]
 
