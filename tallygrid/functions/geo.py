@@ -116,3 +116,20 @@ def box_text(lat: Column, lng: Column, half: float = HALF_BOX) -> Column:
     """``west,south,east,north``, four decimals."""
     sides = [(lng, -half), (lat, -half), (lng, half), (lat, half)]
     return F.concat_ws(",", *[F.round(c + F.lit(d), 4).cast("string") for c, d in sides])
+
+
+def morton(row: Column, column: Column, bits: int = 26) -> Column:
+    """The place of a cell on a Morton curve: the bits of its two whole numbers, which lie
+    between ``-2^(bits-1)`` and ``2^(bits-1)``, in turn. Neighbours on the curve are neighbours
+    in both, so sorted files have narrow ranges of both."""
+    if not 1 <= bits <= 31:
+        raise ValueError("bits must be 1 to 31")
+
+    def spread(number: Column) -> Column:
+        at = (number + F.lit(1 << (bits - 1))).cast("bigint").bitwiseAND(F.lit((1 << bits) - 1))
+        for shift in (16, 8, 4, 2, 1):  # each step halves the runs of bits that lie together
+            mask = sum(((1 << shift) - 1) << place for place in range(0, 64, 2 * shift))
+            at = at.bitwiseOR(F.shiftleft(at, shift)).bitwiseAND(F.lit(mask))
+        return at
+
+    return F.shiftleft(spread(row), 1).bitwiseOR(spread(column))

@@ -13,9 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tallygrid import session
 from tallygrid.functions import geo, maps, predicates as pr, text as tx, times as tm
 from tallygrid.operators import (conferences as cf, counts as ct, layers, messages as ms,
-                                 photos as ph, ranking as rk, spatial as sp, summary as su,
+                                 photos as ph, ranking as rk, regions as rg, spatial as sp, summary as su,
                                  warehouse as wh)
-from tallygrid.sources import files, keyed as ky, queue as qu, tables as tb
+from tallygrid.sources import files, grid, keyed as ky, queue as qu, tables as tb
 from tallygrid.streaming import compaction, counts as sc, routing
 
 from . import inputs as inp
@@ -139,7 +139,8 @@ def day_folder_word_counts(spark, sf):
 ORDER BY cell_lat, cell_lng, word LIMIT 10000""", "messages")
 def capped_view(spark, sf):
     """The map view's cap on rows, in a total order."""
-    return rk.first_rows(counts_of(spark, sf), ["cell_lat", "cell_lng", "word"], rk.ROW_CAP)
+    counts = session.durable(counts_of(spark, sf))  # read once per histogram
+    return rk.first_rows(counts, ["cell_lat", "cell_lng", "word"], rk.ROW_CAP)
 
 
 CORPUS_SQL = f"""WITH pieces AS (SELECT unnest(string_split(text, ' ')) AS piece FROM {{source}}),
@@ -549,6 +550,44 @@ BOXES = {"west": (30.0, 30.1, -120.0, -119.99), "east": (30.05, 30.15, -119.98,
          "sf": geo.REGIONS["sf"]}
 
 
+@query("""WITH days AS (SELECT strftime(timestamp, '%y%m%d') AS yymmdd, * FROM speed_cells),
+fullest AS (SELECT yymmdd FROM days GROUP BY yymmdd ORDER BY count(*) DESC, yymmdd LIMIT 1)
+SELECT yymmdd, cell_lat, cell_lng, word, count(*) AS n FROM days WHERE yymmdd = (SELECT yymmdd FROM fullest)
+  AND cell_lat IN (3001, 3002, 3004) AND cell_lng > -12000 AND cell_lng < -11995 GROUP BY ALL""", "speed")
+def stored_range(spark, sf):
+    """A day, latitudes out of a list and an open range of longitudes, of a table stored along
+    a Morton curve. The day is the one with most rows."""
+    path = session.new_dir(spark, "grid")
+    rows = geo.coarsen(geo.with_cell(inp.speed(spark, sf), precision=3)).select(
+        F.date_format("timestamp", "yyMMdd").alias("yymmdd"), "cell_lat", "cell_lng",
+        F.substring_index("data", ",", 1).alias("word"))
+    grid.write_grid(rows, path)
+    stored = grid.read_grid(spark, path, rows.schema)
+    top = stored.groupBy("yymmdd").count().orderBy(F.desc("count"), "yymmdd").first()
+    found = grid.in_range(stored, [top["yymmdd"]] if top else [], [3001, 3002, 3004], -12000, -11995)
+    return found.groupBy("yymmdd", "cell_lat", "cell_lng", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
+REGION_SQL = """regions AS (
+  SELECT c_custkey AS region, 30 + (c_custkey % 1999) / 1000 - half AS south, 30 + (c_custkey % 1999) / 1000 + half AS north,
+    -120 + (c_custkey % 7) / 100 - 3 * half AS west, -120 + (c_custkey % 7) / 100 + 3 * half AS east
+  FROM (SELECT *, 0.0005::DOUBLE * (1 << (c_custkey % 8)) AS half FROM customer))"""
+
+
+@query(f"""WITH {REGION_SQL}
+SELECT region, count(l_orderkey) AS n FROM regions LEFT JOIN lines
+  ON lat >= south AND lat <= north AND lng >= west AND lng <= east GROUP BY region""", "lines")
+def region_table_counts(spark, sf):
+    """Lines inside each of a table of boxes of eight sizes, which overlap."""
+    half = F.lit(0.0005) * F.pow(F.lit(2.0), F.col("c_custkey") % 8)
+    lat = F.lit(30) + (F.col("c_custkey") % 1999) / F.lit(1000)
+    lng = F.lit(-120) + (F.col("c_custkey") % 7) / F.lit(100)
+    boxes = inp.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("region"), (lat - half).alias("south"), (lat + half).alias("north"),
+        (lng - F.lit(3) * half).alias("west"), (lng + F.lit(3) * half).alias("east"))
+    return rg.counts_per_region(inp.placed_lines(spark, sf), boxes, "region")
+
+
 def _box_sql(lat: str, lng: str, box) -> str:
     south, north, west, east = box
     return (f"({lat} BETWEEN {south}::DOUBLE AND {north}::DOUBLE"
