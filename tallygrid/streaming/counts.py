@@ -17,6 +17,7 @@ from .. import schemas
 from ..functions.times import hour_bucket
 from ..operators.counts import (CELL, cell_counts, cell_tallies, counts_to_maps, speed_rows,
                                 tokens, without_words)
+from ..session import apply_settings
 from . import compaction
 
 # ---------------------------------------------------------------- fixed values
@@ -120,7 +121,9 @@ def hour_windows(stream: DataFrame, ts: str = "ts", delay: str = "1 hour",
 
 def event_hours(windows: DataFrame, path: str, checkpoint: str,
                 every: str | None = None) -> StreamingQuery:
-    """Write the counts that changed in each batch."""
+    """Write the counts that changed in each batch. The open hours' counts are held in RocksDB,
+    on the executors' disks."""
+    apply_settings(windows.sparkSession, streaming=True)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (windows.writeStream.outputMode("update")
             .foreachBatch(lambda df, batch: _write_batch(df, path, batch))

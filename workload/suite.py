@@ -16,7 +16,7 @@ from tallygrid.operators import (conferences as cf, counts as ct, layers, messag
                                  photos as ph, ranking as rk, regions as rg, spatial as sp, summary as su,
                                  warehouse as wh)
 from tallygrid.sources import files, grid, keyed as ky, queue as qu, tables as tb
-from tallygrid.streaming import compaction, counts as sc, routing
+from tallygrid.streaming import compaction, counts as sc, hours as hr, routing
 
 from . import inputs as inp
 
@@ -1132,6 +1132,44 @@ def stream_hourly_windows(spark, sf):
     return shown(sc.latest_windows(spark, path), "hour")
 
 
+# Each fiftieth message lands two weeks late, in the last two of three parts.
+LATE_MINUTE = f"{inp.MINUTE} + CASE WHEN doc_id % 50 = 7 THEN 20160 ELSE 0 END"
+LATE_SQL = f"""landed AS (
+  SELECT *, floor((m - min(m) OVER ()) * 3 / (max(m) OVER () - min(m) OVER () + 1)) AS part
+  FROM (SELECT *, {LATE_MINUTE} AS m FROM cells)),
+placed AS (SELECT * FROM landed WHERE cell_lat IS NOT NULL),
+marks AS (SELECT part + 1 AS part, max(max(ts)) OVER (ORDER BY part) - INTERVAL 1 HOUR AS mark
+  FROM placed GROUP BY part),
+judged AS (SELECT p.* EXCLUDE (m, part), coalesce(date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark, false) AS late
+  FROM placed p LEFT JOIN marks USING (part))"""
+
+
+def closed(spark, sf) -> str:
+    path, state = session.new_dir(spark, "closing"), session.new_dir(spark, "state")
+    in_batches(spark, inp.table(spark, sf, "documents"), F.expr(LATE_MINUTE), lambda docs: hr.close_hours(
+        geo.located(geo.with_cell(inp.as_messages(docs))), path, state, stop=STOP))
+    return path
+
+
+@query(f"""WITH {LATE_SQL}, timed AS (SELECT * EXCLUDE (late) FROM judged WHERE NOT late
+  AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM placed)
+  AND strftime(ts, '%y%m%d%H') > '24010205'),
+words AS ({words_of('timed', stop=STOP)})
+SELECT strftime(ts, '%y%m%d%H') AS yymmddhh, cell_lat, cell_lng, word, count(*) AS cnt FROM words GROUP BY ALL""",
+       "messages")
+def closed_hours(spark, sf):
+    """Hours written once they are behind the watermark, without late messages; old hours
+    have expired."""
+    path = closed(spark, sf)
+    files.expire_buckets(spark, f"{path}/closed", "24010205")
+    return hr.read_closed(spark, path)
+
+
+@query(f"WITH {LATE_SQL} SELECT doc_id, lang FROM judged WHERE late", "messages")
+def late_messages(spark, sf):
+    return hr.read_late(spark, closed(spark, sf), "doc_id BIGINT, lang STRING")
+
+
 @query(BOX_SQL, "conferences spread lines")
 def stream_routed_messages(spark, sf):
     """Messages near a running event, sent on as JSON and read back."""
