@@ -12,10 +12,12 @@ documents of a batch advance together, arrival by arrival, in array operations.
 Candidates: documents with the same weighted set are one node. Nodes meet in a bucket when
 all registers of a band agree; with 25 bands of 5 a pair at 0.8 meets with a chance of
 0.99995, one further up more surely. In each bucket the most central node, that whose buckets
-are the largest, is the pivot and is compared with the others; never are all pairs made.
-What is not yet joined to a bucket's pivot becomes a pivot in turn, ``PIVOTS`` of a bucket at
-a time and ever more, until none is left: then every pair of a bucket has been compared, or
-is known to be of one class. Two sketches keep what cannot be similar from being verified:
+are the largest, is the pivot and is compared with the others. Then the nodes of a bucket that
+are not of one class yet are compared inside tasks, sketch with sketch, block by block; of
+each node the few most agreeing partners of other classes are verified, then more, at last
+all that are left: every pair of a bucket has then been compared, or is known to be of one
+class, and what is verified shrinks as classes grow. Two sketches keep what cannot be similar
+from being verified:
 128 bits of the registers (at similarity 0.8 fewer than 96 agree with a chance of 3e-7), and
 a parity sketch of the set, of whose bits no more can differ than shingles do, which bounds
 the similarity of unweighted sets from above without error. All other pairs are verified
@@ -23,7 +25,8 @@ on whole texts. Classes are the connected components of verified pairs.
 
 What is shuffled per document: its node and 25 bucket numbers, and, for those that share a
 bucket with another node, the sketches and the text. Buckets are counted before they are
-shuffled, and the joins on buckets are plain shuffles, so that a hot bucket can be split.
+shuffled, the join with the pivots is a plain shuffle, and blocks of a bucket are keys of
+their own, so that a hot bucket can be split.
 
 Defined cases: a NULL text, or one without a word, is in a class of its own; of a text of
 under five words the only shingle is all its words; ties and repeated rows are copies; a
@@ -47,7 +50,9 @@ from .wordhash import mixed, plain_words
 WORDS, SIMILARITY = 5, 0.8
 REGISTERS, BANDS, ROWS = 128, 25, 5
 FEWEST_BITS = 96  # of 128: at similarity 0.8 the mean is 115.2 and the deviation 3.4
-PIVOTS, MORE = 4, 32
+# Most agreeing partners of a node that a round tests; the last round tests all that are left.
+PARTNERS = (3, 24, 192, None)
+BLOCK = 2048  # nodes of a bucket whose sketches a task holds
 PARITY = 512  # bits of the parity sketch, a multiple of 64
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -188,12 +193,10 @@ def _verified(pairs: DataFrame, pool: DataFrame, least: float, words: int) -> Da
     return both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary")
 
 
-def _pairs(pivots: DataFrame, members: DataFrame, least: float, differ=None) -> DataFrame:
+def _pairs(pivots: DataFrame, members: DataFrame, least: float) -> DataFrame:
     """Each pivot with the members of its bucket that may be similar, smaller node first."""
     on = (F.col("p.bucket") == F.col("m.bucket")) & (F.col("p.node") != F.col("m.node")) \
         & _may_be_similar("p", "m", least)
-    if differ is not None:
-        on = on & differ
     return (pivots.alias("p").join(members.alias("m"), on)
             .select(F.least("p.node", "m.node").alias("a"), F.greatest("p.node", "m.node").alias("b"))
             .distinct())
@@ -217,26 +220,118 @@ def _links(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, least: f
     pivots = staged(members.withColumn("place", F.row_number().over(order)).where("place = 1").drop("place"))
     tested = staged(_pairs(pivots, members, least))
     links = staged(_verified(tested, pool, least, words))
-    count = PIVOTS
-    while True:
+    for partners in PARTNERS:
         labels = components(links).withColumnRenamed("component", "label")
-        labelled = staged(members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
-        main = (pivots.select("bucket", "node").join(labels, "node", "left")
-                .select("bucket", F.coalesce("label", "node").alias("main")))
-        rest = staged(labelled.join(main, "bucket").where("label <> main").drop("main"))
-        if not rest.take(1):
-            return links
-        further = rest.withColumn("place", F.row_number().over(order)).where(F.col("place") <= count)
-        fresh = staged(_pairs(further, labelled, least, F.col("p.label") != F.col("m.label"))
-                       .join(tested, ["a", "b"], "left_anti"))
+        labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        found = staged(_close(labelled, least, partners))
+        fresh = staged(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
         more = staged(_verified(fresh, pool, least, words))
-        left = rest.groupBy("bucket").count().where(F.col("count") > count).take(1)
-        drop_staged(labelled, rest)
-        links, tested, count = links.union(more), tested.union(fresh), count * MORE
-        if not left:  # whatever was not joined to its bucket's pivot has met all of its bucket
+        whole = partners is None or not found.where("more").take(1)
+        links, tested = links.union(more), tested.union(fresh)
+        drop_staged(found)
+        if whole:  # every pair that may be similar has been tested, or was known to be of one class
             return links
 
 
+def _close(labelled: DataFrame, least: float, partners: int | None) -> DataFrame:
+    """(a, b, more): in each bucket, of each node the ``partners`` most agreeing nodes of other labels that
+    may be similar (None: all), smaller node first; ``more`` where there were further ones.
+
+    Nodes are compared inside tasks, and only what passes leaves them. A bucket is cut into blocks
+    of about ``BLOCK`` nodes; a task holds the sketches of a block and streams those of its own and of the
+    later blocks past them. Buckets of one label, or of a pivot and one other, have nothing to add.
+    """
+    mixed_up = (labelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"),
+                                               F.max("label").alias("high"))
+                .where("n > 2 AND low <> high").select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks")))
+    rows = labelled.join(mixed_up, "bucket").withColumn("home", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("home"))))
+    rows = rows.select("bucket", "block", (F.col("home") != F.col("block")).alias("guest"), "node", "label", "bits0",
+                       "bits1", "parity", "size")
+    rows = rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "guest")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
+        for batch in batches:
+            for own, guest, part in _runs(batch):
+                if own != key:
+                    yield from _within(held, least, partners)
+                    held, key = [], own
+                if not guest:
+                    held.append(part)
+                    continue
+                if len(held) > 1:
+                    held = [_joined(held)]
+                yield from _between(held[0], part, least, partners) if held else ()
+        yield from _within(held, least, partners)
+
+    # a block's own pairs are compared once all of it is there: at the end of its group
+    return rows.mapInArrow(compare, "a binary, b binary, more boolean")
+
+
+def _runs(batch: pa.RecordBatch):
+    """The batch in runs of one block and side: (bucket, block), guest, columns."""
+    bucket, block = batch.column("bucket").to_numpy(), batch.column("block").to_numpy()
+    guest = batch.column("guest").to_numpy(zero_copy_only=False)
+    digest = {c: np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(-1, 2) for c in ("node", "label")}
+    parity = batch.column("parity").flatten().to_numpy().reshape(-1, PARITY // 64).view(np.uint64)
+    bits = np.stack([batch.column(c).to_numpy() for c in ("bits0", "bits1")], axis=1).view(np.uint64)
+    size = batch.column("size").to_numpy()
+    change = (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1]) | (guest[1:] != guest[:-1])
+    bounds = np.concatenate([[0], np.flatnonzero(change) + 1, [len(bucket)]])
+    for start, stop in zip(bounds, bounds[1:]):
+        if stop > start:
+            yield ((int(bucket[start]), int(block[start])), bool(guest[start]),
+                   tuple(x[start:stop] for x in (digest["node"], digest["label"], bits, parity, size)))
+
+
+def _joined(parts: list) -> tuple:
+    return tuple(np.concatenate(x) for x in zip(*parts)) if len(parts) > 1 else parts[0]
+
+
+def _within(held: list, least: float, partners: int | None) -> Iterator[pa.RecordBatch]:
+    if held:
+        own = _joined(held)
+        yield from _between(own, own, least, partners, ordered=True)
+
+
+def _between(homes: tuple, guests: tuple, least: float, partners: int | None,
+             ordered: bool = False) -> Iterator[pa.RecordBatch]:
+    """The candidates among homes and guests, some homes at a time; ``ordered``: of a block with itself."""
+    nodes, labels, bits, parity, size = homes
+    step = max(1, (1 << 19) // max(1, len(guests[0])))
+    for start in range(0, len(nodes), step):
+        stop = min(start + step, len(nodes))
+        agree = 128 - sum(np.bitwise_count(bits[start:stop, None, i] ^ guests[2][None, :, i]).astype(np.int16)
+                          for i in range(2))
+        may = agree >= FEWEST_BITS
+        may &= (labels[start:stop, None] != guests[1][None]).any(axis=2)
+        if ordered:
+            may &= np.arange(start, stop)[:, None] < np.arange(len(guests[0]))[None]
+        row, col = np.nonzero(may)
+        agreeing = agree[row, col]
+        row = row + start
+        differ = np.bitwise_count(parity[row] ^ guests[3][col]).sum(axis=1, dtype=np.int64)
+        both = size[row].astype(np.int64) + guests[4][col]
+        fits = (size[row] < 0) | (guests[4][col] < 0) | (both - differ >= least * (both + differ) - 1e-9)
+        row, col, agreeing = row[fits], col[fits], agreeing[fits]
+        order = np.lexsort((-agreeing, row))
+        row, col = row[order], col[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        keep = np.ones(len(row), bool) if partners is None else place < partners
+        if len(row):
+            more = np.full(int(keep.sum()), bool((~keep).any()))
+            yield pa.RecordBatch.from_arrays([*_sorted_ends(nodes[row[keep]], guests[0][col[keep]]), pa.array(more)],
+                                             ["a", "b", "more"])
+
+
+def _sorted_ends(a: np.ndarray, b: np.ndarray) -> list[pa.Array]:
+    """Digests of pairs, the smaller first in the order of bytes."""
+    x, y = a.astype("<u8").view(np.uint8).reshape(-1, 16), b.astype("<u8").view(np.uint8).reshape(-1, 16)
+    ends = [(p, q) if p < q else (q, p) for p, q in zip((r.tobytes() for r in x), (r.tobytes() for r in y))]
+    return [pa.array([e[i] for e in ends], pa.binary()) for i in range(2)]
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                     least: float = SIMILARITY, words: int = WORDS) -> DataFrame:
     """Per row: id, class_id (the smallest id of its class), class_size (rows), kept (whether
