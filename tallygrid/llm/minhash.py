@@ -20,7 +20,7 @@ class, and what is verified shrinks as classes grow. Two sketches keep what cann
 from being verified:
 128 bits of the registers (at similarity 0.8 fewer than 96 agree with a chance of 3e-7), and
 a parity sketch of the set, of whose bits no more can differ than shingles do, which bounds
-the similarity of unweighted sets from above without error. All other pairs are verified
+the similarity from above without error (``most_similar``). All other pairs are verified
 on whole texts. Classes are the connected components of verified pairs.
 
 What is shuffled per document: its node and 25 bucket numbers, and, for those that share a
@@ -117,9 +117,9 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def sketches(df: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> DataFrame:
-    """(id, text_key, node, buckets, bits0, bits1, parity, size) per row; node is a digest of
-    the whole weighted set, NULL for a text without words; size is -1 where a shingle
-    repeats."""
+    """(id, text_key, node, buckets, bits0, bits1, parity, size, mass) per row; node is a digest
+    of the whole weighted set, NULL for a text without words; size counts the shingles, mass
+    adds up their weights."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1000):
@@ -136,8 +136,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> D
             place = text * PARITY + (mixed(key ^ STEP) % np.uint64(PARITY)).astype(np.int64)
             odd = np.bincount(place, minlength=n * PARITY) & 1
             parity = np.packbits(odd.astype(bool).reshape(n, PARITY), axis=1).view("<i8")
-            size = np.bincount(text, minlength=n)
-            size[np.bincount(text, weight, minlength=n) > size] = -1
+            size, mass = np.bincount(text, minlength=n), np.bincount(text, weight, minlength=n)
             register = np.arange(REGISTERS, dtype=np.uint64) * STEP  # a shingle has a bit of its own in each
             bits = np.packbits((mixed(held + register) >> np.uint64(63)).astype(bool), axis=1).view("<i8")
             yield pa.RecordBatch.from_arrays(
@@ -145,12 +144,13 @@ def sketches(df: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> D
                  pa.ListArray.from_arrays(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32), total.ravel()),
                  pa.array(bits[:, 0]), pa.array(bits[:, 1]),
                  pa.ListArray.from_arrays(np.arange(0, parity.size + 1, PARITY // 64, dtype=np.int32),
-                                          parity.ravel()), pa.array(size.astype(np.int32))],
-                ["id", "text_key", "node", "buckets", "bits0", "bits1", "parity", "size"])
+                                          parity.ravel()), pa.array(size.astype(np.int32)),
+                 pa.array(mass.astype(np.int64))],
+                ["id", "text_key", "node", "buckets", "bits0", "bits1", "parity", "size", "mass"])
 
     rows = _keyed(df, id_col, text_col)
     return rows.mapInArrow(sketch, "id long, text_key binary, node binary, buckets array<long>, "
-                                   "bits0 long, bits1 long, parity array<long>, size int")
+                                   "bits0 long, bits1 long, parity array<long>, size int, mass long")
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -159,14 +159,29 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.unhex(F.md5(text)).alias("text_key"))
 
 
+def most_similar(differ, size_a, size_b, mass_a, mass_b) -> tuple:
+    """Two upper bounds of the similarity of two weighted sets, of whose supports ``differ`` elements
+    at least are not shared; numbers, arrays or Columns. The second holds where no weight is over 1.
+
+    The elements of only one set, p and q of them, are at least (differ + size_a - size_b) / 2
+    and (differ - size_a + size_b) / 2, and weigh as much. A shared element's term is
+    1 / D with D >= A/x + q/y and D >= B/y + p/x for masses A, B and weights x, y, so at most
+    the mean of x / (A + p) and y / (B + q); these add up to the first bound.
+    """
+    over_a, over_b = (differ + size_a - size_b) / 2, (differ - size_a + size_b) / 2
+    first = ((mass_a - over_a) / (mass_a + over_a) + (mass_b - over_b) / (mass_b + over_b)) / 2
+    return first, (size_a + size_b - differ) / (size_a + size_b + differ)
+
+
 def _may_be_similar(a: str, b: str, least: float):
     """Whether the sketches allow a similarity of ``least``."""
     differ = sum(F.bit_count(F.col(f"{a}.parity")[i].bitwiseXOR(F.col(f"{b}.parity")[i]))
                  for i in range(PARITY // 64))
-    both = F.col(f"{a}.size") + F.col(f"{b}.size")
-    weighted = (F.col(f"{a}.size") < 0) | (F.col(f"{b}.size") < 0)
-    return (_agreeing(a, b) >= FEWEST_BITS) & (
-        weighted | (both - differ >= F.lit(least) * (both + differ) - 1e-9))
+    # sets differ by as much as their sizes do, whatever the parities hide
+    differ = F.greatest(differ, F.abs(F.col(f"{a}.size") - F.col(f"{b}.size")))
+    weighted, plain = most_similar(differ, *[F.col(f"{x}.{c}") for c in ("size", "mass") for x in (a, b)])
+    heavy = (F.col(f"{a}.mass") > F.col(f"{a}.size")) | (F.col(f"{b}.mass") > F.col(f"{b}.size"))
+    return (_agreeing(a, b) >= FEWEST_BITS) & (weighted >= least - 1e-9) & (heavy | (plain >= least - 1e-9))
 
 
 def _agreeing(a: str, b: str):
@@ -209,7 +224,7 @@ def _links(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, least: f
     shared = staged(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     central = F.sum("n").over(Window.partitionBy("node"))  # of a node's buckets, 25 at most
     placed = staged(rows.join(shared, "bucket").withColumn("central", central).drop("n"))
-    members = staged(placed.join(nodes.select("node", "bits0", "bits1", "parity", "size"), "node"))
+    members = staged(placed.join(nodes.select("node", "bits0", "bits1", "parity", "size", "mass"), "node"))
     drop_staged(placed, shared)
     wanted = members.select("node").distinct().join(nodes.select("node", "id", "text_key"), "node")
     texts = _keyed(df, id_col, text_col)
@@ -247,7 +262,7 @@ def _close(labelled: DataFrame, least: float, partners: int | None) -> DataFrame
     rows = labelled.join(mixed_up, "bucket").withColumn("home", F.pmod(F.xxhash64("node"), F.col("blocks")))
     rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("home"))))
     rows = rows.select("bucket", "block", (F.col("home") != F.col("block")).alias("guest"), "node", "label", "bits0",
-                       "bits1", "parity", "size")
+                       "bits1", "parity", "size", "mass")
     rows = rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "guest")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,13 +291,13 @@ def _runs(batch: pa.RecordBatch):
     digest = {c: np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(-1, 2) for c in ("node", "label")}
     parity = batch.column("parity").flatten().to_numpy().reshape(-1, PARITY // 64).view(np.uint64)
     bits = np.stack([batch.column(c).to_numpy() for c in ("bits0", "bits1")], axis=1).view(np.uint64)
-    size = batch.column("size").to_numpy()
+    size, mass = (batch.column(c).to_numpy().astype(np.float64) for c in ("size", "mass"))
     change = (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1]) | (guest[1:] != guest[:-1])
     bounds = np.concatenate([[0], np.flatnonzero(change) + 1, [len(bucket)]])
     for start, stop in zip(bounds, bounds[1:]):
         if stop > start:
             yield ((int(bucket[start]), int(block[start])), bool(guest[start]),
-                   tuple(x[start:stop] for x in (digest["node"], digest["label"], bits, parity, size)))
+                   tuple(x[start:stop] for x in (digest["node"], digest["label"], bits, parity, size, mass)))
 
 
 def _joined(parts: list) -> tuple:
@@ -298,7 +313,7 @@ def _within(held: list, least: float, partners: int | None) -> Iterator[pa.Recor
 def _between(homes: tuple, guests: tuple, least: float, partners: int | None,
              ordered: bool = False) -> Iterator[pa.RecordBatch]:
     """The candidates among homes and guests, some homes at a time; ``ordered``: of a block with itself."""
-    nodes, labels, bits, parity, size = homes
+    nodes, labels, bits, parity, size, mass = homes
     step = max(1, (1 << 19) // max(1, len(guests[0])))
     for start in range(0, len(nodes), step):
         stop = min(start + step, len(nodes))
@@ -312,8 +327,10 @@ def _between(homes: tuple, guests: tuple, least: float, partners: int | None,
         agreeing = agree[row, col]
         row = row + start
         differ = np.bitwise_count(parity[row] ^ guests[3][col]).sum(axis=1, dtype=np.int64)
-        both = size[row].astype(np.int64) + guests[4][col]
-        fits = (size[row] < 0) | (guests[4][col] < 0) | (both - differ >= least * (both + differ) - 1e-9)
+        differ = np.maximum(differ, np.abs(size[row] - guests[4][col]))
+        weighted, plain = most_similar(differ, size[row], guests[4][col], mass[row], guests[5][col])
+        heavy = (mass > size)[row] | (guests[5] > guests[4])[col]
+        fits = (weighted >= least - 1e-9) & (heavy | (plain >= least - 1e-9))
         row, col, agreeing = row[fits], col[fits], agreeing[fits]
         order = np.lexsort((-agreeing, row))
         row, col = row[order], col[order]
@@ -340,9 +357,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     best = F.min(F.struct(F.col("id").isNull(), "id", "text_key"))
     nodes = staged(sketch.where("node IS NOT NULL").groupBy("node").agg(
         best.alias("best"), F.count(F.lit(1)).alias("n"), *[
-            F.first(c).alias(c) for c in ("buckets", "bits0", "bits1", "parity", "size")])
+            F.first(c).alias(c) for c in ("buckets", "bits0", "bits1", "parity", "size", "mass")])
         .select("node", "best", "best.id", "best.text_key", "n", "buckets", "bits0", "bits1", "parity",
-                "size"))
+                "size", "mass"))
     links = _links(nodes, df, id_col, text_col, least, words)
     named = (nodes.select("node", "best", "n").join(components(links), "node", "left")
              .withColumn("component", F.coalesce("component", "node")))

@@ -27,6 +27,23 @@ def test_registers_agree_as_often_as_sets_are_similar():
     assert abs((held[0] == held[1]).mean() - exact) < 4 * (exact * (1 - exact) / m) ** .5
 
 
+def test_no_similarity_is_over_its_bounds():
+    rng = np.random.default_rng(8)
+    for _ in range(500):
+        n, top = rng.integers(1, 60), rng.choice([1, 2, 6])
+        base = {int(k): int(w) for k, w in zip(rng.integers(1, 2 ** 62, n), rng.integers(1, top + 1, n))}
+        other = {k: w if rng.random() < .8 else int(rng.integers(1, top + 1)) for k, w in base.items() if rng.random() < .85}
+        other |= {int(k): int(rng.integers(1, top + 1)) for k in rng.integers(1, 2 ** 62, rng.integers(0, 8))}
+        if not other:
+            continue
+        sides = [(np.array(sorted(s), np.uint64), np.array([s[k] for k in sorted(s)])) for s in (base, other)]
+        differ = len(base.keys() ^ other.keys())
+        differ = int(rng.integers(abs(len(base) - len(other)), differ + 1))  # parities may show less
+        bounds = minhash.most_similar(differ, len(base), len(other), sum(base.values()), sum(other.values()))
+        found = minhash.similarity(*sides)
+        assert found <= bounds[0] + 1e-12 and (top > 1 or found <= bounds[1] + 1e-12)
+
+
 def test_early_termination_changes_nothing():
     text, key, weight = minhash.shingles(pa.array([" ".join(words(300, 1)), "", "two words", " ".join(words(30, 2))]))
     alone = [minhash.prob_minhash(np.zeros((text == t).sum(), np.int64), key[text == t], weight[text == t], 1)[0]
