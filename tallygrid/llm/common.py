@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -100,6 +102,20 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(start, rows)
 
 
+def freed(task):
+    """``task`` (a function of batches), giving back what it held as it ends: Python workers
+    stay for later stages, and would keep the largest size they ever had."""
+    def run(batches):
+        yield from task(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
+
+    return run
+
+
 def text_bytes(texts: pa.Array) -> list[bytes]:
     return [v or b"" for v in texts.cast(pa.large_binary()).to_pylist()]
 

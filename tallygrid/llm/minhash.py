@@ -11,22 +11,19 @@ documents of a batch advance together, arrival by arrival, in array operations.
 
 Candidates: documents with the same weighted set are one node. Nodes meet in a bucket when
 all registers of a band agree; with 25 bands of 5 a pair at 0.8 meets with a chance of
-0.99995, one further up more surely. In each bucket the most central node, that whose buckets
-are the largest, is the pivot and is compared with the others. Then the nodes of a bucket that
-are not of one class yet are compared inside tasks, sketch with sketch, block by block; of
-each node the few most agreeing partners of other classes are verified, then more, at last
-all that are left: every pair of a bucket has then been compared, or is known to be of one
-class, and what is verified shrinks as classes grow. Two sketches keep what cannot be similar
-from being verified:
-128 bits of the registers (at similarity 0.8 fewer than 96 agree with a chance of 3e-7), and
-a parity sketch of the set, of whose bits no more can differ than shingles do, which bounds
-the similarity from above without error (``most_similar``). All other pairs are verified
-on whole texts. Classes are the connected components of verified pairs.
+0.99995, one further up more surely. Nodes of a bucket are compared inside tasks, sketch with
+sketch, block by block; of each node the few most agreeing partners are verified. Of those
+that are not of one class by then more are, at last all that are left: every pair of a bucket
+has then been compared, or is known to be of one class, and what is verified is few a node.
+Two sketches keep what cannot be similar from being verified: 128 bits of the registers (at
+similarity 0.8 fewer than 96 agree with a chance of 3e-7), and a parity sketch of the set, of
+whose bits no more can differ than shingles do, which bounds the similarity from above
+without error (``most_similar``). All other pairs are verified on whole texts. Classes are the
+connected components of verified pairs.
 
 What is shuffled per document: its node and 25 bucket numbers, and, for those that share a
 bucket with another node, the sketches and the text. Buckets are counted before they are
-shuffled, the join with the pivots is a plain shuffle, and blocks of a bucket are keys of
-their own, so that a hot bucket can be split.
+shuffled, and blocks of a bucket are keys of their own, so that a hot bucket is split.
 
 Defined cases: a NULL text, or one without a word, is in a class of its own; of a text of
 under five words the only shingle is all its words; ties and repeated rows are copies; a
@@ -44,14 +41,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, drop_staged, slices, staged, text_of, unused
+from .common import components, drop_staged, freed, slices, staged, text_of, unused
 from .wordhash import mixed, plain_words
 
 WORDS, SIMILARITY = 5, 0.8
 REGISTERS, BANDS, ROWS = 128, 25, 5
 FEWEST_BITS = 96  # of 128: at similarity 0.8 the mean is 115.2 and the deviation 3.4
 # Most agreeing partners of a node that a round tests; the last round tests all that are left.
-PARTNERS = (3, 24, 192, None)
+PARTNERS = (3, 48, None)
 BLOCK = 2048  # nodes of a bucket whose sketches a task holds
 PARITY = 512  # bits of the parity sketch, a multiple of 64
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -149,7 +146,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> D
                 ["id", "text_key", "node", "buckets", "bits0", "bits1", "parity", "size", "mass"])
 
     rows = _keyed(df, id_col, text_col)
-    return rows.mapInArrow(sketch, "id long, text_key binary, node binary, buckets array<long>, "
+    return rows.mapInArrow(freed(sketch), "id long, text_key binary, node binary, buckets array<long>, "
                                    "bits0 long, bits1 long, parity array<long>, size int, mass long")
 
 
@@ -173,22 +170,6 @@ def most_similar(differ, size_a, size_b, mass_a, mass_b) -> tuple:
     return first, (size_a + size_b - differ) / (size_a + size_b + differ)
 
 
-def _may_be_similar(a: str, b: str, least: float):
-    """Whether the sketches allow a similarity of ``least``."""
-    differ = sum(F.bit_count(F.col(f"{a}.parity")[i].bitwiseXOR(F.col(f"{b}.parity")[i]))
-                 for i in range(PARITY // 64))
-    # sets differ by as much as their sizes do, whatever the parities hide
-    differ = F.greatest(differ, F.abs(F.col(f"{a}.size") - F.col(f"{b}.size")))
-    weighted, plain = most_similar(differ, *[F.col(f"{x}.{c}") for c in ("size", "mass") for x in (a, b)])
-    heavy = (F.col(f"{a}.mass") > F.col(f"{a}.size")) | (F.col(f"{b}.mass") > F.col(f"{b}.size"))
-    return (_agreeing(a, b) >= FEWEST_BITS) & (weighted >= least - 1e-9) & (heavy | (plain >= least - 1e-9))
-
-
-def _agreeing(a: str, b: str):
-    return 128 - F.bit_count(F.col(f"{a}.bits0").bitwiseXOR(F.col(f"{b}.bits0"))) \
-        - F.bit_count(F.col(f"{a}.bits1").bitwiseXOR(F.col(f"{b}.bits1")))
-
-
 def _verified(pairs: DataFrame, pool: DataFrame, least: float, words: int) -> DataFrame:
     """The pairs (a, b) whose texts are at least ``least`` similar."""
 
@@ -205,60 +186,63 @@ def _verified(pairs: DataFrame, pool: DataFrame, least: float, words: int) -> Da
 
     both = (pairs.join(pool.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
             .join(pool.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"))
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary")
-
-
-def _pairs(pivots: DataFrame, members: DataFrame, least: float) -> DataFrame:
-    """Each pivot with the members of its bucket that may be similar, smaller node first."""
-    on = (F.col("p.bucket") == F.col("m.bucket")) & (F.col("p.node") != F.col("m.node")) \
-        & _may_be_similar("p", "m", least)
-    return (pivots.alias("p").join(members.alias("m"), on)
-            .select(F.least("p.node", "m.node").alias("a"), F.greatest("p.node", "m.node").alias("b"))
-            .distinct())
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(freed(verify), "a binary, b binary")
 
 
 def _links(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, least: float,
            words: int) -> DataFrame:
     """Verified links between nodes, enough of them for the components of all."""
     rows = nodes.select("node", F.explode("buckets").alias("bucket"))
-    shared = staged(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    central = F.sum("n").over(Window.partitionBy("node"))  # of a node's buckets, 25 at most
-    placed = staged(rows.join(shared, "bucket").withColumn("central", central).drop("n"))
-    members = staged(placed.join(nodes.select("node", "bits0", "bits1", "parity", "size", "mass"), "node"))
-    drop_staged(placed, shared)
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    members = staged(rows.join(shared, "bucket").join(
+        nodes.select("node", "bits0", "bits1", "parity", "size", "mass"), "node"))
     wanted = members.select("node").distinct().join(nodes.select("node", "id", "text_key"), "node")
     texts = _keyed(df, id_col, text_col)
     pool = staged(texts.join(wanted.withColumnRenamed("id", "own"),
                              [texts.text_key == wanted.text_key, texts.id.eqNullSafe(F.col("own"))])
                   .select("node", "text").dropDuplicates(["node"]))
-    order = Window.partitionBy("bucket").orderBy(F.desc("central"), "node")
-    pivots = staged(members.withColumn("place", F.row_number().over(order)).where("place = 1").drop("place"))
-    tested = staged(_pairs(pivots, members, least))
-    links = staged(_verified(tested, pool, least, words))
+    links = tested = None
     for partners in PARTNERS:
-        labels = components(links).withColumnRenamed("component", "label")
-        labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        found = staged(_close(labelled, least, partners))
-        fresh = staged(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
+        labelled = members.withColumn("label", F.col("node"))
+        if links is not None:
+            labels = components(links).withColumnRenamed("component", "label")
+            labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        found = staged(_best(_close(labelled, least, partners), partners))
+        fresh = found.where("best").select("a", "b")
+        fresh = fresh if tested is None else staged(fresh.join(tested, ["a", "b"], "left_anti"))
         more = staged(_verified(fresh, pool, least, words))
-        whole = partners is None or not found.where("more").take(1)
-        links, tested = links.union(more), tested.union(fresh)
-        drop_staged(found)
-        if whole:  # every pair that may be similar has been tested, or was known to be of one class
-            return links
+        links = more if links is None else links.union(more)
+        tested = fresh if tested is None else tested.union(fresh)
+        if not found.where("more OR NOT best").take(1):
+            break  # every pair that may be similar has been tested, or was known to be of one class
+    return links
+
+
+def _best(found: DataFrame, partners: int | None) -> DataFrame:
+    """(a, b, more, best): the pairs once each, and whether one of its ends has no more than
+    ``partners`` that agree better."""
+    once = found.groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("more").alias("more"))
+    if partners is None:
+        return once.select("a", "b", "more", F.lit(True).alias("best"))
+
+    def place(end: str, other: str):
+        return F.row_number().over(Window.partitionBy(end).orderBy(F.desc("agree"), other))
+
+    placed = once.withColumns({"in_a": place("a", "b"), "in_b": place("b", "a")})
+    return placed.select("a", "b", "more", (F.least("in_a", "in_b") <= partners).alias("best"))
 
 
 def _close(labelled: DataFrame, least: float, partners: int | None) -> DataFrame:
-    """(a, b, more): in each bucket, of each node the ``partners`` most agreeing nodes of other labels that
-    may be similar (None: all), smaller node first; ``more`` where there were further ones.
+    """(a, b, agree, more): in each bucket, of each node the ``partners`` most agreeing nodes of other labels
+    that may be similar (None: all), smaller node first; ``more`` where there were further ones.
 
     Nodes are compared inside tasks, and only what passes leaves them. A bucket is cut into blocks
     of about ``BLOCK`` nodes; a task holds the sketches of a block and streams those of its own and of the
-    later blocks past them. Buckets of one label, or of a pivot and one other, have nothing to add.
+    later blocks past them. Buckets of one label have nothing to add.
     """
     mixed_up = (labelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"),
                                                F.max("label").alias("high"))
-                .where("n > 2 AND low <> high").select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks")))
+                .where("low <> high").select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks")))
     rows = labelled.join(mixed_up, "bucket").withColumn("home", F.pmod(F.xxhash64("node"), F.col("blocks")))
     rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("home"))))
     rows = rows.select("bucket", "block", (F.col("home") != F.col("block")).alias("guest"), "node", "label", "bits0",
@@ -281,7 +265,7 @@ def _close(labelled: DataFrame, least: float, partners: int | None) -> DataFrame
         yield from _within(held, least, partners)
 
     # a block's own pairs are compared once all of it is there: at the end of its group
-    return rows.mapInArrow(compare, "a binary, b binary, more boolean")
+    return rows.mapInArrow(freed(compare), "a binary, b binary, agree int, more boolean")
 
 
 def _runs(batch: pa.RecordBatch):
@@ -338,8 +322,9 @@ def _between(homes: tuple, guests: tuple, least: float, partners: int | None,
         keep = np.ones(len(row), bool) if partners is None else place < partners
         if len(row):
             more = np.full(int(keep.sum()), bool((~keep).any()))
-            yield pa.RecordBatch.from_arrays([*_sorted_ends(nodes[row[keep]], guests[0][col[keep]]), pa.array(more)],
-                                             ["a", "b", "more"])
+            ends = _sorted_ends(nodes[row[keep]], guests[0][col[keep]])
+            yield pa.RecordBatch.from_arrays(
+                [*ends, pa.array(agreeing[order][keep].astype(np.int32)), pa.array(more)], ["a", "b", "agree", "more"])
 
 
 def _sorted_ends(a: np.ndarray, b: np.ndarray) -> list[pa.Array]:

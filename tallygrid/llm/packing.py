@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_of
+from .common import freed, slices, text_of
 from .tokens import encoder, with_end
 
 CAPACITY = 4096
@@ -149,7 +149,7 @@ def packed(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         if held:
             yield from slices([layout()], 500)
 
-    return dealt.sortWithinPartitions("id", "tie").select("id", "text").mapInArrow(pack, SCHEMA)
+    return dealt.sortWithinPartitions("id", "tie").select("id", "text").mapInArrow(freed(pack), SCHEMA)
 
 
 def piece_rows(windows: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, staged, text_of, with_field
+from .common import freed, slices, staged, text_of, with_field
 from .wordhash import buffer_of, hashes, lowered, runs
 
 SAMPLE = 20_000
@@ -484,4 +484,4 @@ def scored(df: DataFrame, labels: DataFrame, teach: Column | None = None, *, id_
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], [*names, "score"])
 
     whole = df.select(*[f"`{c}`" for c in names])
-    return whole.mapInArrow(score, with_field(whole.schema, "score", "double"))
+    return whole.mapInArrow(freed(score), with_field(whole.schema, "score", "double"))
