@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,8 @@ from ..functions.geo import cell_text
 CELL = ("cell_lat", "cell_lng")
 # Rows a cell's words are spread over in map form, whatever their number.
 MAP_PARTS = 16
+# Bytes of a map row, and what an entry takes beside its word.
+MAP_BYTES, ENTRY_BYTES = 1 << 20, 16
 
 
 def tokens(df: DataFrame, keep: Sequence[str], text: str = "text",
@@ -120,14 +122,24 @@ def cell_tallies(df: DataFrame, by: Sequence[str] = CELL, text: str = "text",
             .groupBy(*by, "word").agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def counts_to_maps(marked: DataFrame, by: Sequence[str] = CELL, parts: int = MAP_PARTS) -> DataFrame:
-    """Map form ``(*by, part, data)`` of marked counts. A group is always cut by the word's
-    hash, into at most ``parts`` rows whose maps do not overlap; readers sum them
-    (``merge_maps``)."""
+def counts_to_maps(marked: DataFrame, by: Sequence[str] = CELL, parts: int = MAP_PARTS,
+                   most_bytes: int = MAP_BYTES) -> DataFrame:
+    """Map form ``(*by, part, data)`` of marked counts, in rows of a bounded size whose maps do
+    not overlap; readers sum them (``merge_maps``).
+
+    A group is dealt by the word's hash to ``parts`` tasks at most. There a running sum of
+    bytes over the words in order cuts it where the sum passes a multiple of ``most_bytes``:
+    a map has ``most_bytes`` and one word more at most, however many words a group has. The
+    sums and the maps need the one shuffle that dealt the words out.
+    """
+    dealt = marked.select(*by, F.pmod(F.xxhash64("word"), F.lit(parts)).alias("_deal"), "word", "cnt")
+    size = F.octet_length("word") + ENTRY_BYTES
+    before = Window.partitionBy(*by, "_deal").orderBy("word").rowsBetween(Window.unboundedPreceding, -1)
+    cut = F.floor(F.coalesce(F.sum(size).over(before), F.lit(0)) / F.lit(most_bytes))
     pairs = F.sort_array(F.collect_list(F.struct("word", "cnt")))
-    part = F.pmod(F.xxhash64("word"), F.lit(parts)).alias("part")
-    return (marked.select(*by, part, "word", "cnt")
-            .groupBy(*by, "part").agg(F.map_from_entries(pairs).alias("data")))
+    return (dealt.withColumn("_cut", cut).groupBy(*by, "_deal", "_cut")
+            .agg(F.map_from_entries(pairs).alias("data"))
+            .select(*by, (F.col("_cut") * parts + F.col("_deal")).alias("part"), "data"))
 
 
 def batch_rows(map_counts: DataFrame, bucket: str, as_of: Column,

@@ -146,3 +146,19 @@ def test_sample_is_repeatable(spark, rows):
 def test_latest_row(spark, rows):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)], "k int, v string, t int")
     assert rows(rk.latest_by(df, ["k"], [F.desc("t")]), "k", "v") == [(1, "b"), (2, "c")]
+
+
+def test_map_rows_of_a_large_vocabulary_are_bounded(spark):
+    """A cell of two million words beside a small one: no row is over the bound, none is small
+    but the last of its task, and the maps are the counts."""
+    words = spark.range(2_000_000).select(
+        F.when(F.col("id") < 10, 2).otherwise(1).cast("bigint").alias("cell_lat"), F.lit(0).cast("bigint").alias("cell_lng"),
+        F.concat(F.lit("word"), F.col("id").cast("string")).alias("word"), (F.col("id") % 9 + 1).alias("cnt"))
+    packed = ct.counts_to_maps(words, most_bytes=1 << 16)
+    size = F.aggregate(F.map_keys("data"), F.lit(0), lambda n, w: n + F.octet_length(w) + ct.ENTRY_BYTES)
+    rows = packed.select("cell_lat", "part", size.alias("n")).collect()
+    assert max(r["n"] for r in rows) <= (1 << 16) + 40 and len({(r["cell_lat"], r["part"]) for r in rows}) == len(rows)
+    assert sum(r["n"] < 1 << 15 for r in rows) <= 2 * ct.MAP_PARTS
+    back = ct.merge_maps(packed, list(ct.CELL), "data")
+    assert back.count() == 2_000_000 and back.exceptAll(words).count() == 0
+    assert packed._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
