@@ -57,15 +57,14 @@ def close_hours(stream: DataFrame, path: str, checkpoint: str, delay: timedelta
         finally:
             held.unpersist()
         high = max((t for t in (high, newest) if t is not None), default=None)
-        ended = [] if high is None else _open_hours(spark, lambda end: end <= high - behind)
-        fresh = [h for h in ended if mark is None or _end(h) > mark]
+        ended = [] if high is None else [x for x in _open(spark) if _end(x[1]) <= high - behind]
+        fresh = sorted({hour for _, hour in ended if mark is None or _end(hour) > mark})
         if fresh:
             _close(spark, fresh)
         vs.commit(spark, path, number, [{"high": high}])
         vs.forget(spark, path, keep=2)
-        for hour in ended:  # counted, or left by a batch that ended here
-            for folder in _folders(spark, hour):
-                vs.remove(spark, folder)
+        for batch_folder, hour in ended:  # counted, or left by a batch that ended here
+            vs.remove(spark, f"{path}/open/{batch_folder}/{HOUR}={hour}")
 
     def _split(held: DataFrame, number: int, mark: int | None) -> None:
         is_late: Column = F.col("_at").isNull()
@@ -76,14 +75,10 @@ def close_hours(stream: DataFrame, path: str, checkpoint: str, delay: timedelta
         (cell_counts(timed, [HOUR, *CELL], stop=stop).write.mode("overwrite")
          .partitionBy(HOUR).parquet(f"{path}/open/batch_id={number}"))
 
-    def _folders(spark: SparkSession, hour: str) -> list[str]:
-        found = [f"{path}/open/{b}/{HOUR}={hour}" for b in vs.names(spark, f"{path}/open")]
-        return [f for f in found if vs.exists(spark, f)]
-
-    def _open_hours(spark: SparkSession, wanted) -> list[str]:
-        hours = {n.split("=", 1)[1] for b in vs.names(spark, f"{path}/open")
-                 for n in vs.names(spark, f"{path}/open/{b}") if n.startswith(HOUR + "=")}
-        return sorted(h for h in hours if wanted(_end(h)))
+    def _open(spark: SparkSession) -> list[tuple[str, str]]:
+        """The batch folders and hours that are open; looks at names only."""
+        return [(b, n.split("=", 1)[1]) for b in vs.names(spark, f"{path}/open")
+                for n in vs.names(spark, f"{path}/open/{b}") if n.startswith(HOUR + "=")]
 
     def _close(spark: SparkSession, hours: Sequence[str]) -> None:
         parts = (spark.read.schema(schemas.CELL_COUNTS + ", batch_id BIGINT").parquet(f"{path}/open")
