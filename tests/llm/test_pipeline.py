@@ -27,7 +27,7 @@ def test_stages_one_by_one(cluster, tables):
     toxic = {r.doc_id for r in tables["labels"].where("toxic = 1").collect()}
     clean = {r.doc_id for r in tables["labels"].where("toxic = 0").collect()}
     left = {r.doc_id for r in kept.select("doc_id").collect()}
-    assert len(clean - left) <= 0.02 * len(clean) and len(toxic & left) <= 0.6 * len(toxic)
+    assert len(clean - left) <= 0.02 * len(clean) and len(toxic & left) <= 0.5 * len(toxic)
 
     single = run["exact_dedup"](cluster, kept, SF).cache()
     groups = {}
@@ -47,6 +47,17 @@ def test_stages_one_by_one(cluster, tables):
     assert all(sizes[p.doc_id] == p.doc_tokens for p in pieces) and all(sizes.values())
 
 
+def test_the_toxicity_stage_rejects_as_many_as_measured(cluster):
+    """Of 51 labelled toxic texts 15 stayed and of 348 clean ones 2 went when this was written; with ten
+    times the labels 28 of 449 and 16 of 3,531."""
+    larger = "/root/testdata/sf0.01"
+    kept = corpus_pipeline.drop_toxic(cluster, cluster.read.parquet(f"{larger}/documents.parquet"), larger)
+    left = {r.doc_id for r in kept.select("doc_id").collect()}
+    labels = cluster.read.parquet(f"{larger}/labels.parquet").collect()
+    toxic, clean = ({r.doc_id for r in labels if r.toxic == v} for v in (1, 0))
+    assert len(toxic & left) <= 0.33 * len(toxic) and len(clean - left) <= 0.01 * len(clean)
+
+
 def docs_with_odd_names(cluster, docs):
     """Documents with further columns, called like internal ones or with a dot."""
     added = {"score": F.lit(42.0), "a.b": F.col("doc_id"), "node": F.lit("n"), "id": F.lit(1),
