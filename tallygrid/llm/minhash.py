@@ -189,9 +189,27 @@ def _verified(pairs: DataFrame, pool: DataFrame, least: float, words: int) -> Da
     return both.select("a", "b", "text_a", "text_b").mapInArrow(freed(verify), "a binary, b binary")
 
 
-def _links(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, least: float,
-           words: int) -> DataFrame:
-    """Verified links between nodes, enough of them for the components of all."""
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) of all linked nodes, after ``links`` on top of the components known before.
+
+    Only links between components are followed again, so a later round costs what it finds.
+    """
+    if labels is None:
+        return staged(components(links))
+    if not links.take(1):
+        return labels
+    for end in ("a", "b"):
+        known = labels.select(F.col("node").alias(end), F.col("component").alias("up"))
+        links = links.join(known, end, "left").withColumn(end, F.coalesce("up", end)).drop("up")
+    above = staged(components(links))
+    moved = labels.join(above.select(F.col("node").alias("component"), F.col("component").alias("top")),
+                        "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    return staged(moved.union(above.join(labels, "node", "left_anti").select("node", "component")))
+
+
+def _linked(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, least: float,
+            words: int) -> DataFrame:
+    """(node, component) of the nodes with a verified link, by links enough for the components of all."""
     rows = nodes.select("node", F.explode("buckets").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     members = staged(rows.join(shared, "bucket").join(
@@ -201,21 +219,20 @@ def _links(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, least: f
     pool = staged(texts.join(wanted.withColumnRenamed("id", "own"),
                              [texts.text_key == wanted.text_key, texts.id.eqNullSafe(F.col("own"))])
                   .select("node", "text").dropDuplicates(["node"]))
-    links = tested = None
+    labels = tested = None
     for partners in PARTNERS:
         labelled = members.withColumn("label", F.col("node"))
-        if links is not None:
-            labels = components(links).withColumnRenamed("component", "label")
-            labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        if labels is not None:
+            known = labels.withColumnRenamed("component", "label")
+            labelled = members.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
         found = staged(_best(_close(labelled, least, partners), partners))
         fresh = found.where("best").select("a", "b")
         fresh = fresh if tested is None else staged(fresh.join(tested, ["a", "b"], "left_anti"))
-        more = staged(_verified(fresh, pool, least, words))
-        links = more if links is None else links.union(more)
+        labels = _merged(labels, staged(_verified(fresh, pool, least, words)))
         tested = fresh if tested is None else tested.union(fresh)
         if not found.where("more OR NOT best").take(1):
             break  # every pair that may be similar has been tested, or was known to be of one class
-    return links
+    return labels
 
 
 def _best(found: DataFrame, partners: int | None) -> DataFrame:
@@ -345,8 +362,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             F.first(c).alias(c) for c in ("buckets", "bits0", "bits1", "parity", "size", "mass")])
         .select("node", "best", "best.id", "best.text_key", "n", "buckets", "bits0", "bits1", "parity",
                 "size", "mass"))
-    links = _links(nodes, df, id_col, text_col, least, words)
-    named = (nodes.select("node", "best", "n").join(components(links), "node", "left")
+    linked = _linked(nodes, df, id_col, text_col, least, words)
+    named = (nodes.select("node", "best", "n").join(linked, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     classes = named.groupBy("component").agg(F.min("best").alias("top"), F.sum("n").alias("class_size"))
     per_node = staged(named.join(classes, "component").select("node", "top", "class_size"))
