@@ -139,6 +139,8 @@ def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op1_sentencepieces(spark: SparkSession, sf: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
+    # whole texts, their ids and the texts read back go through Python: few rows at a time
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     rows = sentencepieces.encoded(table(spark, sf, "documents").select("doc_id", "text"), model)
     back = sentencepieces.decoded(rows, model)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"),

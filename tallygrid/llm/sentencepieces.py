@@ -31,14 +31,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import slices, text_of, unused, with_field
+from .common import freed, slices, text_of, unused, with_field
 from .wordhash import buffer_of, hashes
 
 BLANK = "▁"
 UNIGRAM, BPE = 1, 2
-CACHE_UNITS, CACHE_PAIRS = 600_000, 1_000_000
+CACHE_UNITS, CACHE_PAIRS = 300_000, 500_000
+STEP_ROWS = 500  # texts whose characters and ids a step holds in arrays
 UNKNOWN_PENALTY = 10.0
 
 
@@ -86,7 +88,7 @@ class Pieces:
         self.endings: dict[str, float | None] = {n[i:]: None for n in pieces for i in range(1, len(n))}
         self.endings.update(scores)
         self.floor = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
-        self.follows: dict[tuple[str, str], bool] = {}
+        self.follows: dict[int, bool] = {}  # by the ids of both pieces, as one number
 
     def merged(self, text: str) -> list[str]:
         """The pieces that merging gives: always the best-scored neighbours, the leftmost first."""
@@ -102,13 +104,16 @@ class Pieces:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
     def may_follow(self, left: str, right: str) -> bool:
-        key = (left, right)
+        # a character without a piece takes part in no merge, nor does a piece beside it
+        ids = self.ids
+        if not left or left not in ids or right not in ids:
+            return self.merged(left + right) == ([left, right] if left else [right])
+        key = ids[left] << 32 | ids[right]
         found = self.follows.get(key)
         if found is None:
             if len(self.follows) >= CACHE_PAIRS:
                 self.follows.clear()
-            found = self.merged(left + right) == ([left, right] if left else [right])
-            self.follows[key] = found
+            found = self.follows[key] = self.merged(left + right) == [left, right]
         return found
 
     def ids_of(self, piece: str) -> list[int]:
@@ -212,6 +217,7 @@ class Coder:
     def __init__(self, path: str):
         import sentencepiece
 
+        self.path = path
         with open(path, "rb") as f:
             raw = f.read()
         tool = sentencepiece.SentencePieceProcessor(model_proto=raw)
@@ -227,9 +233,6 @@ class Coder:
         self.model = Pieces(pieces, {n: tool.get_score(i) for n, i in pieces.items()}, model_type(raw),
                             sorted(byte_ids, key=lambda i: int(names[i][3:5], 16)) if byte_ids else None,
                             tool.unk_id())
-        self.raw = [b"" if tool.is_control(i) else bytes([int(n[3:5], 16)]) if tool.is_byte(i)
-                    else " ⁇ ".encode() if tool.is_unknown(i) else n.replace(BLANK, " ").encode()
-                    for i, n in enumerate(names)]
         # ASCII neighbours that no piece holds side by side: all ways meet between them
         self.parted = np.zeros((256, 256), bool)
         self.parted[:128, :128] = True
@@ -238,7 +241,6 @@ class Coder:
                 if a < "\x80" and b < "\x80":
                     self.parted[ord(a), ord(b)] = False
         self.whole = not any(BLANK in n.lstrip(BLANK) for n in pieces)
-        self.dummy = tool.normalize("a") == BLANK + "a"
         self._clear()
 
     def _clear(self) -> None:
@@ -310,8 +312,36 @@ class Coder:
         return ids, np.diff(total[np.searchsorted(begin, at)])
 
     def decode(self, ids: list[int]) -> str:
-        text = b"".join([self.raw[i] for i in ids]).decode(errors="replace")
-        return text[1:] if self.dummy and text.startswith(" ") else text
+        return decoder(self.path).decode(pa.array([ids], pa.list_(pa.int32())))[0]
+
+
+class Decoder:
+    """Texts of ids: the bytes of all pieces in one array, looked up by array operations."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        tool = sentencepiece.SentencePieceProcessor(model_file=path)
+        names = map(tool.id_to_piece, range(tool.get_piece_size()))
+        raw = [b"" if tool.is_control(i) else bytes([int(n[3:5], 16)]) if tool.is_byte(i)
+               else " ⁇ ".encode() if tool.is_unknown(i) else n.replace(BLANK, " ").encode()
+               for i, n in enumerate(names)]
+        self.lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(raw), np.uint8)
+        self.dummy = tool.normalize("a") == BLANK + "a"
+
+    def decode(self, lists: pa.Array) -> list[str]:
+        """The text of each list of ids; a NULL list is an empty text."""
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+        ids = lists.flatten().to_numpy()
+        lengths = self.lengths[ids]
+        stop = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.repeat(self.starts[ids] - stop[:-1], lengths) + np.arange(stop[-1])
+        raw = self.bytes[at].tobytes()
+        bounds = stop[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        texts = (raw[b:e].decode(errors="replace") for b, e in zip(bounds, bounds[1:]))
+        return [t[1:] if self.dummy and t.startswith(" ") else t for t in texts]
 
 
 @functools.lru_cache(maxsize=2)
@@ -320,6 +350,11 @@ def coder(path: str) -> Coder:
     return Coder(path)
 
 
+@functools.lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
 def encoded(df: DataFrame, model: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``df`` with its texts' ids as an array column."""
     names = [c for c in df.columns if c.lower() != ids_col.lower()]
@@ -327,7 +362,7 @@ def encoded(df: DataFrame, model: str, text_col: str = "text", ids_col: str = "i
 
     def encode(batches):
         tool = coder(model)
-        for batch in slices(batches, 1000):
+        for batch in slices(batches, STEP_ROWS):
             ids, lengths = tool.encode(batch.column(text))
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -336,7 +371,7 @@ def encoded(df: DataFrame, model: str, text_col: str = "text", ids_col: str = "i
 
     rows = df.select(*[f"`{c}`" for c in names], text_of(text_col).alias(text))
     schema = with_field(df.select(*[f"`{c}`" for c in names]).schema, ids_col, "array<int>")
-    return rows.mapInArrow(encode, schema)
+    return rows.mapInArrow(freed(encode), schema)
 
 
 def decoded(df: DataFrame, model: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -344,11 +379,10 @@ def decoded(df: DataFrame, model: str, ids_col: str = "ids", text_col: str = "de
     names = [c for c in df.columns if c.lower() != text_col.lower()]
 
     def decode(batches):
-        tool = coder(model)
-        for batch in slices(batches, 1000):
-            texts = [tool.decode(ids or []) for ids in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string())],
-                                             [*names, text_col])
+        tool = decoder(model)
+        for batch in slices(batches, STEP_ROWS):
+            texts = pa.array(tool.decode(batch.column(ids_col)), pa.string())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), texts], [*names, text_col])
 
     rows = df.select(*[f"`{c}`" for c in names])
-    return rows.mapInArrow(decode, with_field(rows.schema, text_col, "string"))
+    return rows.mapInArrow(freed(decode), with_field(rows.schema, text_col, "string"))
