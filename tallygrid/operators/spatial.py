@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import HALF_BOX, REGIONS, box_text, in_box
 from ..functions.predicates import LIVE_SLACK, has_position, interval, live
+from ..session import durable
 from .ids import dense_ids
 
+# Boxes whose borders may cross a cell before it is split, and how often a bin is halved at most.
+DENSE, DEEPEST = 4096, 8
+CELL = ["_level", "_row", "_col", "_slot"]
+WORLD = 1e6  # beyond all degrees
+
 
 def event_boxes(events: DataFrame, half: float = HALF_BOX) -> DataFrame:
     """Events with a position, plus the sides of their box."""
@@ -42,7 +50,7 @@ def box_requests(boxes: DataFrame, per_request: int = 100) -> DataFrame:
 
 def messages_in_boxes(messages: DataFrame, events: DataFrame, half: float = HALF_BOX,
                       slack: str = LIVE_SLACK, lat: str = "lat", lng: str = "lng",
-                      ts: str = "ts", slot_seconds: int = 86_400) -> DataFrame:
+                      ts: str = "ts", slot_seconds: int = 86_400, most: int = DENSE) -> DataFrame:
     """Messages inside the box of an event running at the message's time (give or
     take ``slack``), each once.
 
@@ -51,13 +59,14 @@ def messages_in_boxes(messages: DataFrame, events: DataFrame, half: float = HALF
     message under its own only, and the exact test runs on what meets there. An
     event is cut to each slot's span first, so the many events that fill a slot
     at one place become one row. A semi join never emits pairs, and a hot bin's
-    messages can be split over tasks.
+    messages can be split over tasks. Bins of more than ``most`` boxes are split
+    (``split_dense``), for which the boxes are counted first; a message is then
+    listed under its cell of each level, of which one at most has boxes.
     """
-    bin_width = F.lit(2 * half)
     slot_us = F.lit(slot_seconds * 1_000_000)
 
     def bin_of(degrees: Column) -> Column:
-        return F.floor(degrees / bin_width).cast("bigint")
+        return _cell(degrees, 0, half)
 
     def slot_of(micros: Column) -> Column:
         # Whole numbers throughout: a rounded quotient could cross a slot's border.
@@ -79,19 +88,82 @@ def messages_in_boxes(messages: DataFrame, events: DataFrame, half: float = HALF
         .distinct()
         .withColumn("_row", F.explode(F.sequence(bin_of(F.col("south")), bin_of(F.col("north")))))
         .withColumn("_col", F.explode(F.sequence(bin_of(F.col("west")), bin_of(F.col("east"))))))
-    placed = messages.withColumns({
-        "_at": F.unix_micros(ts),
-        "_mrow": bin_of(F.col(lat)),
-        "_mcol": bin_of(F.col(lng)),
-        "_mslot": slot_of(F.unix_micros(ts)),
-    })
+    listed, levels = split_dense(listed, half, most)
+    placed = messages.withColumns({"_at": F.unix_micros(ts), "_mslot": slot_of(F.unix_micros(ts))})
+    if levels == [0]:
+        placed = placed.withColumn("_mlevel", F.lit(0))
+    else:
+        placed = placed.withColumn("_mlevel", F.explode(F.array(*[F.lit(n) for n in levels])))
+    level = F.col("_mlevel")
+    placed = placed.withColumns({"_mrow": _cell(F.col(lat), level, half), "_mcol": _cell(F.col(lng), level, half)})
     inside = ((F.col("_mrow") == F.col("_row")) & (F.col("_mcol") == F.col("_col"))
-              & (F.col("_mslot") == F.col("_slot"))
+              & (F.col("_mslot") == F.col("_slot")) & (level == F.col("_level"))
               & F.col(lat).between(F.col("south"), F.col("north"))
               & F.col(lng).between(F.col("west"), F.col("east"))
               & F.col("_at").between(F.col("_from"), F.col("_to")))
     return (placed.join(listed, inside, "left_semi")
-            .drop("_at", "_mrow", "_mcol", "_mslot"))
+            .drop("_at", "_mlevel", "_mrow", "_mcol", "_mslot"))
+
+
+def _cell(degrees: Column, level: Column | int, half: float) -> Column:
+    """The cell of a level, where a bin is halved ``level`` times; cells of a level lie in those above."""
+    scale = F.pow(F.lit(2.0), level if isinstance(level, Column) else F.lit(level))
+    return F.floor(degrees / F.lit(2 * half) * scale).cast("bigint")
+
+
+def split_dense(listed: DataFrame, half: float = HALF_BOX, most: int = DENSE,
+                deepest: int = DEEPEST) -> tuple[DataFrame, list[int]]:
+    """Boxes listed under bins, with cells that more than ``most`` boxes' borders cross split into
+    four, up to ``deepest`` times: (the listing with ``_level``, the levels in it).
+
+    Only borders ask for a comparison: boxes around a whole cell are one in what they say of
+    it, and what is left of them is when any of them runs, as spans that do not meet. So a
+    point meets ``most`` boxes at most, and those spans, while every point has one cell
+    with a listing. Whether a box is around a cell is asked in whole cells, never by rounded borders.
+    """
+    listed = listed.withColumn("_level", F.lit(0))
+    if not _crowded(listed, most).take(1):
+        return listed, [0]
+    parts: list[DataFrame] = []
+    now = durable(listed)
+    for level in range(deepest + 1):
+        first = {c: _cell(F.col(c), level, half) for c in ("south", "north", "west", "east")}
+        around = ((first["south"] < F.col("_row")) & (F.col("_row") < first["north"])
+                  & (first["west"] < F.col("_col")) & (F.col("_col") < first["east"]))
+        crossing = now.where(~around)
+        now = durable(crossing.unionByName(_spans(now.where(around)).select(crossing.columns)))
+        # what is around all of a cell is no reason to split it
+        crowded = _crowded(now.where(F.col("north") < WORLD), most).select(*CELL)
+        if level == deepest or not crowded.take(1):
+            parts.append(now)
+            break
+        parts.append(now.join(crowded, CELL, "left_anti"))
+        below = now.join(crowded, CELL, "left_semi").withColumn("_level", F.lit(level + 1))
+        for name, low, high in (("_row", "south", "north"), ("_col", "west", "east")):
+            start = F.greatest(F.col(name) * 2, _cell(F.col(low), level + 1, half))
+            stop = F.least(F.col(name) * 2 + 1, _cell(F.col(high), level + 1, half))
+            below = below.withColumn(name, F.explode(F.sequence(start, stop)))
+        now = durable(below)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.select(listed.columns), list(range(len(parts)))
+
+
+def _crowded(listed: DataFrame, most: int, cell: Sequence[str] = CELL) -> DataFrame:
+    return listed.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
+
+
+def _spans(rows: DataFrame) -> DataFrame:
+    """Per cell, the time that the rows cover, as spans that do not meet; the sides are beyond the world."""
+    rows = rows.select(*CELL, "_from", "_to").distinct()
+    order = Window.partitionBy(*CELL).orderBy("_from", "_to")
+    so_far = F.max("_to").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.coalesce(F.col("_from") > so_far + 1, F.lit(True))
+    numbered = rows.withColumn("_fresh", fresh.cast("int")).withColumn("_span", F.sum("_fresh").over(order))
+    spans = numbered.groupBy(*CELL, "_span").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"))
+    return spans.drop("_span").withColumns({"south": F.lit(-WORLD), "north": F.lit(WORLD),
+                                            "west": F.lit(-WORLD), "east": F.lit(WORLD)})
 
 
 def region_counts(cells: DataFrame, regions: dict = REGIONS, lat: str = "lat",

@@ -57,6 +57,52 @@ def test_box_join_equals_brute_force(spark, slot):
     assert got == want and 0 < len(want) < 300
 
 
+def test_dense_bins_are_split(spark):
+    """Many boxes with borders of their own in one bin: rows as before, few boxes to a message."""
+    rng = random.Random(5)
+    start = at("2015-02-04 00:00:00")
+    events = []
+    for i in range(3000):
+        s = start + dt.timedelta(minutes=rng.randint(0, 1000))
+        events.append((str(i), 37.05 + rng.random() / 10, -122.05 + rng.random() / 10, s,
+                       s + dt.timedelta(minutes=rng.randint(0, 40))))
+    messages = [(i, 37 + rng.random() / 5, -122.1 + rng.random() / 5,
+                 start + dt.timedelta(minutes=rng.randint(0, 1500))) for i in range(400)]
+    messages += [(400 + i, e[1] + d, e[2] - d, e[3]) for i, e in enumerate(events[:40]) for d in (-0.05, 0.05)]
+    events += [("copy", *events[0][1:])]
+    h, slack = 0.05, dt.timedelta(minutes=0)
+    want = sorted(i for i, la, ln, t in messages if any(
+        a - h <= la <= a + h and b - h <= ln <= b + h and s - slack <= t <= e + slack
+        for _, a, b, s, e in events))
+    df = spark.createDataFrame(messages, MESSAGE)
+    boxes = spark.createDataFrame(events, EVENT)
+    for most in (100, 5000):
+        got = sorted(r.id for r in sp.messages_in_boxes(df, boxes, slack="0 minutes", most=most).collect())
+        assert got == want and 0 < len(want) < len(messages)
+
+
+def test_a_message_meets_few_boxes(spark):
+    n, most = 6_000, 400
+    one = spark.range(n).select(
+        *[(F.lit(10.0) + F.pmod(F.xxhash64(F.col("id") + k), F.lit(10 ** 6)) / 10 ** 7).alias(c)
+          for k, c in ((0, "south"), (10 ** 6, "west"))], F.lit(0).cast("bigint").alias("_from"),
+        F.lit(9).cast("bigint").alias("_to"), F.lit(0).cast("bigint").alias("_slot"))
+    one = one.withColumns({"north": F.col("south") + 0.1, "east": F.col("west") + 0.1,
+                           "_row": F.lit(100).cast("bigint"), "_col": F.lit(100).cast("bigint")})
+    listed, levels = sp.split_dense(one, 0.05, most)
+    per_cell = listed.groupBy(*sp.CELL).agg(
+        F.count_if(F.col("north") < sp.WORLD).alias("boxes"), F.count_if(F.col("north") >= sp.WORLD).alias("spans"))
+    worst = per_cell.agg(F.max("boxes"), F.max("spans"), F.count(F.lit(1))).first()
+    assert worst[0] <= most and worst[1] <= 1 and worst[2] > 30 and 1 < len(levels) <= sp.DEEPEST + 1
+    # a cell with a listing has none above it
+    above = listed.select(*sp.CELL).distinct().alias("a")
+    for up in levels[1:]:
+        shifted = above.where(F.col("_level") >= up).select(
+            (F.col("_level") - up).alias("_level"), F.shiftright("_row", up).alias("_row"),
+            F.shiftright("_col", up).alias("_col"), "_slot")
+        assert shifted.join(above, sp.CELL, "left_semi").isEmpty()
+
+
 def test_box_join_plan(spark):
     events = spark.createDataFrame([], EVENT)
     messages = spark.createDataFrame([], MESSAGE)

@@ -521,6 +521,29 @@ def live_box_messages(spark, sf):
     return hits.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+@query("""SELECT l_orderkey, l_linenumber FROM (
+    SELECT *, 37 + (l_partkey * 7919 % 1000) / 5000.0::DOUBLE AS la, -122 + (l_suppkey * 104729 % 1000) / 5000.0::DOUBLE AS ln
+    FROM lines) m
+  WHERE EXISTS (SELECT 1 FROM (
+      SELECT 37 + (o_orderkey * 15485863 % 1000) / 5000.0::DOUBLE AS a, -122 + (o_orderkey * 32452843 % 997) / 5000.0::DOUBLE AS b,
+        CAST(o_orderdate AS TIMESTAMP) AS s FROM orders WHERE o_orderstatus <> 'P') e
+    WHERE m.ts BETWEEN e.s AND e.s + INTERVAL 12 HOUR AND m.la BETWEEN e.a - 0.05::DOUBLE AND e.a + 0.05::DOUBLE
+      AND m.ln BETWEEN e.b - 0.05::DOUBLE AND e.b + 0.05::DOUBLE)""", "lines")
+def dense_box_messages(spark, sf):
+    """All events within a few boxes' width, a season to a slot, so that bins are split."""
+    def spread(key: str, by: int, of: int, start: int) -> Column:
+        return F.lit(start) + F.pmod(F.col(key) * by, F.lit(of)) / F.lit(5000.0)
+
+    start = F.col("o_orderdate").cast("timestamp")
+    events = inp.table(spark, sf, "orders").where("o_orderstatus <> 'P'").select(
+        spread("o_orderkey", 15485863, 1000, 37).alias("latitude"), spread("o_orderkey", 32452843, 997, -122).alias("longitude"),
+        start.alias("start_time_utc"), (start + F.expr("INTERVAL 12 HOURS")).alias("end_time_utc"))
+    lines = inp.placed_lines(spark, sf).withColumns({
+        "lat": spread("l_partkey", 7919, 1000, 37), "lng": spread("l_suppkey", 104729, 1000, -122)})
+    hits = sp.messages_in_boxes(lines, events, slack="0 minutes", slot_seconds=90 * 86_400, most=200)
+    return hits.select("l_orderkey", "l_linenumber")
+
+
 BOX_TEXT = """round(longitude - 0.05::DOUBLE, 4) || ',' || round(latitude - 0.05::DOUBLE, 4) || ','
   || round(longitude + 0.05::DOUBLE, 4) || ',' || round(latitude + 0.05::DOUBLE, 4)"""
 
