@@ -92,7 +92,16 @@ def upsert_keyed(spark: SparkSession, root: str, source: DataFrame,
     """Put ``source`` into the table by key, in one new version: rows of a stored key are replaced,
     others added. A row moves where its ``within`` values change. Gives how many files were
     rewritten and added, and of how many rows."""
-    version, head, files = _version(spark, root)
+    return upsert_onto(spark, root, source, newest_first)[1]
+
+
+def upsert_onto(spark: SparkSession, root: str, source: DataFrame, newest_first: Sequence[Column] = (),
+                base: int | None = None) -> tuple[int, dict[str, int]]:
+    """The same on top of version ``base`` (None: the newest), whatever later versions say; gives the
+    new version's number, too. For tables whose versions a manifest over them names."""
+    newest, head, files = _version(spark, root)
+    if base is not None:
+        _, head, files = _version(spark, root, base)
     key, within = head["key"], head["within"]
     incoming = latest_by(source, key, newest_first) if newest_first else source
     incoming = durable(incoming.select(*_read(spark, root, head, []).columns))
@@ -103,8 +112,8 @@ def upsert_keyed(spark: SparkSession, root: str, source: DataFrame,
     rows = sum(e["rows"] for e in old)
     changed = kept.unionByName(incoming) if old else incoming
     new = _write(changed, root, key, within, max(len(old), -(-(rows + count) // head["file_rows"]))) if count else []
-    vs.commit(spark, root, version + 1, [head, *[e for e in files if e["file"] not in touched], *new])
-    return {"rewritten": len(old), "rewritten_rows": rows, "written": len(new)}
+    vs.commit(spark, root, newest + 1, [head, *[e for e in files if e["file"] not in touched], *new])
+    return newest + 1, {"rewritten": len(old), "rewritten_rows": rows, "written": len(new)}
 
 
 def _touched(spark: SparkSession, root: str, head: dict, files: Sequence[dict], incoming: DataFrame) -> set[str]:
@@ -125,8 +134,8 @@ def _touched(spark: SparkSession, root: str, head: dict, files: Sequence[dict],
         paths = [r["_file"] for r in found.collect()]
     finally:
         spark.conf.set(PUSHED_VALUES, before)
-    place = {e["file"].rsplit("/", 1)[1]: e["file"] for e in files}
-    return {place[path.rsplit("/", 1)[1]] for path in paths}
+    # a task that writes for several values gives files of one name in several folders
+    return {path[path.rindex("/data/") + 1:] for path in paths}
 
 
 def clean_keyed(spark: SparkSession, root: str, keep: int = 2) -> list[str]:

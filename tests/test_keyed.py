@@ -104,3 +104,15 @@ def test_odd_keys_and_empty_sources(spark, path, rows):
     many = table(spark, 3000)  # more keys than are given to the scan
     ky.upsert_keyed(spark, root, many)
     assert ky.read_keyed(spark, root).count() == 3002
+
+
+def test_files_of_one_name_are_told_apart(spark, path, rows):
+    """One task writes a file of the same name for each value."""
+    root = path()
+    ky.create_keyed(spark, root, table(spark, 30), ["id"], ["day"], file_rows=1000)
+    names = [e["file"].rsplit("/", 1)[1] for e in ky._version(spark, root)[2]]
+    assert len(names) == 3 and len(set(names)) == 1
+    done = ky.upsert_keyed(spark, root, source(spark, [(0, -1, "0")]))
+    assert done["rewritten"] == 1 and done["rewritten_rows"] == 10
+    want = sorted((i, -1 if i == 0 else 2 * i, str(i % 3)) for i in range(30))
+    assert sorted(tuple(r) for r in ky.read_keyed(spark, root).collect()) == want
