@@ -112,7 +112,11 @@ def rank_words(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     distinct counts of a group (about the square root of its tokens at most),
     never over its words.
     """
-    levels = counts.groupBy(*by, "cnt").agg(F.count(F.lit(1)).alias("_n"))
+    return place_words(counts, counts.groupBy(*by, "cnt").agg(F.count(F.lit(1)).alias("_n")), by)
+
+
+def place_words(counts: DataFrame, levels: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``rank_words`` by ``levels``, which have the words (``_n``) of each group and count."""
     above = (Window.partitionBy(*by).orderBy(F.desc("cnt"))
              .rowsBetween(Window.unboundedPreceding, -1))
     ranks = levels.select(

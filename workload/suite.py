@@ -15,6 +15,7 @@ from tallygrid.functions import geo, maps, predicates as pr, text as tx, times a
 from tallygrid.operators import (conferences as cf, counts as ct, layers, messages as ms,
                                  photos as ph, ranking as rk, regions as rg, spatial as sp, summary as su,
                                  warehouse as wh)
+from tallygrid.plans import rankings
 from tallygrid.sources import files, grid, keyed as ky, queue as qu, tables as tb
 from tallygrid.streaming import compaction, counts as sc, hours as hr, routing
 
@@ -205,6 +206,19 @@ def daily_rankings(spark, sf):
     return rk.rank_words(day_counts(spark, sf), ["yymmdd"])
 
 
+@query(ORACLE["daily_rankings"])
+def kept_rankings(spark, sf):
+    """The same, kept up as the hours of a day come in."""
+    root = session.new_dir(spark, "rankings")
+    rankings.create(spark, root, "yymmdd")
+    texts = inp.located_texts(spark, sf).withColumn("yymmdd", tm.day_bucket(F.col("ts")))
+    for start in range(0, 24, 8):
+        part = texts.where(F.hour("ts").between(start, start + 7))
+        rankings.add_part(spark, root, f"{start}", ct.cell_counts(part, ["yymmdd"], stop=STOP))
+    rankings.clean(spark, root, keep=1)
+    return rankings.read_ranks(spark, root)
+
+
 @query(DAY_WORDS + """ SELECT yymmdd, word, cnt FROM days
 QUALIFY row_number() OVER (PARTITION BY yymmdd ORDER BY cnt DESC, word) <= 10""", "messages")
 def daily_top10(spark, sf):
