@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import by_count, place_words, top_k
-from ..session import durable
+from ..session import discard, durable
 from ..sources import keyed as ky, versions as vs
 
 
@@ -68,6 +68,7 @@ def add_part(spark: SparkSession, root: str, part: str, counts: DataFrame) -> bo
     for name, rows in (("counts", moved.select(*key, "cnt")), ("levels", levels)):
         after[name], _ = ky.upsert_onto(spark, f"{root}/{name}", rows, base=now[name])
     vs.commit(spark, root, version + 1, [after])
+    discard(delta, moved)
     return True
 
 

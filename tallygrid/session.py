@@ -81,3 +81,10 @@ def durable(df: DataFrame) -> DataFrame:
     path = new_dir(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove what ``durable`` wrote for frames that nothing reads any more."""
+    for df in frames:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            release(df.sparkSession, path)

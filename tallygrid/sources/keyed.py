@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.ranking import latest_by
-from ..session import durable
+from ..session import discard, durable
 from . import versions as vs
 
 # Rows of a file, and of an upsert whose keys are given to the scan to skip row groups by.
@@ -113,6 +113,7 @@ def upsert_onto(spark: SparkSession, root: str, source: DataFrame, newest_first:
     changed = kept.unionByName(incoming) if old else incoming
     new = _write(changed, root, key, within, max(len(old), -(-(rows + count) // head["file_rows"]))) if count else []
     vs.commit(spark, root, newest + 1, [head, *[e for e in files if e["file"] not in touched], *new])
+    discard(incoming)
     return newest + 1, {"rewritten": len(old), "rewritten_rows": rows, "written": len(new)}
 
 
