@@ -59,7 +59,8 @@ def messages_in_boxes(messages: DataFrame, events: DataFrame, half: float = HALF
     message under its own only, and the exact test runs on what meets there. An
     event is cut to each slot's span first, so the many events that fill a slot
     at one place become one row. A semi join never emits pairs, and a hot bin's
-    messages can be split over tasks. Bins of more than ``most`` boxes are split
+    messages can be split over tasks. The listing is many times the events it is made of, so
+    it is merged with the messages, never sent whole to every task by way of the driver. Bins of more than ``most`` boxes are split
     (``split_dense``), for which the boxes are counted first; a message is then
     listed under its cell of each level, of which one at most has boxes.
     """
@@ -101,7 +102,7 @@ def messages_in_boxes(messages: DataFrame, events: DataFrame, half: float = HALF
               & F.col(lat).between(F.col("south"), F.col("north"))
               & F.col(lng).between(F.col("west"), F.col("east"))
               & F.col("_at").between(F.col("_from"), F.col("_to")))
-    return (placed.join(listed, inside, "left_semi")
+    return (placed.join(listed.hint("merge"), inside, "left_semi")
             .drop("_at", "_mlevel", "_mrow", "_mcol", "_mslot"))
 
 

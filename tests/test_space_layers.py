@@ -103,6 +103,16 @@ def test_a_message_meets_few_boxes(spark):
         assert shifted.join(above, sp.CELL, "left_semi").isEmpty()
 
 
+def test_listed_boxes_are_not_broadcast(spark, path):
+    places = path()
+    spark.createDataFrame([("e", 37.0, -122.0, at("2015-02-04 10:00:00"), at("2015-02-04 11:00:00"))],
+                          EVENT).write.parquet(places)
+    messages = spark.createDataFrame([(1, 37.0, -122.0, at("2015-02-04 10:30:00"))], MESSAGE)
+    joined = sp.messages_in_boxes(messages, spark.read.parquet(places))
+    assert joined.count() == 1
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_box_join_plan(spark):
     events = spark.createDataFrame([], EVENT)
     messages = spark.createDataFrame([], MESSAGE)
