@@ -118,8 +118,10 @@ def split_dense(listed: DataFrame, half: float = HALF_BOX, most: int = DENSE,
     four, up to ``deepest`` times: (the listing with ``_level``, the levels in it).
 
     Only borders ask for a comparison: boxes around a whole cell are one in what they say of
-    it, and what is left of them is when any of them runs, as spans that do not meet. So a
-    point meets ``most`` boxes at most, and those spans, while every point has one cell
+    it, and what is left of them is when any of them runs, as spans that do not meet. A box whose
+    border crosses the cell while such a span lasts says nothing more, and goes: so what is split
+    further lies along the outline of all boxes, and does not grow with the square of their number.
+    A point meets ``most`` boxes at most, and those spans, while every point has one cell
     with a listing. Whether a box is around a cell is asked in whole cells, never by rounded borders.
     """
     listed = listed.withColumn("_level", F.lit(0))
@@ -131,8 +133,7 @@ def split_dense(listed: DataFrame, half: float = HALF_BOX, most: int = DENSE,
         first = {c: _cell(F.col(c), level, half) for c in ("south", "north", "west", "east")}
         around = ((first["south"] < F.col("_row")) & (F.col("_row") < first["north"])
                   & (first["west"] < F.col("_col")) & (F.col("_col") < first["east"]))
-        crossing = now.where(~around)
-        now = durable(crossing.unionByName(_spans(now.where(around)).select(crossing.columns)))
+        now = durable(_uncovered(now.where(~around), _spans(now.where(around))))
         # what is around all of a cell is no reason to split it
         crowded = _crowded(now.where(F.col("north") < WORLD), most).select(*CELL)
         if level == deepest or not crowded.take(1):
@@ -144,7 +145,7 @@ def split_dense(listed: DataFrame, half: float = HALF_BOX, most: int = DENSE,
             start = F.greatest(F.col(name) * 2, _cell(F.col(low), level + 1, half))
             stop = F.least(F.col(name) * 2 + 1, _cell(F.col(high), level + 1, half))
             below = below.withColumn(name, F.explode(F.sequence(start, stop)))
-        now = durable(below)
+        now = below
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -167,6 +168,17 @@ def _spans(rows: DataFrame) -> DataFrame:
                                             "west": F.lit(-WORLD), "east": F.lit(WORLD)})
 
 
+def _uncovered(boxes: DataFrame, spans: DataFrame) -> DataFrame:
+    """The spans, and of the boxes those that run outside of all spans of their cell."""
+    rows = (boxes.withColumn("_until", F.lit(None).cast("bigint"))
+            .unionByName(spans.withColumn("_until", F.col("_to"))))
+    # spans of a cell do not meet, so the last to begin before a box ends last
+    until = F.max("_until").over(Window.partitionBy(*CELL).orderBy("_from"))
+    kept = rows.withColumn("_covered", until).where(
+        F.col("_until").isNotNull() | F.col("_covered").isNull() | (F.col("_covered") < F.col("_to")))
+    return kept.select(boxes.columns)
+
+
 def region_counts(cells: DataFrame, regions: dict = REGIONS, lat: str = "lat",
                   lng: str = "lng") -> DataFrame:
     """``(region, cells)``: rows inside each named box, in one pass."""

@@ -103,6 +103,19 @@ def test_a_message_meets_few_boxes(spark):
         assert shifted.join(above, sp.CELL, "left_semi").isEmpty()
 
 
+def test_boxes_in_covered_cells_go(spark):
+    """What is left to compare with lies along the outline of all boxes."""
+    n = 2000
+    one = spark.range(n).select(
+        *[(F.lit(10.0) + F.pmod(F.xxhash64(F.col("id") + k), F.lit(10 ** 6)) / 10 ** 7).alias(c)
+          for k, c in ((0, "south"), (10 ** 6, "west"))],
+        (F.col("id") % 2 * 20).alias("_from"), (F.col("id") % 2 * 20 + 9).alias("_to"),
+        F.lit(0).cast("bigint").alias("_slot"))
+    one = one.withColumns({"north": F.col("south") + 0.1, "east": F.col("west") + 0.1,
+                           "_row": F.lit(100).cast("bigint"), "_col": F.lit(100).cast("bigint")})
+    assert sp.split_dense(one, 0.05, 100)[0].count() < 3 * n
+
+
 def test_listed_boxes_are_not_broadcast(spark, path):
     places = path()
     spark.createDataFrame([("e", 37.0, -122.0, at("2015-02-04 10:00:00"), at("2015-02-04 11:00:00"))],
