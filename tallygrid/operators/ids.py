@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import durable
 
@@ -44,16 +45,17 @@ def dense_ids(df: DataFrame, id_col: str, key: Sequence[str],
             .drop("_shard", "_rn", "_before"))
 
 
-# Rows of a sorted part.
-PART_ROWS = 1_000_000
+# Rows of a sorted part, and bytes of their values.
+PART_ROWS, PART_BYTES = 1_000_000, 256 << 20
 
 
 def ordered_ids(df: DataFrame, id_col: str, order: Sequence[Column | str], start: int = 0,
-                recompute: bool = False, part_rows: int = PART_ROWS) -> DataFrame:
+                recompute: bool = False, part_rows: int = PART_ROWS, part_bytes: int = PART_BYTES) -> DataFrame:
     """Number rows ``start+1, …`` in ``order`` (which must be total).
 
     Rows are range-partitioned on the whole order, so one repeated leading value
-    still spreads, into parts of about ``part_rows`` rows; the sorted rows are made
+    still spreads, into parts of about ``part_rows`` rows, or ``part_bytes`` bytes where the
+    texts of so many have more; the sorted rows are made
     durable, counted per part, and each part gets the sum of those before it. The
     offsets table has one row per part.
 
@@ -62,7 +64,11 @@ def ordered_ids(df: DataFrame, id_col: str, order: Sequence[Column | str], start
     """
     if not recompute:
         df = durable(df)
-    n = max(1, -(-df.count() // part_rows))
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema
+             if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    wide = sum(texts, F.lit(8 * len(df.columns)).cast("bigint"))
+    count, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(wide), F.lit(0))).first()
+    n = max(1, -(-count // part_rows), -(-size // part_bytes))
     ranged = durable(
         df.repartitionByRange(n, *order).sortWithinPartitions(*order)
           .withColumn("_pos", F.monotonically_increasing_id()))

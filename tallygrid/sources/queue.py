@@ -41,7 +41,8 @@ def append_messages(spark: SparkSession, rows: DataFrame, path: str, order: Sequ
     numbered = ordered_ids(rows, "k_offset", order, start=first - 1)
     segments = numbered.select("k_offset", "value", F.lit(partition).alias("k_partition"),
                                F.floor(F.col("k_offset") / segment_rows).alias("segment"))
-    (segments.repartition("segment").sortWithinPartitions("segment", "k_offset").write.mode("append")
+    # the numbered rows lie in order in files, which are scanned in splits: a segment has a file or more
+    (segments.sortWithinPartitions("segment", "k_offset").write.mode("append")
      .partitionBy("k_partition", "segment").parquet(path))
 
 

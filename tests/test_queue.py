@@ -96,3 +96,23 @@ def test_a_batch_that_failed_counts_once(spark, queue, path, rows, monkeypatch,
 
 def test_an_empty_queue(spark, path):
     assert qu.drain(spark, path("none"), path("out"), "g", now()) == []
+
+
+def test_a_full_segment_is_no_single_task(spark, path, monkeypatch):
+    """Wide messages are ordered in parts of so many bytes, and the parts of a segment stay apart."""
+    folder, ordered = path("queue"), qu.ordered_ids
+    monkeypatch.setattr(qu, "ordered_ids", lambda *a, **k: ordered(*a, **k, part_bytes=20_000))
+    monkeypatch.setattr(qu, "SEGMENT_ROWS", 1000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        rows = spark.range(0, 400).select(F.col("id").alias("n"), F.concat(*[
+            F.md5(F.concat("id", F.lit(f"-{i}"))) for i in range(16)]).alias("value"))
+        qu.append_messages(spark, rows, folder, ["n"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = qu.read_queue(spark, folder)
+    assert len(got.inputFiles()) > 4 and got.select("segment").distinct().count() == 1
+    assert qu.end_offsets(spark, folder) == {0: 400}
+    want = rows.select(F.col("n").alias("k_offset"), "value")
+    assert got.select("k_offset", "value").exceptAll(want).isEmpty() and got.count() == 400
