@@ -29,6 +29,8 @@ from .counts import each_batch
 
 HOUR = "yymmddhh"
 HOUR_MICROS = 3_600_000_000
+# Files of an hour in a batch at most, so tasks that share a full hour.
+HOUR_FILES = 8
 
 
 def _end(hour: str) -> int:
@@ -72,7 +74,9 @@ def close_hours(stream: DataFrame, path: str, checkpoint: str, delay: timedelta
             is_late = is_late | (F.col("_at") - F.pmod("_at", F.lit(HOUR_MICROS)) + HOUR_MICROS <= mark)
         held.where(is_late).drop("_at").write.mode("overwrite").parquet(f"{path}/late/batch_id={number}")
         timed = held.where(~is_late).withColumn(HOUR, hour_bucket(F.col(ts).cast("timestamp")))
-        (cell_counts(timed, [HOUR, *CELL], stop=stop).write.mode("overwrite")
+        counts = cell_counts(timed, [HOUR, *CELL], stop=stop)
+        # else every task has rows, and a file, of every hour
+        (counts.repartition(HOUR, F.pmod(F.xxhash64(*CELL, "word"), F.lit(HOUR_FILES))).write.mode("overwrite")
          .partitionBy(HOUR).parquet(f"{path}/open/batch_id={number}"))
 
     def _open(spark: SparkSession) -> list[tuple[str, str]]:

@@ -89,3 +89,16 @@ def test_state_of_running_counts_is_kept_on_disk(spark, path):
     stream = geo.located(geo.with_cell(sc.read_stream(spark, folder, KIND)))
     sc.event_hours(sc.hour_windows(stream), path(), path("state")).awaitTermination()
     assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_an_open_hour_has_few_files(spark, path, monkeypatch):
+    """Not one from every task that counts."""
+    folder, out = path("in"), path()
+    monkeypatch.setattr(hr, "HOUR_FILES", 2)
+    land(spark, folder, [message(n, n % 180, f"bread{n}") for n in range(360)])
+    start(spark, folder, out, path("state")).awaitTermination()
+    for hour in ("15020402",):
+        left = vs.names(spark, f"{out}/open/batch_id=0/yymmddhh={hour}")
+        assert 0 < len([n for n in left if n.endswith(".parquet")]) <= 2
+    got = hr.read_closed(spark, out).agg(F.sum("cnt")).first()[0]
+    assert got == 2 * 60 * 2  # of the one hour that is behind
