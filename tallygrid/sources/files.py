@@ -16,6 +16,7 @@ from .. import schemas
 from ..functions.text import clean_text
 from ..functions.times import path_day
 from ..operators.messages import locate
+from ..session import durable
 
 # ---------------------------------------------------------------- fixed values
 FIELD_END = "\x07"
@@ -97,20 +98,44 @@ def load_delimited(spark: SparkSession, path: str | list[str], schema: str) -> D
 # ---- hour buckets
 
 def write_buckets(df: DataFrame, path: str, bucket: str = "yymmddhh",
-                  sort: Sequence[str] = ()) -> None:
+                  sort: Sequence[str] = (), folder: int | None = None) -> None:
     """Replace exactly the hours that ``df`` holds, so a re-run is harmless. With
-    ``sort`` the files carry tight min/max statistics on those columns."""
-    out = df.hint("rebalance", bucket)
-    if sort:
-        out = out.sortWithinPartitions(bucket, *sort)
+    ``sort`` the files carry tight min/max statistics on those columns.
+
+    An hour is a folder. Where hours are many and hold little, ``folder`` names how many leading
+    characters share one: the hours lie in order in its files, whose statistics tell them
+    apart, and the folders that rows go to are written anew with their other hours."""
+    by = bucket
+    if folder is not None:
+        by = "_folder"
+        df = _with_other_hours(df.withColumn(by, F.substring(bucket, 1, folder)), path, bucket)
+    out = df.hint("rebalance", by)
+    if sort or folder is not None:
+        out = out.sortWithinPartitions(*dict.fromkeys([by, bucket]), *sort)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(bucket).parquet(path))
+     .partitionBy(by).parquet(path))
+
+
+def _with_other_hours(df: DataFrame, path: str, bucket: str) -> DataFrame:
+    """The rows and, of the folders they go to, the stored rows of other hours."""
+    spark = df.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return df
+    df = durable(df)
+    stored = spark.read.schema(df.schema).parquet(path).alias("s")
+    hours = df.select("_folder", bucket).distinct().alias("n")
+    same = F.col("s._folder").eqNullSafe(F.col("n._folder"))
+    held = F.col(f"s.{bucket}").eqNullSafe(F.col(f"n.{bucket}"))
+    # staged, as the files they are read from are replaced
+    others = durable(stored.join(hours, same, "left_semi").alias("s").join(hours, held, "left_anti"))
+    return df.unionByName(others)
 
 
 def read_buckets(spark: SparkSession, path: str,
                  schema: str = schemas.CELL_COUNTS) -> DataFrame:
     """A bucketed table; the schema keeps the bucket text (``03`` stays ``03``)."""
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).drop("_folder")
 
 
 def expire_buckets(spark: SparkSession, path: str, cutoff: str,

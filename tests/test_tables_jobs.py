@@ -8,6 +8,7 @@ from tallygrid import schemas, session
 from tallygrid.operators import counts as ct, warehouse as wh
 from tallygrid.plans import jobs
 from tallygrid.sources import files, tables as tb, topics
+from workload import suite
 
 from test_events_messages import as_of, EVENT, at, events, pages, tallies
 
@@ -247,3 +248,29 @@ def test_counts_survive_a_failing_task(spark, rows):
     b = rows(wh.with_next_ids(df.repartition(7), stored, "i", ["k"]), "k", "i")
     assert a == b and min(i for _, i in a) == 51
     assert events(spark).count() == 5 and ct.CELL == ("cell_lat", "cell_lng")
+
+
+def test_hours_that_share_a_folder(spark, path, rows):
+    """Many small hours lie in few folders; a write replaces its hours and no others."""
+    out, kind = path(), "cell_lat bigint, cell_lng bigint, word string, cnt bigint, yymmddhh string"
+    hours = [f"{m:02d}{d:02d}{h:02d}" for m in (1, 2) for d in range(1, 29) for h in range(0, 24, 6)]
+    data = [(1, 2, "w", i, "03" + h) for i, h in enumerate(hours)] + [(1, 2, "none", 7, None)]
+    files.write_buckets(spark.createDataFrame(data, kind), out, sort=["cell_lat"], folder=4)
+    assert len([n for n in os.listdir(out) if "=" in n]) == 3
+    cols = ["cell_lat", "cell_lng", "word", "cnt", "yymmddhh"]
+    assert rows(files.read_buckets(spark, out), *cols) == sorted(data, key=repr)
+    new = [(1, 2, "v", 0, data[5][4]), (3, 4, "v", 0, data[5][4]), (1, 2, "v", 1, "03040100"), (1, 2, "n", 8, None)]
+    files.write_buckets(spark.createDataFrame(new, kind), out, folder=4)
+    want = [d for d in data if d[4] not in (data[5][4], None)] + new
+    assert rows(files.read_buckets(spark, out), *cols) == sorted(want, key=repr)
+
+
+def test_days_and_hours_go_on(spark, path, rows):
+    """Messages two weeks apart are said on days and in hours of their own."""
+    sf = path("sf")
+    spark.createDataFrame([(0, "bread", "en", "src3", 100), (429, "bread", "en", "src3", 100),
+                           (429 * 9, "bread", "en", "src3", 100)],
+                          "doc_id bigint, text string, lang string, source string, n_chars bigint"
+                          ).write.parquet(f"{sf}/documents.parquet")
+    assert rows(suite.daily_top10(spark, sf), "yymmdd") == [("240101",), ("240115",), ("240506",)]
+    assert len(rows(suite.hour_buckets(spark, sf), "yymmddhh")) == 3

@@ -15,6 +15,8 @@ from tallygrid.operators.counts import tokens
 AS_OF = "2000-01-01 12:00:00"
 # Of the two weeks, when a message is said; the same in both dialects.
 MINUTE = "(doc_id * 47) % 20160"
+# The same without end: hours and days grow in number with the table.
+LASTING = "doc_id * 47"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -25,10 +27,10 @@ def as_of():
     return F.lit(AS_OF).cast("timestamp")
 
 
-def as_messages(documents: DataFrame) -> DataFrame:
+def as_messages(documents: DataFrame, minute: str = MINUTE) -> DataFrame:
     """Documents as messages: place by source and language, texts under 100
     characters carry none; 47 minutes apart, over and over the same two weeks, so an hour
-    and a day fill as the table grows."""
+    and a day fill as the table grows. ``LASTING`` minutes go on instead."""
     placed = F.col("n_chars") >= 100
     source = F.substring("source", 4, 9).cast("int")
     tongue = (F.when(F.col("lang") == "en", 0).when(F.col("lang") == "fr", 1)
@@ -37,7 +39,7 @@ def as_messages(documents: DataFrame) -> DataFrame:
         "doc_id", "text", "lang",
         F.when(placed, (source + 3000) / F.lit(100.0)).alias("lat"),
         F.when(placed, (tongue - 12000) / F.lit(100.0)).alias("lng"),
-        F.expr(f"timestamp_seconds(1704067200 + 60 * ({MINUTE}))").alias("ts"))
+        F.expr(f"timestamp_seconds(1704067200 + 60 * ({minute}))").alias("ts"))
 
 
 def messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,10 +54,10 @@ def located_messages(spark: SparkSession, sf: str) -> DataFrame:
     return cell_messages(spark, sf).where("cell_lat IS NOT NULL")
 
 
-def located_texts(spark: SparkSession, sf: str) -> DataFrame:
+def located_texts(spark: SparkSession, sf: str, minute: str = MINUTE) -> DataFrame:
     """The same for readers of the text."""
     documents = table(spark, sf, "documents")
-    return with_cell(as_messages(documents)).where("cell_lat IS NOT NULL")
+    return with_cell(as_messages(documents, minute)).where("cell_lat IS NOT NULL")
 
 
 def _events(spark: SparkSession, sf: str, lat: Column, lng: Column) -> DataFrame:
@@ -176,3 +178,4 @@ photo_index AS (
       regexp_replace(lower(title), '[^a-zA-Z0-9\s]', '', 'g'), '\s+')) AS word FROM titles)
   WHERE word <> '' AND NOT contains(word, 'http'))""",
 }
+SQL["lasting"] = SQL["messages"].replace(MINUTE, LASTING)

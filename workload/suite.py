@@ -92,8 +92,8 @@ def counts_of(spark, sf) -> DataFrame:
     return ct.cell_counts(inp.located_texts(spark, sf), CELL, stop=STOP)
 
 
-def hour_counts_of(spark, sf) -> DataFrame:
-    hours = inp.located_texts(spark, sf).withColumn("yymmddhh", tm.hour_bucket(F.col("ts")))
+def hour_counts_of(spark, sf, minute: str = inp.MINUTE) -> DataFrame:
+    hours = inp.located_texts(spark, sf, minute).withColumn("yymmddhh", tm.hour_bucket(F.col("ts")))
     return ct.cell_counts(hours, HOUR_CELL, stop=STOP)
 
 
@@ -195,8 +195,8 @@ DAY_WORDS = f"""WITH {LOCATED_WORDS}, days AS (
   SELECT strftime(ts, '%y%m%d') AS yymmdd, word, count(*) AS cnt FROM words GROUP BY ALL)"""
 
 
-def day_counts(spark, sf):
-    days = inp.located_texts(spark, sf).withColumn("yymmdd", tm.day_bucket(F.col("ts")))
+def day_counts(spark, sf, minute=inp.MINUTE):
+    days = inp.located_texts(spark, sf, minute).withColumn("yymmdd", tm.day_bucket(F.col("ts")))
     return ct.cell_counts(days, ["yymmdd"], stop=STOP)
 
 
@@ -220,9 +220,9 @@ def kept_rankings(spark, sf):
 
 
 @query(DAY_WORDS + """ SELECT yymmdd, word, cnt FROM days
-QUALIFY row_number() OVER (PARTITION BY yymmdd ORDER BY cnt DESC, word) <= 10""", "messages")
+QUALIFY row_number() OVER (PARTITION BY yymmdd ORDER BY cnt DESC, word) <= 10""", "lasting")
 def daily_top10(spark, sf):
-    return rk.top_k(day_counts(spark, sf), rk.by_count(), 10, ["yymmdd"])
+    return rk.top_k(day_counts(spark, sf, inp.LASTING), rk.by_count(), 10, ["yymmdd"])
 
 
 @query(f"WITH {CELL_COUNTS_SQL} SELECT * FROM counts UNION ALL "
@@ -712,11 +712,11 @@ def latest_hour_words(spark, sf):
 
 
 @query(f"""WITH {LOCATED_WORDS} SELECT strftime(ts, '%y%m%d%H') AS yymmddhh, cell_lat, cell_lng,
-  word, count(*) AS cnt FROM words GROUP BY ALL""", "messages")
+  word, count(*) AS cnt FROM words GROUP BY ALL""", "lasting")
 def hour_buckets(spark, sf):
     """Hourly counts written as a bucketed table and read back."""
     path = session.new_dir(spark, "hours")
-    files.write_buckets(hour_counts_of(spark, sf), path, sort=["cell_lat", "cell_lng"])
+    files.write_buckets(hour_counts_of(spark, sf, inp.LASTING), path, sort=["cell_lat", "cell_lng"], folder=4)
     return files.read_buckets(spark, path)
 
 
