@@ -49,6 +49,13 @@ def staged(df: DataFrame) -> DataFrame:
         spark.conf.set(CLEANUP, before)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Few rows and bytes at a time between the JVM and the Python workers: both hold a batch
+    whole, and the JVM never gives back what its largest took."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def drop_staged(*frames: DataFrame) -> None:
     """Remove what ``staged`` wrote for frames that nothing reads any more."""
     for df in frames:
@@ -102,10 +109,17 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(start, rows)
 
 
-def freed(task):
+HELD: list = []  # of functions whose results a worker keeps for its next tasks (``lru_cache``)
+
+
+def freed(task, *uses):
     """``task`` (a function of batches), giving back what it held as it ends: Python workers
-    stay for later stages, and would keep the largest size they ever had."""
+    stay for later stages, and would keep the largest size they ever had. What the functions
+    of ``HELD`` keep for other operators' tasks is dropped as it begins, but for ``uses``."""
     def run(batches):
+        for held in HELD:
+            if held not in uses:
+                held.cache_clear()
         yield from task(batches)
         gc.collect()
         pa.default_memory_pool().release_unused()

@@ -17,7 +17,7 @@ The recursion is additive in logarithms. A text's score is, over its tokens, the
 log P(w) and log a(h), and for each kept bigram the sum of
     k(h,w) = log P(w | h) - log a(h) - log P(w).
 So the model is a table (key, score, base, known) whose keys are hashes of words and of
-bigrams, stored in ``parts`` partitions by the keys' leading bits; evaluation adds up the
+bigrams, stored in ``parts`` files by the keys' leading bits; evaluation adds up the
 entries of a text's tokens.
 
 Scale. Counts are combined within map tasks, and travel packed: bigrams by a hash of the
@@ -26,7 +26,7 @@ the second word otherwise, so that no task gets all bigrams of a frequent word a
 its words' counts; then by the first word, and by a hash of the pair where that is one of the
 most frequent, whose sums are added up and broadcast; last, scored, by their keys. In evaluation the most frequent entries (``HOT_KEYS`` at most) and a bit
 map of ``2 ** BITMAP`` bits, which tells most keys the table does not hold, are broadcast;
-all other look-ups go, packed, to the partition that holds the key, and the sums for a
+all other look-ups go, packed, to the task that reads the key's file, and the sums for a
 chunk of documents come back packed: one row for each chunk and partition it asked.
 
 Words are known by 48-bit hashes, bigrams by 64-bit ones.
@@ -45,10 +45,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_staged, slices, staged, text_of
+from .common import (drop_staged, folder_uri, freed, new_file, open_file, slices, small_batches, staged,
+                     text_of)
 from .wordhash import mixed, space_words
 
 K, MIN_COUNT = 5, 2
@@ -57,13 +59,19 @@ PART_PAIRS, PART_KEYS = 2_000_000, 2_000_000
 CHUNK_PAIRS = 2_000_000
 END, START = 0, 1  # word ids no word gets
 STEP, WORD_KEY = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x632BE59BD9B4E019)
-CHUNK_ROWS = 1000
+CHUNK_ROWS, CUT_ROWS = 1000, 200
 
 
 # -- tokens, keys, packing ----------------------------------------------------
 
-def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token before, token, tokens per text) over a batch, as word ids."""
+def tokens(texts: pa.Array) -> tuple[np.ndarray, ...]:
+    """(token before, token, tokens per text) over a batch, as word ids. Hashing takes some numbers
+    of eight bytes for each byte of text, so some texts are cut at a time."""
+    parts = [_tokens(texts.slice(i, CUT_ROWS)) for i in range(0, max(1, len(texts)), CUT_ROWS)]
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words, n = space_words(texts)
     words = np.maximum(words >> np.uint64(16), np.uint64(2))
     ends = np.cumsum(n)
@@ -102,6 +110,25 @@ def widened(raw: bytes, size: int, kind: str) -> np.ndarray:
     return out.view(kind).ravel()
 
 
+def _concatenated(held: list) -> list[np.ndarray]:
+    """The columns of ``held`` (lists of columns) one after the other; ``held`` is emptied, so that
+    no more than a column is there twice."""
+    out = []
+    for i in range(len(held[0])):
+        out.append(np.concatenate([x[i] for x in held]))
+        for x in held:
+            x[i] = None
+    held.clear()
+    return out
+
+
+def _ordered(columns: list[np.ndarray], order: np.ndarray) -> list[np.ndarray]:
+    """The columns in another order, each given up as it is copied."""
+    for i in range(len(columns)):
+        columns[i] = columns[i][order]
+    return columns
+
+
 def _groups(part: np.ndarray) -> Iterator[tuple[int, slice]]:
     """(value, where it is) of an array in order."""
     begin = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else []
@@ -154,7 +181,7 @@ def unigrams(train: DataFrame) -> DataFrame:
             w, c = np.unique(tokens(batch.column("text"))[1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(c)], ["w", "c"])
 
-    return train.select("text").mapInArrow(count, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+    return train.select("text").mapInArrow(freed(count), "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
 FOUND = ("kind int, h binary, ch binary, n binary, w binary, c binary, cw binary, "
@@ -163,7 +190,7 @@ ROW_PAIRS = 100_000
 
 
 def bigrams(train: DataFrame, hot: Lookup, heavy: np.ndarray, n: int, p, least: int = 1) -> DataFrame:
-    """All bigrams, packed by history, in rows of kind 0: histories ``h``, their counts ``ch``
+    """All bigrams, packed by history and stored, in rows of kind 0: histories ``h``, their counts ``ch``
     and numbers ``n`` of bigrams seen ``least`` times or more, and of these the words ``w``,
     counts ``c`` and counts of words ``cw``. A history is whole in one row, but for the
     ``heavy`` ones; of these rows of kind 2 have, by part, the count, the numbers of bigrams
@@ -174,7 +201,7 @@ def bigrams(train: DataFrame, hot: Lookup, heavy: np.ndarray, n: int, p, least:
     def blocks(part, h, *columns):
         """One row a part; within it the histories are in order."""
         order = np.lexsort((h, part))
-        part, h, columns = part[order], h[order], [c[order] for c in columns]
+        part, h, *columns = _ordered([part, h, *columns], order)
         out = [(q, planes(np.diff(h[at], prepend=np.uint64(0))), *(narrow(c[at]) for c in columns))
                for q, at in _groups(part)]
         return pa.RecordBatch.from_arrays(
@@ -186,17 +213,17 @@ def bigrams(train: DataFrame, hot: Lookup, heavy: np.ndarray, n: int, p, least:
         held = []
         for batch in batches:
             for r in zip(*(batch.column(x).to_pylist() for x in names)):
-                held.append((np.cumsum(from_planes(r[0], "<u8"), dtype=np.uint64),
-                             *(widened(x, len(r[0]) // 8, k) for x, k in zip(r[1:], kinds))))
-        return [np.concatenate([x[i] for x in held]) for i in range(len(names))] if held else None
+                held.append([np.cumsum(from_planes(r[0], "<u8"), dtype=np.uint64),
+                             *(widened(x, len(r[0]) // 8, k) for x, k in zip(r[1:], kinds))])
+        return _concatenated(held) if held else None
 
     def pack(batches):
         held, size = [], 0
 
         def flush():
-            h, w = (np.concatenate([x[i] for x in held]) for i in (0, 1))
-            order = np.lexsort((w, h))
-            h, w = h[order], w[order]
+            whole = _concatenated(held)
+            h, w = _ordered(whole, np.lexsort((whole[1], whole[0])))
+            whole.clear()
             new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (w[1:] != w[:-1])]))
             c = np.diff(np.append(new, len(h)))
             h, w = h[new], w[new]
@@ -205,11 +232,11 @@ def bigrams(train: DataFrame, hot: Lookup, heavy: np.ndarray, n: int, p, least:
 
         for batch in slices(batches, CHUNK_ROWS):
             h, w, _ = tokens(batch.column("text"))
-            held.append((h, w))
+            held.append([h, w])
             size += len(h)
             if size >= CHUNK_PAIRS:
                 yield flush()
-                held, size = [], 0
+                size = 0
         if size:
             yield flush()
 
@@ -217,8 +244,7 @@ def bigrams(train: DataFrame, hot: Lookup, heavy: np.ndarray, n: int, p, least:
         whole = unpacked(batches, "hwc", ("<u8", "<i8"))
         if not whole:
             return
-        order = np.lexsort((whole[0], whole[1]))
-        h, w, c = (x[order] for x in whole)
+        h, w, c = _ordered(whole, np.lexsort((whole[0], whole[1])))
         whole.clear()
         new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (w[1:] != w[:-1])]))
         h, w, c = h[new], w[new], np.add.reduceat(c, new)
@@ -246,8 +272,7 @@ def bigrams(train: DataFrame, hot: Lookup, heavy: np.ndarray, n: int, p, least:
         whole = unpacked(batches, ("h", "w", "c", "cw"), ("<u8", "<i8", "<i8"))
         if not whole:
             return
-        order = np.lexsort((whole[1], whole[0]))
-        h, w, c, cw = (x[order] for x in whole)
+        h, w, c, cw = _ordered(whole, np.lexsort((whole[1], whole[0])))
         whole.clear()
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         kept = c >= least
@@ -262,7 +287,8 @@ def bigrams(train: DataFrame, hot: Lookup, heavy: np.ndarray, n: int, p, least:
             of = lambda x: np.add.reduceat(np.where(kept, x, 0), first)[many]
             yield numbers(2, history[many], [ch[many], *(of(c == r) for r in range(1, K + 1)),
                                              of(np.where(c > K, c, 0)), of(p(cw))])
-        w, c, cw = w[kept], c[kept], cw[kept]
+        if not kept.all():
+            w, c, cw = w[kept], c[kept], cw[kept]
         edge = np.concatenate([[0], np.cumsum(size)])
         for _, at in _groups(first // ROW_PAIRS):
             own = slice(int(edge[at.start]), int(edge[at.stop]))
@@ -271,10 +297,14 @@ def bigrams(train: DataFrame, hot: Lookup, heavy: np.ndarray, n: int, p, least:
                        **{name: pa.array([narrow(x)], pa.binary()) for name, x in (
                            ("ch", ch[at]), ("n", size[at]), ("w", w[own]), ("c", c[own]), ("cw", cw[own]))})
 
-    packed = train.select("text").mapInArrow(pack, "part int, h binary, w binary, c binary")
-    merged = (packed.repartitionById(parts, F.col("part")).select("h", "w", "c")
-              .mapInArrow(merge, "part int, h binary, w binary, c binary, cw binary"))
-    return (merged.repartitionById(parts, F.col("part")).select("h", "w", "c", "cw").mapInArrow(gather, FOUND))
+    packed = train.select("text").mapInArrow(freed(pack), "part int, h binary, w binary, c binary")
+    # stored, so that the first shuffle's files are gone before the second one's are written
+    merged = staged(packed.repartitionById(parts, F.col("part")).select("h", "w", "c")
+                    .mapInArrow(freed(merge), "part int, h binary, w binary, c binary, cw binary"))
+    found = staged(merged.repartitionById(parts, F.col("part")).select("h", "w", "c", "cw")
+                   .mapInArrow(freed(gather), FOUND))
+    drop_staged(merged)
+    return found
 
 
 def discounts(seen: dict[int, int], k: int = K) -> list[float]:
@@ -319,6 +349,7 @@ def fit(df: DataFrame, text_col: str = "text", *, min_count: int = MIN_COUNT,
         hot_words: int = HOT_WORDS, hot_keys: int = HOT_KEYS, bitmap: int = BITMAP) -> Model:
     """The model of the texts of ``df``."""
     spark = df.sparkSession
+    small_batches(spark)  # texts, and rows that hold up to 100,000 pairs
     train = df.select(text_of(text_col).alias("text"))
     counts = staged(unigrams(train))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
@@ -337,7 +368,7 @@ def fit(df: DataFrame, text_col: str = "text", *, min_count: int = MIN_COUNT,
     texts = counts.where(F.col("w") == END).first()["c"]
     heavy = hot.keys[(hot.columns[0] > PART_PAIRS // 20) & (hot.keys != np.uint64(END))]
     heavy = np.append(heavy, np.uint64(START))
-    found = staged(bigrams(train, hot, heavy, n, p, min_count))
+    found = bigrams(train, hot, heavy, n, p, min_count)
     sums = {1: {}, 2: {}}
     for r in (found.where("kind > 0").groupBy("kind", "key")
               .agg(*[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(K + 3)]).collect()):
@@ -366,25 +397,25 @@ def fit(df: DataFrame, text_col: str = "text", *, min_count: int = MIN_COUNT,
                 known, at = fixed.find(h)
                 g, a, ch = (np.where(known, x[at], y) for x, y in zip(fixed.columns, (g, a, ch)))
                 of = (np.log10(g / ch) - np.log10(a))[place]
-                held.append((pair_keys(h[place], w), of + np.log10(own) - np.log10(mass), c,
-                             np.zeros(len(c), np.uint8)))
+                held.append([pair_keys(h[place], w), of + np.log10(own) - np.log10(mass), c,
+                             np.zeros(len(c), np.uint8)])
                 word = ~known
                 ch = ch[word].astype(np.int64)
-                held.append((word_keys(h[word]), of_word(ch, a[word]), ch, np.ones(len(ch), np.uint8)))
+                held.append([word_keys(h[word]), of_word(ch, a[word]), ch, np.ones(len(ch), np.uint8)])
                 size += len(c) + len(h)
                 if size >= CHUNK_PAIRS // 4:
                     yield _blocks(held, bits)
-                    held, size = [], 0
+                    size = 0
         if size:
             yield _blocks(held, bits)
 
     last = np.append(heavy[:-1], np.uint64(END))  # words whose histories are in many rows, or none
     count = np.append(v2[:-1, 0], texts).astype(np.int64)
-    words = _blocks([(word_keys(last), of_word(count, np.append(heavy_a[:-1], 1.0)), count,
-                      np.ones(len(last), np.uint8))], bits)
-    keyed = found.where("kind = 0").select("h", "ch", "n", "w", "c", "cw").mapInArrow(score, BLOCKS).union(
+    words = _blocks([[word_keys(last), of_word(count, np.append(heavy_a[:-1], 1.0)), count,
+                      np.ones(len(last), np.uint8)]], bits)
+    keyed = found.where("kind = 0").select("h", "ch", "n", "w", "c", "cw").mapInArrow(freed(score), BLOCKS).union(
         spark.createDataFrame([tuple(r.values()) for r in words.to_pylist()], BLOCKS))
-    table = staged(_stored(keyed, bits, bitmap))
+    table = staged(_stored(keyed, bits, bitmap, folder_uri(spark, "katz")))
     drop_staged(found, counts)
     slices_ = table.where("bits IS NOT NULL").select("part", "bits").toArrow().to_pylist()
     joined = np.frombuffer(b"".join(r["bits"] for r in sorted(slices_, key=lambda r: r["part"])), np.uint8)
@@ -395,7 +426,7 @@ def fit(df: DataFrame, text_col: str = "text", *, min_count: int = MIN_COUNT,
     top = _most_frequent(table.where("bits IS NULL AND c IS NOT NULL").select(
         F.col("hot_key").alias("key"), "c", "score", "base", "known"), hot_keys)
     key, score, base, known = _numbers(top, "key", "score", "base", "known")
-    return Model(table.where("keys IS NOT NULL").select("part", "keys", "scores", "counts", "knowns"), bits, n, v,
+    return Model(table.where("file IS NOT NULL").select("part", "file"), bits, n, v,
                  math.log10(unknown), start, joined, Lookup(key.view(np.uint64), score, base, known))
 
 
@@ -416,11 +447,18 @@ def _unpacked(keys: bytes, scores: bytes, counts: bytes, knowns: bytes) -> tuple
             np.frombuffer(knowns, np.uint8))
 
 
+def _entries(file: str) -> Iterator[list[np.ndarray]]:
+    """The columns (key, score, base, known) of a stored partition, some entries at a time."""
+    with open_file(file) as source, pq.ParquetFile(source) as packed:
+        for batch in packed.iter_batches(batch_size=1):
+            keys, scores, counts, knowns = _unpacked(*(c[0].as_py() for c in batch.columns))
+            yield [keys, scores, _base(counts, knowns), knowns]
+
+
 def _blocks(held: list, bits: int) -> pa.RecordBatch:
     """Entries (key, score, c, known), a row for each part."""
-    columns = [np.concatenate([x[i] for x in held]) for i in range(4)]
-    order = np.argsort(columns[0])
-    columns = [c[order] for c in columns]
+    columns = _concatenated(held)
+    columns = _ordered(columns, np.argsort(columns[0]))
     out = [(part, *_packed(*(c[at] for c in columns))) for part, at in _groups(_part(columns[0], bits))]
     return pa.RecordBatch.from_arrays(
         [pa.array([o[0] for o in out], pa.int32())]
@@ -432,8 +470,8 @@ def _part(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(63) >> np.uint64(1) if not bits else keys >> np.uint64(64 - bits)).astype(np.int32)
 
 
-STORED = ("part int, keys binary, scores binary, counts binary, knowns binary, bits binary, "
-          "hot_key long, c long, score double, base double, known int")
+STORED = "part int, file string, bits binary, hot_key long, c long, score double, base double, known int"
+ENTRIES = pa.schema([(c, pa.binary()) for c in ("keys", "scores", "counts", "knowns")])
 # Entries this frequent may be among the hot ones, and are also kept as plain rows.
 HOT_COUNT = 8
 
@@ -442,12 +480,11 @@ def _base(c: np.ndarray, known: np.ndarray) -> np.ndarray:
     return np.where(known > 0, np.log10((c + 0.1) / 0.1), 0.0)
 
 
-def _stored(keyed: DataFrame, bits: int, bitmap: int) -> DataFrame:
-    """The table's partitions: packed entries, their slice of the bit map, and the entries
-    seen ``HOT_COUNT`` times as rows."""
+def _stored(keyed: DataFrame, bits: int, bitmap: int, folder: str) -> DataFrame:
+    """The table's partitions: the file of packed entries in ``folder``, their slice of the bit map,
+    and the entries seen ``HOT_COUNT`` times as rows."""
     schema = pa.schema([
-        ("part", pa.int32()), *[(c, pa.binary()) for c in ("keys", "scores", "counts", "knowns", "bits")],
-        ("hot_key", pa.int64()), ("c", pa.int64()), ("score", pa.float64()), ("base", pa.float64()),
+        ("part", pa.int32()), ("file", pa.string()), ("bits", pa.binary()), ("hot_key", pa.int64()), ("c", pa.int64()), ("score", pa.float64()), ("base", pa.float64()),
         ("known", pa.int32())])
 
     def rows(n, **columns):
@@ -459,20 +496,19 @@ def _stored(keyed: DataFrame, bits: int, bitmap: int) -> DataFrame:
         for batch in slices(batches, 64):
             for r in batch.to_pylist():
                 part = r["part"]
-                held.append(_unpacked(r["keys"], r["scores"], r["counts"], r["knowns"]))
+                held.append(list(_unpacked(r["keys"], r["scores"], r["counts"], r["knowns"])))
         if part is None:
             return
-        columns = [np.concatenate([x[i] for x in held]) for i in range(4)]
-        held.clear()
-        order = np.argsort(columns[0])
-        for i in range(4):
-            columns[i] = columns[i][order]
+        columns = _concatenated(held)
+        columns = _ordered(columns, np.argsort(columns[0]))
         here[((columns[0] << np.uint64(bits)) >> np.uint64(64 - bitmap + bits)).astype(np.int64)] = True
-        for start in range(0, len(order), 200_000):
+        with new_file(folder, ".parquet") as (file, out), pq.ParquetWriter(out, ENTRIES, compression="zstd") as to:
+            for start in range(0, len(columns[0]), 200_000):
+                packed = _packed(*(c[start:start + 200_000] for c in columns))
+                to.write_batch(pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in packed], schema=ENTRIES))
+        yield rows(1, part=pa.array([part], pa.int32()), file=pa.array([file]))
+        for start in range(0, len(columns[0]), 200_000):
             own = [c[start:start + 200_000] for c in columns]
-            packed = dict(zip(("keys", "scores", "counts", "knowns"), _packed(*own)))
-            yield rows(1, part=pa.array([part], pa.int32()),
-                       **{name: pa.array([x], pa.binary()) for name, x in packed.items()})
             hot = own[2] >= HOT_COUNT
             if hot.any():
                 key, score, c, known = (x[hot] for x in own)
@@ -482,12 +518,12 @@ def _stored(keyed: DataFrame, bits: int, bitmap: int) -> DataFrame:
         yield rows(1, part=pa.array([part], pa.int32()),
                    bits=pa.array([np.packbits(here, bitorder="little").tobytes()], pa.binary()))
 
-    return keyed.repartitionById(1 << bits, F.col("part")).mapInArrow(store, STORED)
+    return keyed.repartitionById(1 << bits, F.col("part")).mapInArrow(freed(store), STORED)
 
 
 # -- evaluation ---------------------------------------------------------------
 
-REQUESTS = "part int, kind int, a binary, b binary, c binary, d binary, e binary"
+REQUESTS = "part int, kind int, a binary, b binary, c binary"
 PARTIAL = "chunk long, kind int, names binary, docs binary, sums binary"
 SUMS = "id long, n_tokens long, n_known long, base_score double, score double"
 
@@ -495,6 +531,7 @@ SUMS = "id long, n_tokens long, n_known long, base_score double, score double"
 def evaluate(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, n_known, train_tokens, base_score, score) of every row's whole text."""
     spark = df.sparkSession
+    small_batches(spark)
     text = text_of(text_col)
     rows = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text"),
                      F.xxhash64(text).alias("tie"))
@@ -502,7 +539,7 @@ def evaluate(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     bits, bitmap, unknown, start = model.parts_bits, len(model.bitmap) * 8, model.unknown, model.start
     shift = np.uint64(64 - (bitmap.bit_length() - 1))
     zero = math.log10(0.1 / (model.n + 0.1 * (model.v + 1)))
-    schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), *[(c, pa.binary()) for c in "abcde"]])
+    schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), *[(c, pa.binary()) for c in "abc"]])
 
     def ask(batches):
         hot, bitmap = shared.value
@@ -530,20 +567,20 @@ def evaluate(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                      np.array([not i.is_valid for i in ids], np.uint8).tobytes(),
                      batch.column("tie").to_numpy().tobytes()]
             whole = b"".join(names)
+            chunk = hashlib.blake2b(whole, digest_size=8).digest()
             for part, at in _groups(_part(keys, bits)):
-                out.append((part, 1, whole, planes(np.diff(keys[at], prepend=np.uint64(0))),
-                            planes(docs[at]), None, None))
+                out.append((part, 1, chunk, planes(np.diff(keys[at], prepend=np.uint64(0))), planes(docs[at])))
             own_part = int(mixed(np.array([number], np.uint64) + batch.column("tie")[0].as_py() % 2 ** 32)[0]
                            % np.uint64(1 << bits))
-            out.append((own_part, 2, whole, n.astype(np.int64).tobytes(), sums.tobytes(), None, None))
+            out.append((own_part, 2, whole, n.astype(np.int64).tobytes(), sums.tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[i] for o in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
-    asked = rows.mapInArrow(ask, REQUESTS)
+    asked = rows.mapInArrow(freed(ask), REQUESTS)
     if model.table is not None:
         asked = asked.union(model.table.select(
-            "part", F.lit(0).alias("kind"), F.col("keys").alias("a"), F.col("scores").alias("b"),
-            F.col("counts").alias("c"), F.col("knowns").alias("d"), F.lit(None).cast("binary").alias("e")))
+            "part", F.lit(0).alias("kind"), F.col("file").cast("binary").alias("a"),
+            F.lit(None).cast("binary").alias("b"), F.lit(None).cast("binary").alias("c")))
 
     def answer(batches):
         held, table = [], None
@@ -551,15 +588,13 @@ def evaluate(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             out = []
             for r in batch.to_pylist():
                 if r["kind"] == 0:
-                    keys, scores, counts, knowns = _unpacked(r["a"], r["b"], r["c"], r["d"])
-                    held.append((keys, scores, _base(counts, knowns), knowns))
+                    held += _entries(r["a"].decode())
                     continue
                 if table is None:
-                    columns = [np.concatenate([np.zeros(0, kind)] + [h[i] for h in held])
-                               for i, kind in enumerate(("<u8", "<f8", "<f8", "u1"))]
-                    table = Lookup(*columns)
-                    held.clear()
-                chunk = int.from_bytes(hashlib.blake2b(r["a"], digest_size=8).digest(), "little", signed=True)
+                    held.append([np.zeros(0, kind) for kind in ("<u8", "<f8", "<f8", "u1")])
+                    table = Lookup(*_concatenated(held))
+                chunk = r["a"] if r["kind"] == 1 else hashlib.blake2b(r["a"], digest_size=8).digest()
+                chunk = int.from_bytes(chunk, "little", signed=True)
                 if r["kind"] == 2:
                     out.append((chunk, 2, r["a"], r["b"], r["c"]))
                     continue
@@ -607,8 +642,8 @@ def evaluate(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             yield from rows()
 
     parts = (asked.repartitionById(1 << bits, F.col("part")).sortWithinPartitions("kind")
-             .mapInArrow(answer, PARTIAL))
+             .mapInArrow(freed(answer), PARTIAL))
     sums = (parts.repartition("chunk").sortWithinPartitions("chunk", F.desc("kind"))
-            .mapInArrow(total, SUMS))
+            .mapInArrow(freed(total), SUMS))
     return sums.select(F.col("id").alias(id_col), "n_tokens", "n_known",
                        F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -161,6 +162,35 @@ def test_words_are_cut_as_defined(lines):
     assert len(set(zip(flat, hashed.tolist()))) == len(set(flat)) == len(set(hashed.tolist()))
 
 
+def test_cutting_holds_few_texts_at_a_time():
+    """Beside what it returns; it was over 60 bytes for each byte of text."""
+    texts = pa.array([" ".join(f"word{(i * 31 + j) % 977}" for j in range(400)) for i in range(katz.CHUNK_ROWS)])
+    katz.tokens(texts.slice(0, 2))
+    tracemalloc.start()
+    out = katz.tokens(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak - 2 * sum(x.nbytes for x in out) < 16 * texts.nbytes
+    alone = [katz.tokens(texts.slice(i, 1)) for i in range(len(texts))]
+    assert all((a == np.concatenate(b)).all() for a, b in zip(out, zip(*alone)))
+
+
+def test_the_table_stays_in_its_files(documents):
+    """Evaluation is told where the entries are; they are not shuffled again beside the requests."""
+    model = katz.fit(documents([(i, f"a b{i % 3} c") for i in range(30)]))
+    files = [r.file for r in model.table.collect()]
+    assert model.table.columns == ["part", "file"] and len(files) == len(set(files)) > 0
+    assert sum(len(keys) for f in files for keys, *_ in katz._entries(f)) > 0
+
+
+def test_columns_are_given_up_as_they_are_joined():
+    held = [[np.arange(3), np.arange(3.0)], [np.arange(2), np.arange(2.0)]]
+    first = held[0]
+    joined = katz._concatenated(held)
+    assert [x.tolist() for x in joined] == [[0, 1, 2, 0, 1], [0.0, 1.0, 2.0, 0.0, 1.0]]
+    assert held == [] and first == [None, None]
+
+
 def test_planes_round_trip():
     values = np.array([0, 1, 2 ** 40, 2 ** 64 - 1], np.uint64)
     assert katz.from_planes(katz.planes(values), "<u8").tolist() == values.tolist()
