@@ -12,9 +12,11 @@ documents of a batch advance together, arrival by arrival, in array operations.
 Candidates: documents with the same weighted set are one node. Nodes meet in a bucket when
 all registers of a band agree; with 25 bands of 5 a pair at 0.8 meets with a chance of
 0.99995, one further up more surely. Nodes of a bucket are compared inside tasks, sketch with
-sketch, block by block; of each node the few most agreeing partners are verified. Of those
-that are not of one class by then more are, at last all that are left: every pair of a bucket
-has then been compared, or is known to be of one class, and what is verified is few a node.
+sketch, block by block; of each node the few most agreeing partners are verified. Buckets whose
+nodes are not all of one class by then are met once more, with the nodes' weighted sets: there the
+tasks verify all that may be similar themselves, each pair in the first bucket it shares, and
+give only the links that join classes. Every pair of a bucket has then been compared, or is known to
+be of one class, and what leaves the tasks is few a node, however large a group is.
 Two sketches keep what cannot be similar from being verified: 128 bits of the registers (at
 similarity 0.8 fewer than 96 agree with a chance of 3e-7), and a parity sketch of the set, of
 whose bits no more can differ than shingles do, which bounds the similarity from above
@@ -41,15 +43,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, drop_staged, freed, slices, staged, text_of, unused
+from .common import components, drop_staged, freed, slices, small_batches, staged, text_of, unused
 from .wordhash import mixed, plain_words
 
 WORDS, SIMILARITY = 5, 0.8
 REGISTERS, BANDS, ROWS = 128, 25, 5
 FEWEST_BITS = 96  # of 128: at similarity 0.8 the mean is 115.2 and the deviation 3.4
-# Most agreeing partners of a node that a round tests; the last round tests all that are left.
-PARTNERS = (3, 48, None)
+PARTNERS = 3  # most agreeing partners of a node that the first round tests
 BLOCK = 2048  # nodes of a bucket whose sketches a task holds
+SET_BLOCK, SET_SHINGLES = 512, 1 << 20  # the same, and their shingles in all, where it holds their sets
 PARITY = 512  # bits of the parity sketch, a multiple of 64
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -192,7 +194,7 @@ def _verified(pairs: DataFrame, pool: DataFrame, least: float, words: int) -> Da
 def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """(node, component) of all linked nodes, after ``links`` on top of the components known before.
 
-    Only links between components are followed again, so a later round costs what it finds.
+    Only links between components are followed again, so the later round costs what it finds.
     """
     if labels is None:
         return staged(components(links))
@@ -219,28 +221,19 @@ def _linked(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, least:
     pool = staged(texts.join(wanted.withColumnRenamed("id", "own"),
                              [texts.text_key == wanted.text_key, texts.id.eqNullSafe(F.col("own"))])
                   .select("node", "text").dropDuplicates(["node"]))
-    labels = tested = None
-    for partners in PARTNERS:
-        labelled = members.withColumn("label", F.col("node"))
-        if labels is not None:
-            known = labels.withColumnRenamed("component", "label")
-            labelled = members.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        found = staged(_best(_close(labelled, least, partners), partners))
-        fresh = found.where("best").select("a", "b")
-        fresh = fresh if tested is None else staged(fresh.join(tested, ["a", "b"], "left_anti"))
-        labels = _merged(labels, staged(_verified(fresh, pool, least, words)))
-        tested = fresh if tested is None else tested.union(fresh)
-        if not found.where("more OR NOT best").take(1):
-            break  # every pair that may be similar has been tested, or was known to be of one class
+    found = staged(_best(_close(members.withColumn("label", F.col("node")), least, PARTNERS), PARTNERS))
+    labels = _merged(None, staged(_verified(found.where("best").select("a", "b"), pool, least, words)))
+    if found.where("more OR NOT best").take(1):  # else every pair that may be similar has been tested
+        known = labels.withColumnRenamed("component", "label")
+        labelled = members.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        labels = _merged(labels, staged(_missing(labelled, nodes.select("node", "buckets"), pool, least, words)))
     return labels
 
 
-def _best(found: DataFrame, partners: int | None) -> DataFrame:
+def _best(found: DataFrame, partners: int) -> DataFrame:
     """(a, b, more, best): the pairs once each, and whether one of its ends has no more than
     ``partners`` that agree better."""
     once = found.groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("more").alias("more"))
-    if partners is None:
-        return once.select("a", "b", "more", F.lit(True).alias("best"))
 
     def place(end: str, other: str):
         return F.row_number().over(Window.partitionBy(end).orderBy(F.desc("agree"), other))
@@ -249,40 +242,88 @@ def _best(found: DataFrame, partners: int | None) -> DataFrame:
     return placed.select("a", "b", "more", (F.least("in_a", "in_b") <= partners).alias("best"))
 
 
-def _close(labelled: DataFrame, least: float, partners: int | None) -> DataFrame:
+COMPARED = ("node", "label", "bits0", "bits1", "parity", "size", "mass")
+
+
+def _close(labelled: DataFrame, least: float, partners: int) -> DataFrame:
     """(a, b, agree, more): in each bucket, of each node the ``partners`` most agreeing nodes of other labels
-    that may be similar (None: all), smaller node first; ``more`` where there were further ones.
+    that may be similar, smaller node first; ``more`` where there were further ones. Nodes are compared
+    inside tasks, and only what passes leaves them."""
+    rows = _in_blocks(_mixed(labelled, F.ceil(F.count(F.lit(1)) / BLOCK)), COMPARED)
+    task = _meeting(lambda bucket, *sides, **k: _between(*sides, least, partners, **k))
+    return rows.mapInArrow(freed(task), "a binary, b binary, agree int, more boolean")
 
-    Nodes are compared inside tasks, and only what passes leaves them. A bucket is cut into blocks
-    of about ``BLOCK`` nodes; a task holds the sketches of a block and streams those of its own and of the
-    later blocks past them. Buckets of one label have nothing to add.
-    """
-    mixed_up = (labelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"),
+
+def _missing(labelled: DataFrame, buckets: DataFrame, pool: DataFrame, least: float, words: int) -> DataFrame:
+    """Links (a, b) that join the labels of nodes with a similar partner in a bucket, all pairs of
+    which are compared, similar ones by their weighted sets. Of links that join the same labels
+    a task gives one: of n nodes met in a block fewer than n."""
+
+    def weighted(batches):
+        for batch in slices(batches, 200):
+            text, key, weight = shingles(batch.column("text"), words)
+            bounds = np.searchsorted(text, np.arange(batch.num_rows + 1)).tolist()
+            sets = [(key[b:e].tobytes(), weight[b:e].astype("<i8").tobytes() if (weight[b:e] > 1).any() else None)
+                    for b, e in zip(bounds, bounds[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("buckets"), *(pa.array([x[i] for x in sets], pa.binary())
+                                                                  for i in range(2))],
+                ["node", "buckets", "keys", "weights"])
+
+    by_nodes, by_shingles = F.count(F.lit(1)) / SET_BLOCK, F.sum("size") / SET_SHINGLES
+    mixed_up = staged(_mixed(labelled, F.ceil(F.greatest(by_nodes, by_shingles))))
+    wanted = pool.join(mixed_up.select("node").distinct(), "node").join(buckets, "node")
+    sets = wanted.select("node", "buckets", "text").mapInArrow(
+        freed(weighted), "node binary, buckets array<long>, keys binary, weights binary")
+    rows = _in_blocks(mixed_up.join(staged(sets), "node"), (*COMPARED, "buckets", "keys", "weights"))
+    task = _meeting(lambda bucket, *sides, **k: _joining(bucket, *sides, least, **k))
+    return rows.mapInArrow(freed(task), "a binary, b binary").distinct()
+
+
+def _mixed(labelled: DataFrame, blocks) -> DataFrame:
+    """The rows of buckets with several labels, and in how many ``blocks`` each is cut; buckets of
+    one label have nothing to add."""
+    mixed_up = (labelled.groupBy("bucket").agg(blocks.alias("blocks"), F.min("label").alias("low"),
                                                F.max("label").alias("high"))
-                .where("low <> high").select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks")))
-    rows = labelled.join(mixed_up, "bucket").withColumn("home", F.pmod(F.xxhash64("node"), F.col("blocks")))
+                .where("low <> high").select("bucket", "blocks"))
+    return labelled.join(mixed_up, "bucket")
+
+
+def _in_blocks(rows: DataFrame, columns: tuple) -> DataFrame:
+    """Rows dealt by bucket and block: a block's own first, then those of the later blocks as guests."""
+    rows = rows.withColumn("home", F.pmod(F.xxhash64("node"), F.col("blocks")))
     rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("home"))))
-    rows = rows.select("bucket", "block", (F.col("home") != F.col("block")).alias("guest"), "node", "label", "bits0",
-                       "bits1", "parity", "size", "mass")
-    rows = rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "guest")
+    rows = rows.select("bucket", "block", (F.col("home") != F.col("block")).alias("guest"), *columns)
+    return rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "guest")
+
+
+def _meeting(meet):
+    """A task that holds a block and streams its guests past it. ``meet(bucket, homes, guests)`` gives what it
+    finds among them."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
+
+        def within():
+            if held:
+                own = _joined(held)
+                yield from meet(key[0], own, own, ordered=True)
+
         for batch in batches:
             for own, guest, part in _runs(batch):
                 if own != key:
-                    yield from _within(held, least, partners)
+                    yield from within()
                     held, key = [], own
                 if not guest:
                     held.append(part)
                     continue
                 if len(held) > 1:
                     held = [_joined(held)]
-                yield from _between(held[0], part, least, partners) if held else ()
-        yield from _within(held, least, partners)
+                yield from meet(key[0], held[0], part) if held else ()
+        yield from within()
 
     # a block's own pairs are compared once all of it is there: at the end of its group
-    return rows.mapInArrow(freed(compare), "a binary, b binary, agree int, more boolean")
+    return compare
 
 
 def _runs(batch: pa.RecordBatch):
@@ -293,28 +334,33 @@ def _runs(batch: pa.RecordBatch):
     parity = batch.column("parity").flatten().to_numpy().reshape(-1, PARITY // 64).view(np.uint64)
     bits = np.stack([batch.column(c).to_numpy() for c in ("bits0", "bits1")], axis=1).view(np.uint64)
     size, mass = (batch.column(c).to_numpy().astype(np.float64) for c in ("size", "mass"))
+    columns = [digest["node"], digest["label"], bits, parity, size, mass]
+    if "keys" in batch.schema.names:
+        columns.append(batch.column("buckets").flatten().to_numpy().reshape(-1, BANDS))
+        columns += [_objects(batch.column(c).to_pylist()) for c in ("keys", "weights")]
     change = (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1]) | (guest[1:] != guest[:-1])
     bounds = np.concatenate([[0], np.flatnonzero(change) + 1, [len(bucket)]])
     for start, stop in zip(bounds, bounds[1:]):
         if stop > start:
             yield ((int(bucket[start]), int(block[start])), bool(guest[start]),
-                   tuple(x[start:stop] for x in (digest["node"], digest["label"], bits, parity, size, mass)))
+                   tuple(x[start:stop] for x in columns))
 
 
-def _joined(parts: list) -> tuple:
-    return tuple(np.concatenate(x) for x in zip(*parts)) if len(parts) > 1 else parts[0]
+def _objects(values: list) -> np.ndarray:
+    out = np.empty(len(values), object)
+    out[:] = values
+    return out
 
 
-def _within(held: list, least: float, partners: int | None) -> Iterator[pa.RecordBatch]:
-    if held:
-        own = _joined(held)
-        yield from _between(own, own, least, partners, ordered=True)
+def _joined(parts: list) -> tuple:
+    return tuple(np.concatenate(x) for x in zip(*parts)) if len(parts) > 1 else parts[0]
 
 
-def _between(homes: tuple, guests: tuple, least: float, partners: int | None,
-             ordered: bool = False) -> Iterator[pa.RecordBatch]:
-    """The candidates among homes and guests, some homes at a time; ``ordered``: of a block with itself."""
-    nodes, labels, bits, parity, size, mass = homes
+def _similar(homes: tuple, guests: tuple, least: float, ordered: bool
+             ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(home, guest, registers' bits that agree) of other labels that may be similar, the most agreeing guests of
+    a home first, some homes at a time; ``ordered``: of a block with itself."""
+    nodes, labels, bits, parity, size, mass = homes[:6]
     step = max(1, (1 << 19) // max(1, len(guests[0])))
     for start in range(0, len(nodes), step):
         stop = min(start + step, len(nodes))
@@ -334,14 +380,75 @@ def _between(homes: tuple, guests: tuple, least: float, partners: int | None,
         fits = (weighted >= least - 1e-9) & (heavy | (plain >= least - 1e-9))
         row, col, agreeing = row[fits], col[fits], agreeing[fits]
         order = np.lexsort((-agreeing, row))
-        row, col = row[order], col[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        keep = np.ones(len(row), bool) if partners is None else place < partners
         if len(row):
-            more = np.full(int(keep.sum()), bool((~keep).any()))
-            ends = _sorted_ends(nodes[row[keep]], guests[0][col[keep]])
-            yield pa.RecordBatch.from_arrays(
-                [*ends, pa.array(agreeing[order][keep].astype(np.int32)), pa.array(more)], ["a", "b", "agree", "more"])
+            yield row[order], col[order], agreeing[order]
+
+
+def _between(homes: tuple, guests: tuple, least: float, partners: int,
+             ordered: bool = False) -> Iterator[pa.RecordBatch]:
+    """The candidates among homes and guests, ``partners`` of each home."""
+    for row, col, agreeing in _similar(homes, guests, least, ordered):
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < partners
+        more = np.full(int(keep.sum()), bool((~keep).any()))
+        ends = _sorted_ends(homes[0][row[keep]], guests[0][col[keep]])
+        yield pa.RecordBatch.from_arrays(
+            [*ends, pa.array(agreeing[keep].astype(np.int32)), pa.array(more)], ["a", "b", "agree", "more"])
+
+
+def _joining(bucket: int, homes: tuple, guests: tuple, least: float,
+             ordered: bool = False) -> Iterator[pa.RecordBatch]:
+    """Of the similar pairs of homes and guests those that join labels not joined before. Pairs that share
+    an earlier bucket are met there."""
+    size, mass = (np.concatenate([homes[i], guests[i]]) for i in (4, 5))
+    heavy, n = mass > size, len(homes[0])
+    label = np.unique(np.concatenate([homes[1], guests[1]]), axis=0, return_inverse=True)[1].ravel()
+    root = np.arange(label.max() + 1)  # of each label
+
+    def weighted(side, i):
+        keys = np.frombuffer(side[7][i], "<u8")
+        return keys, np.ones(len(keys), np.int64) if side[8][i] is None else np.frombuffer(side[8][i], "<i8")
+
+    words = None
+    for row, col, _ in _similar(homes, guests, least, ordered):
+        same = homes[6][row] == guests[6][col]
+        here = homes[6][row, same.argmax(axis=1)] == bucket
+        row, col = row[here & same.any(axis=1)], col[here & same.any(axis=1)]
+        if words is None and len(row):
+            words, place = np.unique(np.frombuffer(b"".join(guests[7]), "<u8"), return_inverse=True)
+            begin = np.concatenate([[0], np.cumsum([len(k) // 8 for k in guests[7]])[:-1]])
+            has = np.zeros(len(words) + 1, np.int64)
+        out = []
+        for i, at in _groups(row):
+            other = col[at]
+            other = other[root[label[n + other]] != root[label[i]]]
+            if not len(other):
+                continue
+            own = weighted(homes, i)[0]
+            found = np.minimum(np.searchsorted(words, own), len(words) - 1)
+            found = found[words[found] == own]
+            has[found] = 1
+            shared = np.add.reduceat(has[place], begin)[other]
+            has[found] = 0
+            a, b = size[i], size[n + other]
+            unlike = a + b - 2 * shared
+            bound = most_similar(unlike, a, b, mass[i], mass[n + other])[0]
+            plain = np.where(heavy[i] | heavy[n + other], bound, shared / (a + b - shared))
+            sure = (plain >= least + 1e-9) & ~heavy[i] & ~heavy[n + other]
+            for j, known in zip(other[plain >= least - 1e-9].tolist(), sure[plain >= least - 1e-9].tolist()):
+                x, y = root[label[i]], root[label[n + j]]
+                if x != y and (known or similarity(weighted(homes, i), weighted(guests, j)) >= least):
+                    root[root == y] = x
+                    out.append((i, j))
+        if out:
+            pairs = np.array(out)
+            yield pa.RecordBatch.from_arrays(_sorted_ends(homes[0][pairs[:, 0]], guests[0][pairs[:, 1]]), ["a", "b"])
+
+
+def _groups(row: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """(value, where it is) of an array in order."""
+    begin = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else []
+    for b, e in zip(begin, [*begin[1:], len(row)]):
+        yield int(row[b]), slice(int(b), int(e))
 
 
 def _sorted_ends(a: np.ndarray, b: np.ndarray) -> list[pa.Array]:
@@ -355,6 +462,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     least: float = SIMILARITY, words: int = WORDS) -> DataFrame:
     """Per row: id, class_id (the smallest id of its class), class_size (rows), kept (whether
     it names the class), text_key (md5 of the text)."""
+    small_batches(df.sparkSession)  # of texts and weighted sets
     sketch = staged(sketches(df, id_col, text_col, words))
     best = F.min(F.struct(F.col("id").isNull(), "id", "text_key"))
     nodes = staged(sketch.where("node IS NOT NULL").groupBy("node").agg(

@@ -147,3 +147,43 @@ def test_few_shingles_do_not_hide_similar_texts(documents):
     lost = [i for i in range(0, len(rows), 2) if 128 - sum(
         bin((a ^ b) % 2 ** 64).count("1") for a, b in zip(bits[i], bits[i + 1])) < minhash.FEWEST_BITS]
     assert not lost
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_pairs_of_a_large_loose_group_do_not_leave_the_tasks(documents, rows, monkeypatch, block):
+    """Near the threshold and not linked: each pair is compared, where its buckets are."""
+    monkeypatch.setattr(minhash, "SET_BLOCK", block)
+    rng, base = random.Random(5), words(180, 99)
+    docs = [(i, edited(base, 2, rng)) for i in range(250)]  # most pairs are 0.796 similar
+    docs += [(300 + i, " ".join([*docs[i][1].split(), "same", "same"] + ["x y z x y z"] * (i % 2))) for i in range(6)]
+    tested, verified = [], minhash._verified
+
+    def counted(pairs, *rest):
+        tested.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(minhash, "_verified", counted)
+    met, missing = [], minhash._missing
+
+    def kept(*args):
+        met.append(missing(*args))
+        return met[-1]
+
+    monkeypatch.setattr(minhash, "_missing", kept)
+    found = minhash.near_duplicates(documents(docs))
+    assert rows(found, "doc_id", "class_id", "class_size") == brute(docs)
+    assert sum(tested) <= 2 * minhash.PARTNERS * len(docs) and len(met) == 1 and met[0].count() <= len(docs) * minhash.BANDS
+
+
+def test_a_pair_is_verified_in_the_first_bucket_it_shares_alone(documents):
+    rng, base = random.Random(6), words(200, 55)
+    [a, b] = documents([(1, " ".join(base)), (2, edited(base, 1, rng))]).transform(
+        lambda d: minhash.sketches(d, "doc_id", "text")).collect()
+    keys = [minhash.shingles(pa.array([t])) for t in (" ".join(base), edited(base, 1, random.Random(6)))]
+    sides = [(np.frombuffer(r.node, "<u8").reshape(1, 2), np.frombuffer(r.node, "<u8").reshape(1, 2),
+              np.array([[r.bits0, r.bits1]]).view(np.uint64), np.array([r.parity]).view(np.uint64),
+              np.array([float(r.size)]), np.array([float(r.mass)]), np.array([r.buckets]),
+              minhash._objects([k[1].tobytes()]), minhash._objects([None])) for r, k in zip((a, b), keys)]
+    shared = [x for x, y in zip(a.buckets, b.buckets) if x == y]
+    given = [sum(out.num_rows for out in minhash._joining(x, *sides, 0.8)) for x in shared]
+    assert len(shared) > 1 and given == [1] + [0] * (len(shared) - 1)
