@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallygrid.llm import exact, minhash, packing, toxicity
-from tallygrid.llm.common import ship, staged
+from tallygrid.llm.common import ship, small_batches, staged
 
 REJECT = 0.5
 
@@ -20,6 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     called. A NULL or empty text scores as the model has it, repeated rows alike; an empty
     table stays empty."""
     ship(spark)
+    small_batches(spark)  # of whole texts; it holds for the later stages too
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     own = ("doc_id", "text")
     plain = [c if c in own else f"c{i}" for i, c in enumerate(docs.columns)]

@@ -149,7 +149,7 @@ def packed(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         if held:
             yield from slices([layout()], 500)
 
-    return dealt.sortWithinPartitions("id", "tie").select("id", "text").mapInArrow(freed(pack), SCHEMA)
+    return dealt.sortWithinPartitions("id", "tie").select("id", "text").mapInArrow(freed(pack, encoder), SCHEMA)
 
 
 def piece_rows(windows: DataFrame) -> DataFrame:

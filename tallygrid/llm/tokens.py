@@ -18,6 +18,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
+from .common import HELD
 from .wordhash import buffer_of, hashes
 
 CACHE_WORDS = 600_000
@@ -210,6 +211,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+HELD.append(encoder)
+
+
 def with_end(ids: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The same with ``end`` after the ids of each text."""
     return np.insert(ids, np.cumsum(lengths), np.uint32(end)), lengths + 1

@@ -83,7 +83,7 @@ def trigram_counts(df: DataFrame, text_col: str) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(N ** 3, np.int64)
-        for batch in slices(batches, 1000):
+        for batch in slices(batches, 200):  # some numbers of eight bytes for each byte of text
             data, at = buffer_of(batch.column("text"))
             s = np.zeros(len(data) + len(at) + 2, np.int64)  # a border before every text
             s[2 + np.arange(len(data)) + np.repeat(np.arange(len(at) - 1), np.diff(at))] = SYMBOL[data]
@@ -92,7 +92,7 @@ def trigram_counts(df: DataFrame, text_col: str) -> DataFrame:
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["code", "n"])
 
-    return (df.select(text_of(text_col).alias("text")).mapInArrow(count, "code long, n long")
+    return (df.select(text_of(text_col).alias("text")).mapInArrow(freed(count), "code long, n long")
             .groupBy("code").agg(F.sum("n").alias("n")))
 
 
@@ -392,9 +392,9 @@ def _document_counts(train: DataFrame, model: CharModel, candidates: np.ndarray
 
     if candidates is None:
         toxic = train.where("label = 1").select("text")
-        return (toxic.mapInArrow(words, "word long, b4 long, b5 long, b6 long, b7 long, n long")
+        return (toxic.mapInArrow(freed(words), "word long, b4 long, b5 long, b6 long, b7 long, n long")
                 .groupBy("word").agg(*[F.first(c).alias(c) for c in ("b4", "b5", "b6", "b7")], F.sum("n").alias("n")))
-    return (train.select("text", "label").mapInArrow(counts, "key long, label int, n long")
+    return (train.select("text", "label").mapInArrow(freed(counts), "key long, label int, n long")
             .groupBy("key", "label").agg(F.sum("n").alias("n")))
 
 
@@ -431,7 +431,7 @@ def fitted(train: DataFrame, model: CharModel, features: int = FEATURES) -> tupl
             yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), batch.column("label")],
                                              ["a", "b", "label"])
 
-    rows = train.select("text", "label").mapInArrow(inputs, "a double, b double, label int").collect()
+    rows = train.select("text", "label").mapInArrow(freed(inputs), "a double, b double, label int").collect()
     return weights, _fit(np.array([[r["a"], r["b"]] for r in rows]), np.array([r["label"] for r in rows]))
 
 
@@ -452,7 +452,7 @@ def restored(df: DataFrame, model: CharModel, text_col: str = "text") -> DataFra
             columns[place] = decoder.restore(batch.column(place)).cast(pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return df.withColumn(text_col, text_of(text_col)).mapInArrow(restore, df.schema)
+    return df.withColumn(text_col, text_of(text_col)).mapInArrow(freed(restore), df.schema)
 
 
 def scored(df: DataFrame, labels: DataFrame, teach: Column | None = None, *, id_col: str = "doc_id",

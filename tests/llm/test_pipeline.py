@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallygrid.llm import queries
+from tallygrid.llm import queries, toxicity
 from test_minhash import brute
 
 SF = "/root/testdata/sf0.001"
@@ -128,3 +128,25 @@ def test_ids_of_windows(cluster, tables):
         for p in w.pieces:
             own = tool.encode(texts[p.doc_id], add_special_tokens=False).ids + [2]
             assert own[p.start:p.start + p.length] == ids[p.offset:p.offset + p.length].tolist()
+
+
+def test_a_stage_drops_what_an_earlier_one_kept_in_its_workers():
+    """A worker that packed holds a tokenizer and its words; the next toxicity stage need not carry them."""
+    from tallygrid.llm.common import freed
+    from tallygrid.llm.tokens import encoder
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder(path)
+    assert list(freed(iter, encoder)([1, 2])) == [1, 2] and encoder.cache_info().currsize == 1
+    assert list(freed(iter)([1, 2])) == [1, 2] and encoder.cache_info().currsize == 0
+
+
+def test_trigrams_are_counted_a_few_texts_at_a_time(cluster):
+    """Counts are those of all texts; the batches of later stages are small."""
+    corpus_pipeline.drop_toxic(cluster, cluster.read.parquet(f"{SF}/documents.parquet").limit(50), SF)
+    assert int(cluster.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    docs = cluster.createDataFrame([(f"ab{'c' * (i % 3)} d",) for i in range(900)], "text string").coalesce(1)
+    whole = {r.code: r.n for r in toxicity.trigram_counts(docs, "text").collect()}
+    parts = [{r.code: r.n for r in toxicity.trigram_counts(d, "text").collect()}
+             for d in (docs.where("text LIKE '%c%'"), docs.where("text NOT LIKE '%c%'"))]
+    assert whole == {k: sum(p.get(k, 0) for p in parts) for p in parts for k in p}
