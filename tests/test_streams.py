@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +91,16 @@ def test_event_time_equals_batch(spark, landed, path, rows):
     assert rows(sc.latest_windows(spark, out)) == rows(want)
 
 
+def test_a_batch_uploads_the_changes_of_its_state(spark, landed, path, rows):
+    out, state = path(), path("state")
+    for _ in range(2):  # the second run goes on from what the first one stored
+        sc.event_hours(sc.hour_windows(stream(spark, landed), delay="1 day"), out, state).awaitTermination()
+    names = [f.name for f in Path(state, "state").rglob("*") if f.is_file()]
+    assert any(n.endswith(".changelog") for n in names) and not any(n.endswith(".zip") for n in names)
+    want = ct.cell_counts(batch(spark, landed).withColumn("hour", F.date_trunc("hour", "ts")), ["hour", *ct.CELL])
+    assert rows(sc.latest_windows(spark, out)) == rows(want)
+
+
 def test_routing(spark, landed, path):
     events = spark.createDataFrame([("e", 24.56, -81.80, at("2015-02-04 10:00:00"),
                                      at("2015-02-04 11:00:00"))], EVENT)
