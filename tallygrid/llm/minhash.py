@@ -121,7 +121,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> D
     adds up their weights."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1000):
+        for batch in slices(batches, 200):  # some 30 numbers of eight bytes for each shingle
             text, key, weight = shingles(batch.column("text"), words)
             n = batch.num_rows
             bounds = np.searchsorted(text, np.arange(n + 1)).tolist()

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -187,3 +188,21 @@ def test_a_pair_is_verified_in_the_first_bucket_it_shares_alone(documents):
     shared = [x for x, y in zip(a.buckets, b.buckets) if x == y]
     given = [sum(out.num_rows for out in minhash._joining(x, *sides, 0.8)) for x in shared]
     assert len(shared) > 1 and given == [1] + [0] * (len(shared) - 1)
+
+
+def test_sketching_holds_few_texts_at_a_time(monkeypatch):
+    """The arrays of a sketch take many times the text: of a batch of 1000 rows not all at once."""
+    class Frame:
+        def mapInArrow(self, task, schema):
+            return task
+
+    monkeypatch.setattr(minhash, "_keyed", lambda *a: Frame())
+    monkeypatch.setattr(minhash, "freed", lambda task: task)
+    texts = [" ".join(words(400, seed)) for seed in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array([b"k"] * 1000), pa.array(texts)],
+                                       ["id", "text_key", "text"])
+    tracemalloc.start()
+    found = sum(b.num_rows for b in minhash.sketches(None, "id", "text")(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 1000 and most < 40e6
