@@ -50,10 +50,11 @@ def staged(df: DataFrame) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Few rows and bytes at a time between the JVM and the Python workers: both hold a batch
-    whole, and the JVM never gives back what its largest took."""
+    """Few rows and bytes at a time between the JVM and the Python workers, and out of Parquet
+    files: both hold a batch whole, and the JVM never gives back what its largest took."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "512")
 
 
 def drop_staged(*frames: DataFrame) -> None:

@@ -222,7 +222,7 @@ def _linked(nodes: DataFrame, df: DataFrame, id_col: str, text_col: str, least:
                              [texts.text_key == wanted.text_key, texts.id.eqNullSafe(F.col("own"))])
                   .select("node", "text").dropDuplicates(["node"]))
     found = staged(_best(_close(members.withColumn("label", F.col("node")), least, PARTNERS), PARTNERS))
-    labels = _merged(None, staged(_verified(found.where("best").select("a", "b"), pool, least, words)))
+    labels = _merged(None, _verified(found.where("best").select("a", "b"), pool, least, words))
     if found.where("more OR NOT best").take(1):  # else every pair that may be similar has been tested
         known = labels.withColumnRenamed("component", "label")
         labelled = members.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))

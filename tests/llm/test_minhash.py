@@ -206,3 +206,16 @@ def test_sketching_holds_few_texts_at_a_time(monkeypatch):
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert found == 1000 and most < 40e6
+
+
+def test_little_is_held_out_of_a_file_and_pairs_are_written_once(documents, monkeypatch):
+    """The reader of files holds few whole texts at a time, and verified pairs go straight to the components."""
+    staged, written = minhash.staged, []
+    monkeypatch.setattr(minhash, "staged", lambda df: written.append(df.columns) or staged(df))
+    text = " ".join(f"w{i}" for i in range(60))
+    df = documents([(3, text), (1, f"{text} more"), (2, "some other words that are not alike"), (None, None)])
+    df.sparkSession.conf.set("spark.sql.parquet.columnarReaderBatchSize", "4096")
+    got = {(r.doc_id, r.class_id) for r in minhash.near_duplicates(df).collect()}
+    assert got == {(3, 1), (1, 1), (2, 2), (None, None)}
+    assert int(df.sparkSession.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
+    assert ["a", "b"] not in written
