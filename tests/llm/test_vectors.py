@@ -53,6 +53,28 @@ def test_equals_all_pairs(cluster, rows, block, dims):
     assert rows(found, "vec_id", "n_links", "component_id", "kept") == expected(data, .95)
 
 
+def test_no_batch_grows_with_the_blocks(cluster, rows, monkeypatch):
+    """Where no bound prunes, a vector still leaves a task once, not once for every block."""
+    kind = type(cluster.range(0))
+    plain = kind.mapInArrow
+
+    def checked(frame, task, schema):
+        def run(batches):
+            for batch in task(batches):
+                if batch.num_rows > 2000:
+                    raise ValueError(f"{batch.num_rows} rows at once")
+                yield batch
+
+        return plain(frame, run, schema)
+
+    monkeypatch.setattr(kind, "mapInArrow", checked)
+    rng = np.random.default_rng(3)
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(600, 24)))]
+    data += [(1000 + i, [x * 1.01 for x in data[7 * i][1]]) for i in range(20)]
+    found = vectors.near_vectors(frame(cluster, data).coalesce(1), block=30)
+    assert rows(found, "vec_id", "n_links", "component_id", "kept") == expected(data, .95)
+
+
 def test_odd_vectors(cluster, rows):
     data = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [1.0, None]),
             (7, [float("nan"), 1.0]), (8, [float("inf"), 1.0]), (9, [1.0, 0.0, 0.0]), (10, [1e-38, 0.0]),
