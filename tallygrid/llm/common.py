@@ -17,9 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallygrid.session import durable, new_dir, release
+from tallygrid.session import new_dir, release, staged
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -38,17 +37,6 @@ def ship(spark: SparkSession) -> None:
     context._tallygrid_shipped = True
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """``durable``, with the shuffle files of the writing job removed as it ends."""
-    spark = df.sparkSession
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        return durable(df)
-    finally:
-        spark.conf.set(CLEANUP, before)
-
-
 def small_batches(spark: SparkSession) -> None:
     """Few rows and bytes at a time between the JVM and the Python workers, and out of Parquet
     files: both hold a batch whole, and the JVM never gives back what its largest took."""

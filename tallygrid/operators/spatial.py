@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import HALF_BOX, REGIONS, box_text, in_box
 from ..functions.predicates import LIVE_SLACK, has_position, interval, live
-from ..session import durable
+from ..session import staged
 from .ids import dense_ids
 
 # Boxes whose borders may cross a cell before it is split, and how often a bin is halved at most.
 DENSE, DEEPEST = 4096, 8
+MOST_SENT = 100_000
+# Bins tried, in boxes' widths, with slots so many times as long as events last; boxes that one may meet.
+GRIDS, SPARSE = (), 32
 CELL = ["_level", "_row", "_col", "_slot"]
 WORLD = 1e6  # beyond all degrees
 
@@ -54,49 +57,51 @@ def messages_in_boxes(messages: DataFrame, events: DataFrame, half: float = HALF
     """Messages inside the box of an event running at the message's time (give or
     take ``slack``), each once.
 
-    A range join as an equi-join: the plane is cut into bins one box wide and
-    time into slots; an event is listed under every bin and slot it touches, a
-    message under its own only, and the exact test runs on what meets there. An
-    event is cut to each slot's span first, so the many events that fill a slot
-    at one place become one row. A semi join never emits pairs, and a hot bin's
-    messages can be split over tasks. The listing is many times the events it is made of, so
-    it is merged with the messages, never sent whole to every task by way of the driver. Bins of more than ``most`` boxes are split
-    (``split_dense``), for which the boxes are counted first; a message is then
-    listed under its cell of each level, of which one at most has boxes.
+    A range join as an equi-join: the plane is cut into bins and time into slots; an event is
+    listed under every bin and slot it touches, a message under its own only, and the exact
+    test runs on what meets there. A semi join never emits pairs, and a hot bin's messages can
+    be split over tasks. The listing is merged with the messages, never sent whole to every task
+    by way of the driver. Where events are sparse, bins are some boxes wide and slots some times as
+    long as events last (``_grid``), so that an event is listed once or twice. Elsewhere bins are one box
+    wide and slots ``slot_seconds`` long; an event is cut to each slot's span first, so the many
+    events that fill a slot at one place become one row, and bins of more than ``most`` boxes
+    are split (``split_dense``), for which the boxes are counted first. A message then
+    goes by its cell of the level that holds it, looked up in the cells that were split.
     """
-    slot_us = F.lit(slot_seconds * 1_000_000)
-
-    def bin_of(degrees: Column) -> Column:
-        return _cell(degrees, 0, half)
-
-    def slot_of(micros: Column) -> Column:
-        # Whole numbers throughout: a rounded quotient could cross a slot's border.
-        return F.call_function("div", micros - F.pmod(micros, slot_us), slot_us)
-
+    first, last = F.unix_micros("_from"), F.unix_micros("_to")
     spans = event_boxes(events, half).select(
         "south", "north", "west", "east",
         (F.col("start_time_utc") - interval(slack)).alias("_from"),
         (F.col("end_time_utc") + interval(slack)).alias("_to"),
-    )
-    first, last = F.unix_micros("_from"), F.unix_micros("_to")
-    listed = (
-        spans
-        .withColumn("_slot", F.explode(F.sequence(slot_of(first), slot_of(last))))
-        .withColumns({
-            "_from": F.greatest(first, F.col("_slot") * slot_us),
-            "_to": F.least(last, (F.col("_slot") + 1) * slot_us - 1),
-        })
-        .distinct()
-        .withColumn("_row", F.explode(F.sequence(bin_of(F.col("south")), bin_of(F.col("north")))))
-        .withColumn("_col", F.explode(F.sequence(bin_of(F.col("west")), bin_of(F.col("east"))))))
-    listed, levels = split_dense(listed, half, most)
-    placed = messages.withColumns({"_at": F.unix_micros(ts), "_mslot": slot_of(F.unix_micros(ts))})
-    if levels == [0]:
-        placed = placed.withColumn("_mlevel", F.lit(0))
+    ).withColumns({"_from": first, "_to": last}).where("_from <= _to")
+    bins, slot_us, sparse = _grid(spans, half, slot_seconds * 1_000_000, most)
+    width = half * bins
+    listed = spans.withColumn("_slot", F.explode(F.sequence(_slot("_from", slot_us), _slot("_to", slot_us))))
+    splits: list[DataFrame] = []
+    part_us = slot_us
+    if sparse:
+        listed = _binned(listed, width).withColumn("_level", F.lit(0))
     else:
-        placed = placed.withColumn("_mlevel", F.explode(F.array(*[F.lit(n) for n in levels])))
+        listed = listed.withColumns({
+            "_from": F.greatest("_from", F.col("_slot") * slot_us),
+            "_to": F.least("_to", (F.col("_slot") + 1) * slot_us - 1),
+        }).distinct()
+        part_us = _part(listed, slot_us)
+        listed, splits = _split(listed, width, most, DEEPEST, part_us)
+        listed = listed.withColumn("_slot", F.explode(F.sequence(_slot("_from", part_us), _slot("_to", part_us))))
+    placed = messages.withColumns({"_at": F.unix_micros(ts), "_mlevel": F.lit(0)})
+    if splits:
+        placed = placed.where(F.col(lat).isNotNull() & F.col(lng).isNotNull() & F.col("_at").isNotNull())
+    for level, cells in enumerate(splits):
+        cells = cells.select(*[F.col(c).alias(f"_s{c}") for c in CELL[1:]], F.lit(True).alias("_more"))
+        split = ((F.col("_mlevel") == level) & (_cell(F.col(lat), level, width) == F.col("_s_row"))
+                 & (_cell(F.col(lng), level, width) == F.col("_s_col")) & (_slot("_at", slot_us) == F.col("_s_slot")))
+        placed = (placed.join(cells, split, "left")
+                  .withColumn("_mlevel", F.when(F.col("_more"), F.lit(level + 1)).otherwise(F.col("_mlevel")))
+                  .drop("_s_row", "_s_col", "_s_slot", "_more"))
     level = F.col("_mlevel")
-    placed = placed.withColumns({"_mrow": _cell(F.col(lat), level, half), "_mcol": _cell(F.col(lng), level, half)})
+    placed = placed.withColumns({"_mrow": _cell(F.col(lat), level, width), "_mcol": _cell(F.col(lng), level, width),
+                                 "_mslot": _slot("_at", part_us)})
     inside = ((F.col("_mrow") == F.col("_row")) & (F.col("_mcol") == F.col("_col"))
               & (F.col("_mslot") == F.col("_slot")) & (level == F.col("_level"))
               & F.col(lat).between(F.col("south"), F.col("north"))
@@ -106,12 +111,64 @@ def messages_in_boxes(messages: DataFrame, events: DataFrame, half: float = HALF
             .drop("_at", "_mlevel", "_mrow", "_mcol", "_mslot"))
 
 
+def _slot(micros: str, length: int) -> Column:
+    # Whole numbers throughout: a rounded quotient could cross a slot's border.
+    at = F.col(micros)
+    return F.call_function("div", at - F.pmod(at, F.lit(length)), F.lit(length))
+
+
+def _grid(spans: DataFrame, half: float, slot_us: int, most: int) -> tuple[int, int, bool]:
+    """(boxes that a bin is wide, a slot's length, whether that is sparse): the widest bins of ``GRIDS``, with
+    slots of ``slot_us`` doubled until events are short beside them, in which a box meets few
+    others and no bin can hold more than ``most``; else one box and ``slot_us``."""
+    lasting = spans.agg(F.avg(F.col("_to") - F.col("_from")).alias("mean"),
+                        F.max(F.col("_to") - F.col("_from")).alias("most")).first()
+    for bins, times in GRIDS if lasting["mean"] is not None else ():
+        length = slot_us
+        while length < times * lasting["mean"]:
+            length *= 2
+        # by the corner and the beginning, so that each event counts once
+        corners = spans.groupBy(_cell(F.col("south"), 0, half * bins), _cell(F.col("west"), 0, half * bins),
+                                _slot("_from", length)).count()
+        n = F.col("count").cast("double")
+        found = corners.agg(F.max(n).alias("most"), (F.sum(n * n) / F.sum(n)).alias("mean")).first()
+        # a bin holds boxes with corners in it and in those before it, by place and time
+        reach = (3 if bins == 1 else 2) ** 2 * (2 + lasting["most"] // length)
+        if found["mean"] <= SPARSE and found["most"] * reach <= most:
+            return bins, length, True
+    return 1, slot_us, False
+
+
+def _part(listed: DataFrame, slot_us: int) -> int:
+    """A slot's length, halved while it is over four times as long as spans are in it."""
+    mean, length = listed.agg(F.avg(F.col("_to") - F.col("_from"))).first()[0], slot_us
+    while mean is not None and length % 2 == 0 and length > max(4 * mean, slot_us >> 10, 1_000_000):
+        length //= 2
+    return length
+
+
+def _binned(listed: DataFrame, half: float) -> DataFrame:
+    """Boxes under every bin they touch."""
+    for name, low, high in (("_row", "south", "north"), ("_col", "west", "east")):
+        touched = F.sequence(_cell(F.col(low), 0, half), _cell(F.col(high), 0, half))
+        listed = listed.withColumn(name, F.explode(touched))
+    return listed
+
+
 def _cell(degrees: Column, level: Column | int, half: float) -> Column:
     """The cell of a level, where a bin is halved ``level`` times; cells of a level lie in those above."""
     scale = F.pow(F.lit(2.0), level if isinstance(level, Column) else F.lit(level))
     return F.floor(degrees / F.lit(2 * half) * scale).cast("bigint")
 
 
+def _split(spans: DataFrame, half: float, most: int, deepest: int, part_us: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The listing of spans of slots under bins and the cells that were split, by level. The spans are
+    staged if there are any such cells, instead of their listing, which is some times as long."""
+    if not _crowded(_binned(spans, half).withColumn("_level", F.lit(0)), most).take(1):
+        return _binned(spans, half).withColumn("_level", F.lit(0)), []
+    return _divided(_binned(staged(spans), half).withColumn("_level", F.lit(0)), half, most, deepest, part_us)
+
+
 def split_dense(listed: DataFrame, half: float = HALF_BOX, most: int = DENSE,
                 deepest: int = DEEPEST) -> tuple[DataFrame, list[int]]:
     """Boxes listed under bins, with cells that more than ``most`` boxes' borders cross split into
@@ -124,32 +181,45 @@ def split_dense(listed: DataFrame, half: float = HALF_BOX, most: int = DENSE,
     A point meets ``most`` boxes at most, and those spans, while every point has one cell
     with a listing. Whether a box is around a cell is asked in whole cells, never by rounded borders.
     """
-    listed = listed.withColumn("_level", F.lit(0))
-    if not _crowded(listed, most).take(1):
-        return listed, [0]
-    parts: list[DataFrame] = []
-    now = durable(listed)
+    leveled = listed.withColumn("_level", F.lit(0))
+    if not _crowded(leveled, most).take(1):
+        return leveled, [0]
+    out, splits = _divided(leveled, half, most, deepest, 0)
+    return out.select(leveled.columns), list(range(len(splits) + 1))
+
+
+def _divided(listed: DataFrame, half: float, most: int, deepest: int, part_us: int
+             ) -> tuple[DataFrame, list[DataFrame]]:
+    """The listing after the splits, and for each level the cells split in it. A level is staged without
+    the boxes that its covered spans outlast; what its stages shuffle goes as they end."""
+    columns, parts, splits, now = listed.columns, [], [], [listed]
     for level in range(deepest + 1):
-        first = {c: _cell(F.col(c), level, half) for c in ("south", "north", "west", "east")}
-        around = ((first["south"] < F.col("_row")) & (F.col("_row") < first["north"])
-                  & (first["west"] < F.col("_col")) & (F.col("_col") < first["east"]))
-        now = durable(_uncovered(now.where(~around), _spans(now.where(around))))
+        if level:
+            first = {c: _cell(F.col(c), level, half) for c in ("south", "north", "west", "east")}
+            around = ((first["south"] < F.col("_row")) & (F.col("_row") < first["north"])
+                      & (first["west"] < F.col("_col")) & (F.col("_col") < first["east"]))
+            spans = staged(_spans(below.where(around)).select(columns))
+            now = [staged(_uncovered(below.where(~around), spans, part_us)), spans]
         # what is around all of a cell is no reason to split it
-        crowded = _crowded(now.where(F.col("north") < WORLD), most).select(*CELL)
-        if level == deepest or not crowded.take(1):
-            parts.append(now)
+        crowded = _sent(staged(_crowded(now[0], most).select(*CELL))) if level < deepest else None
+        if crowded is None or not crowded.take(1):
+            parts += now
             break
-        parts.append(now.join(crowded, CELL, "left_anti"))
-        below = now.join(crowded, CELL, "left_semi").withColumn("_level", F.lit(level + 1))
+        splits.append(crowded)
+        parts += [x.join(crowded, CELL, "left_anti").select(columns) for x in now]
+        below = now[0]
+        for more in now[1:]:
+            below = below.unionByName(more)
+        below = below.join(crowded, CELL, "left_semi").withColumn("_level", F.lit(level + 1))
         for name, low, high in (("_row", "south", "north"), ("_col", "west", "east")):
             start = F.greatest(F.col(name) * 2, _cell(F.col(low), level + 1, half))
             stop = F.least(F.col(name) * 2 + 1, _cell(F.col(high), level + 1, half))
             below = below.withColumn(name, F.explode(F.sequence(start, stop)))
-        now = below
+        below = below.select(columns)
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.select(listed.columns), list(range(len(parts)))
+    return out, splits
 
 
 def _crowded(listed: DataFrame, most: int, cell: Sequence[str] = CELL) -> DataFrame:
@@ -168,15 +238,23 @@ def _spans(rows: DataFrame) -> DataFrame:
                                             "west": F.lit(-WORLD), "east": F.lit(WORLD)})
 
 
-def _uncovered(boxes: DataFrame, spans: DataFrame) -> DataFrame:
-    """The spans, and of the boxes those that run outside of all spans of their cell."""
-    rows = (boxes.withColumn("_until", F.lit(None).cast("bigint"))
-            .unionByName(spans.withColumn("_until", F.col("_to"))))
-    # spans of a cell do not meet, so the last to begin before a box ends last
-    until = F.max("_until").over(Window.partitionBy(*CELL).orderBy("_from"))
-    kept = rows.withColumn("_covered", until).where(
-        F.col("_until").isNotNull() | F.col("_covered").isNull() | (F.col("_covered") < F.col("_to")))
-    return kept.select(boxes.columns)
+def _uncovered(boxes: DataFrame, spans: DataFrame, part_us: int = 0) -> DataFrame:
+    """Of the boxes those that run outside of all spans of their cell. Spans of a cell do not meet, so
+    a box is covered by one of them, found by the part of ``part_us`` that the box begins in."""
+    held = spans.select(*[F.col(c).alias(f"_s{c}") for c in CELL], F.col("_from").alias("_since"),
+                        F.col("_to").alias("_until"))
+    covered = (F.col("_since") <= F.col("_from")) & (F.col("_to") <= F.col("_until"))
+    for c in CELL:
+        covered = covered & (F.col(c) == F.col(f"_s{c}"))
+    if part_us:
+        held = held.withColumn("_part", F.explode(F.sequence(_slot("_since", part_us), _slot("_until", part_us))))
+        covered = covered & (_slot("_from", part_us) == F.col("_part"))
+    return boxes.join(_sent(held), covered, "left_anti")
+
+
+def _sent(df: DataFrame) -> DataFrame:
+    """Rows that may be sent whole to every task if they are few, and are merged otherwise."""
+    return df if df.limit(MOST_SENT + 1).count() <= MOST_SENT else df.hint("merge")
 
 
 def region_counts(cells: DataFrame, regions: dict = REGIONS, lat: str = "lat",

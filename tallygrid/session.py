@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _staged: list[tuple[SparkSession, str]] = []
 
 # Hour tallies kept in streaming state can outgrow the heap; RocksDB spills. A batch uploads what it
@@ -86,6 +88,17 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """``durable``, with the shuffle files of the writing job removed as it ends."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return durable(df)
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def discard(*frames: DataFrame) -> None:
     """Remove what ``durable`` wrote for frames that nothing reads any more."""
     for df in frames:

@@ -116,6 +116,37 @@ def test_boxes_in_covered_cells_go(spark):
     assert sp.split_dense(one, 0.05, 100)[0].count() < 3 * n
 
 
+def seen(monkeypatch, frame, name, which):
+    """Frames that a method was called on."""
+    plain, found = getattr(type(frame), name), []
+
+    def noted(self, *args, **kw):
+        if which in self.columns:
+            found.append(self)
+        return plain(self, *args, **kw)
+
+    monkeypatch.setattr(type(frame), name, noted)
+    return found
+
+
+def test_split_bins_do_not_repeat_messages(spark, monkeypatch):
+    """A message goes to the join once, however many levels there are."""
+    events = spark.range(600).select(
+        (37 + F.pmod("id", F.lit(29)) / 290).alias("latitude"), (F.pmod("id", F.lit(31)) / 310 - 122).alias("longitude"),
+        *[(F.lit(at("2015-02-04 00:00:00")) + F.make_dt_interval(mins=F.pmod("id", F.lit(7)) * 60 + m)).alias(c)
+          for c, m in (("start_time_utc", 0), ("end_time_utc", 30))])
+    messages = spark.range(500).select(
+        "id", (37 + F.pmod("id", F.lit(41)) / 200).alias("lat"), (F.pmod("id", F.lit(43)) / 200 - 122).alias("lng"),
+        (F.lit(at("2015-02-04 00:00:00")) + F.make_dt_interval(mins=F.col("id"))).alias("ts"))
+    met = seen(monkeypatch, messages, "join", "_mrow")
+    got = {r.id for r in sp.messages_in_boxes(messages, events, slack="0 minutes", most=20).collect()}
+    assert [f.count() for f in met] == [500]
+    boxes = events.collect()
+    assert got == {m.id for m in messages.collect() if any(
+        e.latitude - .05 <= m.lat <= e.latitude + .05 and e.longitude - .05 <= m.lng <= e.longitude + .05
+        and e.start_time_utc <= m.ts <= e.end_time_utc for e in boxes)}
+
+
 def test_listed_boxes_are_not_broadcast(spark, path):
     places = path()
     spark.createDataFrame([("e", 37.0, -122.0, at("2015-02-04 10:00:00"), at("2015-02-04 11:00:00"))],
