@@ -16,7 +16,7 @@ from .ids import dense_ids
 DENSE, DEEPEST = 4096, 8
 MOST_SENT = 100_000
 # Bins tried, in boxes' widths, with slots so many times as long as events last; boxes that one may meet.
-GRIDS, SPARSE = (), 32
+GRIDS, SPARSE = ((4, 8), (2, 8), (1, 8), (1, 2)), 32
 CELL = ["_level", "_row", "_col", "_slot"]
 WORLD = 1e6  # beyond all degrees
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.geo import HALF_BOX, in_any_box
-from ..functions.predicates import LIVE_SLACK
+from ..functions.predicates import LIVE_SLACK, has_position
 from ..operators.messages import to_topic
 from ..operators.spatial import messages_in_boxes
 from ..session import durable
@@ -27,14 +27,15 @@ def route_live(messages: DataFrame, events: Callable[[], DataFrame],
                every: str | None = None, refresh: float = REFRESH_SECONDS,
                ts: str = "ts") -> StreamingQuery:
     """``events`` is called again for the first batch after ``refresh`` seconds and its
-    rows are kept in the shared folder in between. A batch meets the events that run in its
+    places and times are kept in the shared folder in between. A batch meets the events that run in its
     own span of time only; ``send`` gets a ``value`` column of JSON."""
     held: dict[str, object] = {}
 
     def catalogue() -> DataFrame:
         now = time.monotonic()
         if not held or now - held["at"] >= refresh:
-            held.update(at=now, rows=durable(events()))
+            wanted = events().where(has_position())
+            held.update(at=now, rows=durable(wanted.select("latitude", "longitude", "start_time_utc", "end_time_utc")))
         return held["rows"]
 
     def write(batch: DataFrame, batch_id: int) -> None:

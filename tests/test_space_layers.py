@@ -147,6 +147,30 @@ def test_split_bins_do_not_repeat_messages(spark, monkeypatch):
         and e.start_time_utc <= m.ts <= e.end_time_utc for e in boxes)}
 
 
+def test_sparse_events_are_listed_once_or_twice(spark, monkeypatch):
+    """Bins and slots suit the events: few rows each, and the same messages."""
+    rng = random.Random(8)
+    start, h, slack = at("2015-02-01 00:00:00"), 0.05, dt.timedelta(minutes=30)
+    events = []
+    for i in range(2000):
+        s = start + dt.timedelta(minutes=rng.randint(0, 300_000))
+        events.append((str(i), 30 + rng.randint(0, 15_000) / 1000, -120 + rng.randint(0, 19) / 100, s,
+                       s + dt.timedelta(days=rng.randint(0, 5))))
+    events += [("backward", 37.0, -120.0, start + dt.timedelta(days=9), start), ("endless", 37.0, -120.0, start, None)]
+    messages = [(i, 30 + rng.randint(0, 16_000) / 1000, -120 + rng.randint(-8, 27) / 100,
+                 start + dt.timedelta(minutes=rng.randint(0, 300_000))) for i in range(600)]
+    messages += [(600 + i, e[1] + d, e[2] - d, e[4] + slack) for i, e in enumerate(events[:60]) for d in (-h, h)]
+    messages += [(900, None, -120.0, start), (901, 37.0, -120.0, None)]
+    df = spark.createDataFrame(messages, MESSAGE)
+    listed = seen(monkeypatch, df, "hint", "south")
+    got = sorted(r.id for r in sp.messages_in_boxes(df, spark.createDataFrame(events, EVENT)).collect())
+    want = sorted(i for i, la, ln, t in messages if None not in (la, t) and any(
+        e and a - h <= la <= a + h and b - h <= ln <= b + h and s - slack <= t <= e + slack
+        for _, a, b, s, e in events))
+    assert got == want and 120 <= len(want) < len(messages)
+    assert len(listed) == 1 and listed[0].count() < 3 * len(events)
+
+
 def test_listed_boxes_are_not_broadcast(spark, path):
     places = path()
     spark.createDataFrame([("e", 37.0, -122.0, at("2015-02-04 10:00:00"), at("2015-02-04 11:00:00"))],
