@@ -91,13 +91,17 @@ def messages_in_boxes(messages: DataFrame, events: DataFrame, half: float = HALF
         listed = listed.withColumn("_slot", F.explode(F.sequence(_slot("_from", part_us), _slot("_to", part_us))))
     placed = messages.withColumns({"_at": F.unix_micros(ts), "_mlevel": F.lit(0)})
     if splits:
-        placed = placed.where(F.col(lat).isNotNull() & F.col(lng).isNotNull() & F.col("_at").isNotNull())
+        deep = len(splits)
+        placed = (placed.where(F.col(lat).isNotNull() & F.col(lng).isNotNull() & F.col("_at").isNotNull())
+                  .withColumns({"_mrow": _cell(F.col(lat), deep, width), "_mcol": _cell(F.col(lng), deep, width),
+                                "_mslot": _slot("_at", slot_us)}))
     for level, cells in enumerate(splits):
-        cells = cells.select(*[F.col(c).alias(f"_s{c}") for c in CELL[1:]], F.lit(True).alias("_more"))
-        split = ((F.col("_mlevel") == level) & (_cell(F.col(lat), level, width) == F.col("_s_row"))
-                 & (_cell(F.col(lng), level, width) == F.col("_s_col")) & (_slot("_at", slot_us) == F.col("_s_slot")))
+        # short conditions: all look-ups are compiled as one, which is only fast while it is small
+        cells = cells.select(*[F.col(c).alias(f"_s{c}") for c in CELL[1:]], F.lit(1).alias("_more"))
+        split = ((F.col("_mlevel") == level) & (F.shiftright("_mrow", deep - level) == F.col("_s_row"))
+                 & (F.shiftright("_mcol", deep - level) == F.col("_s_col")) & (F.col("_mslot") == F.col("_s_slot")))
         placed = (placed.join(cells, split, "left")
-                  .withColumn("_mlevel", F.when(F.col("_more"), F.lit(level + 1)).otherwise(F.col("_mlevel")))
+                  .withColumn("_mlevel", F.when(F.col("_more").isNotNull(), F.lit(level + 1)).otherwise(F.col("_mlevel")))
                   .drop("_s_row", "_s_col", "_s_slot", "_more"))
     level = F.col("_mlevel")
     placed = placed.withColumns({"_mrow": _cell(F.col(lat), level, width), "_mcol": _cell(F.col(lng), level, width),
